@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, quality
+from . import bpe, langid, partenum, quality, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         quality.op5_quality_classifier,
         bpe.op6_byte_bpe,
+        partenum.op7_partenum_join,
+        winnow.op8_winnowing,
         langid.op9_language_id,
     )
 }
