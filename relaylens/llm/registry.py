@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, partenum, quality, winnow
+from . import bpe, langid, licences, partenum, quality, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -16,7 +16,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         partenum.op7_partenum_join,
         winnow.op8_winnowing,
         langid.op9_language_id,
+        licences.op10_licence_digest,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {**licences.ORACLE_SQL}
