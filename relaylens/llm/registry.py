@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, licences, partenum, quality, winnow
+from . import bpe, langid, licences, partenum, quality, warc, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        warc.op1_warc_transactions,
         quality.op5_quality_classifier,
         bpe.op6_byte_bpe,
         partenum.op7_partenum_join,
@@ -20,4 +21,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {**licences.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {**licences.ORACLE_SQL, **warc.ORACLE_SQL}
