@@ -100,3 +100,14 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
         labels = new.select("id", "label")
         if not new.where("moved").limit(1).count():
             return nodes.select("id").join(labels, "id", "left").select("id", F.coalesce("label", "id").alias("component"))
+
+
+#: Ids of 8 bytes each that may be broadcast at once.
+BROADCAST_IDS = 500_000
+
+
+def without(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is none of ids (rows with a null key stay). ids are broadcast up to BROADCAST_IDS, else shuffled."""
+    ids = written(ids.where(F.col(key).isNotNull()).distinct())
+    few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    return rows.join(F.broadcast(ids) if few else ids, key, "left_anti").select(*rows.columns)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bottomk, bpe, kdtree, langid, licences, partenum, quality, warc, winnow
+from . import bottomk, bpe, htmltext, kdtree, langid, licences, partenum, quality, warc, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         warc.op1_warc_transactions,
         kdtree.op2_kd_shards,
         bottomk.op3_bottom_k,
+        htmltext.op4_html_consensus,
         quality.op5_quality_classifier,
         bpe.op6_byte_bpe,
         partenum.op7_partenum_join,
