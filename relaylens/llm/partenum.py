@@ -159,14 +159,17 @@ def signatures(s: np.ndarray, bands: np.ndarray) -> np.ndarray:
         sums, size = np.zeros(parts * each, np.uint64), np.bincount(cell, minlength=parts * each).reshape(parts, each)
         np.add.at(sums, cell, value)
         sums = sums.reshape(parts, each)
-        if parts == 1:  # k second-level parts may differ: keep each two of the k + 2
+        # A shared signature of no elements says nothing. A set needs it only where all parts that are sure to hold no
+        # difference (at most one, with two levels) may be empty, given the most differences to any partner of its size.
+        most = (len(s) + len(s) * OF // NEAR) // 7
+        if parts == 1:  # at most k second-level parts differ: keep each two of the k + 2
             a, b = np.triu_indices(each, 1)
-            sub, keep = (sums[0][a] + sums[0][b]).ravel(), np.full(len(a), True)
+            sub, left = sums[0][a] + sums[0][b], size[0][a] + size[0][b]
+            sure = (size == 0).sum() < each - most
         else:
-            left = size.sum(1)[:, None] - size
-            sub = (sums.sum(1, dtype=np.uint64)[:, None] - sums).ravel()
-            # A shared signature of no elements says nothing. It is needed only where parts without differences to spare may all be such.
-            keep = np.full(parts * each, True) if (left == 0).any(1).sum() >= parts - k // 2 else (left > 0).ravel()
+            sub, left = (sums.sum(1, dtype=np.uint64)[:, None] - sums).ravel(), (size.sum(1)[:, None] - size).ravel()
+            sure = (left.reshape(parts, each) == 0).any(1).sum() < parts - most // 2
+        keep = left > 0 if sure else np.full(len(sub), True)
         place = mix(np.arange(len(sub), dtype=np.uint64) + _U(band << 40))
         out.append(mix(sub + place)[keep])
     return np.concatenate(out) if out else np.empty(0, np.uint64)
@@ -187,8 +190,23 @@ def signature_rows(sets: DataFrame) -> DataFrame:
     return sets.select("node", "shingles").mapInArrow(rows, "sig long, node long")
 
 
+def _counts(s: np.ndarray) -> bytes:
+    """How many of a set's elements fall in each of 256 bins, 255 at most."""
+    return np.minimum(np.bincount((s & _U(255)).astype(np.int64), minlength=256), 255).astype(np.uint8).tobytes()
+
+
 def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those (src, dst) of pairs whose sets are near: 4 * intersection >= 3 * union, by comparing the sets whole."""
+    """Those (src, dst) of pairs whose sets are near: 4 * intersection >= 3 * union, by comparing the sets whole.
+
+    Sets are sent only for pairs whose bin counts allow so few differences: near sets differ in (a + b) / 7 elements at
+    most, and in no fewer than their counts do.
+    """
+
+    def may(batches):
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, 256).astype(np.int16) for c in ("x", "y"))
+            sizes = b.column("n").to_numpy() + b.column("m").to_numpy()
+            yield pa.RecordBatch.from_arrays([b.column("src"), b.column("dst")], ["src", "dst"]).filter(pa.array(7 * np.abs(x - y).sum(1) <= sizes))
 
     def rows(batches):
         for b in batches:
@@ -199,13 +217,17 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 near.append(OF * both >= NEAR * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([b.column("src"), b.column("dst")], ["src", "dst"]).filter(pa.array(near, pa.bool_()))
 
-    x = sets.select(F.col("node").alias("src"), F.col("shingles").alias("x"))
-    y = sets.select(F.col("node").alias("dst"), F.col("shingles").alias("y"))
-    return pairs.select("src", "dst").join(x, "src").join(y, "dst").mapInArrow(rows, "src long, dst long")
+    def both(pairs: DataFrame, column: str) -> DataFrame:
+        x = sets.select(F.col("node").alias("src"), F.col(column).alias("x"), "n")
+        y = sets.select(F.col("node").alias("dst"), F.col(column).alias("y"), F.col("n").alias("m"))
+        return pairs.join(x, "src").join(y, "dst").where(f"{OF} * least(n, m) >= {NEAR} * greatest(n, m)")
+
+    likely = written(both(pairs.select("src", "dst"), "counts").select("src", "dst", "x", "y", "n", "m").mapInArrow(may, "src long, dst long"))
+    return both(likely, "shingles").select("src", "dst", "x", "y").mapInArrow(rows, "src long, dst long")
 
 
 def near_sets(docs: DataFrame, classes: DataFrame, total: int) -> DataFrame:
-    """node, shingles of the sets that may have a partner; classes: node (smallest doc_id of equal sets), n, tag."""
+    """node, n, counts, shingles of the sets that may have a partner; classes: node (smallest doc_id of equal sets), n, tag."""
     lone = lone_shingles(docs, max(64, total // BUCKET))
     maybe = written(classes.where("node is not null and n >= 3").join(lone, "tag", "left").where(F.expr(f"{OF} * coalesce(lone, 0) <= {OF - NEAR} * n")).select("node", "tag"))
     few = maybe.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS  # 16 bytes a row; beyond that Spark shuffles
@@ -217,11 +239,12 @@ def near_sets(docs: DataFrame, classes: DataFrame, total: int) -> DataFrame:
             for node, tag, t in zip(b.column("node").to_pylist(), b.column("tag").to_pylist(), b.column("text").to_pylist()):
                 s = shingle_set(t, hashes)
                 if len(s) and _node(_set_key(s)) == tag:  # else another text of the same doc_id
-                    out.append((node, s.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in out], pa.int64()), pa.array([s for _, s in out], pa.binary())], ["node", "shingles"])
+                    out.append((node, len(s), _counts(s), s.tobytes()))
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], ["node", "n", "counts", "shingles"])
 
     joined = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(F.broadcast(maybe) if few else maybe, "node")
-    return written(joined.select("node", "tag", "text").mapInArrow(rows, "node long, shingles binary"))
+    return written(joined.select("node", "tag", "text").mapInArrow(rows, "node long, n long, counts binary, shingles binary"))
 
 
 def near_components(docs: DataFrame) -> DataFrame:
@@ -242,9 +265,12 @@ def near_components(docs: DataFrame) -> DataFrame:
 def linked(sets: DataFrame) -> DataFrame:
     """(node, component) of all sets that have a link."""
     sigs = signature_rows(sets)
-    first = sigs.groupBy("sig").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre < last").select("sig", "centre")
-    shared = written(sigs.join(written(first), "sig"))  # rows of signatures that several sets have
-    stars = written(shared.where("node <> centre").groupBy(F.col("node").alias("src"), F.col("centre").alias("dst")).agg(F.count("*").alias("n")))
+    node = F.xxhash64("node")
+    met = sigs.groupBy("sig").agg(F.min("node").alias("centre"), F.max("node").alias("last"), F.count("*").alias("m"), F.bit_xor(node).alias("who"))
+    # Signatures with the same members say the same: one of them goes on, with their number.
+    first = written(met.where("centre < last").groupBy("who", "m", "centre", "last").agg(F.min("sig").alias("sig"), F.count("*").alias("same")).select("sig", "centre", "same"))
+    shared = written(sigs.join(first, "sig"))
+    stars = written(shared.where("node <> centre").groupBy(F.col("node").alias("src"), F.col("centre").alias("dst")).agg(F.sum("same").alias("n")))
     best = written(stars.groupBy("src").agg(F.max_by("dst", F.struct("n", -F.col("dst"))).alias("dst")))
     edges = written(links(best, sets))
     labels = written(_labels(edges))
@@ -265,7 +291,7 @@ def linked(sets: DataFrame) -> DataFrame:
     member = written(member.join(mixed, "sig"))
     a = member.select("sig", F.col("node").alias("src"), F.col("component").alias("a"))
     b = member.select("sig", F.col("node").alias("dst"), F.col("component").alias("b"))
-    cross = a.join(b, "sig").where("a < b").groupBy("src", "dst").count()
+    cross = a.join(b, "sig").where("a < b").select("src", "dst").distinct()
     rest = written(cross.join(stars.select("src", "dst"), ["src", "dst"], "left_anti").join(stars.select(F.col("src").alias("dst"), F.col("dst").alias("src")), ["src", "dst"], "left_anti"))
     return _labels(written(edges.union(links(rest, sets))))
 
