@@ -1,7 +1,570 @@
-"""All queries over the driver's tables with their SQL."""
+"""All queries over the driver's tables with the SQL that each must equal."""
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .functions import expr as X
+from .operators import anomaly, anonymize, correct, network, query, report, stats
+from .plans import domain as D
+from .schema import CLIENT_ID, DURATIONS, SERVICE_CALL, SERVICE_ID, SIZES
+from .sources import tables
+from .streaming import pairing
+
 FLAGSHIP = "an1_failed_ratio"
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+NOW = dt.datetime(2024, 1, 31)
+DAY_MS = 86_400_000
+
+
+def query_of(sql: str | None):
+    """Register a function under its name with the SQL that gives the same rows."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+# ---- records -> clean calls
+
+_D = {
+    "totalDuration": "c.responseOutTs - c.requestInTs", "clientSsRequestDuration": "c.requestOutTs - c.requestInTs", "clientSsResponseDuration": "c.responseOutTs - c.responseInTs",
+    "producerDurationClientView": "c.responseInTs - c.requestOutTs", "producerDurationProducerView": "p.responseOutTs - p.requestInTs", "producerSsRequestDuration": "p.requestOutTs - p.requestInTs",
+    "producerSsResponseDuration": "p.responseOutTs - p.responseInTs", "producerIsDuration": "p.responseInTs - p.requestOutTs", "requestNwDuration": "p.requestInTs - c.requestOutTs", "responseNwDuration": "c.responseInTs - p.responseOutTs",
+}
+
+
+def _o_size(side: str, what: str) -> str:
+    a = f"{side}.{what}"
+    return f"CASE WHEN {a}AttachmentCount IS NULL OR {a}AttachmentCount = 0 THEN {a}Size WHEN {a}AttachmentCount > 0 THEN {a}MimeSize END"
+
+
+_S = {"clientRequestSize": _o_size("c", "request"), "producerRequestSize": _o_size("p", "request"), "clientResponseSize": _o_size("c", "response"), "producerResponseSize": _o_size("p", "response")}
+_clamped = lambda e: f"CASE WHEN ({e}) IS NOT NULL THEN CAST(greatest(least({e}, 2147483647), -2147483647) AS INT) END"
+_PAIRS = "FROM c FULL JOIN p ON c.xRequestId = p.xRequestId"
+
+
+@query_of(f"WITH {D.O_FIRST} SELECT _id, xRequestId, lower(securityServerType) AS party, requestInTs, place FROM ranked WHERE place <= 2")
+def w1_dedupe_first(spark, sf_dir):
+    raw = D.raw(spark, sf_dir).where("coalesce(xRequestId, '') <> '' and lower(securityServerType) in ('client', 'producer')")
+    return correct.ranked_records(raw).where("place <= 2").select("_id", "xRequestId", correct.party().alias("party"), "requestInTs", "place")
+
+
+@query_of(f"WITH {D.O_FIRST} SELECT coalesce(c.xRequestId, p.xRequestId) AS xRequestId, c._id AS client_id, p._id AS producer_id {_PAIRS}")
+def j1_pair_full_outer(spark, sf_dir):
+    parts = correct.split_records(D.raw(spark, sf_dir))
+    return correct.paired(parts["clients"], parts["producers"]).select("xRequestId", F.col("client._id").alias("client_id"), F.col("producer._id").alias("producer_id"))
+
+
+@query_of(f"WITH {D.O_FIRST} SELECT coalesce(c.xRequestId, p.xRequestId) AS xRequestId, {', '.join(f'{e} AS {k}' for k, e in _D.items())} {_PAIRS}")
+def m1_durations(spark, sf_dir):
+    parts = correct.split_records(D.raw(spark, sf_dir))
+    return correct.paired(parts["clients"], parts["producers"]).select("xRequestId", *[v.alias(k) for k, v in correct.durations().items()])
+
+
+@query_of(f"WITH {D.O_FIRST} SELECT coalesce(c.xRequestId, p.xRequestId) AS xRequestId, {', '.join(f'{e} AS {k}' for k, e in _S.items())} {_PAIRS}")
+def m2_transaction_size(spark, sf_dir):
+    parts = correct.split_records(D.raw(spark, sf_dir))
+    return correct.paired(parts["clients"], parts["producers"]).select("xRequestId", *[v.alias(k) for k, v in correct.sizes().items()])
+
+
+@query_of(f"WITH {D.O_FIRST} SELECT coalesce(c.xRequestId, p.xRequestId) AS xRequestId, {', '.join(f'{_clamped(e)} AS {k}' for k, e in {**_D, **_S}.items())} {_PAIRS}")
+def m3_clamp(spark, sf_dir):
+    return D.clean(spark, sf_dir).where("xRequestId <> ''").select("xRequestId", *DURATIONS, *SIZES)
+
+
+@query_of(f"""WITH {D.O_FIRST} SELECT coalesce(c.xRequestId, p.xRequestId) AS xRequestId,
+  CASE WHEN c._id IS NOT NULL AND p._id IS NOT NULL THEN 'done' ELSE 'processing' END AS correctorStatus, CASE WHEN c._id IS NOT NULL AND p._id IS NOT NULL THEN 'regular_pair' ELSE 'orphan' END AS matchingType,
+  coalesce(c.messageId, p.messageId) AS messageId {_PAIRS}
+UNION ALL SELECT '', 'done', 'orphan', messageId FROM raw WHERE coalesce(xRequestId, '') = '' AND lower(securityServerType) IN ('client', 'producer')""")
+def c1_correct_batch(spark, sf_dir):
+    return D.clean(spark, sf_dir).select("xRequestId", "correctorStatus", "matchingType", "messageId")
+
+
+@query_of(f"""WITH {D.O_FIRST} SELECT coalesce(c.xRequestId, p.xRequestId) AS xRequestId, c._id IS NOT NULL AND p._id IS NOT NULL AS is_pair,
+  CASE WHEN c._id IS NOT NULL AND p._id IS NOT NULL THEN CASE WHEN (CAST(coalesce(c.xRequestId, p.xRequestId) AS BIGINT) % 2) = 0 THEN 1000000000.0 ELSE 1000000100.0 END ELSE 1000000000.0 END AS correctorTime {_PAIRS}
+WHERE c._id IS NOT NULL OR p._id IS NOT NULL""")
+def j2_late_partner(spark, sf_dir):
+    """Producers of odd requests come a batch later and complete their orphans; the others keep their time."""
+    parts = correct.split_records(D.raw(spark, sf_dir))
+    odd = F.col("xRequestId").cast("long") % 2 == 1
+    has_client = parts["clients"].select("xRequestId")
+    late = parts["producers"].where(odd).join(has_client, "xRequestId", "left_semi").select(parts["producers"].columns)
+    early = parts["producers"].join(late.select("_id"), "_id", "left_anti").select(parts["producers"].columns)
+    first = correct.correct_batch(parts["clients"].unionByName(early), D.NOW)["clean"]
+    second = correct.correct_batch(late, D.NOW + 100, first)["clean"]
+    return second.where("xRequestId <> ''").select("xRequestId", (F.col("matchingType") == "regular_pair").alias("is_pair"), "correctorTime")
+
+
+_MATCH_ON = "a.messageId = b.match_messageId AND a.serviceCode IS NOT DISTINCT FROM b.match_serviceCode AND a.clientSubsystemCode IS NOT DISTINCT FROM b.match_clientSubsystemCode AND abs(a.requestInTs - b.match_requestInTs) <= 864000000"
+_MATCH = f"""WITH {D.O_RAW}, a AS (SELECT * FROM raw WHERE lower(securityServerType) = 'client'),
+b AS (SELECT _id AS match__id, messageId AS match_messageId, serviceCode AS match_serviceCode, clientSubsystemCode AS match_clientSubsystemCode, requestInTs AS match_requestInTs FROM raw WHERE lower(securityServerType) = 'producer')"""
+_ATTRIBUTES = ["messageId", "serviceCode", "clientSubsystemCode"]
+
+
+def _match_sides(spark, sf_dir):
+    raw = D.raw(spark, sf_dir).select("_id", "requestInTs", "securityServerType", *_ATTRIBUTES)
+    return raw.where(correct.party() == "client"), raw.where(correct.party() == "producer")
+
+
+@query_of(f"{_MATCH} SELECT a._id, b.match__id, a.requestInTs - b.match_requestInTs AS apart FROM a JOIN b ON {_MATCH_ON}")
+def j3_interval_match(spark, sf_dir):
+    a, b = _match_sides(spark, sf_dir)
+    return correct.interval_match(a, b, _ATTRIBUTES, 10 * DAY_MS).select("_id", "match__id", (F.col("requestInTs") - F.col("match_requestInTs")).alias("apart"))
+
+
+@query_of(f"{_MATCH} SELECT _id, match__id FROM (SELECT a._id, b.match__id, row_number() OVER (PARTITION BY a._id ORDER BY b.match_requestInTs, b.match__id) AS n FROM a JOIN b ON {_MATCH_ON}) WHERE n = 1")
+def j4_first_match(spark, sf_dir):
+    a, b = _match_sides(spark, sf_dir)
+    return correct.first_match(a, b, _ATTRIBUTES, ["_id"], 10 * DAY_MS).select("_id", "match__id")
+
+
+@query_of(f"""WITH {D.O_FIRST} SELECT coalesce(c.xRequestId, p.xRequestId) AS xRequestId, coalesce(CASE WHEN (c._id IS NULL OR p._id IS NULL) AND (c.requestInTs < 815356800000 OR p.requestInTs < 815356800000) THEN TRUE END, FALSE) AS timed_out {_PAIRS}""")
+def p23_timeouts(spark, sf_dir):
+    now = 815356800000 / 1000 + 3 * 86400
+    clean = D.clean(spark, sf_dir).where("xRequestId <> ''")
+    return clean.select("xRequestId", correct.timed_out(clean, now).alias("timed_out"))
+
+
+@query_of(f"WITH {D.O_RAW} SELECT _id, xRoadVersion, CASE WHEN xRoadVersion IN ('7.6.2', '7.7.0', '7.6.2.1', '762') THEN restPath END AS restPath FROM raw")
+def s5_version_gate(spark, sf_dir):
+    return tables.gate_versions(D.raw(spark, sf_dir)).select("_id", "xRoadVersion", "restPath")
+
+
+@query_of(f"WITH {D.O_RAW} SELECT _id, replace(replace(replace(faultString, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS faultString FROM raw")
+def g1_escape_html(spark, sf_dir):
+    return D.raw(spark, sf_dir).select("_id", X.escape_html(F.col("faultString")).alias("faultString"))
+
+
+@query_of(f"""WITH {D.O_FIRST}, g AS (SELECT *, CASE WHEN xRoadVersion IN ('7.6.2', '7.7.0', '7.6.2.1', '762') THEN restPath END AS path FROM ranked WHERE place = 1)
+SELECT coalesce(c.xRequestId, p.xRequestId) AS xRequestId, CASE WHEN coalesce(c.path, '') <> '' THEN coalesce(nullif(p.path, ''), '/*') ELSE c.path END AS client_path, p.path AS producer_path
+FROM (SELECT * FROM g WHERE lower(securityServerType) = 'client') c FULL JOIN (SELECT * FROM g WHERE lower(securityServerType) = 'producer') p ON c.xRequestId = p.xRequestId""")
+def g3_rest_path(spark, sf_dir):
+    clean = D.clean(spark, sf_dir).where("xRequestId <> ''")
+    return clean.select("xRequestId", F.col("client.restPath").alias("client_path"), F.col("producer.restPath").alias("producer_path"))
+
+
+@query_of(f"WITH {D.O_RAW} SELECT _id, concat_ws('/', nullif(clientXRoadInstance, ''), nullif(clientMemberClass, ''), nullif(clientMemberCode, ''), nullif(clientSubsystemCode, '')) AS client, concat_ws('.', serviceCode, serviceVersion) AS service FROM raw")
+def g4_merge_fields(spark, sf_dir):
+    return D.raw(spark, sf_dir).select("_id", X.joined("/", *map(F.col, CLIENT_ID)).alias("client"), X.joined(".", F.col("serviceCode"), F.col("serviceVersion")).alias("service"))
+
+
+@query_of("SELECT page_id, regexp_replace(url, '[^A-Za-z0-9._-]', '', 'g') AS file_name, coalesce(substring(url, 1, 55), '') AS short, 'service_' || lower(replace(trim(url), ' ', '_')) AS service_key FROM pages")
+def g6_format_string(spark, sf_dir):
+    return _table(spark, sf_dir, "pages").select("page_id", X.file_name(F.col("url")).alias("file_name"), X.shortened(F.col("url")).alias("short"), X.service_key(F.col("url")).alias("service_key"))
+
+
+# ---- publication
+
+_FIELDS = {"requestInTs": "requestInTs", **{c: c for c in ("clientMemberCode", "clientMemberClass", "serviceMemberCode", "serviceCode", "messageId")}, "succeeded": "succeeded"}
+_SPLIT = f"""WITH {D.O_FIRST}, logs AS (
+SELECT side, x.requestInTs, x.clientMemberCode, x.clientMemberClass, x.serviceMemberCode, x.serviceCode, x.messageId, x.succeeded, xRequestId, total, own FROM (
+  SELECT 'client' AS side, c AS x, c.xRequestId, {_clamped(_D["totalDuration"])} AS total, {_clamped(_D["producerDurationProducerView"])} AS own FROM c LEFT JOIN p ON c.xRequestId = p.xRequestId
+  UNION ALL SELECT 'producer', p, c.xRequestId, {_clamped(_D["totalDuration"])}, {_clamped(_D["producerDurationProducerView"])} FROM c JOIN p ON c.xRequestId = p.xRequestId))"""
+
+
+def _logs(spark, sf_dir) -> DataFrame:
+    clean = D.clean(spark, sf_dir).where("xRequestId <> ''").withColumnsRenamed({"totalDuration": "total", "producerDurationProducerView": "own"})
+    return anonymize.dual_split(clean, _FIELDS, ["xRequestId", "total", "own"])
+
+
+@query_of(f"{_SPLIT} SELECT * FROM logs")
+def p4_dual_split(spark, sf_dir):
+    return _logs(spark, sf_dir)
+
+
+@query_of(f"{_SPLIT} SELECT * EXCLUDE (total, own), CASE WHEN side = 'client' THEN total END AS total, CASE WHEN side = 'producer' THEN own END AS own FROM logs")
+def p5_mask(spark, sf_dir):
+    return anonymize.mask_sides(_logs(spark, sf_dir), ["total"], ["own"])
+
+
+_HIDING = [[("clientMemberCode", "1$"), ("serviceCode", "op[0-3]")], [("succeeded", "False"), ("serviceMemberCode", "2")], [("total", "None")]]
+
+
+@query_of(f"""{_SPLIT} SELECT * FROM logs WHERE NOT ((regexp_matches(clientMemberCode, '^(?:1$)') AND regexp_matches(serviceCode, '^(?:op[0-3])'))
+OR (coalesce(succeeded, TRUE) = FALSE AND regexp_matches(serviceMemberCode, '^(?:2)')) OR total IS NULL)""")
+def p7_hide(spark, sf_dir):
+    return anonymize.hide(_logs(spark, sf_dir), _HIDING)
+
+
+@query_of(f"""{_SPLIT}, one AS (SELECT * REPLACE (CASE WHEN regexp_matches(clientMemberCode, '^(?:1)') THEN 'X1' ELSE clientMemberCode END AS clientMemberCode) FROM logs)
+SELECT * REPLACE (CASE WHEN clientMemberCode = 'X1' AND serviceCode = 'op1' THEN 'hidden' ELSE serviceCode END AS serviceCode, CASE WHEN clientMemberCode = 'X1' AND serviceCode = 'op1' THEN 0 ELSE total END AS total) FROM one""")
+def p8_substitute(spark, sf_dir):
+    return anonymize.substitute(_logs(spark, sf_dir), [([("clientMemberCode", "1")], {"clientMemberCode": "X1"}), ([("clientMemberCode", "X1$"), ("serviceCode", "op1$")], {"serviceCode": "hidden", "total": 0})])
+
+
+@query_of(f"{_SPLIT} SELECT * REPLACE (requestInTs - requestInTs % 3600000 AS requestInTs) FROM logs WHERE NOT regexp_matches(serviceCode, '^(?:op6)')")
+def x1_coarsen_ts(spark, sf_dir):
+    return anonymize.anonymize(_logs(spark, sf_dir), [[("serviceCode", "op6")]], (), ["hourly_times"])
+
+
+# ---- queries over published rows
+
+
+def _spec(**kw) -> query.QuerySpec:
+    return query.QuerySpec(**kw)
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT id, serviceCode, totalDuration FROM calls WHERE totalDuration >= 50 AND serviceCode <> 'op1' AND clientSubsystemCode IS NOT NULL AND producerDurationProducerView IS NULL")
+def p9_constraints(spark, sf_dir):
+    k = query.Constraint
+    return query.run_query(D.calls(spark, sf_dir), _spec(columns=["id", "serviceCode", "totalDuration"], constraints=[k("totalDuration", ">=", "50"), k("serviceCode", "!=", "op1"), k("clientSubsystemCode", "!=", "None"), k("producerDurationProducerView", "=", "None")]))
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT id, responseSize, clientSubsystemCode FROM calls ORDER BY responseSize DESC NULLS FIRST, clientSubsystemCode ASC NULLS LAST, id ASC LIMIT 1500")
+def f1_order_nulls(spark, sf_dir):
+    return query.run_query(D.calls(spark, sf_dir), _spec(columns=["id", "responseSize", "clientSubsystemCode"], order=[("responseSize", "desc"), ("clientSubsystemCode", "asc"), ("id", "asc")], limit=1500))
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT id, requestSize FROM calls ORDER BY requestSize DESC, id ASC LIMIT 40 OFFSET 25")
+def f2_limit_offset(spark, sf_dir):
+    return query.run_query(D.calls(spark, sf_dir), _spec(columns=["id", "requestSize"], order=[("requestSize", "desc"), ("id", "asc")], limit=40, offset=25))
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT id, requestInTs FROM calls WHERE requestInTs >= 1704400000000 AND requestInTs < 1705400000000 AND id > 500 ORDER BY requestInTs, id LIMIT 100")
+def f6_keyset_page(spark, sf_dir):
+    return query.harvest(D.calls(spark, sf_dir), 1704400000000, 1705400000000, 500, 100).select("id", "requestInTs")
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT max(requestInTs) AS requestInTs, arg_max(id, (requestInTs, id)) AS id FROM calls")
+def s23_resume_point(spark, sf_dir):
+    return query.resume_point(D.calls(spark, sf_dir))
+
+
+@query_of("SELECT CAST(min(CAST(ts AS DATE)) AS VARCHAR) AS min_date, CAST(max(CAST(ts AS DATE)) - 10 AS VARCHAR) AS max_date FROM events")
+def a22_date_range(spark, sf_dir):
+    df = query.date_range(D.calls(spark, sf_dir).select(X.to_day(F.col("requestInTs")).alias("d")), "d", 10)
+    return df.select(F.col("min_date").cast("string").alias("min_date"), F.col("max_date").cast("string").alias("max_date"))
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT count(*) AS n FROM calls WHERE totalDuration < 20 AND succeeded = TRUE")
+def a21_count(spark, sf_dir):
+    spec = _spec(constraints=[query.Constraint("totalDuration", "<", 20), query.Constraint("succeeded", "=", True)])
+    return spark.createDataFrame([(query.count_query(D.calls(spark, sf_dir), spec),)], "n long")
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT id, nullif(CASE WHEN id % 3 = 0 THEN 'None' ELSE messageId END, 'None') AS messageId, TRY_CAST(nullif(CASE WHEN id % 5 = 0 THEN 'x' ELSE CAST(totalDuration AS VARCHAR) END, 'None') AS BIGINT) AS totalDuration FROM calls")
+def s22_normalise_rows(spark, sf_dir):
+    c = D.calls(spark, sf_dir).select("id", F.when(F.col("id") % 3 == 0, "None").otherwise(F.col("messageId")).alias("messageId"), F.when(F.col("id") % 5 == 0, "x").otherwise(F.col("totalDuration").cast("string")).alias("totalDuration"))
+    return tables.normalise_harvested(c, ["totalDuration"])
+
+
+# ---- reports, statistics, network
+
+_ROLE_CALLS = f"""WITH {D.O_FIRST}, s AS (SELECT CASE WHEN c._id IS NOT NULL THEN c ELSE p END AS x, {_clamped(_D["totalDuration"])} AS totalDuration, {_clamped(_D["producerDurationProducerView"])} AS producerDurationProducerView,
+  {", ".join(f"{_clamped(e)} AS {k}" for k, e in _S.items())} {_PAIRS}),
+roles AS (
+  SELECT x.serviceXRoadInstance AS i, x.serviceMemberClass AS mc, x.serviceMemberCode AS m, x.serviceSubsystemCode AS sub, CASE WHEN x.serviceCode IN ('getWsdl', 'listMethods') THEN 'pms' ELSE 'ps' END AS role, * FROM s
+  UNION ALL SELECT x.clientXRoadInstance, x.clientMemberClass, x.clientMemberCode, x.clientSubsystemCode, CASE WHEN x.serviceCode IN ('getWsdl', 'listMethods') THEN 'cms' ELSE 'cs' END, * FROM s
+  WHERE (x.clientXRoadInstance, x.clientMemberClass, x.clientMemberCode, coalesce(x.clientSubsystemCode, '?')) <> (x.serviceXRoadInstance, x.serviceMemberClass, x.serviceMemberCode, coalesce(x.serviceSubsystemCode, '?'))),
+keyed AS (SELECT *, role IN ('ps', 'pms') AS produces, concat_ws('.', x.serviceCode, x.serviceVersion) AS service, concat_ws('/', x.clientXRoadInstance, x.clientMemberClass, x.clientMemberCode, x.clientSubsystemCode) AS caller,
+  concat_ws('/', x.serviceXRoadInstance, x.serviceMemberClass, x.serviceMemberCode, x.serviceSubsystemCode) AS owner FROM roles),
+report AS (SELECT concat_ws('/', i, mc, m, coalesce(sub, '-')) AS subsystem, role, CASE WHEN produces THEN service ELSE owner END AS key1, CASE WHEN produces THEN caller ELSE service END AS key2,
+  coalesce(x.succeeded, FALSE) AS ok, CASE WHEN produces THEN coalesce(producerDurationProducerView, totalDuration) ELSE totalDuration END AS d, coalesce(clientRequestSize, producerRequestSize) AS rq, coalesce(clientResponseSize, producerResponseSize) AS rs FROM keyed),
+rows_ AS (SELECT subsystem, role, key1, key2, count(*) FILTER (ok) AS succeeded, count(*) FILTER (NOT ok) AS failed, CAST(sum(d) FILTER (ok) AS BIGINT) AS sum_duration, count(d) FILTER (ok) AS n_duration,
+  {", ".join(f"{'min' if f == 'min' else 'max' if f == 'max' else 'avg'}({c}) FILTER (ok) AS {f}_{n}" for n, c in (("duration", "d"), ("request", "rq"), ("response", "rs")) for f in ("min", "mean", "max"))} FROM report GROUP BY 1, 2, 3, 4)"""
+_MEANS = "round(mean_duration, 4) AS mean_duration, round(mean_request, 4) AS mean_request, round(mean_response, 4) AS mean_response"
+
+
+def _report(spark, sf_dir) -> DataFrame:
+    clean = D.clean(spark, sf_dir).where("xRequestId <> ''")
+    calls = report.flattened(clean, [*SERVICE_CALL, "succeeded"], ["totalDuration", "producerDurationProducerView", *SIZES])
+    rows = report.report_rows(calls)
+    s = F.col("subsystem")
+    return rows.withColumn("subsystem", F.concat_ws("/", s["instance"], s["memberClass"], s["memberCode"], F.coalesce(s["subsystemCode"], F.lit("-"))))
+
+
+@query_of(f"{_ROLE_CALLS} SELECT role, count(*) AS n FROM roles GROUP BY role")
+def p16_role_type(spark, sf_dir):
+    clean = D.clean(spark, sf_dir).where("xRequestId <> ''")
+    return report.with_roles(report.flattened(clean, SERVICE_CALL, [])).groupBy("role").agg(F.count("*").alias("n"))
+
+
+@query_of(f"{_ROLE_CALLS} SELECT * REPLACE ({_MEANS}) FROM rows_")
+def a7_report_rows(spark, sf_dir):
+    return _report(spark, sf_dir).withColumns({c: F.round(c, 4) for c in ("mean_duration", "mean_request", "mean_response")})
+
+
+_TOP = "row_number() OVER (PARTITION BY subsystem, role ORDER BY value DESC, key1) AS place"
+
+
+@query_of(f"{_ROLE_CALLS} SELECT * FROM (SELECT *, {_TOP} FROM (SELECT subsystem, role, key1, CAST(sum(succeeded) AS BIGINT) AS value FROM rows_ GROUP BY 1, 2, 3) WHERE value > 0) WHERE place <= 5")
+def f8_top5_succeeded(spark, sf_dir):
+    return report.top_series(_report(spark, sf_dir), ["subsystem", "role"], "key1", report.succeeded_total())
+
+
+@query_of(f"{_ROLE_CALLS} SELECT * FROM (SELECT *, {_TOP} FROM (SELECT subsystem, role, key1, round_even(sum(sum_duration) / nullif(sum(n_duration), 0), 0) AS value FROM rows_ GROUP BY 1, 2, 3) WHERE value IS NOT NULL AND value > 0) WHERE place <= 5")
+def f9_top5_duration(spark, sf_dir):
+    return report.top_series(_report(spark, sf_dir), ["subsystem", "role"], "key1", report.weighted_mean_duration())
+
+
+@query_of(f"{_ROLE_CALLS} SELECT subsystem, role, key1, key2, row_number() OVER (PARTITION BY subsystem, role ORDER BY lower(key1), lower(key2), key1, key2) AS no FROM rows_")
+def f10_report_order(spark, sf_dir):
+    return report.display(_report(spark, sf_dir)).select("subsystem", "role", "key1", "key2", F.col("no").cast("long").alias("no"))
+
+
+@query_of(f"""WITH {D.O_CALLS} SELECT DISTINCT * FROM (SELECT clientXRoadInstance AS instance, clientMemberClass AS memberClass, clientMemberCode AS memberCode, clientSubsystemCode AS subsystemCode FROM calls
+UNION ALL SELECT serviceXRoadInstance, serviceMemberClass, serviceMemberCode, serviceSubsystemCode FROM calls) WHERE subsystemCode IS NOT NULL""")
+def a15_unique_subsystems(spark, sf_dir):
+    return report.unique_subsystems(D.calls(spark, sf_dir))
+
+
+_WINDOWS = stats.calendar_windows(NOW)
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT count(*) AS total, {', '.join(f'count(*) FILTER (requestInTs >= {a} AND requestInTs < {b}) AS {n}' for n, (a, b) in _WINDOWS.items())} FROM calls")
+def a9_calendar_facets(spark, sf_dir):
+    return stats.calendar_counts(D.calls(spark, sf_dir), NOW)
+
+
+@query_of(f"WITH {D.O_RAW} SELECT service, n_calls FROM (SELECT serviceSubsystemCode AS service, count(*) AS n_calls FROM raw WHERE coalesce(serviceSubsystemCode, '') <> '' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 3)")
+def f7_top_services(spark, sf_dir):
+    return stats.top_services(D.raw(spark, sf_dir), n=3)
+
+
+@query_of("""WITH classes AS (SELECT * FROM (VALUES ('building'), ('MACHINERY'), ('None')) v(member_class))
+SELECT member_class, count(DISTINCT c_custkey) AS n_members FROM classes LEFT JOIN customer ON lower(member_class) = lower(c_mktsegment) GROUP BY 1""")
+def a13_member_counts(spark, sf_dir):
+    classes = spark.createDataFrame([("building",), ("MACHINERY",), ("None",)], "member_class string")
+    return stats.member_counts(classes, _table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("member_class"), F.col("c_custkey").alias("member_code")))
+
+
+_EDGES = f"""WITH {D.O_RAW}, edges AS (SELECT *, CAST(serviceCode IN ('getWsdl', 'listMethods') AS INT) AS metaservice FROM (
+SELECT coalesce(clientMemberCode, '') AS clientMemberCode, coalesce(clientSubsystemCode, '') AS clientSubsystemCode, coalesce(serviceMemberCode, '') AS serviceMemberCode, coalesce(serviceSubsystemCode, '') AS serviceSubsystemCode, coalesce(serviceCode, '') AS serviceCode, count(*) AS n FROM raw GROUP BY 1, 2, 3, 4, 5))"""
+
+
+@query_of(f"{_EDGES} SELECT * FROM edges")
+def a8_edges(spark, sf_dir):
+    return network.edges(D.raw(spark, sf_dir))
+
+
+@query_of(f"""{_EDGES} SELECT e.*, coalesce(a.c_name, clientMemberCode) AS clientName, coalesce(b.s_name, serviceMemberCode) AS serviceName, coalesce(a.c_name, clientMemberCode) || chr(10) || clientSubsystemCode AS clientLabel, coalesce(b.s_name, serviceMemberCode) || chr(10) || serviceSubsystemCode AS serviceLabel
+FROM edges e LEFT JOIN (SELECT CAST(c_custkey AS STRING) AS k, c_name FROM customer WHERE c_custkey < 20) a ON clientMemberCode = a.k LEFT JOIN (SELECT CAST(c_custkey AS STRING) AS k, c_name AS s_name FROM customer WHERE c_custkey < 20) b ON serviceMemberCode = b.k""")
+def j9_member_names(spark, sf_dir):
+    names = _table(spark, sf_dir, "customer").where("c_custkey < 20").select(F.col("c_custkey").cast("string").alias("member_code"), F.col("c_name").alias("member_name"))
+    return network.named(network.edges(D.raw(spark, sf_dir)), names)
+
+
+@query_of(f"{_EDGES}, s AS (SELECT clientMemberCode, serviceMemberCode, CAST(sum(n) AS BIGINT) AS nn FROM edges WHERE metaservice = 0 AND (clientMemberCode = '3' OR serviceMemberCode = '3') GROUP BY 1, 2) SELECT clientMemberCode, serviceMemberCode, nn, round(log10(nn + 1), 6) AS weight FROM (SELECT *, rank() OVER (ORDER BY nn DESC) AS r FROM s) WHERE r <= 4")
+def w2_topn_ties(spark, sf_dir):
+    e = network.of_member(network.edges(D.raw(spark, sf_dir)), "3", with_meta=False)
+    return network.largest(e, ["clientMemberCode", "serviceMemberCode"], 4).withColumn("weight", F.round("weight", 6))
+
+
+@query_of(f"{_EDGES} SELECT clientMemberCode AS member FROM edges UNION SELECT serviceMemberCode FROM edges")
+def u4_members(spark, sf_dir):
+    return network.members(network.edges(D.raw(spark, sf_dir)))
+
+
+@query_of(f"WITH {D.O_CALLS}, d AS (SELECT *, CAST(floor(requestInTs / 86400000) AS BIGINT) AS day FROM calls) SELECT id FROM d WHERE succeeded AND day >= (SELECT max(day) FROM d) - 13 AND day <= (SELECT max(day) FROM d) - 3")
+def p17_recent(spark, sf_dir):
+    calls = D.calls(spark, sf_dir).withColumn("requestInDate", X.to_day(F.col("requestInTs")))
+    return network.recent(calls, 10, 3).select("id")
+
+
+# ---- anomalies
+
+_KEYS = ", ".join(f"coalesce({c}, '-') AS {c}" for c in SERVICE_CALL)
+_K = ", ".join(SERVICE_CALL)
+_WIN = lambda m: f"WITH {D.O_CALLS}, w AS (SELECT * REPLACE ({_KEYS}), requestInTs - requestInTs % {60000 * m} AS period_ms FROM calls)"
+
+
+def _flat(df: DataFrame) -> DataFrame:
+    """Times as milliseconds, ids as their number, doubles rounded."""
+    out = df
+    for c, t in df.dtypes:
+        if t == "timestamp":
+            out = out.withColumn(c, F.unix_millis(c))
+        elif t == "double":
+            out = out.withColumn(c, F.round(c, 4))
+    return out.withColumn("request_ids", F.size("request_ids").cast("long")) if "request_ids" in df.columns else out
+
+
+@query_of(f"{_WIN(60)} SELECT period_ms, count(*) AS n FROM w GROUP BY 1")
+def w3_hour_buckets(spark, sf_dir):
+    return D.calls(spark, sf_dir).groupBy(X.bucket(F.col("requestInTs"), 60).alias("period_ms")).agg(F.count("*").alias("n"))
+
+
+@query_of(f"WITH {D.O_CALLS}, t AS (SELECT make_timestamp(requestInTs * 1000) AS t FROM calls) SELECT CAST(hour(t) AS VARCHAR) || '_' || CAST(isodow(t) - 1 AS VARCHAR) AS hour_weekday, CAST(hour(t) AS VARCHAR) || '_' || CAST(day(t) AS VARCHAR) AS hour_day, count(*) AS n FROM t GROUP BY 1, 2")
+def w4_similar_periods(spark, sf_dir):
+    t = F.col("requestInTs")
+    return D.calls(spark, sf_dir).groupBy(X.similar_period(t, ("hour", "weekday")).alias("hour_weekday"), X.similar_period(t, ("hour", "day")).alias("hour_day")).agg(F.count("*").alias("n"))
+
+
+_HIST = "count(*) AS request_count, avg(requestSize) AS mean_request_size, avg(responseSize) AS mean_response_size, avg(totalDuration) AS mean_client_duration, avg(producerDurationProducerView) AS mean_producer_duration, count(*) AS request_ids"
+_ROUND = lambda *cs: ", ".join(f"round({c}, 4) AS {c}" for c in cs)
+
+
+@query_of(f"{_WIN(60)}, h AS (SELECT {_K}, period_ms AS period, {_HIST} FROM w GROUP BY ALL) SELECT * REPLACE ({_ROUND(*anomaly.METRICS[1:])}) FROM h")
+def a1_historic_agg(spark, sf_dir):
+    return _flat(anomaly.historic_averages(D.calls(spark, sf_dir)))
+
+
+@query_of(f"{_WIN(60)} SELECT {_K}, period_ms AS period, count(*) FILTER (succeeded) AS n_succeeded, count(*) FILTER (NOT succeeded) AS n_failed FROM w GROUP BY ALL")
+def j5_failed_vs_succeeded(spark, sf_dir):
+    f = anomaly.by_period(D.calls(spark, sf_dir), 60).agg(F.count_if("succeeded").alias("n_succeeded"), F.count_if(~F.col("succeeded")).alias("n_failed"))
+    return _flat(f)
+
+
+def _o_incident(minutes: int, metric: str, value: str, difference: str, n: str, unit: str, text: str, ids: str) -> str:
+    return f"{_K}, period_ms AS period_start_time, period_ms + {60000 * minutes} AS period_end_time, '{metric}' AS anomalous_metric, round(CAST({value} AS DOUBLE), 4) AS monitored_metric_value, round(CAST({difference} AS DOUBLE), 4) AS difference_from_normal, CAST({n} AS DOUBLE) AS request_count, 1.0::DOUBLE AS anomaly_confidence, '{unit}' AS aggregation_timeunit, {text} AS description, {ids} AS request_ids"
+
+
+@query_of(f"""{_WIN(60)}, f AS (SELECT {_K}, period_ms, count(*) AS n, count(*) FILTER (NOT succeeded) AS failed FROM w GROUP BY ALL)
+SELECT {_o_incident(60, "failed_request_ratio", "failed / n", "failed / n - 0.4", "n", "hour", "printf('%d of %d requests failed', failed, n)", "failed")} FROM f WHERE failed / n > 0.4""")
+def an1_failed_ratio(spark, sf_dir):
+    return _flat(anomaly.failed_ratio(D.calls(spark, sf_dir), threshold=0.4))
+
+
+@query_of(f"""{_WIN(1440)}, f AS (SELECT {_K}, period_ms, messageId, count(*) AS n FROM w GROUP BY ALL HAVING count(*) > 1)
+SELECT {_o_incident(1440, "duplicate_message_id", "n", "n - 1", "n", "day", "printf('message id %s occurs %d times', messageId, n)", "n")}, messageId FROM f""")
+def an2_duplicate_ids(spark, sf_dir):
+    return _flat(anomaly.duplicate_ids(D.calls(spark, sf_dir)))
+
+
+@query_of(f"""{_WIN(60)}, f AS (SELECT {_K}, period_ms, count(*) AS n, count(*) FILTER (requestNwDuration < -2000) AS low, avg(requestNwDuration) FILTER (requestNwDuration < -2000) AS m FROM w GROUP BY ALL HAVING count(*) FILTER (requestNwDuration < -2000) > 0)
+SELECT {_o_incident(60, "requestNwDuration", "m", "-m", "n", "hour", "printf('%d of %d requests below the limit', low, n)", "low")} FROM f""")
+def an3_time_sync(spark, sf_dir):
+    return _flat(anomaly.time_sync(D.calls(spark, sf_dir)))
+
+
+_MODEL_SQL = lambda where="": f"""h AS (SELECT {_K}, period_ms, {_HIST} FROM w GROUP BY ALL),
+hk AS (SELECT *, CAST(hour(make_timestamp(period_ms * 1000)) AS VARCHAR) || '_' || CAST(isodow(make_timestamp(period_ms * 1000)) - 1 AS VARCHAR) AS similar_periods FROM h),
+model AS (SELECT {_K}, similar_periods, {", ".join(f"count({m}) AS {m}_count, coalesce(sum(CAST({m} AS DOUBLE)), 0) AS {m}_sum, coalesce(sum(CAST({m} AS DOUBLE) * {m}), 0) AS {m}_ssq, avg({m}) AS {m}_mean, coalesce(stddev_pop({m}), 0) AS {m}_std" for m in anomaly.METRICS)} FROM hk {where} GROUP BY ALL)"""
+_MODEL_ROUND = ", ".join(f"round({m}_{k}, {2 if k == 'std' else 4}) AS {m}_{k}" for m in anomaly.METRICS for k in ("sum", "ssq", "mean", "std"))
+
+
+def _model_flat(df: DataFrame) -> DataFrame:
+    return df.withColumns({f"{m}_{k}": F.round(f"{m}_{k}", 2 if k == "std" else 4) for m in anomaly.METRICS for k in ("sum", "ssq", "mean", "std")})
+
+
+@query_of(f"{_WIN(60)}, {_MODEL_SQL()} SELECT * REPLACE ({_MODEL_ROUND}), 1 AS version FROM model")
+def a6_model_fit(spark, sf_dir):
+    return _model_flat(anomaly.PeriodModel().fit(anomaly.historic_averages(D.calls(spark, sf_dir))))
+
+
+_CUT = 1705536000000
+
+
+@query_of(f"""{_WIN(60)}, {_MODEL_SQL()}, old AS (SELECT DISTINCT {_K}, similar_periods FROM hk WHERE period_ms < {_CUT}), new AS (SELECT DISTINCT {_K}, similar_periods FROM hk WHERE period_ms >= {_CUT})
+SELECT m.* REPLACE ({_MODEL_ROUND}), CAST(CASE WHEN o.similar_periods IS NOT NULL THEN 2 ELSE 1 END AS INT) AS version FROM model m LEFT JOIN old o USING ({_K}, similar_periods)""")
+def a10_model_update(spark, sf_dir):
+    """A model of the first weeks, updated with the rest, is the model of all."""
+    frame = anomaly.historic_averages(D.calls(spark, sf_dir))
+    model, cut = anomaly.PeriodModel(), F.unix_millis("period") < _CUT
+    return _model_flat(model.update(model.fit(frame.where(cut)), frame.where(~cut)))
+
+
+@query_of(f"""{_WIN(60)}, {_MODEL_SQL(f"WHERE period_ms < {_CUT}")}, z AS (SELECT h.*, coalesce(m.request_count_mean, 0) AS mean, CASE WHEN coalesce(m.request_count_std, 0) = 0 THEN 0.001 ELSE m.request_count_std END AS std FROM hk h LEFT JOIN model m USING ({_K}, similar_periods) WHERE period_ms >= {_CUT})
+SELECT {_K}, period_ms AS period_start_time, CAST(request_count AS DOUBLE) AS monitored_metric_value, round(abs(request_count - mean), 4) AS difference_from_normal, CASE WHEN request_count > mean THEN 'request_count above its usual value' ELSE 'request_count below its usual value' END AS description
+FROM z WHERE abs((request_count - mean) / std) > 1.959963984540054""")
+def an4_anomalies(spark, sf_dir):
+    frame = anomaly.historic_averages(D.calls(spark, sf_dir))
+    model, cut = anomaly.PeriodModel(), F.unix_millis("period") < _CUT
+    found = model.anomalies(frame.where(~cut), model.fit(frame.where(cut)), "request_count")
+    return _flat(found).select(*SERVICE_CALL, "period_start_time", "monitored_metric_value", "difference_from_normal", "description")
+
+
+@query_of(None)
+def m5_pvalue(spark, sf_dir):
+    calls = D.calls(spark, sf_dir)
+    z = (F.col("totalDuration") - 50) / 50.0
+    return calls.select("id", z.alias("z"), F.round(X.two_sided_p(z), 6).alias("p"))
+
+
+@query_of(f"WITH {D.O_CALLS}, k AS (SELECT DISTINCT {_K} FROM calls WHERE requestInTs < 1704100000000) SELECT {', '.join('c.' + c for c in SERVICE_CALL)}, min(c.requestInTs) AS first_request_timestamp FROM calls c WHERE NOT EXISTS (SELECT 1 FROM k WHERE {' AND '.join(f'k.{c} IS NOT DISTINCT FROM c.{c}' for c in SERVICE_CALL)}) GROUP BY ALL")
+def j8_new_service_calls_anti(spark, sf_dir):
+    calls = D.calls(spark, sf_dir)
+    return anomaly.new_service_calls(calls, calls.where("requestInTs < 1704100000000").select(*SERVICE_CALL).distinct())
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT {_K}, min(requestInTs) AS first_request_timestamp FROM calls GROUP BY ALL")
+def a14_first_requests(spark, sf_dir):
+    return anomaly.first_requests(D.calls(spark, sf_dir))
+
+
+_INCIDENTS = f"""{_WIN(60)}, f AS (SELECT {_K}, period_ms, count(*) AS n, count(*) FILTER (NOT succeeded) AS failed, list(_id) FILTER (NOT succeeded) AS ids FROM w GROUP BY ALL),
+incidents AS (SELECT *, failed / n AS monitored_metric_value, CASE WHEN n % 2 = 0 THEN 'incident' ELSE 'new' END AS incident_status FROM f WHERE failed / n > 0.4)"""
+
+
+def _incidents(calls: DataFrame) -> DataFrame:
+    status = F.when(F.col("request_count") % 2 == 0, "incident").otherwise("new")
+    return anomaly.failed_ratio(calls, threshold=0.4).withColumns({"incident_status": status, "incident_creation_timestamp": F.col("period_end_time")})
+
+
+@query_of(f"{_INCIDENTS} SELECT _id, requestInTs FROM calls WHERE requestInTs >= 1704400000000 AND requestInTs < 1705400000000 AND succeeded AND _id NOT IN (SELECT unnest(ids) FROM incidents WHERE incident_status = 'incident')")
+def j11_exclude_incident_ids(spark, sf_dir):
+    calls = D.calls(spark, sf_dir)
+    return anomaly.training_calls(calls, _incidents(calls), 1704400000000, 1705400000000).select("_id", "requestInTs")
+
+
+@query_of(f"{_INCIDENTS} SELECT DISTINCT unnest(ids) AS _id FROM incidents WHERE incident_status = 'incident'")
+def a19_incident_ids(spark, sf_dir):
+    return anomaly.confirmed_ids(_incidents(D.calls(spark, sf_dir)))
+
+
+@query_of(f"{_INCIDENTS} SELECT {_K}, period_ms AS period_start_time, round(monitored_metric_value, 4) AS monitored_metric_value FROM incidents WHERE incident_status IN ('new', 'showed') AND monitored_metric_value BETWEEN 0.499 AND 0.501 AND period_ms + 3600000 >= 1704400000000")
+def p20_incident_filter(spark, sf_dir):
+    found = query.IncidentQuery(statuses=["new", "showed"], created_from=dt.datetime(2024, 1, 4, 20, 26, 40)).apply(_incidents(D.calls(spark, sf_dir)))
+    found = found.where(query.incident_filter("monitored_metric_value", "double", "=", 0.5))
+    return _flat(found.select(*SERVICE_CALL, "period_start_time", "monitored_metric_value"))
+
+
+@query_of(f"""WITH {D.O_CALLS}, f AS (SELECT {_K}, min(requestInTs) AS first, count(*) AS n FROM calls GROUP BY ALL)
+SELECT {_K}, CASE WHEN n % 3 = 0 THEN CASE WHEN first <= 1704067200000 + 3600000 THEN 'first_train' ELSE 'waiting' END WHEN n % 3 = 1 THEN CASE WHEN first <= 1704067200000 + 7200000 THEN 'retrain' ELSE 'regular' END ELSE 'regular' END AS stage FROM f""")
+def p24_lifecycle_stages(spark, sf_dir):
+    calls = D.calls(spark, sf_dir)
+    t = calls.groupBy(*SERVICE_CALL).agg(F.min("requestInTs").alias("ms"), F.count("*").alias("n"))
+    at, none = F.timestamp_millis("ms"), F.lit(None).cast("timestamp")
+    t = t.select(*SERVICE_CALL, at.alias("first_request_timestamp"), F.when(F.col("n") % 3 != 0, at).alias("first_model_train_timestamp"), F.when(F.col("n") % 3 == 1, at).alias("first_incident_timestamp"), F.when(F.col("n") % 3 == 2, at).otherwise(none).alias("first_model_retrain_timestamp"))
+    now = dt.datetime(2024, 1, 31)
+    stages = anomaly.lifecycle_stages(t, now, now - dt.datetime(2024, 1, 1, 1), now - dt.datetime(2024, 1, 1, 2))
+    return stages.select(*SERVICE_CALL, "stage")
+
+
+@query_of(f"""WITH {D.O_FIRST} SELECT coalesce(c.xRequestId, p.xRequestId) AS xRequestId, coalesce(c.requestInTs, p.requestInTs) AS requestInTs, coalesce(c.succeeded, p.succeeded) AS succeeded,
+{", ".join(f"coalesce(c.{k}, p.{k}, '-') AS {k}" for k in ("clientSubsystemCode", "serviceCode", "serviceVersion"))}, coalesce({_clamped(_S["clientRequestSize"])}, {_clamped(_S["producerRequestSize"])}) AS requestSize {_PAIRS}""")
+def p1_client_else_producer(spark, sf_dir):
+    clean = D.clean(spark, sf_dir).where("xRequestId <> ''")
+    u = anomaly.unified(clean)
+    ids = clean.select(F.coalesce("client._id", "producer._id").alias("_id"), "xRequestId")
+    return u.join(ids, "_id").select("xRequestId", "requestInTs", "succeeded", "clientSubsystemCode", "serviceCode", "serviceVersion", "requestSize")
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT requestInTs < 1704931200000 AS archived, count(*) AS n, min(id) AS min_id, max(id) AS max_id FROM calls GROUP BY 1")
+def s24_archive_split(spark, sf_dir):
+    old, rest = tables.split_archive(D.calls(spark, sf_dir), F.col("requestInTs") < 1704931200000)
+    both = old.withColumn("archived", F.lit(True)).unionByName(rest.withColumn("archived", F.lit(False)))
+    return both.groupBy("archived").agg(F.count("*").alias("n"), F.min("id").alias("min_id"), F.max("id").alias("max_id"))
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT * EXCLUDE n FROM (SELECT {_K}, requestInTs, id, row_number() OVER (PARTITION BY {_K} ORDER BY requestInTs DESC, id DESC) AS n FROM calls) WHERE n = 1")
+def s28_latest_state(spark, sf_dir):
+    calls = D.calls(spark, sf_dir).select(*SERVICE_CALL, "requestInTs", "id")
+    return tables.upserted(calls.where("id % 2 = 0"), calls.where("id % 2 = 1"), SERVICE_CALL, "requestInTs")
+
+
+# ---- streams (run to the end of the input)
+
+
+@query_of(None)
+def t3_stream_pair(spark, sf_dir):
+    return pairing.run_pairing(spark, D.raw(spark, sf_dir)).select("xRequestId", "client_id", "producer_id", "status", "matching")
+
+
+@query_of(f"{_WIN(60)} SELECT period_ms, count(*) AS n, count(*) FILTER (NOT succeeded) AS failed FROM w GROUP BY 1")
+def t8_stream_tumbling(spark, sf_dir):
+    return pairing.run_tumbling(spark, D.calls(spark, sf_dir))
