@@ -46,7 +46,7 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, remembered for up to `most` words of a Python worker."""
 
-    most = 1_000_000
+    most = 300_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:

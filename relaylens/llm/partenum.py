@@ -26,8 +26,8 @@ from .common import WordHashes, connected_components, gram_hashes, mix, table, w
 WORDS = 5
 #: Similarity 3/4 as a fraction; the bounds on differences below follow from it.
 NEAR, OF = 3, 4
-FLUSH = 400_000
-BUCKET = 2_000_000
+FLUSH = 250_000
+BUCKET = 1_000_000
 BROADCAST_ROWS = 500_000
 _U = np.uint64
 
