@@ -6,8 +6,9 @@ band and the next. For a band the domain of shingles is cut into first-level par
 parts; by counting, some first-level part holds at most one difference, which spoils one of its second-level parts. So
 a signature is made of each subset of the second-level parts that leaves one out, and similar sets share one.
 
-Two facts keep this small without losing a link. Equal sets are one node from the start. And a set of which more than
-a quarter of the shingles occur in no other set has no partner, so only the rest gets signatures.
+Two facts keep this small without losing a link. Equal sets are one node from the start. And shingles that
+occur in no other set bound the size of a set's partners: most sets have no partner at all and get no signatures, and
+pairs beyond the bound aren't compared.
 
 Candidates are not all pairs that share a signature: first each set is compared with the first set of its signatures;
 then, in rounds, with what still lies in another component. Only that can add anything to the components.
@@ -176,18 +177,19 @@ def signatures(s: np.ndarray, bands: np.ndarray) -> np.ndarray:
 
 
 def signature_rows(sets: DataFrame) -> DataFrame:
-    """sig, node for sets (node, shingles)."""
+    """sig, node, n, room for sets (node, n, room, shingles)."""
 
     def rows(batches):
         for b in batches:
-            nodes, lists = b.column("node").to_pylist(), b.column("shingles")
-            sets_ = [np.frombuffer(x.as_buffer(), np.uint64) for x in lists]
+            about = [b.column(c).to_numpy() for c in ("node", "n", "room")]
+            sets_ = [np.frombuffer(x.as_buffer(), np.uint64) for x in b.column("shingles")]
             bands = _bands(max((len(s) for s in sets_), default=1))
             for k in range(0, len(sets_), 200):
                 sigs = [signatures(s, bands) for s in sets_[k : k + 200]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.repeat(np.array(nodes[k : k + 200], np.int64), [len(x) for x in sigs]))], ["sig", "node"])
+                times = [len(x) for x in sigs]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sigs).view(np.int64)), *(pa.array(np.repeat(x[k : k + 200], times)) for x in about)], ["sig", "node", "n", "room"])
 
-    return sets.select("node", "shingles").mapInArrow(rows, "sig long, node long")
+    return sets.select("node", "n", "room", "shingles").mapInArrow(rows, "sig long, node long, n int, room int")
 
 
 def _counts(s: np.ndarray) -> bytes:
@@ -218,33 +220,35 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("src"), b.column("dst")], ["src", "dst"]).filter(pa.array(near, pa.bool_()))
 
     def both(pairs: DataFrame, column: str) -> DataFrame:
-        x = sets.select(F.col("node").alias("src"), F.col(column).alias("x"), "n")
-        y = sets.select(F.col("node").alias("dst"), F.col(column).alias("y"), F.col("n").alias("m"))
-        return pairs.join(x, "src").join(y, "dst").where(f"{OF} * least(n, m) >= {NEAR} * greatest(n, m)")
+        x = sets.select(F.col("node").alias("src"), F.col(column).alias("x"), "n", "room")
+        y = sets.select(F.col("node").alias("dst"), F.col(column).alias("y"), F.col("n").alias("m"), F.col("room").alias("yroom"))
+        return pairs.join(x, "src").join(y, "dst").where(f"{OF} * least(n, m) >= {NEAR} * greatest(n, m) and n <= yroom and m <= room")
 
     likely = written(both(pairs.select("src", "dst"), "counts").select("src", "dst", "x", "y", "n", "m").mapInArrow(may, "src long, dst long"))
     return both(likely, "shingles").select("src", "dst", "x", "y").mapInArrow(rows, "src long, dst long")
 
 
 def near_sets(docs: DataFrame, classes: DataFrame, total: int) -> DataFrame:
-    """node, n, counts, shingles of the sets that may have a partner; classes: node (smallest doc_id of equal sets), n, tag."""
+    """node, n, room, counts, shingles of the sets that may have a partner; classes: node (smallest doc_id of equal sets), n, tag."""
+    # A set of n shingles, `lone` of them in no other set, shares n - lone at most, and near sets of n and m share
+    # 3 / 7 * (n + m) at least: so its partners have (4 n - 7 lone) / 3 shingles at most, which is its room.
     lone = lone_shingles(docs, max(64, total // BUCKET))
-    maybe = written(classes.where("node is not null and n >= 3").join(lone, "tag", "left").where(F.expr(f"{OF} * coalesce(lone, 0) <= {OF - NEAR} * n")).select("node", "tag"))
+    maybe = written(classes.where("node is not null and n >= 3").join(lone, "tag", "left").withColumn("room", F.expr("cast(floor((4 * n - 7 * coalesce(lone, 0)) / 3) as int)")).where(f"{OF} * room >= {NEAR} * n").select("node", "tag", "room"))
     few = maybe.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS  # 16 bytes a row; beyond that Spark shuffles
 
     def rows(batches):
         hashes = WordHashes()
         for b in batches:
             out = []
-            for node, tag, t in zip(b.column("node").to_pylist(), b.column("tag").to_pylist(), b.column("text").to_pylist()):
+            for node, tag, room, t in zip(*(b.column(c).to_pylist() for c in ("node", "tag", "room", "text"))):
                 s = shingle_set(t, hashes)
                 if len(s) and _node(_set_key(s)) == tag:  # else another text of the same doc_id
-                    out.append((node, len(s), _counts(s), s.tobytes()))
-            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], ["node", "n", "counts", "shingles"])
+                    out.append((node, len(s), room, _counts(s), s.tobytes()))
+            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], ["node", "n", "room", "counts", "shingles"])
 
     joined = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(F.broadcast(maybe) if few else maybe, "node")
-    return written(joined.select("node", "tag", "text").mapInArrow(rows, "node long, n long, counts binary, shingles binary"))
+    return written(joined.select("node", "tag", "room", "text").mapInArrow(rows, "node long, n int, room int, counts binary, shingles binary"))
 
 
 def near_components(docs: DataFrame) -> DataFrame:
@@ -265,12 +269,15 @@ def near_components(docs: DataFrame) -> DataFrame:
 def linked(sets: DataFrame) -> DataFrame:
     """(node, component) of all sets that have a link."""
     sigs = signature_rows(sets)
-    node = F.xxhash64("node")
-    met = sigs.groupBy("sig").agg(F.min("node").alias("centre"), F.max("node").alias("last"), F.count("*").alias("m"), F.bit_xor(node).alias("who"))
+    # The set with most room, so with fewest shingles of its own, is the centre of a signature.
+    centre = F.max(F.struct(F.col("room").alias("room"), (-F.col("node")).alias("node"), F.col("n").alias("n")))
+    met = sigs.groupBy("sig").agg(centre.alias("c"), F.min("n").alias("least"), F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("node")).alias("who"))
+    met = met.where("first < last").select("sig", (-F.col("c.node")).alias("centre"), F.col("c.room").alias("croom"), F.col("c.n").alias("cn"), "least", "m", "who", "first", "last")
     # Signatures with the same members say the same: one of them goes on, with their number.
-    first = written(met.where("centre < last").groupBy("who", "m", "centre", "last").agg(F.min("sig").alias("sig"), F.count("*").alias("same")).select("sig", "centre", "same"))
-    shared = written(sigs.join(first, "sig"))
-    stars = written(shared.where("node <> centre").groupBy(F.col("node").alias("src"), F.col("centre").alias("dst")).agg(F.sum("same").alias("n")))
+    one = written(met.groupBy("who", "m", "first", "last", "centre", "croom", "cn", "least").agg(F.min("sig").alias("sig"), F.count("*").alias("same")).select("sig", "centre", "croom", "cn", "least", "same"))
+    shared = written(sigs.join(one, "sig").where("room >= least"))
+    may = "node <> centre and n <= croom and cn <= room"
+    stars = written(shared.where(may).groupBy(F.col("node").alias("src"), F.col("centre").alias("dst")).agg(F.sum("same").alias("n")))
     best = written(stars.groupBy("src").agg(F.max_by("dst", F.struct("n", -F.col("dst"))).alias("dst")))
     edges = written(links(best, sets))
     labels = written(_labels(edges))
@@ -286,12 +293,12 @@ def linked(sets: DataFrame) -> DataFrame:
     labels = written(_labels(edges))
     # What is left: members of one signature in different components that no centre has joined.
     known = labels.select("node", "component")
-    member = shared.join(known, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("component"))
+    member = shared.join(known, "node", "left").select("sig", "node", "n", "room", F.coalesce("component", "node").alias("component"))
     mixed = written(member.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("sig"))
     member = written(member.join(mixed, "sig"))
-    a = member.select("sig", F.col("node").alias("src"), F.col("component").alias("a"))
-    b = member.select("sig", F.col("node").alias("dst"), F.col("component").alias("b"))
-    cross = a.join(b, "sig").where("a < b").select("src", "dst").distinct()
+    a = member.select("sig", F.col("node").alias("src"), F.col("component").alias("a"), "n", "room")
+    b = member.select(F.col("sig").alias("s"), F.col("node").alias("dst"), F.col("component").alias("b"), F.col("n").alias("m"), F.col("room").alias("mroom"))
+    cross = a.join(b, F.expr("sig = s and a < b and n <= mroom and m <= room and 4 * least(n, m) >= 3 * greatest(n, m)")).select("src", "dst").distinct()
     rest = written(cross.join(stars.select("src", "dst"), ["src", "dst"], "left_anti").join(stars.select(F.col("src").alias("dst"), F.col("dst").alias("src")), ["src", "dst"], "left_anti"))
     return _labels(written(edges.union(links(rest, sets))))
 
