@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .functions import expr as X
 from .operators import anomaly, anonymize, correct, network, query, report, stats
 from .plans import domain as D
+from .plans.shared import written
 from .schema import CLIENT_ID, DURATIONS, SERVICE_CALL, SERVICE_ID, SIZES
 from .sources import tables
 from .streaming import pairing
@@ -95,7 +96,7 @@ def c1_correct_batch(spark, sf_dir):
 
 
 @query_of(f"""WITH {D.O_FIRST} SELECT coalesce(c.xRequestId, p.xRequestId) AS xRequestId, c._id IS NOT NULL AND p._id IS NOT NULL AS is_pair,
-  CASE WHEN c._id IS NOT NULL AND p._id IS NOT NULL THEN CASE WHEN (CAST(coalesce(c.xRequestId, p.xRequestId) AS BIGINT) % 2) = 0 THEN 1000000000.0 ELSE 1000000100.0 END ELSE 1000000000.0 END AS correctorTime {_PAIRS}
+  CASE WHEN c._id IS NOT NULL AND p._id IS NOT NULL THEN CASE WHEN (CAST(coalesce(c.xRequestId, p.xRequestId) AS BIGINT) % 2) = 0 THEN CAST(1000000000 AS DOUBLE) ELSE CAST(1000000100 AS DOUBLE) END ELSE CAST(1000000000 AS DOUBLE) END AS correctorTime {_PAIRS}
 WHERE c._id IS NOT NULL OR p._id IS NOT NULL""")
 def j2_late_partner(spark, sf_dir):
     """Producers of odd requests come a batch later and complete their orphans; the others keep their time."""
@@ -104,7 +105,7 @@ def j2_late_partner(spark, sf_dir):
     has_client = parts["clients"].select("xRequestId")
     late = parts["producers"].where(odd).join(has_client, "xRequestId", "left_semi").select(parts["producers"].columns)
     early = parts["producers"].join(late.select("_id"), "_id", "left_anti").select(parts["producers"].columns)
-    first = correct.correct_batch(parts["clients"].unionByName(early), D.NOW)["clean"]
+    first = written(correct.correct_batch(parts["clients"].unionByName(early), D.NOW)["clean"])
     second = correct.correct_batch(late, D.NOW + 100, first)["clean"]
     return second.where("xRequestId <> ''").select("xRequestId", (F.col("matchingType") == "regular_pair").alias("is_pair"), "correctorTime")
 
@@ -485,10 +486,10 @@ def m5_pvalue(spark, sf_dir):
     return calls.select("id", z.alias("z"), F.round(X.two_sided_p(z), 6).alias("p"))
 
 
-@query_of(f"WITH {D.O_CALLS}, k AS (SELECT DISTINCT {_K} FROM calls WHERE requestInTs < 1704100000000) SELECT {', '.join('c.' + c for c in SERVICE_CALL)}, min(c.requestInTs) AS first_request_timestamp FROM calls c WHERE NOT EXISTS (SELECT 1 FROM k WHERE {' AND '.join(f'k.{c} IS NOT DISTINCT FROM c.{c}' for c in SERVICE_CALL)}) GROUP BY ALL")
+@query_of(f"WITH {D.O_CALLS}, k AS (SELECT DISTINCT {_K} FROM calls WHERE requestInTs < 1704068500000) SELECT {', '.join('c.' + c for c in SERVICE_CALL)}, min(c.requestInTs) AS first_request_timestamp FROM calls c WHERE NOT EXISTS (SELECT 1 FROM k WHERE {' AND '.join(f'k.{c} IS NOT DISTINCT FROM c.{c}' for c in SERVICE_CALL)}) GROUP BY ALL")
 def j8_new_service_calls_anti(spark, sf_dir):
     calls = D.calls(spark, sf_dir)
-    return anomaly.new_service_calls(calls, calls.where("requestInTs < 1704100000000").select(*SERVICE_CALL).distinct())
+    return anomaly.new_service_calls(calls, calls.where("requestInTs < 1704068500000").select(*SERVICE_CALL).distinct())
 
 
 @query_of(f"WITH {D.O_CALLS} SELECT {_K}, min(requestInTs) AS first_request_timestamp FROM calls GROUP BY ALL")
@@ -516,10 +517,10 @@ def a19_incident_ids(spark, sf_dir):
     return anomaly.confirmed_ids(_incidents(D.calls(spark, sf_dir)))
 
 
-@query_of(f"{_INCIDENTS} SELECT {_K}, period_ms AS period_start_time, round(monitored_metric_value, 4) AS monitored_metric_value FROM incidents WHERE incident_status IN ('new', 'showed') AND monitored_metric_value BETWEEN 0.499 AND 0.501 AND period_ms + 3600000 >= 1704400000000")
+@query_of(f"{_INCIDENTS} SELECT {_K}, period_ms AS period_start_time, round(monitored_metric_value, 4) AS monitored_metric_value FROM incidents WHERE incident_status IN ('new', 'showed') AND monitored_metric_value BETWEEN 0.999 AND 1.001 AND period_ms + 3600000 >= 1704400000000")
 def p20_incident_filter(spark, sf_dir):
     found = query.IncidentQuery(statuses=["new", "showed"], created_from=dt.datetime(2024, 1, 4, 20, 26, 40)).apply(_incidents(D.calls(spark, sf_dir)))
-    found = found.where(query.incident_filter("monitored_metric_value", "double", "=", 0.5))
+    found = found.where(query.incident_filter("monitored_metric_value", "double", "=", 1.0))
     return _flat(found.select(*SERVICE_CALL, "period_start_time", "monitored_metric_value"))
 
 

@@ -135,7 +135,7 @@ def correct_batch(raw: DataFrame, now: float, clean: DataFrame | None = None) ->
         return {"clean": derived(fresh, now).unionByName(lost), "duplicates": duplicates, "invalid": parts["invalid"]}
     old = clean.where("xRequestId <> ''").select("xRequestId", F.struct("client", "producer", "correctorTime", "correctorStatus").alias("old"))
     new = fresh.withColumnRenamed("client", "c").withColumnRenamed("producer", "p")
-    merged = old.join(new, "xRequestId", "full_outer").select("xRequestId", F.coalesce("old.client", "c").alias("client"), F.coalesce("old.producer", "p").alias("producer"), "old", (F.col("c").isNotNull() | F.col("p").isNotNull()).alias("grew"))
+    merged = old.join(new, "xRequestId", "full_outer").select("xRequestId", F.coalesce("old.client", F.col("c").cast(clean.schema["client"].dataType)).alias("client"), F.coalesce("old.producer", F.col("p").cast(clean.schema["producer"].dataType)).alias("producer"), "old", (F.col("c").isNotNull() | F.col("p").isNotNull()).alias("grew"))
     kept = merged.select("xRequestId", F.col("old.correctorTime").alias("t"), F.col("old.correctorStatus").alias("s"), "grew")
     out = derived(merged.select("client", "producer", "xRequestId"), now).join(kept, "xRequestId")
     out = out.withColumn("correctorTime", F.when(F.col("t").isNull() | (F.col("grew") & (F.col("s") == "processing")), F.lit(now)).otherwise(F.col("t")))

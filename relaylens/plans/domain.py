@@ -89,4 +89,4 @@ O_FIRST = f"""{O_RAW},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY xRequestId, lower(securityServerType) ORDER BY requestInTs NULLS FIRST, _id) AS place FROM raw WHERE coalesce(xRequestId, '') <> '' AND lower(securityServerType) IN ('client', 'producer')),
 c AS (SELECT * FROM ranked WHERE place = 1 AND lower(securityServerType) = 'client'),
 p AS (SELECT * FROM ranked WHERE place = 1 AND lower(securityServerType) = 'producer')"""
-O_CALLS = f"calls AS ({calls_sql('epoch_ms')})"
+O_CALLS = f"calls AS ({calls_sql('MS').replace('MS(ts)', '(epoch_us(ts) // 1000)')})"

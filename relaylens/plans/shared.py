@@ -18,3 +18,10 @@ def shared_folder(spark: SparkSession) -> str:
     """A new path under spark.checkpoint.dir; a folder of this machine only where that isn't set, as in local tests."""
     root = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def written(df):
+    """df written to the shared folder and read back: later plans start from there."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

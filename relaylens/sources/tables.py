@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions import expr as X
 from ..schema import RAW
 
-DESCRIPTOR = T.StructType.fromDDL(
+DESCRIPTOR = (
     "x_road_instance string, member_class string, member_code string, member_name string, subsystem_code string, subsystem_name map<string,string>, email array<struct<name:string,email:string>>"
 )
 SHARED_PARAMS = (

@@ -16,37 +16,49 @@ from ..plans.shared import shared_folder
 
 OUT = "xRequestId string, client_id string, producer_id string, status string, matching string, version int"
 STATE = "client_id string, producer_id string, expired boolean, version int"
+#: An open orphan is done after this long, and what is done is forgotten after a further KEEP_MS.
 TIMEOUT_MS = 3 * 86_400_000
+KEEP_MS = 30 * 86_400_000
 
 
-def pair_state(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def pair_state(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState, timers: bool = True) -> Iterator[pd.DataFrame]:
     """First record of each side wins, also over later batches. An orphan is done at its timeout and may still be completed."""
     client, producer, expired, version = state.get if state.exists else (None, None, False, 0)
-    grew, newest = False, 0
+    grew = False
     if state.hasTimedOut:
-        expired, grew = True, not (client and producer)
-    records = pd.concat(list(frames), ignore_index=True) if not state.hasTimedOut else None
-    if records is not None and len(records):
-        newest = int(records["requestInTs"].fillna(0).max())
-        for row in records.sort_values(["requestInTs", "_id"], na_position="first").itertuples(index=False):
-            if row.party == "client" and client is None:
-                client, grew = row[records.columns.get_loc("_id")], True
-            elif row.party == "producer" and producer is None:
-                producer, grew = row[records.columns.get_loc("_id")], True
+        if expired or (client and producer):
+            state.remove()
+            return
+        expired = grew = True
+    else:
+        records = pd.concat(list(frames), ignore_index=True).sort_values(["requestInTs", "id"], na_position="first")
+        for id_, party in zip(records["id"], records["party"]):
+            if party == "client" and client is None:
+                client, grew = id_, True
+            elif party == "producer" and producer is None:
+                producer, grew = id_, True
     both = bool(client and producer)
     version += grew
     state.update((client, producer, bool(expired), int(version)))
-    if not both and not expired:
-        state.setTimeoutTimestamp(max(newest + TIMEOUT_MS, state.getCurrentWatermarkMs() + 1))
+    if timers:
+        state.setTimeoutDuration(KEEP_MS if both or expired else TIMEOUT_MS)
     if grew:
         yield pd.DataFrame({"xRequestId": [key[0]], "client_id": [client], "producer_id": [producer], "status": ["done" if both or expired else "processing"], "matching": ["regular_pair" if both else "orphan"], "version": [version]})
 
 
-def pair_stream(records: DataFrame, lateness: str = "1 day") -> DataFrame:
-    """Updates of pairs by request from a stream of raw records; the highest version of a request counts."""
+def pair_untimed(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    return pair_state(key, frames, state, timers=False)
+
+
+def pair_stream(records: DataFrame, timers: bool = True) -> DataFrame:
+    """Updates of pairs by request from a stream of raw records; the highest version of a request counts.
+
+    Timeouts go by processing time, so no record is too late to complete its call while that is remembered. A run that
+    ends with its input (availableNow) has no timers: with them Spark would wait for the next one.
+    """
     rows = records.where("coalesce(xRequestId, '') <> '' and lower(securityServerType) in ('client', 'producer')")
-    rows = rows.select("xRequestId", "_id", "requestInTs", F.lower("securityServerType").alias("party"), F.timestamp_millis("requestInTs").alias("at")).withWatermark("at", lateness)
-    return rows.groupBy("xRequestId").applyInPandasWithState(pair_state, OUT, STATE, "update", GroupStateTimeout.EventTimeTimeout)
+    rows = rows.select("xRequestId", F.col("_id").alias("id"), "requestInTs", F.lower("securityServerType").alias("party"))
+    return rows.groupBy("xRequestId").applyInPandasWithState(pair_state if timers else pair_untimed, OUT, STATE, "update", GroupStateTimeout.ProcessingTimeTimeout if timers else GroupStateTimeout.NoTimeout)
 
 
 def latest_updates(updates: DataFrame) -> DataFrame:
@@ -69,7 +81,7 @@ def run_pairing(spark: SparkSession, raw: DataFrame) -> DataFrame:
     path = shared_folder(spark)
     raw.select("_id", "xRequestId", "securityServerType", "requestInTs").write.parquet(f"{path}/in")
     source = spark.readStream.schema(spark.read.parquet(f"{path}/in").schema).parquet(f"{path}/in")
-    return latest_updates(run_to_end(pair_stream(source), "update", path))
+    return latest_updates(run_to_end(pair_stream(source, timers=False), "update", path))
 
 
 def run_tumbling(spark: SparkSession, calls: DataFrame, minutes: int = 60) -> DataFrame:
