@@ -117,7 +117,7 @@ def blocks_of(page: str) -> tuple[list[_Block], dict[int, str]]:
                     break
         _, hidden, inside, path = stack[-1]
         words, classes = _marks(m[3])
-        path = f"{path}>{tag}{classes}"
+        path = "" if tag == "html" else f"{path}>{tag}{classes}"
         main = tag in ("body", "html", "article", "main")
         hidden = hidden or tag in HIDDEN or (not main and (words is None or bool(words & BOILERPLATE))) or (tag == "header" and not any(e[0] in ("article", "main") for e in stack))
         if tag in CONTAINER and not hidden:

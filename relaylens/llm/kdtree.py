@@ -50,6 +50,10 @@ def kd_shards(rows: DataFrame, dims: list[str], weight: str, key: str, target: i
             wide = max(range(len(names)), key=lambda i: (r[f"hi{names[i]}"] - r[f"lo{names[i]}"], -i))
             n = open_[r["__node"]][1]
             cuts[r["__node"]] = {"dim": wide, "goal": int(r["w"]) * (n // 2) / n, "lo": r[f"lo{names[wide]}"], "hi": r[f"hi{names[wide]}"]}
+        for k in open_.keys() - cuts.keys():  # no rows here: equal rows, which stay together, went to the other side
+            nodes[k] = (nodes[k][0], 1)
+        if not cuts:
+            break
         chosen = _params(spark, [(k, c["dim"]) for k, c in cuts.items()], "__n int, __d int")
         value = F.get(F.array(*names), F.col("__d"))
         part = rows.join(F.broadcast(chosen), F.col("__node") == F.col("__n")).select("__node", value.alias("v"), "__key", F.col(weight).cast("long").alias("w"))
