@@ -20,7 +20,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .common import table
+from .common import bounded_batches, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MATRIX_BYTES = 512
@@ -155,7 +155,7 @@ class ByteBPE:
 
     def learn(self, pieces: set[str]) -> None:
         """Encode the pieces that aren't known yet. What is remembered is bounded."""
-        if len(self.known) > 800_000:
+        if len(self.known) > 600_000:
             self.known.clear()
         new = [p for p in pieces if p not in self.known]
         for p, ids in zip(new, self.encode_pieces([p.encode("utf-8", "replace") for p in new])):
@@ -216,7 +216,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, keep: list[
                 more = [pa.array(all_ids, pa.list_(pa.int32()))] if with_ids else []
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded, pa.string()), *more], schema.names)
 
-    return docs.select(*dict.fromkeys(["text", *keep])).mapInArrow(rows, schema)
+    return bounded_batches(docs).select(*dict.fromkeys(["text", *keep])).mapInArrow(rows, schema)
 
 
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -37,6 +37,12 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(df: DataFrame, rows: int = 1_000) -> DataFrame:
+    """df, after limiting the rows that Spark hands a Python worker at once: texts are long and workers' memory is small."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    return df
+
+
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     """Rows that no model may learn from: crc32 of the id as text, modulo 3, is 1."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
@@ -46,7 +52,7 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
 class WordHashes(dict):
     """word (bytes) -> 64-bit hash, remembered for up to `most` words of a Python worker."""
 
-    most = 300_000
+    most = 150_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.most:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import held_out, table
+from .common import bounded_batches, held_out, table
 
 ORDERS = (1, 2, 3)
 #: Fixed value: the result for a text that is null or has no letter.
@@ -137,7 +137,7 @@ def identify(docs: DataFrame, model: RankProfiles, keep: list[str], names: tuple
             got = [model.predict(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array([x for x, _ in got], pa.string()), pa.array([s for _, s in got], pa.float64())], [*keep, *names])
 
-    return docs.select(*dict.fromkeys(["text", *keep])).mapInArrow(rows, schema)
+    return bounded_batches(docs).select(*dict.fromkeys(["text", *keep])).mapInArrow(rows, schema)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

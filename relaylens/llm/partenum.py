@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, connected_components, gram_hashes, mix, table, written
+from .common import WordHashes, bounded_batches, connected_components, gram_hashes, mix, table, written
 
 WORDS = 5
 #: Similarity 3/4 as a fraction; the bounds on differences below follow from it.
@@ -257,6 +257,7 @@ def near_components(docs: DataFrame) -> DataFrame:
     Null and empty texts have an empty set and no links: their component is their own doc_id. Rows that share a doc_id
     count as one document. A row without doc_id takes the component of its equals, else null.
     """
+    docs = bounded_batches(docs)
     keys = written(set_keys(docs))
     classes = written(keys.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n"), F.max("tag").alias("tag"), F.count("*").alias("copies")))
     total = int(keys.agg(F.sum("n_shingles")).first()[0] or 0)

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
-from .common import held_out, table
+from .common import bounded_batches, held_out, table
 
 FEATURES = ("log_bytes", "upper", "digit", "symbol", "pipe", "high", "space", "log_words", "word_len", "distinct", "symbol_words", "upper_words", "repeat_next", "repeat_lines", "end_mark", "first_upper")
 _SYMBOL = np.array([b in b"#$%&*<=>@\\^_`{|}~+!" for b in range(256)])
@@ -120,7 +120,7 @@ def score_quality(docs: DataFrame, model: PairwiseRanker, keep: list[str], names
             s = model.score(np.array([text_features(t) for t in b.column("text").to_pylist()]).reshape(b.num_rows, len(FEATURES)))
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array(s), pa.array((s >= 0.5).astype(np.int32))], [*keep, *names])
 
-    return docs.select(*dict.fromkeys(["text", *keep])).mapInArrow(rows, schema)
+    return bounded_batches(docs).select(*dict.fromkeys(["text", *keep])).mapInArrow(rows, schema)
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WordHashes, gram_hashes, mix, table, written
+from .common import WordHashes, bounded_batches, gram_hashes, mix, table, written
 
 SPAN, GRAM = 10, 5
 #: Words to each side of a fingerprint that a span of SPAN words round it can reach, and the whole context.
@@ -133,7 +133,7 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """
     prints = written(item_fingerprints(items))
     short = sorted(r[0] for r in prints.where("span > 0").select("span").distinct().collect())
-    rows = written(document_fingerprints(docs, hash_filter(prints), short))
+    rows = written(document_fingerprints(bounded_batches(docs), hash_filter(prints), short))
     # Equal fingerprints of items with equal surroundings are met once by the documents.
     same = written(prints.groupBy("hash", "span", "item_context").agg(F.min("item_id").alias("item_id"), F.collect_set("item_id").alias("ids")))
     hits = rows.select("doc_id", "text_key", F.explode("found").alias("f")).select("doc_id", "text_key", "f.*")
