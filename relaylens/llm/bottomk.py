@@ -67,45 +67,54 @@ def fingerprint(a: Column) -> Column:
     return F.array_join(a.cast("array<string>"), ",")
 
 
-def neighbours(docs: DataFrame) -> DataFrame:
-    """doc_id, key, n_chars, next_id, next_key, prev_id, prev_key, prev_chars of each distinct document.
+#: What names a document: its id, whether that is null, and the hash of its text. Plain columns, so that one partitioning
+#: by them serves all joins below.
+NAME = ["did", "unnamed", "key"]
 
-    Documents are ordered by (doc_id, key), null ids first, key being the text's hash; the last one's next is the
-    first. Only these narrow rows are range-partitioned; each range finds its last row's next in a row a range.
+
+def named(docs: DataFrame) -> DataFrame:
+    """did, unnamed, key, text of each row; a null text is empty."""
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return texts.select(F.coalesce("doc_id", F.lit(0)).cast("long").alias("did"), F.col("doc_id").isNull().alias("unnamed"), F.xxhash64("text").alias("key"), "text")
+
+
+def neighbours(texts: DataFrame) -> DataFrame:
+    """NAME, n_chars and prev_<NAME>, prev_chars of each distinct document.
+
+    Documents are ordered by (doc_id, key), null ids first; before the first comes the last. Only these narrow rows are
+    range-partitioned; each range finds its first row's predecessor in a row a range.
     """
-    spark = docs.sparkSession
+    spark = texts.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = docs.select("doc_id", "key", F.char_length("text").cast("long").alias("n_chars")).distinct()
-    ids = written(ids.repartitionByRange(ranges, "doc_id", "key").withColumn("range", F.spark_partition_id()))
-    me = F.struct("doc_id", "key", "n_chars").alias("me")
-    heads = ids.groupBy("range").agg(F.min(me).alias("first"), F.max(me).alias("last"))
+    order = [F.col("unnamed").desc(), F.col("did"), F.col("key")]
+    ids = texts.select(*NAME, F.char_length("text").cast("long").alias("n_chars")).distinct()
+    ids = written(ids.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id()))
+    me = F.struct(*NAME, "n_chars")
+    last = ids.groupBy("range").agg(F.max(F.struct((~F.col("unnamed")).alias("a"), "did", "key", me.alias("me"))).alias("x")).select("range", F.col("x.me").alias("me"))
     every = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    step = Window.orderBy("range")
     # A row a range, so one task orders as many rows as there are shuffle partitions.
-    heads = heads.select("range", F.coalesce(F.lead("first").over(step), F.first("first").over(every)).alias("after"), F.coalesce(F.lag("last").over(step), F.last("last").over(every)).alias("before"))
-    own = Window.partitionBy("range").orderBy("doc_id", "key")
-    rows = ids.select("range", "doc_id", "key", "n_chars", F.lead(me).over(own).alias("next"), F.lag(me).over(own).alias("prev")).join(heads, "range")
-    next_, prev = F.coalesce("next", "after"), F.coalesce("prev", "before")
-    return rows.select("doc_id", "key", "n_chars", *[next_[c].alias(f"next_{a}") for c, a in (("doc_id", "id"), ("key", "key"))], *[prev[c].alias(f"prev_{a}") for c, a in (("doc_id", "id"), ("key", "key"), ("n_chars", "chars"))])
+    before = last.select("range", F.coalesce(F.lag("me").over(Window.orderBy("range")), F.last("me").over(every)).alias("before"))
+    own = Window.partitionBy("range").orderBy(*order)
+    prev = F.coalesce("prev", "before")
+    rows = ids.select("range", *NAME, "n_chars", F.lag(me).over(own).alias("prev")).join(before, "range")
+    return rows.select(*NAME, "n_chars", *[prev[c].alias(f"prev_{c}") for c in NAME], prev["n_chars"].alias("prev_chars"))
 
 
 def edited_pairs(docs: DataFrame) -> DataFrame:
-    """doc_id, key, n_chars, text, edited, next_sketch of each row of docs (doc_id, text).
+    """doc_id, n_chars, text, edited, next_sketch of each row of docs (doc_id, text).
 
     edited: the last quarter of the code points is replaced by as many first ones of the next document, or by all of
-    them. Texts are shuffled once, by id; the next document sends its sketch and the code points needed.
+    them. Texts are shuffled once, by name; the next document sends its sketch and the code points needed.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("key", F.xxhash64("text"))
-    near = written(neighbours(texts))
-    rows = texts.withColumnRenamed("doc_id", "d").withColumnRenamed("key", "k")
-    rows = rows.join(near, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("key"))).drop("d", "k")
+    texts = named(docs)
+    rows = texts.join(written(neighbours(texts)), NAME)
     quarter = lambda n: F.floor(n / 4).cast("int")
-    sent = with_sketch(rows.select("prev_id", "prev_key", "prev_chars", "text"), "text", "next_sketch")
-    sent = sent.select("prev_id", "prev_key", "next_sketch", F.substr("text", F.lit(1), quarter(F.col("prev_chars"))).alias("start"))
-    sent = sent.dropDuplicates(["prev_id", "prev_key"])  # rows that repeat a document send the same
-    joined = rows.select("doc_id", "key", "n_chars", "text").join(sent, F.col("doc_id").eqNullSafe(F.col("prev_id")) & (F.col("key") == F.col("prev_key")))
+    sent = with_sketch(rows.select(*[f"prev_{c}" for c in NAME], "prev_chars", "text"), "text", "next_sketch")
+    sent = sent.select(*[F.col(f"prev_{c}").alias(c) for c in NAME], "next_sketch", F.substr("text", F.lit(1), quarter(F.col("prev_chars"))).alias("start"))
+    sent = sent.dropDuplicates(NAME)  # rows that repeat a document send the same
+    joined = rows.select(*NAME, "n_chars", "text").join(sent, NAME)  # the same columns of texts as above, so one shuffle serves both
     kept = F.substr("text", F.lit(1), (F.col("n_chars") - quarter(F.col("n_chars"))).cast("int"))
-    return joined.select("doc_id", "key", "n_chars", "text", F.concat(kept, "start").alias("edited"), "next_sketch")
+    return joined.select(F.when(~F.col("unnamed"), F.col("did")).alias("doc_id"), "n_chars", "text", F.concat(kept, "start").alias("edited"), "next_sketch")
 
 
 def op3_bottom_k(spark: SparkSession, sf_dir: str) -> DataFrame:
