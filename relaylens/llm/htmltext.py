@@ -32,6 +32,9 @@ BOILERPLATE = frozenset("ad ads adv advert adverts advertisement advertising ban
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _SPLIT = re.compile(r"[^a-z]+")
+_RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in RAW}
+#: What a script's end depends on: <!-- with a <script in it takes the next </script> for its own, until -->.
+_SCRIPT_TOKEN = re.compile(r"<!--|-->|<script(?=[\s/>])|" + _RAW_END["script"].pattern, re.I)
 
 
 class _Block:
@@ -48,6 +51,27 @@ class _Block:
         return " ".join(html_lib.unescape("".join(self.parts)).split())
 
 
+def _raw_end(page: str, tag: str, at: int) -> int:
+    """Where the raw text of an element that opened before `at` is over, its end tag included; else the page's end."""
+    if tag != "script":
+        m = _RAW_END[tag].search(page, at)
+        return m.end() if m else len(page)
+    comment = inner = False
+    while m := _SCRIPT_TOKEN.search(page, at):
+        at = m.end()
+        if m[0] == "<!--":
+            comment, at = True, at - 2  # its dashes may be those of -->
+        elif m[0] == "-->":
+            comment = inner = False
+        elif m[0][1] != "/":
+            inner = comment
+        elif inner:
+            inner = False
+        else:
+            return at
+    return len(page)
+
+
 def blocks_of(page: str) -> tuple[list[_Block], dict[int, str]]:
     """The page's text blocks in order, and the generalised path of each container by its number."""
     blocks: list[_Block] = []
@@ -56,7 +80,6 @@ def blocks_of(page: str) -> tuple[list[_Block], dict[int, str]]:
     stack: list[tuple[str, bool, tuple[int, ...], str]] = [("", False, (), "")]
     current: _Block | None = None
     at = links = 0
-    raw = ""
 
     def say(text: str) -> None:
         nonlocal current
@@ -80,12 +103,7 @@ def blocks_of(page: str) -> tuple[list[_Block], dict[int, str]]:
                 current = None
         del stack[to:]
 
-    for m in _TOKEN.finditer(page):
-        if raw:  # only its own end tag counts
-            if m[1] and m[2].lower() == raw:
-                raw, at = "", m.end()
-                close(len(stack) - 1)
-            continue
+    while m := _TOKEN.search(page, at):
         say(page[at : m.start()])
         at = m.end()
         if m[2] is None:
@@ -127,10 +145,10 @@ def blocks_of(page: str) -> tuple[list[_Block], dict[int, str]]:
         links += tag == "a"
         if m[3].endswith("/") and tag not in BLOCK:
             close(len(stack) - 1)
-        elif tag in RAW:
-            raw = tag
-    if not raw:
-        say(page[at:])
+        elif tag in RAW:  # only its own end tag counts
+            at = _raw_end(page, tag, at)
+            close(len(stack) - 1)
+    say(page[at:])
     return blocks, paths
 
 

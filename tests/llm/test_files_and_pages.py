@@ -97,6 +97,20 @@ def test_blocks(page, text):
     assert "\n".join(t for t in (b.text() for b in htmltext.blocks_of(page)[0]) if t) == text
 
 
+@pytest.mark.parametrize("raw", [
+    "<script>for(i=0;i<n;i++)go(i)</script>", "<script>a = '<!--'</script>", "<script>// don't\nif(a<b){}</SCRIPT >", '<script>s="<b";t=\'</p>\'</script>', "<style>/* it's <a */</style>", "<textarea>x<y <!-- </textarea>", "<title>a<b</title>",
+    "<script><!-- document.write('<script>no</script>no') --></script>", "<script><!--><script></script>",
+])
+def test_raw_elements_end_at_their_own_end_tag(raw):
+    page = f"<body><article><p>one{raw} two<p>three</article></body>"
+    assert [b.text() for b in htmltext.blocks_of(page)[0]] == ["one two", "three"]
+    assert htmltext.extract(page, ">body>article") == "one two\nthree"
+
+
+def test_a_raw_element_without_end_takes_the_rest():
+    assert htmltext.extract("<p>a<script>i<n</scripts> no", None) == "a"
+
+
 def test_licence_digests(spark):
     mit = dict(reversed(licences.KNOWN))["MIT"]
     full = max((t for n, t in licences.KNOWN if n == "MIT"), key=len)
