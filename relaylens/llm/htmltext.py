@@ -1,7 +1,7 @@
 """Main text of web pages by consensus of a host's pages.
 
-First every page's containers are scored by the text of their own blocks, and the best one's generalised path of tags
-and classes is a vote. Votes are counted per host in Spark and the winning path is extracted from all pages of the
+First every page's containers are scored by the text of their own blocks, and the generalised path of tags and classes
+of the best one, or of the article around it, is a vote. Votes are counted per host in Spark and the winning path is extracted from all pages of the
 host; a page that lacks it falls back to its own best container.
 """
 
@@ -153,7 +153,7 @@ def blocks_of(page: str) -> tuple[list[_Block], dict[int, str]]:
 
 
 def _marks(attributes: str) -> tuple[set[str] | None, str]:
-    """Words of class, id and role (None: hidden), and the generalised classes for the path: digits become one #."""
+    """Words of class, id and role (None: hidden), and the generalised classes for the path: digits become one #, as does >."""
     if "=" not in attributes and "hidden" not in attributes:
         return set(), ""
     words: set[str] = set()
@@ -163,27 +163,45 @@ def _marks(attributes: str) -> tuple[set[str] | None, str]:
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return None, ""
         if name == "class":
-            classes += sorted({re.sub(r"\d+", "#", c) for c in value.split()})
+            classes += sorted({re.sub(r"[>]|\d+", "#", c) for c in value.split()})
         if name != "aria-hidden":
             words.update(_SPLIT.split(value), value.split())
     return words, "".join(f".{c}" for c in classes)
 
 
 def best_path(blocks: list[_Block], paths: dict[int, str]) -> tuple[str, float] | None:
-    """Path and score of the container whose own blocks hold most text outside links.
+    """Path and score of the container whose own blocks hold most text outside links, widened to the article around it.
 
     A block counts whole for its nearest container and half for the next, so that a wrapper wins only if the text is
-    spread over several containers. Of equal scores the outer container wins.
+    spread over several containers. Of equal scores the outer container wins. The score stays that of the winner.
     """
     score: dict[int, float] = {}
     for b in blocks:
-        worth = max(0, sum(map(len, b.parts)) - 2 * b.linked)
         for far, c in enumerate(reversed(b.path[-2:])):
-            score[c] = score.get(c, 0.0) + worth / (1 + far)
+            score[c] = score.get(c, 0.0) + _worth(b) / (1 + far)
     if not score:
         return None
     best = min(score, key=lambda c: (-score[c], c))
-    return (paths[best], score[best]) if score[best] > 0 else None
+    return (paths[_article_of(best, blocks, paths)], score[best]) if score[best] > 0 else None
+
+
+def _worth(b: _Block) -> int:
+    return max(0, sum(map(len, b.parts)) - 2 * b.linked)
+
+
+def _article_of(best: int, blocks: list[_Block], paths: dict[int, str]) -> int:
+    """The nearest article or main that the container is or lies in.
+
+    Without one, the nearest container around it with blocks that stand directly in it, as a title and a lead do, and
+    aren't mostly links. What stands in other containers beside the best one is taken for the frame of the site.
+    """
+    chain = next(b.path for b in blocks if best in b.path)
+    around = chain[: chain.index(best) + 1][::-1]
+    for c in around:
+        if paths[c].rpartition(">")[2].partition(".")[0] in ("article", "main"):
+            return c
+    direct = {b.path[-1] for b in blocks if b.path and _worth(b)}
+    return next((c for c in around[1:] if c in direct), best)
 
 
 def extract(page: str, path: str | None) -> str:

@@ -111,6 +111,29 @@ def test_a_raw_element_without_end_takes_the_rest():
     assert htmltext.extract("<p>a<script>i<n</scripts> no", None) == "a"
 
 
+BODY = "<div class='body'><p>" + "long text " * 30 + "</p><p>end</p></div>"
+LONG = "long text " * 29 + "long text\nend"
+
+
+@pytest.mark.parametrize("page, path, text", [
+    ("<body><article class='p[>]1'><h1>T</h1><p>lead</p>" + BODY + "<p>after</p></article><div>frame</div></body>", ">body>article.p[#]#", f"T\nlead\n{LONG}\nafter"),
+    ("<body><main><div><h1>T</h1><p>lead</p></div><section><div>" + BODY + "</div></section></main></body>", ">body>main", f"T\nlead\n{LONG}"),
+    ("<main><p>outside</p><article>" + BODY + "<p>in</p></article></main>", ">main>article", f"{LONG}\nin"),
+    ("<body><div class='top'>Site</div><div class='post'><h1>T</h1><p>lead</p><div class='in'>" + BODY + "</div></div></body>", ">body>div.post", f"T\nlead\n{LONG}"),
+    ("<body><div class='post'><ul><li><a href='/'>Home</a></ul>" + BODY + "</div></body>", ">body>div.post>div.body", LONG),
+])
+def test_a_nested_container_stands_for_its_article(page, path, text):
+    assert htmltext.best_path(*htmltext.blocks_of(page))[0] == path
+    assert htmltext.extract(page, path) == htmltext.extract(page, None) == text
+
+
+def test_the_host_keeps_titles_and_leads(spark):
+    rows = [(n, "http://h/", f"<body><article><h1>T{n}</h1><p>lead</p>{BODY}</article></body>") for n in range(4)]
+    rows += [(9, "http://h/", "<body><article><h1>T9</h1><p>short, all in the article</p></article></body>")]
+    got = {r.page_id: r.text for r in htmltext.main_text(spark.createDataFrame(rows, PAGES), ["page_id"]).collect()}
+    assert got == {**{n: f"T{n}\nlead\n{LONG}" for n in range(4)}, 9: "T9\nshort, all in the article"}
+
+
 def test_licence_digests(spark):
     mit = dict(reversed(licences.KNOWN))["MIT"]
     full = max((t for n, t in licences.KNOWN if n == "MIT"), key=len)
