@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,8 +27,14 @@ CONTAINER = frozenset("article main section div td body".split())
 #: Elements that an opening tag of the same set ends, as an HTML parser does for a missing end tag.
 ENDS_P = BLOCK - {"li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "html", "body"}
 SIBLING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-# Words in a class, id or role that mark what is not the article.
+# Words of a class, id or role that mark what is not the article.
 BOILERPLATE = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notification overlay pagination paywall popup promo promoted promotion recommended related replies reply respond rail share sharing sidebar sidenav signup site-header skip social sponsor sponsored subscribe subscription teaser toolbar toc topbar widget widgets complementary contentinfo search dialog alert".split())
+#: Those of them that name what others wrote or what other pages say: an article in them is such an item, and they may hold
+#: more text than the article.
+SERIES = frozenset("ad ads adv advert adverts advertisement advertising comment comments commentlist disqus promo promoted promotion recommended related replies reply respond sponsor sponsored teaser".split())
+# Words that name a box beside one of those words and leave its meaning, as in ad-slot or site-footer. A
+# name with any other word (no-sidebar, has-toc, search-engines) says something else.
+NEUTRAL = frozenset("area author bar block body bottom box button buttons center col column container content count desktop div entry facebook fb feed footer form global google group head header holder inner item items js large left link links list main medium meta mobile outer panel placeholder post posts primary region right row secondary section site slot small text thread title top twitter unit wp wrap wrapper zone".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
@@ -73,22 +80,52 @@ def _raw_end(page: str, tag: str, at: int) -> int:
 
 
 def blocks_of(page: str) -> tuple[list[_Block], dict[int, str]]:
-    """The page's text blocks in order, and the generalised path of each container by its number."""
+    """The page's text blocks in order, and the generalised path of each container by its number.
+
+    An element marked as boilerplate by its class, id or role is shown after all if it holds most of the page's text
+    outside links; one of SERIES only if nothing else is left.
+    """
+    blocks, paths, marked, total, said = _parse(page, frozenset())
+    most = {k: series for k, (n, series) in enumerate(marked) if 2 * n > total}
+    shown = frozenset(k for k, series in most.items() if not series)
+    if shown:
+        blocks, paths, _, _, said = _parse(page, shown)
+    if not said and len(most) > len(shown):
+        blocks, paths, *_ = _parse(page, frozenset(most))
+    return blocks, paths
+
+
+def _parse(page: str, shown: frozenset[int]) -> tuple[list[_Block], dict[int, str], list[list[int]], int, int]:
+    """Blocks and paths, and in characters outside links: what each marked element holds (with whether it is one of
+    SERIES), what the page holds, and what of it is not hidden. Marked elements are numbered; those of shown don't hide.
+    """
     blocks: list[_Block] = []
     paths: dict[int, str] = {}
-    # One entry an open element: tag, whether it hides its text, its containers, its generalised path.
-    stack: list[tuple[str, bool, tuple[int, ...], str]] = [("", False, (), "")]
+    marked: list[list[int]] = []
+    total = said = 0
+    # One entry an open element: tag, whether it hides its text for good, its containers, its generalised path, the
+    # marked elements that it lies in, and those of them that hide it.
+    stack: list[tuple[str, bool, tuple[int, ...], str, tuple[int, ...], tuple[int, ...]]] = [("", False, (), "", (), ())]
     current: _Block | None = None
     at = links = 0
 
     def say(text: str) -> None:
-        nonlocal current
-        if stack[-1][1] or not text:
+        nonlocal current, total, said
+        _, hidden, inside, _, marks, hiding = stack[-1]
+        if hidden or not text:
+            return
+        if not links:
+            n = len(text.strip())
+            total += n
+            for k in marks:
+                marked[k][0] += n
+            said += 0 if hiding else n
+        if hiding:
             return
         if current is None:
             if text.isspace():
                 return
-            current = _Block(stack[-1][2])
+            current = _Block(inside)
             blocks.append(current)
         current.parts.append(text)
         if links:
@@ -133,15 +170,21 @@ def blocks_of(page: str) -> tuple[list[_Block], dict[int, str]]:
                 if stack[i][0] in SIBLING[tag]:
                     close(i)
                     break
-        _, hidden, inside, path = stack[-1]
-        words, classes = _marks(m[3])
+        _, hidden, inside, path, marks, hiding = stack[-1]
+        kind, classes = _marks(m[3])
         path = "" if tag == "html" else f"{path}>{tag}{classes}"
         main = tag in ("body", "html", "article", "main")
-        hidden = hidden or tag in HIDDEN or (not main and (words is None or bool(words & BOILERPLATE))) or (tag == "header" and not any(e[0] in ("article", "main") for e in stack))
-        if tag in CONTAINER and not hidden:
+        hidden = hidden or tag in HIDDEN or (not main and kind is None) or (tag == "header" and not any(e[0] in ("article", "main") for e in stack))
+        if kind and not main:
+            marks = (*marks, len(marked))
+            hiding = hiding if len(marked) in shown else (*hiding, len(marked))
+            marked.append([0, kind == 2])
+        elif hiding and tag in ("article", "main"):  # an article is none of the sidebar that a wrapper is called after
+            hiding = tuple(k for k in hiding if marked[k][1] and tag == "article")
+        if tag in CONTAINER and not hidden and not hiding:
             paths[len(paths)] = path
             inside = (*inside, len(paths) - 1)
-        stack.append((tag, hidden, inside, path))
+        stack.append((tag, hidden, inside, path, marks, hiding))
         links += tag == "a"
         if m[3].endswith("/") and tag not in BLOCK:
             close(len(stack) - 1)
@@ -149,14 +192,28 @@ def blocks_of(page: str) -> tuple[list[_Block], dict[int, str]]:
             at = _raw_end(page, tag, at)
             close(len(stack) - 1)
     say(page[at:])
-    return blocks, paths
+    return blocks, paths, marked, total, said
+
+
+@lru_cache(20_000)
+def _kind(name: str) -> int:
+    """What a whole class, id or role says: 0 nothing, 1 boilerplate, 2 boilerplate of SERIES.
+
+    It is a word of BOILERPLATE, or several words of which one is and the others are too or are NEUTRAL; single letters
+    and digits don't count. content-sidebar and the like name what a wrapper holds.
+    """
+    parts = [w for w in _SPLIT.split(name) if len(w) > 1]
+    known = BOILERPLATE.intersection([name, *parts])
+    if name not in BOILERPLATE and (not known or parts[0] == "content" or not (BOILERPLATE | NEUTRAL).issuperset(parts)):
+        return 0
+    return 2 if known & SERIES else 1
 
 
-def _marks(attributes: str) -> tuple[set[str] | None, str]:
-    """Words of class, id and role (None: hidden), and the generalised classes for the path: digits become one #, as does >."""
+def _marks(attributes: str) -> tuple[int | None, str]:
+    """The greatest _kind of class, id and role (None: hidden), and the generalised classes for the path: digits become one #, as does >."""
     if "=" not in attributes and "hidden" not in attributes:
-        return set(), ""
-    words: set[str] = set()
+        return 0, ""
+    kind = 0
     classes: list[str] = []
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
@@ -165,8 +222,8 @@ def _marks(attributes: str) -> tuple[set[str] | None, str]:
         if name == "class":
             classes += sorted({re.sub(r"[>]|\d+", "#", c) for c in value.split()})
         if name != "aria-hidden":
-            words.update(_SPLIT.split(value), value.split())
-    return words, "".join(f".{c}" for c in classes)
+            kind = max(kind, *map(_kind, value.split()), 0)
+    return kind, "".join(f".{c}" for c in classes)
 
 
 def best_path(blocks: list[_Block], paths: dict[int, str]) -> tuple[str, float] | None:

@@ -134,6 +134,28 @@ def test_the_host_keeps_titles_and_leads(spark):
     assert got == {**{n: f"T{n}\nlead\n{LONG}" for n in range(4)}, 9: "T9\nshort, all in the article"}
 
 
+@pytest.mark.parametrize("wrapper", ["class='layout no-sidebar'", "class='content has-toc'", "class='page with-comments'", "id='search-engines'", "id='binary-search'", "class=content-sidebar-wrap", "class='sidebar'", "role='search' id=toc", "class='x related'"])
+@pytest.mark.parametrize("tag", ["div", "section"])
+def test_a_word_in_a_name_hides_no_article(wrapper, tag):
+    for inner in ("<h1>T</h1><p>text</p>", "<article><h1>T</h1><p>text</p></article>", "<main><h1>T</h1><p>text</p></main>"):
+        page = f"<body><nav>n</nav><{tag} {wrapper}>{inner}</{tag}></body>"
+        assert htmltext.extract(page, None) == "T\ntext" and htmltext.best_path(*htmltext.blocks_of(page))
+
+
+@pytest.mark.parametrize("name", ["sidebar", "ad-slot", "ad_300x250", "site-footer", "comment-list", "post comments", "x related-posts", "widget_text", "main-nav", "fb-comments", "site-header"])
+def test_marked_boxes_stay_hidden(name):
+    page = f"<body><div class=post><p>The text of the page.</p><div class='{name}'>Some box</div></div><div id='{name.split()[-1]}'>box</div></body>"
+    assert htmltext.extract(page, None) == "The text of the page."
+
+
+def test_articles_of_comments_and_wrappers():
+    comments = "<div id='comments'><article class='comment-body'>" + "a long comment " * 20 + "</article></div>"
+    assert htmltext.extract("<body><div class='sidebar'><div class=post><h1>T</h1><p>the text</p></div></div><div class='reply'>r</div></body>", None) == "T\nthe text"
+    assert htmltext.extract(f"<body><article><p>short</p></article>{comments}</body>", None) == "short"
+    assert htmltext.extract(f"<body><main><section><p>short</p></section>{comments}</main></body>", None) == "short"
+    assert htmltext.extract(f"<body><div class='widget'><article><p>short</p></article></div>{comments}</body>", None) == "short"
+
+
 def test_licence_digests(spark):
     mit = dict(reversed(licences.KNOWN))["MIT"]
     full = max((t for n, t in licences.KNOWN if n == "MIT"), key=len)
