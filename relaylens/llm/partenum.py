@@ -228,8 +228,11 @@ def links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both(likely, "shingles").select("src", "dst", "x", "y").mapInArrow(rows, "src long, dst long")
 
 
-def near_sets(docs: DataFrame, classes: DataFrame, total: int) -> DataFrame:
-    """node, n, room, counts, shingles of the sets that may have a partner; classes: node (smallest doc_id of equal sets), n, tag."""
+def near_sets(docs: DataFrame, classes: DataFrame, total: int, repeats: bool = True) -> DataFrame:
+    """node, n, room, counts, shingles of the sets that may have a partner; classes: node (smallest doc_id of equal sets), n, tag.
+
+    A set is one row, also if docs has the row of its node several times (repeats; without any, nothing is shuffled for it).
+    """
     # A set of n shingles, `lone` of them in no other set, shares n - lone at most, and near sets of n and m share
     # 3 / 7 * (n + m) at least: so its partners have (4 n - 7 lone) / 3 shingles at most, which is its room.
     lone = lone_shingles(docs, max(64, total // BUCKET))
@@ -243,12 +246,13 @@ def near_sets(docs: DataFrame, classes: DataFrame, total: int) -> DataFrame:
             for node, tag, room, t in zip(*(b.column(c).to_pylist() for c in ("node", "tag", "room", "text"))):
                 s = shingle_set(t, hashes)
                 if len(s) and _node(_set_key(s)) == tag:  # else another text of the same doc_id
-                    out.append((node, len(s), room, _counts(s), s.tobytes()))
-            kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], ["node", "n", "room", "counts", "shingles"])
+                    out.append((node, tag, len(s), room, _counts(s), s.tobytes()))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], ["node", "tag", "n", "room", "counts", "shingles"])
 
     joined = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(F.broadcast(maybe) if few else maybe, "node")
-    return written(joined.select("node", "tag", "room", "text").mapInArrow(rows, "node long, n int, room int, counts binary, shingles binary"))
+    sets = joined.select("node", "tag", "room", "text").mapInArrow(rows, "node long, tag long, n int, room int, counts binary, shingles binary")
+    return written((sets.dropDuplicates(["node", "tag"]) if repeats else sets).drop("tag"))
 
 
 def near_components(docs: DataFrame) -> DataFrame:
@@ -261,7 +265,8 @@ def near_components(docs: DataFrame) -> DataFrame:
     keys = written(set_keys(docs))
     classes = written(keys.where("set_key is not null").groupBy("set_key").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n"), F.max("tag").alias("tag"), F.count("*").alias("copies")))
     total = int(keys.agg(F.sum("n_shingles")).first()[0] or 0)
-    components = linked(near_sets(docs, classes, total)).where("component <> node")
+    repeats = keys.where("set_key is not null").groupBy("set_key", "doc_id").count().where("count > 1").limit(1).count() > 0
+    components = linked(near_sets(docs, classes, total, repeats)).where("component <> node")
     own = classes.join(components, "node", "left").select("set_key", F.coalesce("component", "node").alias("component_id"), "node", "copies")
     moved = written(own.where("copies > 1 or component_id <> node").select("set_key", "component_id"))
     return keys.join(moved, "set_key", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
@@ -272,10 +277,13 @@ def linked(sets: DataFrame) -> DataFrame:
     sigs = signature_rows(sets)
     # The set with most room, so with fewest shingles of its own, is the centre of a signature.
     centre = F.max(F.struct(F.col("room").alias("room"), (-F.col("node")).alias("node"), F.col("n").alias("n")))
-    met = sigs.groupBy("sig").agg(centre.alias("c"), F.min("n").alias("least"), F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("m"), F.bit_xor(F.xxhash64("node")).alias("who"))
-    met = met.where("first < last").select("sig", (-F.col("c.node")).alias("centre"), F.col("c.room").alias("croom"), F.col("c.n").alias("cn"), "least", "m", "who", "first", "last")
+    # Its members, by sums of both halves of their hashes: of two texts under one doc_id a signature has the node twice,
+    # which an exclusive or would lose.
+    who = [F.sum(F.xxhash64("node").bitwiseAND(F.lit(0xFFFFFFFF))).alias("who"), F.sum(F.shiftrightunsigned(F.xxhash64("node"), 32)).alias("who2")]
+    met = sigs.groupBy("sig").agg(centre.alias("c"), F.min("n").alias("least"), F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("m"), *who)
+    met = met.where("first < last").select("sig", (-F.col("c.node")).alias("centre"), F.col("c.room").alias("croom"), F.col("c.n").alias("cn"), "least", "m", "who", "who2", "first", "last")
     # Signatures with the same members say the same: one of them goes on, with their number.
-    one = written(met.groupBy("who", "m", "first", "last", "centre", "croom", "cn", "least").agg(F.min("sig").alias("sig"), F.count("*").alias("same")).select("sig", "centre", "croom", "cn", "least", "same"))
+    one = written(met.groupBy("who", "who2", "m", "first", "last", "centre", "croom", "cn", "least").agg(F.min("sig").alias("sig"), F.count("*").alias("same")).select("sig", "centre", "croom", "cn", "least", "same"))
     shared = written(sigs.join(one, "sig").where("room >= least"))
     may = "node <> centre and n <= croom and cn <= room"
     stars = written(shared.where(may).groupBy(F.col("node").alias("src"), F.col("centre").alias("dst")).agg(F.sum("same").alias("n")))

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from relaylens.llm import bottomk, partenum, winnow
 
@@ -72,6 +73,30 @@ def test_empty_table_null_ids_and_repeats(spark):
     assert sorted((str(r.doc_id), r.component_id) for r in got) == [("3", 3), ("3", 3), ("4", 4), ("None", 3)]
 
 
+def test_components_of_a_table_whose_rows_are_all_repeated(spark):
+    rows = corpus(1)
+    got = partenum.near_components(spark.createDataFrame(rows + rows, DOCS)).collect()
+    assert len(got) == 2 * len(rows) and {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows)
+
+
+def test_signatures_with_repeated_members_keep_all_links(spark, monkeypatch):
+    """{1, 2, 4} and {1, 3, 4} agree in number, first, last and centre; with each member twice, all else cancels out."""
+    shingle = np.arange(100, dtype=np.uint64)
+    sets = spark.createDataFrame([(i, 100, 100, partenum._counts(shingle), bytearray(shingle.tobytes())) for i in (1, 2, 3, 4)], "node long, n int, room int, counts binary, shingles binary")
+    sigs = spark.createDataFrame([(sig, i, 100, 100) for sig, members in ((7, (1, 2, 4)), (8, (1, 3, 4))) for i in members * 2], "sig long, node long, n int, room int")
+    monkeypatch.setattr(partenum, "signature_rows", lambda _: sigs)
+    assert {r.node: r.component for r in partenum.linked(sets).collect()} == dict.fromkeys((1, 2, 3, 4), 1)
+
+
+def test_a_set_is_one_row_and_two_texts_of_one_id_are_two(spark):
+    base = [f"w{i}" for i in range(40)]
+    texts = [" ".join(base), " ".join([*base, "x"]), " ".join([*base, "x", "y"])]
+    docs = spark.createDataFrame([(1, texts[0]), (1, texts[0]), (1, texts[1]), (2, texts[2]), (2, texts[2])], DOCS)
+    keys = partenum.set_keys(docs)
+    classes = keys.groupBy("set_key").agg(F.min("doc_id").alias("node"), F.max("n_shingles").alias("n"), F.max("tag").alias("tag"))
+    assert sorted(r.node for r in partenum.near_sets(docs, classes, 100).collect()) == [1, 1, 2]
+
+
 def test_near_sets_share_a_signature():
     """All pairs of sets at the bound, over many sizes, share a signature: the lemma that the join rests on."""
     rng = np.random.default_rng(5)
