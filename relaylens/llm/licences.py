@@ -2,11 +2,15 @@
 
 A text is brought to a canonical form: A-Z lower-cased, copyright lines taken out, equivalent spellings made one, and
 everything but letters and digits turned to single spaces. Its SHA-256 is looked up among the digests of known licence
-texts. All of it is SQL expressions; the known texts are a fixed table of this module or one that the caller gives.
+texts. All of it is SQL expressions; the known texts are fixed files and rows of this module or a table that the caller
+gives.
 """
 
 from __future__ import annotations
 
+from functools import cache
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +36,7 @@ SPELLINGS = [
     ("https", "http"),
 ]
 
-# Short known licence texts and notices by SPDX identifier.
+# Short known licence texts and notices by SPDX identifier. Whole texts lie in the folder licence_texts.
 KNOWN = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.'),
@@ -45,9 +49,36 @@ KNOWN = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
+#: Titles that stand before texts that have none of their own.
+TITLES = {
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", 'BSD 2-Clause "Simplified" License'],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "BSD License", "New BSD License", 'BSD 3-Clause "New" or "Revised" License'],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)"],
+    "MIT": ["MIT License", "The MIT License", "The MIT License (MIT)"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+}
+#: What may follow this line (how to apply the licence) belongs to the file, not to the terms.
+_END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+
+
+@cache
+def known_texts() -> list[tuple[str, str]]:
+    """Identifier and text of KNOWN and of the whole texts beside this module, these also with titles and as bare terms."""
+    whole = [(p.stem, p.read_text("utf-8")) for p in sorted((Path(__file__).parent / "licence_texts").glob("*.txt"))]
+    whole += [(i, t) for i, t in KNOWN if i in ("ISC", "MIT") and len(t) > 200]
+    titled = [(i, f"{title}\n\n{t}") for i, t in whole for title in TITLES.get(i, ())]
+    terms = [(i, t.partition(_END_OF_TERMS)[0] + end) for i, t in whole if _END_OF_TERMS in t for end in ("", _END_OF_TERMS)]
+    return KNOWN + whole + titled + terms
+
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A line that only states a copyright; works alike in Java's and RE2's syntax.
-COPYRIGHT_LINE = r"(?m)^[ \t]*(portions |parts )?(copyright|\(c\)|©)[^\n]*$|^[ \t]*all rights reserved\.?[ \t]*$"
+#: Words after which "copyright" is part of a sentence and not before a holder's name.
+_NO_HOLDER = "acts?|and|are|as|disclaimers?|for|holders?|if|in|information|infringements?|interests?|is|laws?|licen[cs]es?|licensors?|messages?|notices?|of|on|or|owners?|permissions?|protection|registration|rights?|shall|statements?|terms|that|to|treaty|treaties|under|which|will"
+#: A line that only states a copyright: the word before a sign, a year or a holder, or a sign before a year.
+COPYRIGHT_LINE = rf"(?m)^[ \t]*(portions |parts )?(©|\(c\)[ \t]*(?=copyright|\d{{4}})|copyright[ \t:]*(?=©|\(c\)|[\d\[<{{])|copyright[ \t:]+(?!({_NO_HOLDER})\b)(?=[\p{{L}}\"']))[^\n]*$|^[ \t]*all rights reserved\.?[ \t]*$"
+#: The oracle's own, in RE2's syntax: it takes any line that begins so, which is the same on its tables.
+_SQL_COPYRIGHT_LINE = r"(?m)^[ \t]*(portions |parts )?(copyright|\(c\)|©)[^\n]*$|^[ \t]*all rights reserved\.?[ \t]*$"
 OTHER = r"[^\p{L}\p{N}]+"
 
 
@@ -66,7 +97,7 @@ def digest(text: Column) -> Column:
 
 def known_licences(spark: SparkSession, rows: list[tuple[str, str]] | None = None) -> DataFrame:
     """digest, license_id: one row a digest (of several licences with one digest the first by name)."""
-    known = spark.createDataFrame(KNOWN if rows is None else rows, "license_id string, text string")
+    known = spark.createDataFrame(known_texts() if rows is None else rows, "license_id string, text string")
     return known.select(digest(F.col("text")).alias("digest"), "license_id").groupBy("digest").agg(F.min("license_id").alias("license_id"))
 
 
@@ -102,7 +133,7 @@ def _may_be_notice(line: Column) -> Column:
 
 
 def _sql_canonical(expression: str) -> str:
-    c = f"regexp_replace(translate({expression}, '{_UPPER}', '{_LOWER}'), '{COPYRIGHT_LINE}', ' ', 'g')"
+    c = f"regexp_replace(translate({expression}, '{_UPPER}', '{_LOWER}'), '{_SQL_COPYRIGHT_LINE}', ' ', 'g')"
     c = f"' ' || regexp_replace({c}, '{OTHER}', ' ', 'g') || ' '"
     for a, b in SPELLINGS:
         c = f"replace({c}, ' {a} ', ' {b} ')"

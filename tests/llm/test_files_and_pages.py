@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import textwrap
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -163,3 +165,42 @@ def test_licence_digests(spark):
     got = {r.doc_id: r for r in licences.scan(spark.createDataFrame(rows, "doc_id long, text string"), licences.known_licences(spark), ["doc_id"]).collect()}
     assert [got[i].license_id for i in range(1, 8)] == ["MIT", "MIT", "MIT", None, None, None, "MIT"]
     assert got[5].digest is None and got[6].digest == hashlib.sha256(b"").hexdigest()
+
+
+ISC_FILE = """ISC License
+
+Copyright (c) 2004-2010 by Internet Systems Consortium, Inc. ("ISC")
+Copyright 1995-2003 by Internet Software Consortium
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR
+ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF
+OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.
+"""
+
+
+def test_standard_licence_files(spark):
+    whole = {p.stem: p.read_text("utf-8") for p in (Path(licences.__file__).parent / "licence_texts").glob("*.txt")}
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0-only", "GPL-3.0-only", "LGPL-2.1-only", "LGPL-3.0-only", "MPL-2.0", "Unlicense"} <= set(whole)
+    mit = max((t for n, t in licences.KNOWN if n == "MIT"), key=len)
+    want = [("ISC", ISC_FILE), ("MIT", "The MIT License (MIT)\n\nCopyright © 2020 A. Body\nCopyright Some Body <a@b>\n\n" + textwrap.fill(mit, 78) + "\n"), ("MIT", "MIT License\r\n\r\nCopyright (c) 2020 A\r\n" + textwrap.fill(mit, 60).replace("\n", "\r\n"))]
+    want += [("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, A\nAll rights reserved.\n\n" + whole["BSD-3-Clause"])]
+    want += [("Apache-2.0", whole["Apache-2.0"].replace("[yyyy] [name of copyright owner]", "2020 A. Body")), ("Apache-2.0", whole["Apache-2.0"].partition("   APPENDIX")[0])]
+    want += [(i, " ".join(t.split()) if "opyright (" not in t and "opyright [" not in t and "(c)" not in t else t) for i, t in whole.items()]
+    want += [(None, ISC_FILE.replace("copyright notice and this", "copyright and this")), (None, whole["Apache-2.0"].replace("      (c) You must retain", "      (c) You need not retain"))]
+    got = licences.scan(spark.createDataFrame([(k, t) for k, (_, t) in enumerate(want)], "doc_id long, text string"), licences.known_licences(spark), ["doc_id"])
+    assert [r.license_id for r in got.orderBy("doc_id").collect()] == [i for i, _ in want]
+
+
+def test_only_statements_of_ownership_are_copyright_lines(spark):
+    stated = ["Copyright (c) 2020 A", "  copyright 2020", "Copyright © A", "© A", "(C) 2020 A", "Portions Copyright The A Authors", "Copyright by A. All rights reserved.", "Copyright: A", "All rights reserved."]
+    said = ["copyright notice and this permission notice", "COPYRIGHT HOLDERS BE LIABLE", "copyright owner or", "(c) You must retain", "copyright", "copyright, patent", "copyright law"]
+    got = [r.c for r in spark.createDataFrame([(t,) for t in stated + said], "t string").select(licences.canonical(F.col("t")).alias("c")).collect()]
+    assert got[: len(stated)] == [""] * len(stated) and all(got[len(stated) :])
