@@ -10,8 +10,11 @@ Two facts keep this small without losing a link. Equal sets are one node from th
 occur in no other set bound the size of a set's partners: most sets have no partner at all and get no signatures, and
 pairs beyond the bound aren't compared.
 
-Candidates are not all pairs that share a signature: first each set is compared with the first set of its signatures;
-then, in rounds, with what still lies in another component. Only that can add anything to the components.
+Candidates are not all pairs that share a signature. First each set is compared with one centre, the set that it
+shares most signatures with. Then, where a signature's members still lie in several components, they are compared with
+a pivot, the first set of the component that most of them are in, and written as their edits of it. Two near sets of
+which one isn't near the pivot share more of their edits than most sets do that lie just below the threshold, so that
+they meet at an edit among few of each: a prefix filter over edits. Only such pairs are compared after that.
 """
 
 from __future__ import annotations
@@ -286,30 +289,78 @@ def linked(sets: DataFrame) -> DataFrame:
     one = written(met.groupBy("who", "who2", "m", "first", "last", "centre", "croom", "cn", "least").agg(F.min("sig").alias("sig"), F.count("*").alias("same")).select("sig", "centre", "croom", "cn", "least", "same"))
     shared = written(sigs.join(one, "sig").where("room >= least"))
     may = "node <> centre and n <= croom and cn <= room"
-    stars = written(shared.where(may).groupBy(F.col("node").alias("src"), F.col("centre").alias("dst")).agg(F.sum("same").alias("n")))
+    stars = shared.where(may).groupBy(F.col("node").alias("src"), F.col("centre").alias("dst")).agg(F.sum("same").alias("n"))
     best = written(stars.groupBy("src").agg(F.max_by("dst", F.struct("n", -F.col("dst"))).alias("dst")))
     edges = written(links(best, sets))
-    labels = written(_labels(edges))
-
-    def apart(pairs: DataFrame) -> DataFrame:
-        """Pairs whose ends lie in different components so far."""
-        a = labels.select(F.col("node").alias("src"), F.col("component").alias("a"))
-        b = labels.select(F.col("node").alias("dst"), F.col("component").alias("b"))
-        return pairs.join(a, "src", "left").join(b, "dst", "left").where("coalesce(a, src) <> coalesce(b, dst)").select("src", "dst")
-
-    more = written(apart(stars.join(best, ["src", "dst"], "left_anti")))
-    edges = written(edges.union(links(more, sets)))
-    labels = written(_labels(edges))
-    # What is left: members of one signature in different components that no centre has joined.
-    known = labels.select("node", "component")
-    member = shared.join(known, "node", "left").select("sig", "node", "n", "room", F.coalesce("component", "node").alias("component"))
-    mixed = written(member.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("sig"))
-    member = written(member.join(mixed, "sig"))
-    a = member.select("sig", F.col("node").alias("src"), F.col("component").alias("a"), "n", "room")
-    b = member.select(F.col("sig").alias("s"), F.col("node").alias("dst"), F.col("component").alias("b"), F.col("n").alias("m"), F.col("room").alias("mroom"))
-    cross = a.join(b, F.expr("sig = s and a < b and n <= mroom and m <= room and 4 * least(n, m) >= 3 * greatest(n, m)")).select("src", "dst").distinct()
-    rest = written(cross.join(stars.select("src", "dst"), ["src", "dst"], "left_anti").join(stars.select(F.col("src").alias("dst"), F.col("dst").alias("src")), ["src", "dst"], "left_anti"))
-    return _labels(written(edges.union(links(rest, sets))))
+    # What is left: members of one signature in different components.
+    known = written(_labels(edges))
+    member = written(shared.select("sig", "node").join(known, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("component")))
+    # Their pivot: the first set of the component that most of them are in.
+    parts = member.groupBy("sig", "component").count().groupBy("sig").agg(F.max_by("component", F.struct("count", -F.col("component"))).alias("pivot"), F.count("*").alias("parts"))
+    family = member.join(parts.where("parts > 1").select("sig", "pivot"), "sig").where("node <> pivot").select("node", "pivot", "component").distinct()
+    edits = written(edited(family, sets))
+    rest = written(edit_pairs(edits))
+    return _labels(written(edges.union(edits.where("near").select(F.col("node").alias("src"), F.col("pivot").alias("dst"))).union(links(rest, sets))))
+
+
+def prefix_sizes(d: int, n: int, room: int, pivot: int) -> tuple[int, int]:
+    """How many of a set's d edits, in any one order, are sure to hold one that a near set shares: any set, and one that isn't near the pivot.
+
+    Two sets differ in what one of their edits has and the other's hasn't: in d + e - 2 * shared, which is (n + m) / 7 at
+    most if they are near. So they share d - (n + m) / 7 edits at least; and (d + (pivot - n) / 7) / 2 at least, more than
+    none, if the other one's edits are more than (m + pivot) / 7, as they are where it isn't near the pivot. Leaving out
+    one less than these, the rest of both sets' edits have one in common. pivot: the size of the pivot.
+    """
+    most = min(room, n * OF // NEAR)
+    far = max(1, d - (n + most) // 7)
+    half = max(far, (7 * d + pivot - n) // 14 + 1)
+    return max(0, d - far + 1), max(0, d - half + 1)
+
+
+def edited(family: DataFrame, sets: DataFrame) -> DataFrame:
+    """node, pivot, component, n, room, d, near, short, edits for (node, pivot, component): sets as edits of their pivot.
+
+    d: in how many shingles set and pivot differ. near: whether they are near. edits: those of them that a near set of
+    another component, also a set of this pivot, is sure to share one of; of a set that is near its pivot, or in its
+    component, with sets that aren't. short: how many of them come first for a partner that isn't near the pivot either.
+    The order is: what the pivot lacks, which few sets share, then what it has more, each by hash.
+    """
+
+    def rows(batches):
+        for b in batches:
+            out, flat = [], []
+            for node, pivot, component, n, room, x, p in zip(*(b.column(c).to_pylist() for c in ("node", "pivot", "component", "n", "room", "x", "p"))):
+                x, p = np.frombuffer(x, np.uint64), np.frombuffer(p, np.uint64)
+                more, less = np.setdiff1d(x, p, True), np.setdiff1d(p, x, True)
+                d = len(more) + len(less)
+                near = 7 * d <= n + len(p)
+                long, short = prefix_sizes(d, n, room, len(p))
+                inside = near or component == pivot
+                own = np.concatenate([y[np.argsort(mix(y))] for y in (more, less)])[: short if inside else long]
+                out.append((node, pivot, component, n, room, d, near, inside, short, len(own)))
+                flat.append(own)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.int32())
+            ends = np.cumsum([0, *(r[-1] for r in out)])
+            values = pa.array((np.concatenate(flat) if flat else np.empty(0, np.uint64)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*(pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)], ["node", "pivot", "component", "n", "room", "d", "near", "inside", "short", "edits"])
+
+    x = sets.select("node", "n", "room", F.col("shingles").alias("x"))
+    p = sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("p"))
+    both = family.join(x, "node").join(p, "pivot").select("node", "pivot", "component", "n", "room", "x", "p")
+    return both.mapInArrow(rows, "node long, pivot long, component long, n int, room int, d int, near boolean, inside boolean, short int, edits array<long>")
+
+
+def edit_pairs(edits: DataFrame) -> DataFrame:
+    """Distinct (src, dst) of sets in different components, one of them at least not near their pivot, that may be near.
+
+    Sets meet at an edit that they share. If it is their first, they share no more edits than either has from there on.
+    """
+    one = edits.select("node", "pivot", "component", "n", "room", "d", "inside", "short", F.posexplode("edits").alias("at", "edit"))
+    one = one.withColumn("early", F.col("at") < F.col("short")).withColumn("left", F.col("d") - F.col("at")).drop("at", "short")
+    a = one.where("not inside").select("pivot", "edit", F.col("node").alias("src"), F.col("component").alias("a"), "n", "room", "d", "early", "left")
+    b = one.select(F.col("pivot").alias("q"), F.col("edit").alias("f"), F.col("node").alias("dst"), F.col("component").alias("b"), F.col("n").alias("m"), F.col("room").alias("mroom"), F.col("d").alias("e"), "inside", F.col("early").alias("f_early"), F.col("left").alias("f_left"))
+    met = a.join(b, F.expr(f"pivot = q and edit = f and a <> b and (inside or (early and f_early and src < dst)) and n <= mroom and m <= room and {OF} * least(n, m) >= {NEAR} * greatest(n, m) and 7 * (d + e - 2 * least(left, f_left)) <= n + m"))
+    return met.select("src", "dst").distinct()
 
 
 def _labels(edges: DataFrame) -> DataFrame:

@@ -97,6 +97,61 @@ def test_a_set_is_one_row_and_two_texts_of_one_id_are_two(spark):
     assert sorted(r.node for r in partenum.near_sets(docs, classes, 100).collect()) == [1, 1, 2]
 
 
+def family(seed, size, words_, edits, rounds=1):
+    """Sets round the threshold: edits of one text, and in further rounds edits of texts made before."""
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choices("abcdefghij", k=5))
+    made = [[word() for _ in range(words_)]]
+    for k in range(size - 1):
+        w = list(made[0] if k < size / rounds else rng.choice(made))
+        for _ in range(rng.randint(*edits)):
+            at = rng.randrange(len(w))
+            w[at : at + rng.choice([0, 1, 1, 2])] = [word()] * rng.choice([0, 1, 1])
+        made.append(w)
+    order = list(range(size))
+    rng.shuffle(order)
+    return [(i, " ".join(w)) for i, w in zip(order, made)]
+
+
+@pytest.mark.parametrize("seed,size,words_,edits,rounds", [(1, 320, 80, (2, 8), 1), (2, 320, 60, (1, 5), 3)])
+def test_families_round_the_threshold_equal_brute_force(spark, seed, size, words_, edits, rounds):
+    rows = family(seed, size, words_, edits, rounds)
+    expected = brute_components(rows)
+    assert 3 < len({c for _, c in expected.values()}) < size
+    got = partenum.near_components(spark.createDataFrame(rows, DOCS)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
+
+
+def test_near_sets_share_an_early_edit_of_any_pivot():
+    """The lemma of the last round: any pivot, any order; one of both sets isn't near the pivot."""
+    rng = np.random.default_rng(8)
+    seen = 0
+    for _ in range(4000):
+        n = int(rng.integers(4, 60))
+        pivot = set(range(n))
+        x = (pivot - set(rng.choice(n, int(rng.integers(0, n // 2 + 1)), False).tolist())) | set(range(1000, 1000 + int(rng.integers(0, n // 2))))
+        y = set(x)
+        for _ in range(int(rng.integers(0, max(2, n // 4)))):
+            y ^= {int(rng.choice([*range(n), *range(1000, 1020)]))}
+        if not x or not y or x == y:
+            continue
+        near = lambda a, b: 4 * len(a & b) >= 3 * len(a | b)
+        order = {e: k for k, e in enumerate(rng.permutation(2000).tolist())}
+        if not near(x, y) or near(y, pivot):
+            continue
+        seen += 1
+        early = lambda s, k: set(sorted(s ^ pivot, key=order.get)[:k])  # noqa: B023, E731
+        a, b = (partenum.prefix_sizes(len(s ^ pivot), len(s), 10**6, n) for s in (x, y))
+        first = early(x, a[1]) & early(y, b[0])
+        assert first, (x, y, n)
+        shared = min(first, key=order.get)
+        rest = [len(s ^ pivot) - sorted(s ^ pivot, key=order.get).index(shared) for s in (x, y)]
+        assert 7 * (len(x ^ pivot) + len(y ^ pivot) - 2 * min(rest)) <= len(x) + len(y)
+        if not near(x, pivot):
+            assert early(x, a[1]) & early(y, b[1])
+    assert seen > 200
+
+
 def test_near_sets_share_a_signature():
     """All pairs of sets at the bound, over many sizes, share a signature: the lemma that the join rests on."""
     rng = np.random.default_rng(5)
