@@ -278,13 +278,16 @@ def near_components(docs: DataFrame) -> DataFrame:
 def linked(sets: DataFrame) -> DataFrame:
     """(node, component) of all sets that have a link."""
     sigs = signature_rows(sets)
+    # Most signatures are one set's alone; only the others' rows are shuffled a second time, and written.
+    several = sigs.groupBy("sig").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last")
+    sigs = written(sigs.join(several.select("sig"), "sig"))
     # The set with most room, so with fewest shingles of its own, is the centre of a signature.
     centre = F.max(F.struct(F.col("room").alias("room"), (-F.col("node")).alias("node"), F.col("n").alias("n")))
     # Its members, by sums of both halves of their hashes: of two texts under one doc_id a signature has the node twice,
     # which an exclusive or would lose.
     who = [F.sum(F.xxhash64("node").bitwiseAND(F.lit(0xFFFFFFFF))).alias("who"), F.sum(F.shiftrightunsigned(F.xxhash64("node"), 32)).alias("who2")]
     met = sigs.groupBy("sig").agg(centre.alias("c"), F.min("n").alias("least"), F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("m"), *who)
-    met = met.where("first < last").select("sig", (-F.col("c.node")).alias("centre"), F.col("c.room").alias("croom"), F.col("c.n").alias("cn"), "least", "m", "who", "who2", "first", "last")
+    met = met.select("sig", (-F.col("c.node")).alias("centre"), F.col("c.room").alias("croom"), F.col("c.n").alias("cn"), "least", "m", "who", "who2", "first", "last")
     # Signatures with the same members say the same: one of them goes on, with their number.
     one = written(met.groupBy("who", "who2", "m", "first", "last", "centre", "croom", "cn", "least").agg(F.min("sig").alias("sig"), F.count("*").alias("same")).select("sig", "centre", "croom", "cn", "least", "same"))
     shared = written(sigs.join(one, "sig").where("room >= least"))
