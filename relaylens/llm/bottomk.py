@@ -45,10 +45,10 @@ def merge_by(df: DataFrame, by: list[str], sketch: str, k: int = K) -> DataFrame
 
 def resemblance(a: Column, b: Column, k: int = K) -> Column:
     """Estimated Jaccard similarity: the share of the union's sketch that both sketches hold. Two empty sets: 1."""
-    union = merged(a, b, k)
-    # What both hold of the union's sketch: their common hashes up to its greatest.
-    both = F.size(F.filter(F.array_intersect(a, b), lambda h: h <= F.element_at(union, -1)))
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(both / F.greatest(F.size(union), F.lit(1)))
+    # What both hold of the union's sketch: their common hashes up to its greatest. The union stands in an array of one, so
+    # that it is made once and not for each hash.
+    both = F.get(F.transform(F.array(merged(a, b, k)), lambda u: F.size(F.filter(F.array_intersect(a, b), lambda h: h <= F.element_at(u, -1))) / F.greatest(F.size(u), F.lit(1))), F.lit(0))
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(both)
 
 
 def distinct_shingles(a: Column, k: int = K) -> Column:

@@ -1,11 +1,14 @@
 """PartEnum join, winnowing and bottom-k sketches against brute force."""
 
 
+import hashlib
 import random
 import re
+import struct
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from relaylens.llm import bottomk, partenum, winnow
@@ -252,3 +255,52 @@ def test_edits_of_odd_documents(spark):
         want[d] = t[: len(t) - q] + order[(k + 1) % len(order)][1][:q]
     assert len(got) == len(rows) and {r.doc_id: r.edited for r in got} == want
     assert bottomk.edited_pairs(spark.createDataFrame([(1, "alone in here")], DOCS)).collect()[0].edited == "alone in halo"
+
+
+def long_hash(h, x):
+    return xxhash.xxh64_intdigest(struct.pack("<q", x), h)
+
+
+def signed(h):
+    return h - 2**64 if h >= 2**63 else h
+
+
+def brute_sketch(text):
+    """The 128 least hashes of all 5-word shingles, by another library."""
+    w = [signed(xxhash.xxh64_intdigest(x.encode(), 42)) for x in re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())]
+    runs = [w[i : i + 5] for i in range(len(w) - 4)] or ([w] if w else [])
+    hashes = set()
+    for run in runs:
+        h = 42
+        for x in run:
+            h = long_hash(h, x)
+        hashes.add(signed(h))
+    return sorted(hashes)[:128]
+
+
+def brute_likeness(a, b):
+    union = sorted({*a, *b})[:128]
+    return 1.0 if not a and not b else len({*a} & {*b} & {*union}) / len(union)
+
+
+def test_fingerprints_equal_brute_force(spark, tmp_path):
+    rng = random.Random(9)
+    texts = [" ".join("".join(rng.choices("abcdé", k=3)) for _ in range(rng.choice([0, 1, 4, 5, 6, 30, 133, 400]))) for _ in range(24)]
+    rows = [*enumerate(texts), (30, None), (31, ""), (32, " \t\n "), (33, texts[7]), (34, "x" * 100_000), (35, "A b C d e"), (36, " ".join(f"w{i}" for i in range(30_000)))]
+    spark.createDataFrame([(i, t, 1.0, "k") for i, t in rows], DOCS + ", near_next double, own string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in bottomk.op3_bottom_k(spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows)
+    for (i, t), (_, after) in zip(rows, [*rows[1:], rows[0]]):
+        t, after = t or "", after or ""
+        n = len(t) // 4
+        edited = t[: len(t) - n] + after[:n]
+        own, other, following = (brute_sketch(x) for x in (t, edited, after))
+        r = got[i]
+        assert r.n_chars == len(t) and r.edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+        assert r.fingerprint == ",".join(map(str, own)) and r.edited_fingerprint == ",".join(map(str, other))
+        assert r.near_edited == pytest.approx(brute_likeness(own, other)) and r.near_next == pytest.approx(brute_likeness(own, following))
+
+
+def test_fingerprints_of_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    assert bottomk.op3_bottom_k(spark, str(tmp_path)).count() == 0
