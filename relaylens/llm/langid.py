@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import bounded_batches, held_out, table
+from .common import bounded_batches, held_out, table, written
 
 ORDERS = (1, 2, 3)
 #: Fixed value: the result for a text that is null or has no letter.
@@ -89,19 +89,26 @@ class RankProfiles:
         return self.languages[best], float(1 - d[best])
 
 
+def training_ids(rows: DataFrame, most: int) -> DataFrame:
+    """lang, doc_id of the `most` different ids of each language that hash lowest."""
+    ids = rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"))
+    sizes = written(ids.groupBy("lang").agg(F.approx_count_distinct("doc_id", 0.02).alias("n"))).withColumnRenamed("lang", "l")
+    # Hashes are spread evenly, so below this share of their range lie about twice the ids wanted; only these are ranked.
+    share = F.least(F.lit(1.0), F.lit(2.0 * most) / F.greatest(F.col("n"), F.lit(1)))
+    near = ids.join(sizes, F.col("lang") == F.col("l")).where((F.col("h").cast("double") + 2.0**63) / 2.0**64 <= share).select("lang", "doc_id", "h").distinct()
+    return near.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("n") <= most).select("lang", "doc_id")
+
+
 def fit_profiles(docs: DataFrame, most: int = 2_000, top: int = 400) -> RankProfiles:
     """Profiles from a bounded sample: for each language the `most` documents whose id hashes lowest, none held out.
 
     The bound is documented and per language: n-gram counts are summed on the executors, and the driver gets `top`
-    rows a language. Rows with a null text, language or id are left out.
+    rows a language. Rows with a null text, language or id are left out. Of several rows of one id and language the text
+    that hashes lowest counts, so an id that is on many rows is one document. The sample's ids are a written table, which
+    Spark broadcasts below its threshold.
     """
     rows = docs.select("doc_id", "lang", "text").where("text is not null and lang is not null and doc_id is not null").where(~held_out())
-    sizes = rows.groupBy("lang").count().collect()  # a row a language
-    # Hashes are spread evenly, so below this share of their range lie about twice the rows wanted; only these are ranked.
-    least = F.create_map(*[F.lit(x) for r in sizes for x in (r[0], min(2**63 - 1, int(-(2**63) + 2**64 * min(1.0, 2 * most / r[1]))))]) if sizes else F.lit(None)
-    ids = rows.select("lang", "doc_id", F.xxhash64("doc_id").alias("h")).where(F.col("h") <= (least[F.col("lang")] if sizes else F.lit(0)))
-    first = ids.withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))).where(F.col("n") <= most).select(F.col("lang").alias("l"), F.col("doc_id").alias("d"))
-    languages = sorted(r[0] for r in sizes)
+    first = written(training_ids(rows, most)).select(F.col("lang").alias("l"), F.col("doc_id").alias("d"))
 
     def grams(batches):
         for b in batches:
@@ -113,10 +120,11 @@ def fit_profiles(docs: DataFrame, most: int = 2_000, top: int = 400) -> RankProf
                 u, at = np.unique(codes, return_inverse=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(u), pa.string()), pa.array(u), pa.array(np.bincount(at, counts, len(u)).astype(np.int64))], ["lang", "code", "n"])
 
-    sample = rows.join(F.broadcast(first), (F.col("lang") == F.col("l")) & (F.col("doc_id") == F.col("d")), "left_semi")  # at most `most` rows a language
+    sample = rows.join(first, (F.col("lang") == F.col("l")) & (F.col("doc_id") == F.col("d")), "left_semi")
+    sample = sample.groupBy("lang", "doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t")).select("lang", "t.text")
     total = sample.mapInArrow(grams, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     best = total.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))).where(F.col("r") <= top).select("lang", "code", "r").toPandas()
-    codes, ranks = [], []
+    languages, codes, ranks = sorted(best.lang.unique()), [], []
     for lang in languages:
         own = best[best.lang == lang].sort_values("code")
         codes.append(own.code.to_numpy(np.int64))

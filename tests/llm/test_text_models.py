@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 
 import public_tokenizers
 import pytest
@@ -66,6 +67,21 @@ def test_language_by_rank_order(spark):
     assert {r.lang_pred for r in langid.identify(d, empty, ["doc_id"]).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("most", [5, 2000])
+def test_an_id_on_many_rows_is_one_document(spark, most):
+    """Each language is learned, whichever id is on thousands of rows; of its texts one counts."""
+    for hot in (0, 1, 7, 10):
+        rows = [(hot, LANGS["de"], "de", None)] * 3000 + [(hot, LANGS["de"] + " zzz", "de", None)] * 3000 + [(i, LANGS["en"], "en", None) for i in range(100, 160)]
+        model = langid.fit_profiles(spark.createDataFrame(rows, DOCS).repartition(8), most=most)
+        assert model.languages == (["en"] if zlib.crc32(str(hot).encode()) % 3 == 1 else ["de", "en"])
+        assert all(len(c) > 20 for c in model.codes)
+
+
+def test_equally_near_languages_give_the_first(spark):
+    d = spark.createDataFrame([(i, LANGS["en"], k, None) for i, k in enumerate(["xx", "aa"] * 20)], DOCS)
+    assert {r.lang_pred for r in langid.identify(d, langid.fit_profiles(d), ["doc_id"]).collect()} == {"aa"}
+
+
 @pytest.fixture(scope="module")
 def coder():
     with open(public_tokenizers.path(bpe.VOCABULARY), "rb") as f:
