@@ -43,19 +43,36 @@ def _head(name: str, value: Column) -> Column:
 
 
 def plan_captures(pages: DataFrame) -> DataFrame:
-    """page_id, url, html, capture (its name), bytes, digest and refers_to of each page.
+    """page_id, url, html, capture (its name), bytes, digest, refers_to and target of each page.
 
-    refers_to is the largest page_id of an equal payload of at least REVISIT_BYTES, if that is another page. A null
-    html is an empty payload. Rows that repeat a page_id are one capture. A null page_id is named after its content.
+    refers_to is the largest page_id of an equal payload of at least REVISIT_BYTES, if that is another page; target is the
+    name of its capture. A null html is an empty payload. A capture is named by page_id, digest and url (each may be null)
+    and by a number among rows that are equal in all of them, so that each row is a capture of its own.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("bytes", F.octet_length("html").cast("long")).withColumn("digest", F.sha1(F.col("html").cast("binary")))
-    named = rows.withColumn("capture", F.coalesce(F.col("page_id").cast("string"), F.concat(F.lit("none-"), F.sha1(F.concat(F.coalesce("url", F.lit("")), F.lit(" "), "digest").cast("binary")))))
-    groups = named.where(f"bytes >= {REVISIT_BYTES}").groupBy("digest").agg(F.max("page_id").alias("last"), F.min("page_id").alias("first"), F.count("*").alias("n"))
-    several = written(groups.where("n > 1 and first < last").select(F.col("digest").alias("same"), "last"))
+    narrow = written(rows.select("page_id", "url", "bytes", "digest"))
+    same = ["page_id", "url", "digest"]
+    repeated = written(narrow.groupBy(*same).count().where("count > 1").select(*[F.col(c).alias(f"r_{c}") for c in same]))
+    numbered = rows.withColumn("number", F.lit(1))
+    if repeated.limit(1).count():  # tables without repeated rows aren't joined with them
+        match = F.lit(True)
+        for c in same:
+            match = match & F.col(c).eqNullSafe(F.col(f"r_{c}"))
+        # Equal rows are counted before the shuffle and then numbered, however many they are.
+        counted = rows.join(repeated, match, "left_semi").groupBy(*same).agg(F.first("html").alias("html"), F.first("bytes").alias("bytes"), F.count("*").cast("int").alias("n"))
+        numbered = numbered.join(repeated, match, "left_anti").unionByName(counted.select("page_id", "url", "html", "bytes", "digest", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("number")))
+    groups = narrow.where(f"bytes >= {REVISIT_BYTES}").groupBy("digest").agg(F.max(F.struct("page_id", "url")).alias("last"), F.min("page_id").alias("first"), F.count("*").alias("n"))
+    several = written(groups.where("n > 1 and first < last.page_id").select(F.col("digest").alias("same"), F.col("last.page_id").alias("last"), F.col("last.url").alias("last_url")))
     # Both sides of this join are plain shuffles, so Spark splits a digest that a third of the pages have.
-    joined = named.join(several, (F.col("digest") == F.col("same")) & (F.col("bytes") >= REVISIT_BYTES), "left")
-    return joined.select("page_id", "url", "html", "capture", "bytes", "digest", F.when(F.col("last") != F.col("page_id"), F.col("last")).alias("refers_to"))
+    joined = numbered.join(several, (F.col("digest") == F.col("same")) & (F.col("bytes") >= REVISIT_BYTES), "left")
+    refers = F.when(F.col("last") != F.col("page_id"), F.col("last"))
+    target = F.when(refers.isNotNull(), _name(F.col("last"), F.col("last_url"), F.col("digest"), F.lit(1)))
+    return joined.select("page_id", "url", "html", _name(F.col("page_id"), F.col("url"), F.col("digest"), F.col("number")).alias("capture"), "bytes", "digest", refers.alias("refers_to"), target.alias("target"))
+
+
+def _name(page_id: Column, url: Column, digest: Column, number: Column) -> Column:
+    return F.concat_ws(" ", F.coalesce(page_id.cast("string"), F.lit("none")), digest, number.cast("string"), F.concat(F.lit("of "), url))
 
 
 def write_warc(captures: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", compression: str = "gzip") -> None:
@@ -75,10 +92,10 @@ def write_warc(captures: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z
     body = F.when((F.instr("html", SEPARATOR) > 0) | F.startswith("html", F.lit(SEPARATOR[1:])), chunked).otherwise(whole)
     is_revisit = c("refers_to").isNotNull()
     as_response = _record("response", response, [*common, _head("Content-Type", F.lit("application/http; msgtype=response")), digest], body)
-    as_revisit = _record("revisit", response, [*common, _head("Content-Type", F.lit("application/http; msgtype=response")), digest, F.concat(F.lit("WARC-Refers-To: <"), _id(c("refers_to").cast("string"), "response"), F.lit(">")), F.lit(f"WARC-Profile: {PROFILE}")], F.concat(http, F.lit(_END)))
+    as_revisit = _record("revisit", response, [*common, _head("Content-Type", F.lit("application/http; msgtype=response")), digest, F.concat(F.lit("WARC-Refers-To: <"), _id(c("target"), "response"), F.lit(">")), F.lit(f"WARC-Profile: {PROFILE}")], F.concat(http, F.lit(_END)))
     concurrent = F.concat(F.lit("WARC-Concurrent-To: <"), response, F.lit(">"))
     as_request = _record("request", request, [*common, _head("Content-Type", F.lit("application/http; msgtype=request")), concurrent], F.concat(F.lit("GET "), path_of, F.lit(f" HTTP/1.1{_END}Host: "), host_of, F.lit(_END + _END)))
-    fields = F.concat_ws(_END, F.concat(F.lit("page-id: "), c("page_id").cast("string")), F.concat(F.lit("payload-bytes: "), c("bytes").cast("string")), F.concat(F.lit("refers-to-page: "), c("refers_to").cast("string")), F.lit(""))
+    fields = F.concat_ws(_END, F.concat(F.lit("page-id: "), c("page_id").cast("string")), F.lit(""))
     as_metadata = _record("metadata", metadata, [*common, _head("Content-Type", F.lit("application/warc-fields")), concurrent], fields)
     records = captures.select(F.explode(F.array(F.when(is_revisit, as_revisit).otherwise(as_response), as_request, as_metadata)).alias("value"))
     records.select(F.concat(F.lit(VERSION + _END), "value").alias("value")).write.option("lineSep", _END + _END).option("compression", compression).option("zlib.compress.level", "BEST_SPEED").text(path)
@@ -114,7 +131,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     ).withColumn("block", F.expr("substring(rest, 1, coalesce(try_cast(length as int), 0))"))
     is_http = F.coalesce(F.col("content_type"), F.lit("")).startswith("application/http")
     # The head of an HTTP message is ASCII here, so characters before its end are bytes.
-    at = F.when(is_http, F.instr(F.decode(F.expr("substring(block, 1, 4096)"), "ISO-8859-1"), _END + _END))
+    end = lambda block: F.nullif(F.instr(F.decode(block, "ISO-8859-1"), _END + _END), F.lit(0))
+    at = F.when(is_http, F.coalesce(end(F.expr("substring(block, 1, 4096)")), end(F.col("block"))))  # a longer head: the whole block is searched
     rows = rows.withColumn("at", at)
     rows = rows.withColumn("http", F.when(F.col("at") > 0, F.decode(F.expr("substring(block, 1, at - 1)"), "ISO-8859-1")))
     rows = rows.withColumn("payload", F.when(F.col("at") > 0, F.expr("substring(block, at + 4)")).otherwise(F.col("block")))
@@ -176,28 +194,30 @@ def assemble(records: DataFrame) -> DataFrame:
 def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """page_id, url, payload_bytes, payload_digest, record_type, refers_to of every page, from archives written and read back.
 
-    The digest and size of a response are those of the payload read; a revisit has no payload and carries both.
+    The digest and size of a response are those of the payload read. A revisit has no payload: its size and refers_to are
+    those of the response whose record WARC-Refers-To names, its digest is the one that its record states.
     """
     path = shared_folder(spark)
     write_warc(plan_captures(table(spark, sf_dir, "pages")), path)
     records = read_warc(spark, path)
     is_response = F.col("type") == "response"
     narrow = records.select(
-        "record_id", "type", "uri", "concurrent_to",
+        "record_id", "type", "uri", "concurrent_to", "refers_to",
         F.when(is_response, F.sha1("payload")).otherwise(F.col("digest")).alias("digest"),
         F.when(is_response, F.octet_length("payload").cast("long")).alias("bytes"),
         F.when(F.col("type") == "metadata", F.decode("payload", "UTF-8")).alias("fields"),
     )
-    captures = assemble(written(narrow))
     said = F.get("metadata", F.lit(0))["fields"]
-    field = lambda name: F.nullif(F.regexp_extract(said, rf"(?m)^{name}: (-?\d+)\r?$", 1), F.lit("")).cast("long")
-    return captures.select(
-        field("page-id").alias("page_id"),
-        F.col("response.uri").alias("url"),
-        F.coalesce(F.col("response.bytes"), field("payload-bytes")).alias("payload_bytes"),
-        F.col("response.digest").alias("payload_digest"),
-        F.col("response.type").alias("record_type"),
-        field("refers-to-page").alias("refers_to"),
+    page_id = F.nullif(F.regexp_extract(said, r"(?m)^page-id: (-?\d+)\r?$", 1), F.lit("")).cast("long")
+    captures = written(assemble(written(narrow)).select("capture_id", page_id.alias("page_id"), *[F.col(f"response.{c}").alias(c) for c in ("uri", "type", "digest", "bytes", "refers_to")]))
+    earlier = captures.where("type = 'response'").select(F.col("capture_id").alias("earlier_id"), F.col("page_id").alias("earlier_page"), F.col("bytes").alias("earlier_bytes"))
+    return captures.join(earlier, F.col("refers_to") == F.col("earlier_id"), "left").select(
+        "page_id",
+        F.col("uri").alias("url"),
+        F.coalesce("bytes", "earlier_bytes").alias("payload_bytes"),
+        F.col("digest").alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        F.when(F.col("type") == "revisit", F.col("earlier_page")).alias("refers_to"),
     )
 
 

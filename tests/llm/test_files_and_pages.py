@@ -29,10 +29,43 @@ def test_records_come_back_whole(spark):
     records = warc.read_warc(spark, path)
     got = records.where("type = 'response'").collect()
     assert sorted(bytes(r.payload) for r in got) == sorted((h or "").encode() for i, _, h in rows if i not in (1, 2))
+    assert records.select("record_id").distinct().count() == records.count() == 3 * len(rows)
     assert all(hashlib.sha1(bytes(r.payload)).hexdigest() == r.digest for r in got)
     assert records.where("type = 'revisit'").count() == 3  # page 1 and both rows of page 2 refer to page 10
     captures = warc.assemble(records.drop("payload", "http"))
-    assert captures.count() == 11 and captures.where("size(requests) <> 1 or size(metadata) <> 1 or response is null").count() == 0
+    assert captures.count() == len(rows) and captures.where("size(requests) <> 1 or size(metadata) <> 1 or response is null").count() == 0
+
+
+def expected_captures(rows):
+    """What SQL says: of equal payloads of 1000 bytes or more the one of largest page_id is the response."""
+    payloads = [(h or "").encode() for _, _, h in rows]
+    last = {}
+    for (i, _, _), p in zip(rows, payloads):
+        if len(p) >= warc.REVISIT_BYTES and i is not None:
+            last[p] = max(last.get(p, i), i)
+    out = []
+    for (i, _, _), p in zip(rows, payloads):
+        to = last.get(p) if i is not None and last.get(p) != i else None
+        out.append((i, len(p), hashlib.sha1(p).hexdigest(), "response" if to is None else "revisit", to))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("case", ["odd rows", "ids that differ in html", "repeats", "empty"])
+def test_every_page_is_a_capture(spark, tmp_path, case):
+    a, b = "A" * 1500, "B" * 1500
+    rows = {"odd rows": pages(spark)[0], "ids that differ in html": [(1, "u", a), (1, "u", b), (2, "u", b)], "repeats": [(1, "u", a), (2, None, a), (2, None, a), (2, "w", a), (1, "u", a), (None, None, None), (None, None, None)], "empty": []}[case]
+    spark.createDataFrame([(i, u, h, "x") for i, u, h in rows], PAGES + ", refers_to string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = warc.op1_warc_transactions(spark, str(tmp_path)).collect()
+    assert sorted(((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got), key=str) == expected_captures(rows)
+
+
+def test_a_long_http_head(spark, tmp_path):
+    """Of a foreign archive: cookies of 9000 bytes go before the payload."""
+    block = "HTTP/1.1 200 OK\r\nSet-Cookie: " + "c" * 9000 + "\r\n\r\né payload"
+    record = f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x>\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: {len(block.encode())}\r\n\r\n{block}\r\n\r\n"
+    (tmp_path / "a.warc").write_bytes(record.encode())
+    got = warc.read_warc(spark, str(tmp_path)).collect()
+    assert [bytes(r.payload).decode() for r in got] == ["é payload"] and len(got[0].http) > 9000
 
 
 def test_many_records_cross_buffers(spark):
