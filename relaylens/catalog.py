@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import expr as X
@@ -66,20 +66,17 @@ def w1_dedupe_first(spark, sf_dir):
 
 @query_of(f"WITH {D.O_FIRST} SELECT coalesce(c.xRequestId, p.xRequestId) AS xRequestId, c._id AS client_id, p._id AS producer_id {_PAIRS}")
 def j1_pair_full_outer(spark, sf_dir):
-    parts = correct.split_records(D.raw(spark, sf_dir))
-    return correct.paired(parts["clients"], parts["producers"]).select("xRequestId", F.col("client._id").alias("client_id"), F.col("producer._id").alias("producer_id"))
+    return correct.paired(correct.split_records(D.raw(spark, sf_dir))["first"]).select("xRequestId", F.col("client._id").alias("client_id"), F.col("producer._id").alias("producer_id"))
 
 
 @query_of(f"WITH {D.O_FIRST} SELECT coalesce(c.xRequestId, p.xRequestId) AS xRequestId, {', '.join(f'{e} AS {k}' for k, e in _D.items())} {_PAIRS}")
 def m1_durations(spark, sf_dir):
-    parts = correct.split_records(D.raw(spark, sf_dir))
-    return correct.paired(parts["clients"], parts["producers"]).select("xRequestId", *[v.alias(k) for k, v in correct.durations().items()])
+    return correct.paired(correct.split_records(D.raw(spark, sf_dir))["first"]).select("xRequestId", *[v.alias(k) for k, v in correct.durations().items()])
 
 
 @query_of(f"WITH {D.O_FIRST} SELECT coalesce(c.xRequestId, p.xRequestId) AS xRequestId, {', '.join(f'{e} AS {k}' for k, e in _S.items())} {_PAIRS}")
 def m2_transaction_size(spark, sf_dir):
-    parts = correct.split_records(D.raw(spark, sf_dir))
-    return correct.paired(parts["clients"], parts["producers"]).select("xRequestId", *[v.alias(k) for k, v in correct.sizes().items()])
+    return correct.paired(correct.split_records(D.raw(spark, sf_dir))["first"]).select("xRequestId", *[v.alias(k) for k, v in correct.sizes().items()])
 
 
 @query_of(f"WITH {D.O_FIRST} SELECT coalesce(c.xRequestId, p.xRequestId) AS xRequestId, {', '.join(f'{_clamped(e)} AS {k}' for k, e in {**_D, **_S}.items())} {_PAIRS}")
@@ -100,12 +97,11 @@ def c1_correct_batch(spark, sf_dir):
 WHERE c._id IS NOT NULL OR p._id IS NOT NULL""")
 def j2_late_partner(spark, sf_dir):
     """Producers of odd requests come a batch later and complete their orphans; the others keep their time."""
-    parts = correct.split_records(D.raw(spark, sf_dir))
-    odd = F.col("xRequestId").cast("long") % 2 == 1
-    has_client = parts["clients"].select("xRequestId")
-    late = parts["producers"].where(odd).join(has_client, "xRequestId", "left_semi").select(parts["producers"].columns)
-    early = parts["producers"].join(late.select("_id"), "_id", "left_anti").select(parts["producers"].columns)
-    first = written(correct.correct_batch(parts["clients"].unionByName(early), D.NOW)["clean"])
+    first = correct.split_records(D.raw(spark, sf_dir))["first"]
+    sides = F.count_if(correct.party() == "client").over(Window.partitionBy("xRequestId"))
+    first = first.withColumn("late", (correct.party() == "producer") & (F.col("xRequestId").cast("long") % 2 == 1) & (sides > 0))
+    late = first.where("late").drop("late")
+    first = written(correct.correct_batch(first.where("not late").drop("late"), D.NOW)["clean"])
     second = correct.correct_batch(late, D.NOW + 100, first)["clean"]
     return second.where("xRequestId <> ''").select("xRequestId", (F.col("matchingType") == "regular_pair").alias("is_pair"), "correctorTime")
 
@@ -353,9 +349,9 @@ def a8_edges(spark, sf_dir):
 
 
 @query_of(f"""{_EDGES} SELECT e.*, coalesce(a.c_name, clientMemberCode) AS clientName, coalesce(b.s_name, serviceMemberCode) AS serviceName, coalesce(a.c_name, clientMemberCode) || chr(10) || clientSubsystemCode AS clientLabel, coalesce(b.s_name, serviceMemberCode) || chr(10) || serviceSubsystemCode AS serviceLabel
-FROM edges e LEFT JOIN (SELECT CAST(c_custkey AS STRING) AS k, c_name FROM customer WHERE c_custkey < 20) a ON clientMemberCode = a.k LEFT JOIN (SELECT CAST(c_custkey AS STRING) AS k, c_name AS s_name FROM customer WHERE c_custkey < 20) b ON serviceMemberCode = b.k""")
+FROM edges e LEFT JOIN (SELECT CAST(c_custkey AS STRING) AS k, c_name FROM customer) a ON clientMemberCode = a.k LEFT JOIN (SELECT CAST(c_custkey AS STRING) AS k, c_name AS s_name FROM customer) b ON serviceMemberCode = b.k""")
 def j9_member_names(spark, sf_dir):
-    names = _table(spark, sf_dir, "customer").where("c_custkey < 20").select(F.col("c_custkey").cast("string").alias("member_code"), F.col("c_name").alias("member_name"))
+    names = _table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("member_code"), F.col("c_name").alias("member_name"))
     return network.named(network.edges(D.raw(spark, sf_dir)), names)
 
 
@@ -540,9 +536,7 @@ def p24_lifecycle_stages(spark, sf_dir):
 {", ".join(f"coalesce(c.{k}, p.{k}, '-') AS {k}" for k in ("clientSubsystemCode", "serviceCode", "serviceVersion"))}, coalesce({_clamped(_S["clientRequestSize"])}, {_clamped(_S["producerRequestSize"])}) AS requestSize {_PAIRS}""")
 def p1_client_else_producer(spark, sf_dir):
     clean = D.clean(spark, sf_dir).where("xRequestId <> ''")
-    u = anomaly.unified(clean)
-    ids = clean.select(F.coalesce("client._id", "producer._id").alias("_id"), "xRequestId")
-    return u.join(ids, "_id").select("xRequestId", "requestInTs", "succeeded", "clientSubsystemCode", "serviceCode", "serviceVersion", "requestSize")
+    return anomaly.unified(clean).select("xRequestId", "requestInTs", "succeeded", "clientSubsystemCode", "serviceCode", "serviceVersion", "requestSize")
 
 
 @query_of(f"WITH {D.O_CALLS} SELECT requestInTs < 1704931200000 AS archived, count(*) AS n, min(id) AS min_id, max(id) AS max_id FROM calls GROUP BY 1")
@@ -561,7 +555,8 @@ def s28_latest_state(spark, sf_dir):
 # ---- streams (run to the end of the input)
 
 
-@query_of(None)
+@query_of(f"""WITH {D.O_FIRST} SELECT coalesce(c.xRequestId, p.xRequestId) AS xRequestId, c._id AS client_id, p._id AS producer_id,
+  CASE WHEN c._id IS NOT NULL AND p._id IS NOT NULL THEN 'done' ELSE 'processing' END AS status, CASE WHEN c._id IS NOT NULL AND p._id IS NOT NULL THEN 'regular_pair' ELSE 'orphan' END AS matching {_PAIRS}""")
 def t3_stream_pair(spark, sf_dir):
     return pairing.run_pairing(spark, D.raw(spark, sf_dir)).select("xRequestId", "client_id", "producer_id", "status", "matching")
 
@@ -569,3 +564,127 @@ def t3_stream_pair(spark, sf_dir):
 @query_of(f"{_WIN(60)} SELECT period_ms, count(*) AS n, count(*) FILTER (NOT succeeded) AS failed FROM w GROUP BY 1")
 def t8_stream_tumbling(spark, sf_dir):
     return pairing.run_tumbling(spark, D.calls(spark, sf_dir))
+
+
+# ---- stores, pointers and what a model is kept by
+
+_RETRAINED = "serviceCode = 'op1'"
+
+
+@query_of(f"""{_WIN(60)}, {_MODEL_SQL(f"WHERE period_ms < {_CUT}")}, early AS (SELECT * FROM model),
+late AS (SELECT {_K}, similar_periods, {", ".join(f"count({m}) AS {m}_count, avg({m}) AS {m}_mean" for m in anomaly.METRICS)} FROM hk WHERE period_ms >= {_CUT} AND {_RETRAINED} GROUP BY ALL)
+SELECT {_K}, similar_periods, request_count_count, round(request_count_mean, 4) AS request_count_mean, round(mean_request_size_mean, 4) AS mean_request_size_mean, 1 AS version FROM early WHERE NOT {_RETRAINED}
+UNION ALL SELECT {_K}, similar_periods, request_count_count, round(request_count_mean, 4), round(mean_request_size_mean, 4), 1 FROM late""")
+def j17_drop_retrained(spark, sf_dir):
+    """Service calls of one operation are fitted anew on the last weeks; none of their old periods stay."""
+    frame = anomaly.historic_averages(D.calls(spark, sf_dir))
+    model, cut = anomaly.PeriodModel(), F.unix_millis("period") < _CUT
+    again = frame.where(_RETRAINED).select(*SERVICE_CALL).distinct()
+    out = model.retrain(model.fit(frame.where(cut)), frame.where(~cut), again)
+    return out.select(*SERVICE_CALL, "similar_periods", "request_count_count", F.round("request_count_mean", 4).alias("request_count_mean"), F.round("mean_request_size_mean", 4).alias("mean_request_size_mean"), "version")
+
+
+@query_of(f"{_WIN(60)}, {_MODEL_SQL(f'WHERE period_ms < {_CUT}')} SELECT {_K}, similar_periods, request_count_count, round(request_count_mean, 4) AS request_count_mean, 1 AS version FROM model")
+def a24_one_model_row(spark, sf_dir):
+    """A model saved three times, each row once under each version: one row a key is left."""
+    frame = anomaly.historic_averages(D.calls(spark, sf_dir))
+    model = anomaly.PeriodModel()
+    fitted = model.fit(frame.where(F.unix_millis("period") < _CUT))
+    saved = fitted.unionByName(fitted).unionByName(fitted.withColumns({"version": F.lit(2), "request_count_mean": F.lit(0.0)}))
+    return model.one_a_period(saved).select(*SERVICE_CALL, "similar_periods", "request_count_count", F.round("request_count_mean", 4).alias("request_count_mean"), "version")
+
+
+@query_of(f"{_INCIDENTS} SELECT incident_status, CAST(sum(n) AS BIGINT) AS request_count FROM incidents GROUP BY 1 UNION ALL SELECT 'none', 0")
+def a18_incident_requests(spark, sf_dir):
+    found = _incidents(D.calls(spark, sf_dir))
+    each = [anomaly.incident_requests(found.where(F.col("incident_status") == s)).select(F.lit(s).alias("incident_status"), "request_count") for s in ("incident", "new", "none")]
+    return each[0].unionByName(each[1]).unionByName(each[2])
+
+
+@query_of(f"{_INCIDENTS} SELECT DISTINCT serviceCode FROM incidents WHERE incident_status IN ('new', 'showed') ORDER BY 1")
+def a20_distinct_values(spark, sf_dir):
+    return query.distinct_values(_incidents(D.calls(spark, sf_dir)).where(F.col("incident_status").isin("new", "showed")), "serviceCode")
+
+
+@query_of(f"""WITH {D.O_CALLS}, s AS (SELECT * FROM (VALUES ('op0'), ('op1'), ('op2'), ('gone')) v(serviceCode))
+SELECT s.serviceCode, count(DISTINCT _id) AS total, {", ".join(f"count(DISTINCT _id) FILTER (requestInTs >= {a} AND requestInTs < {b}) AS {n}" for n, (a, b) in stats.calendar_windows(NOW).items())} FROM s LEFT JOIN calls USING (serviceCode) GROUP BY 1""")
+def a11_service_calendar(spark, sf_dir):
+    return stats.service_calendar(D.calls(spark, sf_dir), NOW, ["op0", "op1", "op2", "gone"], column="serviceCode")
+
+
+@query_of(f"""WITH {D.O_RAW} SELECT DISTINCT * FROM (SELECT clientMemberCode AS memberCode, coalesce(clientSubsystemCode, '') AS subsystemCode, clientMemberClass AS memberClass FROM raw
+UNION ALL SELECT serviceMemberCode, coalesce(serviceSubsystemCode, ''), serviceMemberClass FROM raw) WHERE memberCode IS NOT NULL""")
+def a16_member_triples(spark, sf_dir):
+    return report.member_triples(D.raw(spark, sf_dir))
+
+
+_FRAME_MS = (830_000_000_000, 900_000_000_000)
+
+
+@query_of(f"WITH {D.O_FIRST} SELECT count(*) AS n {_PAIRS} WHERE c.requestInTs BETWEEN {_FRAME_MS[0]} AND {_FRAME_MS[1]} OR p.requestInTs BETWEEN {_FRAME_MS[0]} AND {_FRAME_MS[1]}")
+def a17_either_side_in_frame(spark, sf_dir):
+    clean = D.clean(spark, sf_dir).where("xRequestId <> ''")
+    return report.clean_calls_between(clean, *_FRAME_MS).agg(F.count("*").alias("n"))
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT archived, count(*) AS n, sum(id) AS ids FROM (SELECT id, requestInTs < 1704931200000 AND row_number() OVER (ORDER BY requestInTs, id) <= 700 AS archived FROM calls) GROUP BY 1")
+def s24_archive_batch(spark, sf_dir):
+    """At least 100 old calls have to be there, and at most 700 go at once."""
+    batch, rest = tables.archive_batch(D.calls(spark, sf_dir), F.col("requestInTs") < 1704931200000, 100, 700, ["requestInTs", "id"])
+    both = batch.withColumn("archived", F.lit(True)).unionByName(rest.withColumn("archived", F.lit(False)))
+    return both.groupBy("archived").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
+
+
+@query_of(f"""WITH {D.O_CALLS}, m AS (SELECT clientMemberCode, max(requestInTs) FILTER (requestInTs < 1705000000000) AS a, max(requestInTs) FILTER (requestInTs < 1706000000000) AS b FROM calls GROUP BY 1)
+SELECT clientMemberCode, CAST(a AS DOUBLE) AS after_first, CAST(b AS DOUBLE) AS after_second, CAST(a AS DOUBLE) AS rolled_back FROM m WHERE a IS NOT NULL UNION ALL SELECT 'unseen', 5.0, 5.0, 5.0""")
+def s3_pointers(spark, sf_dir):
+    """Where each member's reading goes on: after a batch, after the next one, and once that is rolled back."""
+    calls, key = D.calls(spark, sf_dir), ["clientMemberCode"]
+    read = lambda end: calls.where(F.col("requestInTs") < end).groupBy(*key).agg(F.max("requestInTs").alias("position"))
+    log = tables.moved(spark.createDataFrame([], "clientMemberCode string, position double, batch int"), read(1_705_000_000_000), key, 1)
+    log = written(tables.moved(log, read(1_706_000_000_000), key, 2))
+    wanted = log.where("batch = 1").select(*key).union(spark.createDataFrame([("unseen",)], "clientMemberCode string"))
+    at = lambda until, name: tables.pointer(tables.current(log, key, until), key, wanted, 5.0).withColumnRenamed("position", name)
+    return at(1, "after_first").join(at(None, "after_second"), key).join(at(1, "rolled_back"), key)
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT serviceCode, 2 AS version, count(*) AS n FROM calls WHERE serviceCode <> 'op2' GROUP BY 1")
+def s28_model_store(spark, sf_dir):
+    """Two saves of one name and one of another: the newest version is loaded, without what was deleted by field."""
+    counts = D.calls(spark, sf_dir).groupBy("serviceCode").agg(F.count("*").alias("n"))
+    save = lambda name, version, n: counts.select(F.lit(name).alias("model_name"), F.lit(version).alias("version"), "serviceCode", n.alias("n"))
+    store = save("hour", 1, F.lit(0).cast("long")).unionByName(save("hour", 2, F.col("n"))).unionByName(save("day", 3, F.col("n")))
+    return tables.without_values(tables.of_version(store, "hour"), "serviceCode", ["op2"]).select("serviceCode", "version", "n")
+
+
+@query_of(f"{_WIN(60)} SELECT {_K}, period_ms AS period, count(*) AS request_count FROM w WHERE period_ms < 1705842000000 GROUP BY ALL")
+def t9_late_buffer(spark, sf_dir):
+    """With records up to ten days late, only windows before the tenth day back are analysed."""
+    frame = anomaly.analysable(anomaly.historic_averages(D.calls(spark, sf_dir)), dt.datetime(2024, 1, 31, 13, 40), 60, 14_400)
+    return _flat(frame).select(*SERVICE_CALL, "period", "request_count")
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT id, requestInTs, serviceCode FROM calls ORDER BY requestInTs DESC, id LIMIT 10")
+def f4_preview(spark, sf_dir):
+    return query.preview(D.calls(spark, sf_dir).select("id", "requestInTs", "serviceCode"), [F.desc("requestInTs"), "id"])
+
+
+_STAGE = "CASE serviceCode WHEN 'op0' THEN 'regular' WHEN 'op1' THEN 'first_train' ELSE 'waiting' END"
+
+
+@query_of(f"""{_INCIDENTS} SELECT _id, {_STAGE} AS stage FROM calls WHERE requestInTs < 1705400000000 AND succeeded AND {_STAGE} <> 'waiting' AND ({_STAGE} <> 'regular' OR requestInTs >= 1704400000000)
+AND _id NOT IN (SELECT unnest(ids) FROM incidents WHERE incident_status = 'incident')""")
+def u3_staged_training_calls(spark, sf_dir):
+    calls = D.calls(spark, sf_dir)
+    stages = calls.select(*SERVICE_CALL).distinct().withColumn("stage", F.expr(_STAGE))
+    return anomaly.staged_training_calls(calls, stages, _incidents(calls), 1704400000000, 1705400000000).select("_id", "stage")
+
+
+@query_of(f"WITH {D.O_RAW} SELECT _id, replace(replace(replace(faultString, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS faultString, CAST(requestInTs AS VARCHAR) AS requestInTs, CAST(succeeded AS VARCHAR) AS succeeded FROM raw")
+def g10_escaped_cells(spark, sf_dir):
+    return query.escaped_cells(D.raw(spark, sf_dir).select("_id", "faultString", "requestInTs", "succeeded"))
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT id, CASE serviceCode WHEN 'op0' THEN 'Päring' WHEN 'op1' THEN 'Teenus' ELSE '???' END AS name FROM calls")
+def g13_translation(spark, sf_dir):
+    return D.calls(spark, sf_dir).select("id", X.translation(F.col("serviceCode"), {"op0": "Päring", "op1": "Teenus"}).alias("name"))

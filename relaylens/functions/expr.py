@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -105,3 +105,15 @@ def two_sided_p(z: Column) -> Column:
 def nulls_like_postgres(column: str, order: str) -> Column:
     """Ascending puts nulls last, descending first: the opposite of Spark's own order."""
     return F.col(column).desc_nulls_first() if order.lower() == "desc" else F.col(column).asc_nulls_last()
+
+
+#: Fixed value: what stands for a text without a translation.
+UNTRANSLATED = "???"
+
+
+def translation(key: Column, texts: Mapping[str, str]) -> Column:
+    """The text of a key, else UNTRANSLATED."""
+    if not texts:
+        return F.lit(UNTRANSLATED)
+    known = F.create_map(*[F.lit(x) for kv in texts.items() for x in kv])
+    return F.coalesce(F.try_element_at(known, key), F.lit(UNTRANSLATED))

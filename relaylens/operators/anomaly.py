@@ -27,7 +27,7 @@ def unified(clean: DataFrame) -> DataFrame:
     fields = [*SERVICE_CALL, "requestInTs", "succeeded", "messageId"]
     both = {f: F.coalesce(F.col(f"client.{f}"), F.col(f"producer.{f}")) for f in fields}
     both |= {f: F.coalesce(both[f], F.lit("-")) for f in SERVICE_CALL}
-    return clean.select(*[v.alias(k) for k, v in both.items()], F.coalesce("clientRequestSize", "producerRequestSize").alias("requestSize"), F.coalesce("clientResponseSize", "producerResponseSize").alias("responseSize"), "totalDuration", "producerDurationProducerView", "requestNwDuration", "responseNwDuration", F.coalesce("client._id", "producer._id").alias("_id"))
+    return clean.select(*[v.alias(k) for k, v in both.items()], F.coalesce("clientRequestSize", "producerRequestSize").alias("requestSize"), F.coalesce("clientResponseSize", "producerResponseSize").alias("responseSize"), "totalDuration", "producerDurationProducerView", "requestNwDuration", "responseNwDuration", F.coalesce("client._id", "producer._id").alias("_id"), "xRequestId")
 
 
 def by_period(calls: DataFrame, minutes: int, keys: Sequence[str] = ()) -> DataFrame:
@@ -52,9 +52,9 @@ def _end(unit: str) -> Column:
     return F.col("period") + F.expr(f"INTERVAL 1 {unit}")
 
 
-def _incident(frame: DataFrame, unit: str, metric: str, value: Column, difference: Column, count: Column, confidence: Column, description: Column) -> DataFrame:
+def _incident(frame: DataFrame, unit: str, metric: str, value: Column, difference: Column, count: Column, confidence: Column, description: Column, keep: Sequence[str] = ()) -> DataFrame:
     return frame.select(
-        *SERVICE_CALL, F.col("period").alias("period_start_time"), _end(unit).alias("period_end_time"), F.lit(metric).alias("anomalous_metric"),
+        *SERVICE_CALL, *keep, F.col("period").alias("period_start_time"), _end(unit).alias("period_end_time"), F.lit(metric).alias("anomalous_metric"),
         value.cast("double").alias("monitored_metric_value"), difference.cast("double").alias("difference_from_normal"), count.cast("double").alias("request_count"),
         confidence.cast("double").alias("anomaly_confidence"), F.lit(unit.lower()).alias("aggregation_timeunit"), description.alias("description"), "request_ids",
     )
@@ -71,7 +71,7 @@ def failed_ratio(calls: DataFrame, threshold: float = 0.9, minutes: int = 60, un
 def duplicate_ids(calls: DataFrame, minutes: int = 60 * 24, unit: str = "DAY") -> DataFrame:
     """Message ids that occur more than once for a service call and window."""
     f = by_period(calls, minutes, ["messageId"]).agg(F.count("*").alias("n"), _ids()).where("n > 1")
-    return _incident(f, unit, "duplicate_message_id", F.col("n"), F.col("n") - 1, F.col("n"), F.lit(1.0), F.format_string("message id %s occurs %d times", "messageId", "n")).withColumn("messageId", F.regexp_extract("description", "^message id (.*) occurs", 1))
+    return _incident(f, unit, "duplicate_message_id", F.col("n"), F.col("n") - 1, F.col("n"), F.lit(1.0), F.format_string("message id %s occurs %d times", "messageId", "n"), keep=["messageId"])
 
 
 def time_sync(calls: DataFrame, metric: str = "requestNwDuration", threshold: float = -2000.0, minutes: int = 60, unit: str = "HOUR") -> DataFrame:
@@ -126,6 +126,21 @@ class PeriodModel:
         added = [(F.coalesce(c, F.lit(0)) + F.coalesce(f"__{c}", F.lit(0))).alias(c) for c in names]
         return self.finished(both.select(*keys, *added, (F.coalesce("version", F.lit(0)) + 1).alias("version")))
 
+    def without(self, model: DataFrame, retrained: DataFrame) -> DataFrame:
+        """The model without all periods of service calls that are trained anew."""
+        return model.join(retrained, same_call(model, retrained), "left_anti")
+
+    def retrain(self, model: DataFrame, frame: DataFrame, retrained: DataFrame) -> DataFrame:
+        """The model in which those service calls are fitted on the frame alone, at the version that the model has."""
+        version = model.agg(F.max("version")).first()[0] or 1
+        fitted = self.fit(frame.join(retrained, same_call(frame, retrained), "left_semi")).withColumn("version", F.lit(version))
+        return self.without(model, retrained).unionByName(fitted)
+
+    def one_a_period(self, model: DataFrame) -> DataFrame:
+        """One row a service call and period, that of the lowest version, of a table that several saves went into."""
+        rest = [c for c in model.columns if c not in self.keys]
+        return model.groupBy(*self.keys).agg(F.min_by(F.struct(*rest), F.struct("version", F.xxhash64(*rest))).alias("r")).select(*self.keys, "r.*")
+
     def anomalies(self, frame: DataFrame, model: DataFrame, metric: str, unit: str = "HOUR") -> DataFrame:
         """Windows whose metric lies too far from its period's mean, by a two-sided normal test.
 
@@ -176,8 +191,31 @@ def training_calls(calls: DataFrame, incidents: DataFrame, start_ms: int, end_ms
     return calls.where(F.col("succeeded") & (t >= start_ms) & (t < end_ms)).join(confirmed_ids(incidents), "_id", "left_anti")
 
 
+def staged_training_calls(calls: DataFrame, stages: DataFrame, incidents: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
+    """training_calls of all stages together, with their stage: regular ones of [start, end), first trainings and retrainings
+    of all time before the end. Calls of waiting or unknown service calls aren't used.
+    """
+    known = stages.select(*[F.col(c).alias(f"__{c}") for c in SERVICE_CALL], "stage").where("stage <> 'waiting'")
+    rows = calls.join(known, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in SERVICE_CALL]).drop(*[f"__{c}" for c in SERVICE_CALL])
+    t = F.col("requestInTs")
+    rows = rows.where(F.col("succeeded") & (t < end_ms) & ((F.col("stage") != "regular") | (t >= start_ms)))
+    return rows.join(confirmed_ids(incidents), "_id", "left_anti")
+
+
+def analysable(frame: DataFrame, now: dt.datetime, minutes: int = 60, buffer_minutes: int = 14_400) -> DataFrame:
+    """Windows that are over, given how late records may come (buffer_minutes): they end by the last full window before."""
+    end = int((now - dt.timedelta(minutes=buffer_minutes)).replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+    return frame.where(F.unix_millis("period") < end - end % (minutes * 60_000))
+
+
+def incident_requests(incidents: DataFrame) -> DataFrame:
+    """One row: the requests of the incidents in sum, 0 without any."""
+    return incidents.agg(F.coalesce(F.sum("request_count"), F.lit(0)).cast("long").alias("request_count"))
+
+
 def example_requests(calls: DataFrame, incidents: DataFrame, limit: int) -> DataFrame:
-    return calls.join(incidents.select(F.explode("request_ids").alias("_id")).distinct(), "_id", "left_semi").limit(limit)
+    """The first `limit` calls by time, then id, that incidents hold."""
+    return calls.join(incidents.select(F.explode("request_ids").alias("_id")).distinct(), "_id", "left_semi").orderBy("requestInTs", "_id").limit(limit)
 
 
 def lifecycle_stages(timestamps: DataFrame, now: dt.datetime, train_after: dt.timedelta, retrain_after: dt.timedelta) -> DataFrame:

@@ -39,32 +39,34 @@ def party(kind: str = "securityServerType") -> Column:
 def ranked_records(raw: DataFrame, tie: Sequence[str] = ("_id",)) -> DataFrame:
     """raw with `place`: 1 for the first record of its request and side by time, more for duplicates.
 
-    Ranks need every record of a request together; a request has a handful.
+    Ranks need every record of a request together; a request has a handful. Records are dealt by request id alone, so that
+    what pairs them later needs no further shuffle.
     """
     order = Window.partitionBy("xRequestId", party()).orderBy("requestInTs", *tie)
-    return raw.withColumn("place", F.row_number().over(order))
+    return raw.repartition("xRequestId").withColumn("place", F.row_number().over(order))
 
 
 def split_records(raw: DataFrame, tie: Sequence[str] = ("_id",)) -> dict[str, DataFrame]:
-    """clients, producers, duplicates, faulty (without request id) and invalid (neither side) records."""
+    """first (of each request and side), duplicates, faulty (without request id) and invalid (neither side) records."""
     known = F.coalesce(party().isin("client", "producer"), F.lit(False))
     named = X.blank_to_null(F.col("xRequestId")).isNotNull()
     ranked = ranked_records(raw.where(known & named), tie)
-    first = ranked.where("place = 1").drop("place")
     return {
-        "clients": first.where(party() == "client"),
-        "producers": first.where(party() == "producer"),
+        "first": ranked.where("place = 1").drop("place"),
         "duplicates": ranked.where("place > 1").drop("place"),
         "faulty": raw.where(known & ~named),
         "invalid": raw.where(~known),
     }
 
 
-def paired(clients: DataFrame, producers: DataFrame) -> DataFrame:
-    """One row a request: xRequestId, client and producer structs (null: missing)."""
-    c = clients.select("xRequestId", F.struct(*clients.columns).alias("client"))
-    p = producers.select("xRequestId", F.struct(*producers.columns).alias("producer"))
-    return c.join(p, "xRequestId", "full_outer")
+def paired(first: DataFrame) -> DataFrame:
+    """One row a request: xRequestId, client and producer structs (null: missing).
+
+    Both sides come from one pass over the first records: a full outer join of clients and producers without the join.
+    """
+    record = F.struct(*first.columns)
+    one = lambda name: F.first(F.when(party() == name, record), ignorenulls=True).alias(name)
+    return first.groupBy("xRequestId").agg(one("client"), one("producer"))
 
 
 def durations(client: str = "client", producer: str = "producer") -> dict[str, Column]:
@@ -101,46 +103,44 @@ def rest_paths(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("client", F.when(F.col("client").isNotNull(), F.col("client").withField("restPath", fixed)))
 
 
-def derived(pairs: DataFrame, now: float) -> DataFrame:
-    """Clean calls: paths fixed, durations and sizes clamped to int, status and matching type set."""
+def derived(pairs: DataFrame, now: float, keep: Sequence[str] = ()) -> DataFrame:
+    """Clean calls: paths fixed, durations and sizes clamped to int, status and matching type set. keep: further columns."""
     out = rest_paths(pairs).withColumns({k: X.clamp_int(v) for k, v in {**durations(), **sizes()}.items()})
     both = F.col("client").isNotNull() & F.col("producer").isNotNull()
     return out.select(
         "client", "producer", "xRequestId", F.coalesce(F.col("client.messageId"), F.col("producer.messageId")).alias("messageId"), *DURATIONS, *SIZES,
-        F.lit(now).alias("correctorTime"), F.when(both, "done").otherwise("processing").alias("correctorStatus"), F.when(both, "regular_pair").otherwise("orphan").alias("matchingType"),
+        F.lit(now).alias("correctorTime"), F.when(both, "done").otherwise("processing").alias("correctorStatus"), F.when(both, "regular_pair").otherwise("orphan").alias("matchingType"), *keep,
     )
 
 
 def correct_batch(raw: DataFrame, now: float, clean: DataFrame | None = None) -> dict[str, DataFrame]:
-    """clean (the whole table after the batch), duplicates and invalid of a batch of raw records.
+    """clean (the whole table after the batch), updates (its rows that the batch made or changed), duplicates and invalid.
 
     Earlier clean calls win over new records of their side. A new partner completes an orphan: it becomes a pair and is
     done; its time moves only if it was still open, so that a call published after its timeout isn't published twice.
     """
     parts = split_records(normalised(raw))
-    clients, producers, duplicates = parts["clients"], parts["producers"], parts["duplicates"]
-    if clean is not None:
-        held = clean.where("xRequestId <> ''")
-        for side in ("client", "producer"):
-            mine = held.where(F.col(side).isNotNull()).select("xRequestId")
-            rows = clients if side == "client" else producers
-            duplicates = duplicates.unionByName(rows.join(mine, "xRequestId", "left_semi"))
-            rows = rows.join(mine, "xRequestId", "left_anti")
-            clients, producers = (rows, producers) if side == "client" else (clients, rows)
-    fresh = paired(clients, producers)
+    first, duplicates = parts["first"], parts["duplicates"]
+    fresh = paired(first)
     faulty = parts["faulty"].withColumn("xRequestId", F.lit(""))
     side = lambda name: F.when(party() == name, F.struct(*faulty.columns))
     lost = derived(faulty.select(side("client").alias("client"), side("producer").alias("producer"), F.lit("").alias("xRequestId")), now).withColumn("correctorStatus", F.lit("done"))
     if clean is None:
-        return {"clean": derived(fresh, now).unionByName(lost), "duplicates": duplicates, "invalid": parts["invalid"]}
-    old = clean.where("xRequestId <> ''").select("xRequestId", F.struct("client", "producer", "correctorTime", "correctorStatus").alias("old"))
-    new = fresh.withColumnRenamed("client", "c").withColumnRenamed("producer", "p")
-    merged = old.join(new, "xRequestId", "full_outer").select("xRequestId", F.coalesce("old.client", F.col("c").cast(clean.schema["client"].dataType)).alias("client"), F.coalesce("old.producer", F.col("p").cast(clean.schema["producer"].dataType)).alias("producer"), "old", (F.col("c").isNotNull() | F.col("p").isNotNull()).alias("grew"))
-    kept = merged.select("xRequestId", F.col("old.correctorTime").alias("t"), F.col("old.correctorStatus").alias("s"), "grew")
-    out = derived(merged.select("client", "producer", "xRequestId"), now).join(kept, "xRequestId")
+        whole = derived(fresh, now).unionByName(lost)
+        return {"clean": whole, "updates": whole, "duplicates": duplicates, "invalid": parts["invalid"]}
+    held = clean.where("xRequestId <> ''")
+    sides = held.select("xRequestId", F.explode(F.array(F.when(F.col("client").isNotNull(), "client"), F.when(F.col("producer").isNotNull(), "producer"))).alias("side")).where("side is not null")
+    duplicates = duplicates.unionByName(first.join(sides, (first["xRequestId"] == sides["xRequestId"]) & (party() == sides["side"]), "left_semi"))
+    old = held.select("xRequestId", F.struct("client", "producer", "correctorTime", "correctorStatus").alias("old"))
+    new = fresh.select("xRequestId", *[F.col(k).cast(clean.schema[k].dataType).alias(f"new_{k}") for k in ("client", "producer")])
+    grew = F.lit(False)
+    for k in ("client", "producer"):
+        grew = grew | (F.col(f"new_{k}").isNotNull() & F.col(f"old.{k}").isNull())
+    merged = old.join(new, "xRequestId", "full_outer").select("xRequestId", *[F.coalesce(f"old.{k}", f"new_{k}").alias(k) for k in ("client", "producer")], F.col("old.correctorTime").alias("t"), F.col("old.correctorStatus").alias("s"), grew.alias("grew"))
+    out = derived(merged, now, ["t", "s", "grew"])
     out = out.withColumn("correctorTime", F.when(F.col("t").isNull() | (F.col("grew") & (F.col("s") == "processing")), F.lit(now)).otherwise(F.col("t")))
-    out = out.withColumn("correctorStatus", F.when(F.coalesce("grew", F.lit(False)), F.col("correctorStatus")).otherwise(F.coalesce("s", "correctorStatus"))).drop("t", "s", "grew")
-    return {"clean": out.unionByName(lost).unionByName(clean.where("xRequestId = ''")), "duplicates": duplicates, "invalid": parts["invalid"]}
+    out = out.withColumn("correctorStatus", F.when(F.col("grew"), F.col("correctorStatus")).otherwise(F.coalesce("s", "correctorStatus"))).drop("t", "s")
+    return {"clean": out.drop("grew").unionByName(lost).unionByName(clean.where("xRequestId = ''")), "updates": out.where("grew").drop("grew").unionByName(lost), "duplicates": duplicates, "invalid": parts["invalid"]}
 
 
 def timed_out(clean: DataFrame, now: float, days: int = 3) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 EDGE = ["clientMemberCode", "clientSubsystemCode", "serviceMemberCode", "serviceSubsystemCode", "serviceCode"]
+# Services that describe services. Networks were drawn before there was getOpenAPI, which reports know.
 META_SERVICES = ("getWsdl", "listMethods", "allowedMethods", "getSecurityServerMetrics", "getSecurityServerOperationalData", "getSecurityServerHealthData")
 
 

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import expr as X
 from ..functions.expr import nulls_like_postgres
 
 ORDERED = ("=", "!=", "<", "<=", ">", ">=")
@@ -189,3 +190,21 @@ def set_status(incidents: DataFrame, updates: DataFrame, now: dt.datetime, key:
     out = incidents.join(u, F.col(key) == F.col("__k"), "left")
     changed = {"incident_status": F.when(hit, F.col("__s")).otherwise(F.col("incident_status")), "comments": F.when(hit, F.coalesce("__c", "comments")).otherwise(F.col("comments")), "incident_update_timestamp": F.when(hit, F.lit(now)).otherwise(F.col("incident_update_timestamp"))}
     return out.withColumns(changed).select(*incidents.columns)
+
+
+def distinct_values(df: DataFrame, column: str) -> DataFrame:
+    """Distinct values of a column in order, nulls left out."""
+    return df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
+
+
+#: Rows of a preview.
+PREVIEW = 10
+
+
+def preview(df: DataFrame, order: Sequence[str], n: int = PREVIEW) -> DataFrame:
+    return df.orderBy(*order).limit(n)
+
+
+def escaped_cells(df: DataFrame) -> DataFrame:
+    """Every cell as text that is safe in HTML; nulls stay null."""
+    return df.select(*[X.escape_html(F.col(c).cast("string")).alias(c) for c in df.columns])

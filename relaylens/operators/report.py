@@ -84,6 +84,17 @@ def unique_subsystems(calls: DataFrame) -> DataFrame:
     return calls.select(F.explode(sides).alias("s")).select("s.*").where("subsystemCode is not null").distinct()
 
 
+def member_triples(calls: DataFrame) -> DataFrame:
+    """Distinct (memberCode, subsystemCode, memberClass) of either side; a missing subsystem is ''."""
+    sides = F.array(*[F.struct(F.col(ids[2]).alias("memberCode"), F.coalesce(F.col(ids[3]), F.lit("")).alias("subsystemCode"), F.col(ids[1]).alias("memberClass")) for ids in (CLIENT_ID, OWNER)])
+    return calls.select(F.explode(sides).alias("s")).select("s.*").where("memberCode is not null").distinct()
+
+
+def clean_calls_between(clean: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
+    """Clean calls of which the client's or the producer's record lies between the bounds, both counting."""
+    return clean.where(F.coalesce(F.col("client.requestInTs").between(start_ms, end_ms), F.lit(False)) | F.coalesce(F.col("producer.requestInTs").between(start_ms, end_ms), F.lit(False)))
+
+
 def calls_between(calls: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
     """Both bounds count, the end being the midnight after the last day."""
     return calls.where(F.col("requestInTs").between(start_ms, end_ms))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +29,16 @@ def calendar_counts(calls: DataFrame, now: dt.datetime, time: str = "requestInTs
     return calls.agg(counted(F.lit(True)).alias("total"), *facets)
 
 
+def service_calendar(calls: DataFrame, now: dt.datetime, services: Sequence[str], column: str = "serviceSubsystemCode", time: str = "requestInTs", key: str = "_id") -> DataFrame:
+    """A row for each of the given services: distinct calls in total and in each calendar window, 0 where there are none."""
+    t = F.col(time)
+    codes = list(dict.fromkeys(services))
+    wanted = calls.sparkSession.createDataFrame([(s,) for s in codes], f"{column} string")
+    facets = [F.count_distinct(F.when((t >= a) & (t < b), F.col(key))).alias(name) for name, (a, b) in calendar_windows(now).items()]
+    counted = calls.where(F.col(column).isin(*codes) if codes else F.lit(False)).groupBy(column).agg(F.count_distinct(key).alias("total"), *facets)
+    return wanted.join(counted, column, "left").fillna(0)
+
+
 def top_services(calls: DataFrame, column: str = "serviceSubsystemCode", n: int | None = 5) -> DataFrame:
     """Services with most calls, listed by name; null or empty names don't count. n None or 0: all."""
     counts = calls.where(F.coalesce(F.col(column), F.lit("")) != "").groupBy(F.col(column).alias("service")).agg(F.count("*").alias("n_calls"))

@@ -32,7 +32,7 @@ SELECT 'c' || CAST(o_orderkey AS STRING) AS _id, CASE WHEN o_orderkey % 97 = 0 T
   o_orderstatus <> 'F' AS succeeded, CASE WHEN o_orderstatus = 'F' THEN 'a<b & ' || o_orderpriority || '>' END AS faultString,
   CASE WHEN o_orderkey % 6 = 0 THEN '/a/' || CAST(o_orderkey % 100 AS STRING) END AS restPath,
   {ids}
-FROM (SELECT *, {ms}(o_orderdate) + o_orderkey % 86400 * 1000 AS t FROM {orders}) o WHERE o_orderstatus <> 'P' OR o_orderkey % 2 = 0
+FROM (SELECT *, {ms}(o_orderdate) + o_orderkey % 86400 * 1000 AS t FROM {orders}) o
 UNION ALL
 SELECT 'p' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-' || CAST(l_partkey AS STRING) || '-' || CAST(l_suppkey AS STRING) || '-' || CAST(CAST(floor(l_quantity) AS BIGINT) AS STRING) || '-' || CAST(CAST(round(l_extendedprice * 100) AS BIGINT) AS STRING),
   CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE CAST(l_orderkey AS STRING) END,

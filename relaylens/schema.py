@@ -9,6 +9,7 @@ SERVICE_ID = ["serviceXRoadInstance", "serviceMemberClass", "serviceMemberCode",
 #: A service call: who calls what. Missing parts group as "-".
 SERVICE_CALL = CLIENT_ID + SERVICE_ID
 
+# Fixed values of the record format: the names of its fields.
 _STRINGS = [
     "_id", "xRequestId", "securityServerType", *SERVICE_CALL, "representedPartyClass", "representedPartyCode", "messageId", "messageUserId", "messageIssue",
     "messageProtocolVersion", "securityServerInternalIp", "clientSecurityServerAddress", "serviceSecurityServerAddress", "faultCode", "faultString",

@@ -130,6 +130,53 @@ def split_archive(df: DataFrame, before: Column) -> tuple[DataFrame, DataFrame]:
     return df.where(old), df.where(~old)
 
 
+def archive_batch(df: DataFrame, before: Column, least: int, most: int, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The first `most` old rows to archive, and all others to keep; nothing is archived below `least` old rows.
+
+    order: columns that aren't null, the last of them a key, so that one row parts both.
+    """
+    old, rest = split_archive(df, before)
+    if old.limit(least).count() < least:
+        return df.limit(0), df
+    batch = old.orderBy(*order).limit(most)
+    last = batch.agg(F.max(F.struct(*order)).alias("last")).first()["last"]
+    if last is None:
+        return batch, df
+    return batch, rest.unionByName(old.where(F.struct(*order) > F.struct(*[F.lit(last[c]).alias(c) for c in order])))
+
+
+def pointer(pointers: DataFrame, key: Sequence[str], wanted: DataFrame, start: float) -> DataFrame:
+    """key and position of each wanted server or consumer; the start for those that have none yet."""
+    return wanted.join(pointers, list(key), "left").select(*key, F.coalesce("position", F.lit(start)).alias("position"))
+
+
+def moved(pointers: DataFrame, positions: DataFrame, key: Sequence[str], batch: int) -> DataFrame:
+    """The log of pointers with new positions (key, position) under the number of their batch. Older ones stay in the log."""
+    return pointers.unionByName(positions.select(*key, F.col("position").cast("double").alias("position"), F.lit(batch).alias("batch")))
+
+
+def current(pointers: DataFrame, key: Sequence[str], until: int | None = None) -> DataFrame:
+    """The position of each key after the last batch, or after batch `until`: a later one that failed is rolled back so."""
+    log = pointers if until is None else pointers.where(F.col("batch") <= until)
+    return log.groupBy(*key).agg(F.max_by("position", "batch").alias("position"))
+
+
+def without_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
+    """Rows but those whose column is one of the values; unknown values stay."""
+    return df.where(~F.coalesce(F.col(column).isin(*values), F.lit(False))) if values else df
+
+
+def of_version(models: DataFrame, name: str, version: int | None = None) -> DataFrame:
+    """Rows of the model of that name, of the given version or of the newest."""
+    mine = models.where(F.col("model_name") == name)
+    return mine.where(F.col("version") == version) if version is not None else latest_rows(mine, "version")
+
+
+def latest_rows(df: DataFrame, column: str) -> DataFrame:
+    """Rows of the greatest value of a column."""
+    return df.join(F.broadcast(df.agg(F.max(column).alias("__last"))), F.col(column) == F.col("__last")).drop("__last")  # one row
+
+
 def archive(df: DataFrame, before: Column, path: str) -> DataFrame:
     """Write old rows as gzipped JSON and give the rest."""
     old, rest = split_archive(df, before)
