@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 from functools import lru_cache
 
 import pyarrow as pa
@@ -36,8 +37,16 @@ SERIES = frozenset("ad ads adv advert adverts advertisement advertising comment
 # name with any other word (no-sidebar, has-toc, search-engines) says something else.
 NEUTRAL = frozenset("area author bar block body bottom box button buttons center col column container content count desktop div entry facebook fb feed footer form global google group head header holder inner item items js large left link links list main medium meta mobile outer panel placeholder post posts primary region right row secondary section site slot small text thread title top twitter unit wp wrap wrapper zone".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
-_ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+#: Fixed value: how deep browsers nest elements; what stands deeper is put beside its neighbours.
+DEPTH = 512
+_START = re.compile(r"<(?:!--|[!?]|/?[a-zA-Z]|/)")
+_NAME = r"<(/?)([a-zA-Z][^ \t\n\f\r/>]*+)"
+#: A tag by HTML's rules: a quote counts only at the start of a value, and only if it is closed; elsewhere it is a character.
+_TAG = re.compile(_NAME + r"""((?:[ \t\n\f\r/]++|[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+(?:[ \t\n\f\r]*+=[ \t\n\f\r]*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^ \t\n\f\r>]++|(?=["'>])))?+)*+)>""")
+#: A tag that ends at the first >, quoted or not.
+_SHORT_TAG = re.compile(_NAME + r"([^>]*+)>")
+_ATTRIBUTE = re.compile(r"""([^ \t\n\f\r/=]+)(?:[ \t\n\f\r]*=[ \t\n\f\r]*(?:"([^"]*)"|'([^']*)'|([^ \t\n\f\r]*)))?""")
+_ASKED = frozenset("class id role hidden aria-hidden".split())
 _SPLIT = re.compile(r"[^a-z]+")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in RAW}
 #: What a script's end depends on: <!-- with a <script in it takes the next </script> for its own, until -->.
@@ -58,6 +67,35 @@ class _Block:
         return " ".join(html_lib.unescape("".join(self.parts)).split())
 
 
+def _tags(page: str):
+    """A function that gives the next tag from a place on: start, end, slash, name, attributes; name None: a comment; None: no more.
+
+    A tag that isn't closed by the page's end ends at its first >, and so do all after it, so that no page is read more
+    than a few times. Without a > it is text, as is what follows.
+    """
+    last, short = page.rfind(">") + 1, False
+
+    def after(at: int):
+        nonlocal short
+        m = _START.search(page, at)
+        if not m:
+            return None
+        start = m.start()
+        if m[0] == "<!--":
+            end = page.find("-->", start + 2)  # its own dashes may be those of -->
+            return start, len(page) if end < 0 else end + 3, "", None, ""
+        if start >= last:
+            return None
+        if m[0][-1] in "!?/":  # a doctype and the like
+            return start, page.index(">", start) + 1, "", None, ""
+        tag = None if short else _TAG.match(page, start, last)
+        if not tag:
+            short, tag = True, _SHORT_TAG.match(page, start, last)
+        return start, tag.end(), tag[1], tag[2].lower(), tag[3]
+
+    return after
+
+
 def _raw_end(page: str, tag: str, at: int) -> int:
     """Where the raw text of an element that opened before `at` is over, its end tag included; else the page's end."""
     if tag != "script":
@@ -107,6 +145,8 @@ def _parse(page: str, shown: frozenset[int]) -> tuple[list[_Block], dict[int, st
     # marked elements that it lies in, and those of them that hide it.
     stack: list[tuple[str, bool, tuple[int, ...], str, tuple[int, ...], tuple[int, ...]]] = [("", False, (), "", (), ())]
     current: _Block | None = None
+    open_ = Counter()  # open elements by tag
+    following = _tags(page)
     at = links = 0
 
     def say(text: str) -> None:
@@ -134,23 +174,22 @@ def _parse(page: str, shown: frozenset[int]) -> tuple[list[_Block], dict[int, st
     def close(to: int) -> None:
         nonlocal links, current
         for tag, *_ in stack[to:]:
+            open_[tag] -= 1
             if tag == "a":
                 links = max(0, links - 1)
             if tag in BLOCK:
                 current = None
         del stack[to:]
 
-    while m := _TOKEN.search(page, at):
-        say(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+    while found := following(at):
+        start, end, slash, tag, attributes = found
+        say(page[at:start])
+        at = end
+        if tag is None:
             continue
-        tag = m[2].lower()
-        if m[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
+        if slash:
+            if open_[tag]:
+                close(max(i for i, e in enumerate(stack) if e[0] == tag))
             if tag in BLOCK:
                 current = None
             continue
@@ -161,20 +200,22 @@ def _parse(page: str, shown: frozenset[int]) -> tuple[list[_Block], dict[int, st
             current = None
         if tag in VOID:
             continue
-        if tag in ENDS_P and any(e[0] == "p" for e in stack):
+        if tag in ENDS_P and open_["p"]:
             close(max(i for i, e in enumerate(stack) if e[0] == "p"))
-        elif tag in SIBLING:
+        elif tag in SIBLING and any(open_[x] for x in SIBLING[tag]):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i][0] in ("ul", "ol", "dl", "table", "select"):
                     break
                 if stack[i][0] in SIBLING[tag]:
                     close(i)
                     break
+        if len(stack) > DEPTH:
+            close(len(stack) - 1)
         _, hidden, inside, path, marks, hiding = stack[-1]
-        kind, classes = _marks(m[3])
+        kind, classes = _marks(attributes)
         path = "" if tag == "html" else f"{path}>{tag}{classes}"
         main = tag in ("body", "html", "article", "main")
-        hidden = hidden or tag in HIDDEN or (not main and kind is None) or (tag == "header" and not any(e[0] in ("article", "main") for e in stack))
+        hidden = hidden or tag in HIDDEN or (not main and kind is None) or (tag == "header" and not (open_["article"] or open_["main"]))
         if kind and not main:
             marks = (*marks, len(marked))
             hiding = hiding if len(marked) in shown else (*hiding, len(marked))
@@ -185,8 +226,9 @@ def _parse(page: str, shown: frozenset[int]) -> tuple[list[_Block], dict[int, st
             paths[len(paths)] = path
             inside = (*inside, len(paths) - 1)
         stack.append((tag, hidden, inside, path, marks, hiding))
+        open_[tag] += 1
         links += tag == "a"
-        if m[3].endswith("/") and tag not in BLOCK:
+        if attributes.endswith("/") and tag not in BLOCK:
             close(len(stack) - 1)
         elif tag in RAW:  # only its own end tag counts
             at = _raw_end(page, tag, at)
@@ -217,6 +259,8 @@ def _marks(attributes: str) -> tuple[int | None, str]:
     classes: list[str] = []
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if name not in _ASKED:
+            continue
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
             return None, ""
         if name == "class":

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import textwrap
+import time
 from pathlib import Path
 
 import pytest
@@ -237,3 +238,56 @@ def test_only_statements_of_ownership_are_copyright_lines(spark):
     said = ["copyright notice and this permission notice", "COPYRIGHT HOLDERS BE LIABLE", "copyright owner or", "(c) You must retain", "copyright", "copyright, patent", "copyright law"]
     got = [r.c for r in spark.createDataFrame([(t,) for t in stated + said], "t string").select(licences.canonical(F.col("t")).alias("c")).collect()]
     assert got[: len(stated)] == [""] * len(stated) and all(got[len(stated) :])
+
+
+@pytest.mark.parametrize(
+    "html,text",
+    [
+        ("<p class=don't>Hello</p>", "Hello"),
+        ("<p class=\"a\"b'c>Hello</p>", "Hello"),
+        ("<p 'x>Hello</p><p>it's</p>", "Hello\nit's"),
+        ("<p title='a > b'>Hello</p>", "Hello"),
+        ("<p title=\"a > b>Hello</p>", "b>Hello"),  # never closed: the tag ends at its first >
+        ("<p title=\"class=ad\">Hello</p>", "Hello"),
+        ("<p>a < b <3 <</p>", "a < b <3 <"),
+        ("<p>Hello<!-- <p>no</p> -->!</p><!--> <p>yes</p><!-- open", "Hello!\nyes"),
+        ("<!DOCTYPE html><?x y?></><p>Hello</p>", "Hello"),
+        ("<p>Hello</p><p", "Hello\n<p"),
+        ("<div class='article social-science'><p>Study of share prices</p></div><div><p>x</p></div>", "Study of share prices"),
+    ],
+)
+def test_tags_by_the_rules_of_html(html, text):
+    assert htmltext.extract(html, None) == text
+
+
+@pytest.mark.parametrize("page", ["<a href=\"x>", "<a x='>' ", "<a ", "<div>", "<b><li>", "<!", "<p x=\"'>a ", "</div", "<div class=a>x"])
+def test_odd_pages_take_linear_time(page):
+    began = time.perf_counter()
+    htmltext.extract(page * 50_000 + "<p>end</p>", None)
+    assert time.perf_counter() - began < 8  # in seconds; by the square of the tags it would be minutes
+
+
+def brute_votes(rows):
+    """Winning path of each host by plain counting."""
+    votes = {}
+    for _, url, html in rows:
+        host = (url or "").split("/")[2] if "//" in (url or "") else ""
+        if html and (best := htmltext.best_path(*htmltext.blocks_of(html))):
+            v = votes.setdefault(host, {}).setdefault(best[0], [0, 0.0])
+            v[0] += 1
+            v[1] += best[1]
+    return {h: max(v, key=lambda p: (v[p][0], round(v[p][1], 3), p)) for h, v in votes.items()}
+
+
+def test_query_equals_votes_counted_plainly(spark, tmp_path):
+    rng = random.Random(6)
+    kinds = ["<body><nav><a>m</a></nav><div class='c{n}'><p>{t}</p><p>{u}</p></div></body>", "<body><main><h1>{u}</h1><section><p>{t}</p></section></main><footer>f</footer></body>", "<body><p>{u}</p></body>"]
+    page = lambda n: rng.choice(kinds).format(n=n, t="t " * rng.randrange(1, 80), u="u " * rng.randrange(1, 9))
+    rows = [(i, f"http://h{i % 4}.x/{i}" if i % 9 else None, page(i) if i % 11 else None) for i in range(160)] + [(3, "http://h0.x/again", page(3))]
+    spark.createDataFrame([(*r, "k") for r in rows], PAGES + ", text string").write.parquet(f"{tmp_path}/pages.parquet")
+    paths = brute_votes(rows)
+    host = lambda u: (u or "").split("/")[2] if "//" in (u or "") else ""
+    expected = sorted((i, u or "", htmltext.extract(h, paths.get(host(u))) if h else "") for i, u, h in rows)
+    got = htmltext.op4_html_consensus(spark, str(tmp_path)).collect()
+    assert sorted((r.page_id, r.url or "", r.text) for r in got) == expected
+    assert all(r.n_chars == len(r.text) for r in got)
