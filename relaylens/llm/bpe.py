@@ -12,7 +12,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-import itertools
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +23,10 @@ from .common import bounded_batches, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 MATRIX_BYTES = 512
+#: Pieces whose ids a Python worker remembers, at some 250 bytes each.
+KNOWN = 400_000
+#: Cells of a matrix at most: what a round needs beside it is some 40 bytes each.
+CELLS = 1 << 18
 _NONE = np.int32(2**31 - 1)
 
 
@@ -37,7 +40,7 @@ class PairTable:
                 a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if a is not None and b is not None:
                     found.append((a << 32 | b, rank))
-        self.rank = dict(found)
+        self.found: dict[int, int] | None = None
         keys, values = (np.array(x) for x in zip(*found)) if found else (np.empty(0, np.int64), np.empty(0, np.int64))
         self.bits = max(4, int(len(keys) * 3).bit_length())
         self.keys = np.full(1 << self.bits, -1, np.int64)
@@ -51,6 +54,14 @@ class PairTable:
             keys, values, at = keys[~own], values[~own], (at[~own] + 1) & (len(self.keys) - 1)
             self.probes += 1
 
+    @property
+    def rank(self) -> dict[int, int]:
+        """The same table for single pairs; made when a piece beyond MATRIX_BYTES first needs it."""
+        if self.found is None:
+            used = self.keys >= 0
+            self.found = dict(zip(self.keys[used].tolist(), self.values[used].tolist()))
+        return self.found
+
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
@@ -83,31 +94,32 @@ class ByteBPE:
         self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
         self.pairs = PairTable(self.ranks)
         self.find = regex.compile(pattern).findall
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
 
-    def encode_pieces(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
-        out: list[tuple[int, ...]] = [()] * len(pieces)
+    def encode_pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each piece as 32-bit numbers."""
+        out = [b""] * len(pieces)
         buckets: dict[int, list[int]] = {}
         for i, p in enumerate(pieces):
             if (whole := self.ranks.get(p)) is not None:
-                out[i] = (whole,)
+                out[i] = whole.to_bytes(4, "little")
             elif len(p) > MATRIX_BYTES:
                 out[i] = self._heap(p)
             else:
                 buckets.setdefault((len(p) - 1).bit_length(), []).append(i)
         for bits, rows in buckets.items():
-            for k in range(0, len(rows), step := max(1, (1 << 21) >> bits)):
+            for k in range(0, len(rows), step := max(1, CELLS >> bits)):
                 for i, ids in zip(rows[k : k + step], self._matrix([pieces[i] for i in rows[k : k + step]])):
                     out[i] = ids
         return out
 
-    def _matrix(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+    def _matrix(self, pieces: list[bytes]) -> list[bytes]:
         lengths = np.array([len(p) for p in pieces])
         width = int(lengths.max())
         raw = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(len(pieces), width)
         ids = np.where(np.arange(width) < lengths[:, None], self.bytes[raw], np.int32(-1))
         rank = self.pairs(ids[:, :-1], ids[:, 1:])
-        done: list[tuple[int, ...]] = [()] * len(pieces)
+        done = [b""] * len(pieces)
         rows = np.arange(len(pieces))
         while True:
             at = rank.argmin(1) if rank.shape[1] else np.zeros(len(rows), np.int64)  # the leftmost of the least
@@ -115,7 +127,7 @@ class ByteBPE:
             over = best == _NONE
             if over.any():
                 for r, x, n in zip(rows[over], ids[over], lengths[over]):
-                    done[r] = tuple(x[:n].tolist())
+                    done[r] = x[:n].tobytes()
                 rows, ids, rank, lengths, at, best = (x[~over] for x in (rows, ids, rank, lengths, at, best))
             if not len(rows):
                 return done
@@ -132,7 +144,7 @@ class ByteBPE:
                 ok = np.flatnonzero((side >= 0) & (side < lengths - 1))
                 rank[ok, side[ok]] = self.pairs(ids[ok, side[ok]], ids[ok, side[ok] + 1])
 
-    def _heap(self, piece: bytes) -> tuple[int, ...]:
+    def _heap(self, piece: bytes) -> bytes:
         ids = self.bytes[np.frombuffer(piece, np.uint8)].tolist()
         n, rank = len(ids), self.pairs.rank
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -151,11 +163,11 @@ class ByteBPE:
                     heapq.heappush(heap, (x, i))
             if (h := before[i]) >= 0 and (x := rank.get(ids[h] << 32 | r)) is not None:
                 heapq.heappush(heap, (x, h))
-        return tuple(x for x in ids if x >= 0)
+        return np.array([x for x in ids if x >= 0], np.int32).tobytes()
 
     def learn(self, pieces: set[str]) -> None:
         """Encode the pieces that aren't known yet. What is remembered is bounded."""
-        if len(self.known) > 600_000:
+        if len(self.known) > KNOWN:
             self.known.clear()
         new = [p for p in pieces if p not in self.known]
         for p, ids in zip(new, self.encode_pieces([p.encode("utf-8", "replace") for p in new])):
@@ -164,7 +176,11 @@ class ByteBPE:
     def encode(self, text: str) -> list[int]:
         pieces = self.find(text)
         self.learn(set(pieces))
-        return list(itertools.chain.from_iterable(map(self.known.__getitem__, pieces)))
+        return self.ids(pieces)
+
+    def ids(self, pieces: list[str]) -> list[int]:
+        """The ids of pieces that are known."""
+        return np.frombuffer(b"".join(map(self.known.__getitem__, pieces)), np.int32).tolist()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -207,7 +223,7 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, keep: list[
                 bpe.learn(set().union(*pieces))
                 n, ids_sha, decoded, all_ids = [], [], [], []
                 for p in pieces:
-                    ids = list(itertools.chain.from_iterable(map(bpe.known.__getitem__, p)))
+                    ids = bpe.ids(p)
                     n.append(len(ids))
                     ids_sha.append(sha(",".join(map(bpe.names.__getitem__, ids)).encode()).hexdigest())
                     decoded.append(sha(bpe.decode(ids)).hexdigest())
