@@ -22,7 +22,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import WordHashes, bounded_batches, connected_components, gram_hashes, mix, table, written
@@ -143,12 +143,15 @@ def _bands(largest: int) -> np.ndarray:
     return np.array([*at, -(-at[-1] * OF // NEAR), -(-(-(-at[-1] * OF // NEAR)) * OF // NEAR)])
 
 
-def signatures(s: np.ndarray, bands: np.ndarray) -> np.ndarray:
-    """PartEnum signatures of a sorted set, for its own size band and the next."""
+def _by_band(s: np.ndarray, bands: np.ndarray):
+    """(band, signatures, spare) of a sorted set for its own size band and the next; the last bit of a signature is its band's.
+
+    spare: how many of these signatures a set may leave out, whichever it chooses, if all others do so too. A near set
+    shares one at least of each first-level part with at most one difference; each of two leaves out less than half.
+    """
     own = int(np.searchsorted(bands, len(s), "right")) - 1
     value = mix(s)
     high, low = s >> _U(32), s & _U(0xFFFFFFFF)
-    out = []
     for band in (own, own + 1):
         k = 2 * (int(bands[band + 1]) - 1) // 7  # most differences of two sets of which this band has the larger
         if k == 0:
@@ -165,18 +168,23 @@ def signatures(s: np.ndarray, bands: np.ndarray) -> np.ndarray:
         sums = sums.reshape(parts, each)
         # A shared signature of no elements says nothing. A set needs it only where all parts that are sure to hold no
         # difference (at most one, with two levels) may be empty, given the most differences to any partner of its size.
-        most = (len(s) + len(s) * OF // NEAR) // 7
+        most = min(k, (len(s) + len(s) * OF // NEAR) // 7)
         if parts == 1:  # at most k second-level parts differ: keep each two of the k + 2
             a, b = np.triu_indices(each, 1)
             sub, left = sums[0][a] + sums[0][b], size[0][a] + size[0][b]
-            sure = (size == 0).sum() < each - most
+            sure, spare = (size == 0).sum() < each - most, 0
         else:
             sub, left = (sums.sum(1, dtype=np.uint64)[:, None] - sums).ravel(), (size.sum(1)[:, None] - size).ravel()
-            sure = (left.reshape(parts, each) == 0).any(1).sum() < parts - most // 2
+            common = parts - most // 2 - int((left.reshape(parts, each) == 0).any(1).sum())
+            sure, spare = common > 0, max(0, (common - 1) // 2)
         keep = left > 0 if sure else np.full(len(sub), True)
         place = mix(np.arange(len(sub), dtype=np.uint64) + _U(band << 40))
-        out.append(mix(sub + place)[keep])
-    return np.concatenate(out) if out else np.empty(0, np.uint64)
+        yield band, mix(sub + place)[keep] & ~_U(1) | _U(band & 1), spare
+
+
+def signatures(s: np.ndarray, bands: np.ndarray) -> np.ndarray:
+    """PartEnum signatures of a sorted set, for its own size band and the next."""
+    return np.concatenate([np.empty(0, np.uint64), *(sigs for _, sigs, _ in _by_band(s, bands))])
 
 
 def signature_rows(sets: DataFrame) -> DataFrame:
@@ -195,6 +203,35 @@ def signature_rows(sets: DataFrame) -> DataFrame:
     return sets.select("node", "n", "room", "shingles").mapInArrow(rows, "sig long, node long, n int, room int")
 
 
+def spare_rows(sets: DataFrame) -> DataFrame:
+    """node, spare_even, spare_odd: how many signatures of bands of either parity a node may leave out."""
+
+    def rows(batches):
+        for b in batches:
+            sets_ = [np.frombuffer(x.as_buffer(), np.uint64) for x in b.column("shingles")]
+            bands = _bands(max((len(s) for s in sets_), default=1))
+            spare = np.zeros((len(sets_), 2), np.int64)
+            for i, s in enumerate(sets_):
+                for band, _, n in _by_band(s, bands):
+                    spare[i, band & 1] = n
+            yield pa.RecordBatch.from_arrays([b.column("node"), pa.array(spare[:, 0]), pa.array(spare[:, 1])], ["node", "spare_even", "spare_odd"])
+
+    found = sets.select("node", "shingles").mapInArrow(rows, "node long, spare_even long, spare_odd long")
+    return found.groupBy("node").agg(F.min("spare_even").alias("spare_even"), F.min("spare_odd").alias("spare_odd"))
+
+
+def needed(family: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those rows of family (node, pivot, component, even, odd) that no near set can miss.
+
+    even, odd: by how many signatures of bands of either parity a node has its pivot. A node leaves out the pivots that it
+    has by the fewest, as many as its spare signatures allow.
+    """
+    upto = Window.partitionBy("node").orderBy(F.col("even") + F.col("odd"), "pivot").rowsBetween(Window.unboundedPreceding, 0)
+    spare = spare_rows(sets.join(family.select("node").distinct(), "node", "left_semi"))
+    out = family.join(spare, "node").withColumn("e", F.sum("even").over(upto)).withColumn("o", F.sum("odd").over(upto))
+    return out.where("e > spare_even or o > spare_odd").select("node", "pivot", "component")
+
+
 def _counts(s: np.ndarray) -> bytes:
     """How many of a set's elements fall in each of 256 bins, 255 at most."""
     return np.minimum(np.bincount((s & _U(255)).astype(np.int64), minlength=256), 255).astype(np.uint8).tobytes()
@@ -289,7 +326,7 @@ def linked(sets: DataFrame) -> DataFrame:
     met = sigs.groupBy("sig").agg(centre.alias("c"), F.min("n").alias("least"), F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("m"), *who)
     met = met.select("sig", (-F.col("c.node")).alias("centre"), F.col("c.room").alias("croom"), F.col("c.n").alias("cn"), "least", "m", "who", "who2", "first", "last")
     # Signatures with the same members say the same: one of them goes on, with their number.
-    one = written(met.groupBy("who", "who2", "m", "first", "last", "centre", "croom", "cn", "least").agg(F.min("sig").alias("sig"), F.count("*").alias("same")).select("sig", "centre", "croom", "cn", "least", "same"))
+    one = written(met.groupBy("who", "who2", "m", "first", "last", "centre", "croom", "cn", "least").agg(F.min("sig").alias("sig"), F.count("*").alias("same"), F.sum(F.col("sig").bitwiseAND(F.lit(1))).alias("odd")).select("sig", "centre", "croom", "cn", "least", "same", "odd"))
     shared = written(sigs.join(one, "sig").where("room >= least"))
     may = "node <> centre and n <= croom and cn <= room"
     stars = shared.where(may).groupBy(F.col("node").alias("src"), F.col("centre").alias("dst")).agg(F.sum("same").alias("n"))
@@ -297,11 +334,12 @@ def linked(sets: DataFrame) -> DataFrame:
     edges = written(links(best, sets))
     # What is left: members of one signature in different components.
     known = written(_labels(edges))
-    member = written(shared.select("sig", "node").join(known, "node", "left").select("sig", "node", F.coalesce("component", "node").alias("component")))
+    member = written(shared.select("sig", "node", "same", "odd").join(known, "node", "left").select("sig", "node", "same", "odd", F.coalesce("component", "node").alias("component")))
     # Their pivot: the first set of the component that most of them are in.
     parts = member.groupBy("sig", "component").count().groupBy("sig").agg(F.max_by("component", F.struct("count", -F.col("component"))).alias("pivot"), F.count("*").alias("parts"))
-    family = member.join(parts.where("parts > 1").select("sig", "pivot"), "sig").where("node <> pivot").select("node", "pivot", "component").distinct()
-    edits = written(edited(family, sets))
+    family = member.join(parts.where("parts > 1").select("sig", "pivot"), "sig").where("node <> pivot")
+    family = written(family.groupBy("node", "pivot", "component").agg(F.sum(F.expr("same - odd")).alias("even"), F.sum("odd").alias("odd")))
+    edits = written(edited(needed(family, sets), sets))
     rest = written(edit_pairs(edits))
     return _labels(written(edges.union(edits.where("near").select(F.col("node").alias("src"), F.col("pivot").alias("dst"))).union(links(rest, sets))))
 
