@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bottomk, bpe, htmltext, kdtree, langid, licences, partenum, quality, warc, winnow
+from . import bottomk, bpe, dialogue, htmltext, kdtree, langid, licences, partenum, quality, warc, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         winnow.op8_winnowing,
         langid.op9_language_id,
         licences.op10_licence_digest,
+        dialogue.op12_conversation_repair,
     )
 }
 
