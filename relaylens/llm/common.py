@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 import numpy as np
@@ -43,6 +45,18 @@ def bounded_batches(df: DataFrame, rows: int = 1_000) -> DataFrame:
     return df
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Within: Spark hands a Python worker that many rows at once. For jobs that end within, since results are evaluated later."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def held_out(doc_id: str | Column = "doc_id") -> Column:
     """Rows that no model may learn from: crc32 of the id as text, modulo 3, is 1."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

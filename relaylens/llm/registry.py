@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bottomk, bpe, dialogue, htmltext, kdtree, langid, licences, partenum, quality, warc, winnow
+from . import bottomk, bpe, dialogue, hnsw, htmltext, kdtree, langid, lemp, licences, partenum, quality, warc, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
@@ -21,8 +21,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         winnow.op8_winnowing,
         langid.op9_language_id,
         licences.op10_licence_digest,
+        hnsw.op11_hnsw_neighbours,
         dialogue.op12_conversation_repair,
+        lemp.op13_lemp_negatives,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {**licences.ORACLE_SQL, **warc.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {**licences.ORACLE_SQL, **warc.ORACLE_SQL, **lemp.ORACLE_SQL}
