@@ -127,7 +127,7 @@ def test_coordinate_ranges_leave_out_rows_but_no_result():
     import pandas as pd
 
     rng = random.Random(2)
-    centres = [[rng.choice([0, 0, 0, 900, -900]) for _ in range(12)] for _ in range(30)]
+    centres = [rng.sample([900, -900, 900, *[0] * 9], 12) for _ in range(30)]
     v = np.array([[x + rng.randint(-40, 40) for x in centres[i % 30]] for i in range(600)])
     made = lemp._bucket(pd.DataFrame({"vec_id": range(600), "label": 1, "dim": 12, "v": list(v)}), "b")
     bucket = lemp.Bucket(1, *made[3:], 12)
