@@ -59,6 +59,20 @@ def split_records(raw: DataFrame, tie: Sequence[str] = ("_id",)) -> dict[str, Da
     }
 
 
+def classified(raw: DataFrame, tie: Sequence[str] = ("_id",)) -> DataFrame:
+    """raw with `kind` in one pass: first (of its request and side), duplicate, faulty (without request id) or invalid.
+
+    Only records that can have duplicates are dealt by request; the others are dealt by their own content.
+    """
+    known = F.coalesce(party().isin("client", "producer"), F.lit(False))
+    named = X.blank_to_null(F.col("xRequestId")).isNotNull()
+    alone = F.concat(F.lit("?"), F.xxhash64(*raw.columns).cast("string"))
+    dealt = raw.withColumn("__request", F.when(known & named, F.col("xRequestId")).otherwise(alone))
+    order = Window.partitionBy("__request", party()).orderBy("requestInTs", *tie)
+    kind = F.when(~known, "invalid").when(~named, "faulty").when(F.row_number().over(order) == 1, "first").otherwise("duplicate")
+    return dealt.withColumn("kind", kind).drop("__request")
+
+
 def paired(first: DataFrame) -> DataFrame:
     """One row a request: xRequestId, client and producer structs (null: missing).
 
@@ -113,18 +127,38 @@ def derived(pairs: DataFrame, now: float, keep: Sequence[str] = ()) -> DataFrame
     )
 
 
+def lost_calls(faulty: DataFrame, now: float) -> DataFrame:
+    """Records without request id as calls of one side that are done at once."""
+    rows = faulty.withColumn("xRequestId", F.lit(""))
+    side = lambda name: F.when(party() == name, F.struct(*rows.columns)).alias(name)
+    return derived(rows.select(side("client"), side("producer"), "xRequestId"), now).withColumn("correctorStatus", F.lit("done"))
+
+
+def completed(both: DataFrame, now: float, keep: Sequence[str] = ()) -> DataFrame:
+    """Clean calls and `grew` from rows with xRequestId, old (client, producer, correctorTime, correctorStatus) and the
+    new_client and new_producer that came since; either may be null.
+
+    A new partner makes an orphan a pair that is done. Its time moves only if it was still open, so that a call published
+    after its timeout isn't published twice.
+    """
+    grew = F.lit(False)
+    for k in ("client", "producer"):
+        grew = grew | (F.col(f"new_{k}").isNotNull() & F.col(f"old.{k}").isNull())
+    merged = both.select("xRequestId", *[F.coalesce(f"old.{k}", f"new_{k}").alias(k) for k in ("client", "producer")], F.col("old.correctorTime").alias("t"), F.col("old.correctorStatus").alias("s"), grew.alias("grew"), *keep)
+    out = derived(merged, now, ["t", "s", "grew", *keep])
+    out = out.withColumn("correctorTime", F.when(F.col("t").isNull() | (F.col("grew") & (F.col("s") == "processing")), F.lit(now)).otherwise(F.col("t")))
+    return out.withColumn("correctorStatus", F.when(F.col("grew"), F.col("correctorStatus")).otherwise(F.coalesce("s", "correctorStatus"))).drop("t", "s")
+
+
 def correct_batch(raw: DataFrame, now: float, clean: DataFrame | None = None) -> dict[str, DataFrame]:
     """clean (the whole table after the batch), updates (its rows that the batch made or changed), duplicates and invalid.
 
-    Earlier clean calls win over new records of their side. A new partner completes an orphan: it becomes a pair and is
-    done; its time moves only if it was still open, so that a call published after its timeout isn't published twice.
+    Earlier clean calls win over new records of their side; see `completed` for late partners.
     """
     parts = split_records(normalised(raw))
     first, duplicates = parts["first"], parts["duplicates"]
     fresh = paired(first)
-    faulty = parts["faulty"].withColumn("xRequestId", F.lit(""))
-    side = lambda name: F.when(party() == name, F.struct(*faulty.columns))
-    lost = derived(faulty.select(side("client").alias("client"), side("producer").alias("producer"), F.lit("").alias("xRequestId")), now).withColumn("correctorStatus", F.lit("done"))
+    lost = lost_calls(parts["faulty"], now)
     if clean is None:
         whole = derived(fresh, now).unionByName(lost)
         return {"clean": whole, "updates": whole, "duplicates": duplicates, "invalid": parts["invalid"]}
@@ -133,13 +167,7 @@ def correct_batch(raw: DataFrame, now: float, clean: DataFrame | None = None) ->
     duplicates = duplicates.unionByName(first.join(sides, (first["xRequestId"] == sides["xRequestId"]) & (party() == sides["side"]), "left_semi"))
     old = held.select("xRequestId", F.struct("client", "producer", "correctorTime", "correctorStatus").alias("old"))
     new = fresh.select("xRequestId", *[F.col(k).cast(clean.schema[k].dataType).alias(f"new_{k}") for k in ("client", "producer")])
-    grew = F.lit(False)
-    for k in ("client", "producer"):
-        grew = grew | (F.col(f"new_{k}").isNotNull() & F.col(f"old.{k}").isNull())
-    merged = old.join(new, "xRequestId", "full_outer").select("xRequestId", *[F.coalesce(f"old.{k}", f"new_{k}").alias(k) for k in ("client", "producer")], F.col("old.correctorTime").alias("t"), F.col("old.correctorStatus").alias("s"), grew.alias("grew"))
-    out = derived(merged, now, ["t", "s", "grew"])
-    out = out.withColumn("correctorTime", F.when(F.col("t").isNull() | (F.col("grew") & (F.col("s") == "processing")), F.lit(now)).otherwise(F.col("t")))
-    out = out.withColumn("correctorStatus", F.when(F.col("grew"), F.col("correctorStatus")).otherwise(F.coalesce("s", "correctorStatus"))).drop("t", "s")
+    out = completed(old.join(new, "xRequestId", "full_outer"), now)
     return {"clean": out.drop("grew").unionByName(lost).unionByName(clean.where("xRequestId = ''")), "updates": out.where("grew").drop("grew").unionByName(lost), "duplicates": duplicates, "invalid": parts["invalid"]}
 
 
