@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from .functions import expr as X
 from .operators import anomaly, anonymize, correct, network, query, report, stats
 from .plans import domain as D
-from .plans.shared import written
+from .plans.shared import shared_folder, written
 from .schema import CLIENT_ID, DURATIONS, SERVICE_CALL, SERVICE_ID, SIZES
 from .sources import tables
+from .sources.store import CleanStore
 from .streaming import pairing
+from .streaming.loop import correction_loop
 
 FLAGSHIP = "an1_failed_ratio"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -558,7 +560,21 @@ def s28_latest_state(spark, sf_dir):
 @query_of(f"""WITH {D.O_FIRST} SELECT coalesce(c.xRequestId, p.xRequestId) AS xRequestId, c._id AS client_id, p._id AS producer_id,
   CASE WHEN c._id IS NOT NULL AND p._id IS NOT NULL THEN 'done' ELSE 'processing' END AS status, CASE WHEN c._id IS NOT NULL AND p._id IS NOT NULL THEN 'regular_pair' ELSE 'orphan' END AS matching {_PAIRS}""")
 def t3_stream_pair(spark, sf_dir):
-    return pairing.run_pairing(spark, D.raw(spark, sf_dir)).select("xRequestId", "client_id", "producer_id", "status", "matching")
+    raw = D.raw(spark, sf_dir).withColumn("arrived", F.timestamp_seconds(F.lit(D.NOW)))
+    return pairing.run_pairing(spark, [raw]).select("xRequestId", "client_id", "producer_id", "status", "matching")
+
+
+@query_of(f"""WITH {D.O_FIRST}, calls AS (SELECT coalesce(c.xRequestId, p.xRequestId) AS xRequestId, c._id AS client_id, p._id AS producer_id, CAST(coalesce(c.xRequestId, p.xRequestId) AS BIGINT) % 50 AS k {_PAIRS})
+SELECT xRequestId, client_id, producer_id, CASE WHEN (k = 3 OR k = 1 AND client_id IS NULL) AND (client_id IS NULL OR producer_id IS NULL) THEN 'processing' ELSE 'done' END AS status,
+  CASE WHEN client_id IS NULL OR producer_id IS NULL THEN 'orphan' ELSE 'regular_pair' END AS matching, k <> 3 AND CASE WHEN k = 1 THEN client_id IS NOT NULL ELSE client_id IS NULL OR producer_id IS NULL END AS expired FROM calls""")
+def t4_timeout_and_late_partner(spark, sf_dir):
+    """Some requests arrive four days later than the rest, so that orphans time out; then the last producers come and complete some."""
+    k, day = F.col("xRequestId").cast("long") % 50, 86_400
+    late = (k == 1) & (correct.party() == "producer")
+    raw = D.raw(spark, sf_dir).where("xRequestId is not null").withColumn("step", F.when(k == 3, 1).when(late, 2).otherwise(0))
+    raw = raw.withColumn("arrived", F.timestamp_seconds(F.lit(D.NOW) + F.when(F.col("step") == 1, 4 * day).when(F.col("step") == 2, 5 * day).otherwise(0)))
+    found = pairing.run_pairing(spark, [raw.where(F.col("step") == n) for n in range(3)])
+    return found.select("xRequestId", "client_id", "producer_id", "status", "matching", "expired")
 
 
 @query_of(f"{_WIN(60)} SELECT period_ms, count(*) AS n, count(*) FILTER (NOT succeeded) AS failed FROM w GROUP BY 1")
@@ -688,3 +704,53 @@ def g10_escaped_cells(spark, sf_dir):
 @query_of(f"WITH {D.O_CALLS} SELECT id, CASE serviceCode WHEN 'op0' THEN 'Päring' WHEN 'op1' THEN 'Teenus' ELSE '???' END AS name FROM calls")
 def g13_translation(spark, sf_dir):
     return D.calls(spark, sf_dir).select("id", X.translation(F.col("serviceCode"), {"op0": "Päring", "op1": "Teenus"}).alias("name"))
+
+
+# ---- batch by batch into the store of clean calls
+
+_IS_PAIR = "c._id IS NOT NULL AND p._id IS NOT NULL"
+
+
+@query_of(f"""WITH {D.O_FIRST} SELECT coalesce(c.xRequestId, p.xRequestId) AS xRequestId, {_IS_PAIR} AS is_pair, c._id AS client_id, p._id AS producer_id,
+  CASE WHEN {_IS_PAIR} AND CAST(c.xRequestId AS BIGINT) % 50 = 1 THEN CAST(1000000100 AS DOUBLE) ELSE CAST(1000000000 AS DOUBLE) END AS correctorTime {_PAIRS}""")
+def s14_upsert(spark, sf_dir):
+    """Producers of every fiftieth request come in a second batch, which rewrites the folders of their orphans."""
+    raw = D.raw(spark, sf_dir)
+    sides = F.count_if(correct.party() == "client").over(Window.partitionBy("xRequestId"))
+    late = F.coalesce((correct.party() == "producer") & (F.col("xRequestId").cast("long") % 50 == 1) & F.col("xRequestId").isNotNull() & (sides > 0), F.lit(False))
+    dealt = written(raw.withColumn("late", late))
+    store = CleanStore(spark, shared_folder(spark))
+    store.apply(dealt.where("not late").drop("late"), 0, D.NOW)
+    store.apply(dealt.where("late").drop("late"), 1, D.NOW + 100)
+    clean = store.read().where("xRequestId <> ''")
+    return clean.select("xRequestId", (F.col("matchingType") == "regular_pair").alias("is_pair"), F.col("client._id").alias("client_id"), F.col("producer._id").alias("producer_id"), "correctorTime")
+
+
+@query_of(ORACLE_SQL["c1_correct_batch"])
+def t1_correction_loop(spark, sf_dir):
+    """A loop of several batches over all raw records, landed so that duplicates of a side lie in one file."""
+    raw, path = D.raw(spark, sf_dir), shared_folder(spark)
+    files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    raw.repartition(files, "xRequestId", correct.party()).write.parquet(f"{path}/in")
+    store = CleanStore(spark, f"{path}/store", 16)
+    stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", -(-files // 4)).parquet(f"{path}/in")
+    correction_loop(store, stream, f"{path}/checkpoint", now=lambda: D.NOW, days=None).awaitTermination()
+    return store.read().select("xRequestId", "correctorStatus", "matchingType", "messageId")
+
+
+@query_of(f"""WITH {D.O_FIRST} SELECT count(*) AS processed, (SELECT count(*) FROM ranked WHERE place > 1) AS duplicates, count(*) FILTER (known AND NOT named) AS faulty, count(*) FILTER (NOT known) AS invalid,
+  count(DISTINCT CASE WHEN known AND named THEN xRequestId END) AS calls FROM (SELECT xRequestId, coalesce(lower(securityServerType) IN ('client', 'producer'), FALSE) AS known, coalesce(xRequestId, '') <> '' AS named FROM raw)""")
+def a25_batch_counters(spark, sf_dir):
+    """Counters observed in the passes that wrote a batch."""
+    store = CleanStore(spark, shared_folder(spark), 16)
+    store.apply(D.raw(spark, sf_dir), 0, D.NOW)
+    return store.counters().select("processed", "duplicates", "faulty", "invalid", F.col("made").alias("calls"))
+
+
+@query_of(f"WITH {D.O_RAW} SELECT securityServerType, CAST(max(requestInTs) AS DOUBLE) AS position FROM raw GROUP BY 1")
+def t7_pointers(spark, sf_dir):
+    """Where reading of each kind of server goes on after two batches of ever later records."""
+    raw, store = D.raw(spark, sf_dir), CleanStore(spark, shared_folder(spark), 16)
+    for batch, when in enumerate(("requestInTs < 830000000000", "requestInTs >= 830000000000 or requestInTs is null")):
+        store.apply(raw.where(when), batch, D.NOW, ["securityServerType"])
+    return tables.current(store.pointers(), ["securityServerType"])

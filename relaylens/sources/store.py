@@ -79,7 +79,7 @@ class CleanStore:
         if not self._whole(stage):
             self._stage(raw, batch, now, stage, list(pointer), position)
         self._publish(stage)
-        self.spark.range(0).write.mode("overwrite").parquet(self._at("done", batch))
+        self.spark.range(0).coalesce(1).write.mode("overwrite").parquet(self._at("done", batch))
 
     def expire(self, batch: int, now: float, days: int = 3) -> None:
         """Close open calls older than the timeout; rewrites the folders that hold such."""
@@ -91,7 +91,7 @@ class CleanStore:
             late = calls.where(correct.timed_out(calls, now, days)).select("part", "batch").distinct()
             self._save(correct.expire(calls.join(F.broadcast(late), ["part", "batch"], "left_semi"), now, days), stage)  # a row a folder at most
         self._publish(stage)
-        self.spark.range(0).write.mode("overwrite").parquet(self._at("expired", batch))
+        self.spark.range(0).coalesce(1).write.mode("overwrite").parquet(self._at("expired", batch))
 
     def _part(self) -> Column:
         return F.pmod(F.xxhash64("xRequestId"), F.lit(self.parts)).cast("int")
@@ -141,9 +141,9 @@ class CleanStore:
         out = out.unionByName(kept) if kept is not None else out
         out = out.withColumns({"has_client": F.col("client").isNotNull(), "has_producer": F.col("producer").isNotNull()})
         if calls is None:
-            self.spark.createDataFrame([], out.drop("grew").schema).write.mode("overwrite").parquet(self._at("schema"))
+            self.spark.createDataFrame([], out.drop("grew").schema).coalesce(1).write.mode("overwrite").parquet(self._at("schema"))
         made = Observation()
         self._save(out.observe(made, F.count_if(F.col("grew").isNull()).alias("made"), F.count_if(F.coalesce("grew", F.lit(False))).alias("completed")).drop("grew"), stage)
         n = seen.get | turned_down.get | made.get
         names = ["processed", "duplicates", "faulty", "invalid", "made", "completed"]
-        self.spark.createDataFrame([[n.get(c, 0) for c in names]], ", ".join(f"{c} long" for c in names)).write.mode("overwrite").parquet(self._at("counters", batch))
+        self.spark.createDataFrame([[n.get(c, 0) for c in names]], ", ".join(f"{c} long" for c in names)).coalesce(1).write.mode("overwrite").parquet(self._at("counters", batch))

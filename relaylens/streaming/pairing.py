@@ -7,58 +7,75 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..plans.shared import shared_folder
 
-OUT = "xRequestId string, client_id string, producer_id string, status string, matching string, version int"
+OUT = "xRequestId string, client_id string, producer_id string, status string, matching string, expired boolean, version int"
 STATE = "client_id string, producer_id string, expired boolean, version int"
 #: An open orphan is done after this long, and what is done is forgotten after a further KEEP_MS.
 TIMEOUT_MS = 3 * 86_400_000
 KEEP_MS = 30 * 86_400_000
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def pair_state(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState, timers: bool = True) -> Iterator[pd.DataFrame]:
-    """First record of each side wins, also over later batches. An orphan is done at its timeout and may still be completed."""
-    client, producer, expired, version = state.get if state.exists else (None, None, False, 0)
-    grew = False
-    if state.hasTimedOut:
-        if expired or (client and producer):
-            state.remove()
-            return
-        expired = grew = True
-    else:
-        records = pd.concat(list(frames), ignore_index=True).sort_values(["requestInTs", "id"], na_position="first")
-        for id_, party in zip(records["id"], records["party"]):
-            if party == "client" and client is None:
-                client, grew = id_, True
-            elif party == "producer" and producer is None:
-                producer, grew = id_, True
-    both = bool(client and producer)
-    version += grew
-    state.update((client, producer, bool(expired), int(version)))
-    if timers:
-        state.setTimeoutDuration(KEEP_MS if both or expired else TIMEOUT_MS)
-    if grew:
-        yield pd.DataFrame({"xRequestId": [key[0]], "client_id": [client], "producer_id": [producer], "status": ["done" if both or expired else "processing"], "matching": ["regular_pair" if both else "orphan"], "version": [version]})
-
-
-def pair_untimed(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    return pair_state(key, frames, state, timers=False)
-
-
-def pair_stream(records: DataFrame, timers: bool = True) -> DataFrame:
+class CallState(StatefulProcessor):
+    """The first record of each side by request, over all batches. Of a request the engine keeps one value and one timer.
+
+    Timers go by event time, which is the time of arrival: an orphan is done at its timeout and may still be completed until
+    it is forgotten, however old its partner's own times are.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.call = handle.getValueState("call", STATE)
+
+    def close(self) -> None:
+        pass
+
+    def _kept(self, key: tuple, client: str | None, producer: str | None, expired: bool, version: int, due: int) -> Iterator[Row]:
+        self.call.update((client, producer, expired, version))
+        for old in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(due)
+        both = client is not None and producer is not None
+        yield Row(xRequestId=key[0], client_id=client, producer_id=producer, status="done" if both or expired else "processing", matching="regular_pair" if both else "orphan", expired=expired, version=version)
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        client, producer, expired, version = self.call.get() if self.call.exists() else (None, None, False, 0)
+        least, arrived = {}, 0
+        for r in rows:
+            at = (r.requestInTs is not None, r.requestInTs or 0, r.id or "")
+            if r.party not in least or at < least[r.party][0]:
+                least[r.party] = (at, r.id)
+            arrived = max(arrived, r.arrived_ms)
+        grew = False
+        if client is None and "client" in least:
+            client, grew = least["client"][1], True
+        if producer is None and "producer" in least:
+            producer, grew = least["producer"][1], True
+        if grew:
+            closed = expired or client is not None and producer is not None
+            yield from self._kept(key, client, producer, expired, version + 1, arrived + (KEEP_MS if closed else TIMEOUT_MS))
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        client, producer, expired, version = self.call.get()
+        if expired or client is not None and producer is not None:
+            self.call.clear()
+        else:
+            yield from self._kept(key, client, producer, True, version + 1, expiredTimerInfo.getExpiryTimeInMs() + KEEP_MS)
+
+
+def pair_stream(records: DataFrame, arrived: str = "arrived", late: str = "1 hour") -> DataFrame:
     """Updates of pairs by request from a stream of raw records; the highest version of a request counts.
 
-    Timeouts go by processing time, so no record is too late to complete its call while that is remembered. A run that
-    ends with its input (availableNow) has no timers: with them Spark would wait for the next one.
+    arrived: a timestamp of arrival, late: how far behind the latest arrival one may be. Needs the RocksDB state store.
     """
-    rows = records.where("coalesce(xRequestId, '') <> '' and lower(securityServerType) in ('client', 'producer')")
-    rows = rows.select("xRequestId", F.col("_id").alias("id"), "requestInTs", F.lower("securityServerType").alias("party"))
-    return rows.groupBy("xRequestId").applyInPandasWithState(pair_state if timers else pair_untimed, OUT, STATE, "update", GroupStateTimeout.ProcessingTimeTimeout if timers else GroupStateTimeout.NoTimeout)
+    rows = records.where("coalesce(xRequestId, '') <> '' and lower(securityServerType) in ('client', 'producer')").withWatermark(arrived, late)
+    rows = rows.select("xRequestId", F.col("_id").alias("id"), "requestInTs", F.lower("securityServerType").alias("party"), arrived, F.unix_millis(arrived).alias("arrived_ms"))
+    return rows.groupBy("xRequestId").transformWithState(CallState(), OUT, "Update", "EventTime")
 
 
 def latest_updates(updates: DataFrame) -> DataFrame:
@@ -77,11 +94,19 @@ def run_to_end(stream: DataFrame, mode: str, path: str) -> DataFrame:
     return spark.read.schema(stream.schema).parquet(f"{path}/out")
 
 
-def run_pairing(spark: SparkSession, raw: DataFrame) -> DataFrame:
-    path = shared_folder(spark)
-    raw.select("_id", "xRequestId", "securityServerType", "requestInTs").write.parquet(f"{path}/in")
-    source = spark.readStream.schema(spark.read.parquet(f"{path}/in").schema).parquet(f"{path}/in")
-    return latest_updates(run_to_end(pair_stream(source, timers=False), "update", path))
+def run_pairing(spark: SparkSession, steps: list[DataFrame]) -> DataFrame:
+    """Pairs after a stream has read each of the steps (raw records with `arrived`) in turn, to its end and on from there."""
+    path, key = shared_folder(spark), "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, ROCKSDB)
+    try:
+        for n, step in enumerate(steps):
+            step.select("_id", "xRequestId", "securityServerType", "requestInTs", "arrived").write.parquet(f"{path}/in/{n}")
+            source = spark.readStream.schema("_id string, xRequestId string, securityServerType string, requestInTs long, arrived timestamp").parquet(f"{path}/in/*")
+            out = run_to_end(pair_stream(source), "update", path)
+    finally:
+        spark.conf.set(key, before)
+    return latest_updates(out)
 
 
 def run_tumbling(spark: SparkSession, calls: DataFrame, minutes: int = 60) -> DataFrame:

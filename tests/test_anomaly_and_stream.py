@@ -81,50 +81,31 @@ def test_logs_round_trip(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "out")).count() == 2
 
 
-def test_stream_pairs_over_batches(spark, tmp_path):
-    schema = "_id string, xRequestId string, securityServerType string, requestInTs long"
-    source, path = str(tmp_path / "in"), str(tmp_path / "run")
+ARRIVED = "_id string, xRequestId string, securityServerType string, requestInTs long, arrived timestamp"
 
-    def feed(*rows):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
-        stream = spark.readStream.schema(schema).parquet(source)
-        out = pairing.latest_updates(pairing.run_to_end(pairing.pair_stream(stream, timers=False), "update", path))
-        return {r.xRequestId: (r.client_id, r.producer_id, r.status, r.matching) for r in out.collect()}
 
-    got = feed(("c1", "1", "Client", 0), ("c2", "1", "client", 5), ("c3", "2", "Client", 0))
-    assert got == {"1": ("c1", None, "processing", "orphan"), "2": ("c3", None, "processing", "orphan")}
-    got = feed(("p1", "1", "PRODUCER", 10), ("c9", "2", "client", 9))
-    assert got == {"1": ("c1", "p1", "done", "regular_pair"), "2": ("c3", None, "processing", "orphan")}
+def arriving(spark, day, *rows):
+    return spark.createDataFrame([(*r, dt.datetime(2024, 1, 1) + dt.timedelta(days=day)) for r in rows], ARRIVED).coalesce(1)
 
 
-class State:
-    """What a state function sees of its group."""
+def paired(spark, *steps):
+    return {r.xRequestId: (r.client_id, r.producer_id, r.status, r.matching, r.expired) for r in pairing.run_pairing(spark, list(steps)).collect()}
 
-    def __init__(self, value=None, timed_out=False):
-        self.value, self.hasTimedOut, self.timer = value, timed_out, None
 
-    exists = property(lambda self: self.value is not None)
-    get = property(lambda self: self.value)
+def test_stream_pairs_over_batches(spark):
+    first = arriving(spark, 0, ("c1", "1", "Client", 0), ("c2", "1", "client", 5), ("c3", "2", "Client", None), ("c4", "2", "Client", 1), ("x", "3", "Proxy", 0), ("y", None, "Client", 0), ("z", "", "Client", 0))
+    got = paired(spark, first, arriving(spark, 0, ("p1", "1", "PRODUCER", 10), ("c9", "2", "client", 0)))
+    assert got == {"1": ("c1", "p1", "done", "regular_pair", False), "2": ("c3", None, "processing", "orphan", False)}
 
-    def update(self, value):
-        self.value = value
 
-    def remove(self):
-        self.value = None
-
-    def setTimeoutDuration(self, ms):
-        self.timer = ms
-
-
-def test_timeout_then_late_partner_then_forgotten():
-    import pandas as pd
-
-    state = State(("c", None, False, 1), timed_out=True)
-    out = pd.concat(pairing.pair_state(("1",), iter([]), state))
-    assert out[["status", "matching", "version"]].values.tolist() == [["done", "orphan", 2]] and state.timer == pairing.KEEP_MS
-    state.hasTimedOut = False
-    late = pd.DataFrame({"id": ["p"], "requestInTs": [7], "party": ["producer"]})
-    out = pd.concat(pairing.pair_state(("1",), iter([late]), state))
-    assert out[["client_id", "producer_id", "status", "matching"]].values.tolist() == [["c", "p", "done", "regular_pair"]]
-    state.hasTimedOut = True
-    assert list(pairing.pair_state(("1",), iter([]), state)) == [] and not state.exists
+def test_timeout_then_late_partner_then_forgotten(spark):
+    clock = lambda day: arriving(spark, day, (f"k{day}", f"k{day}", "Client", 0))
+    steps = [arriving(spark, 0, ("c", "1", "Client", 0), ("d", "2", "Client", 0)), clock(2)]
+    assert paired(spark, *steps)["1"] == ("c", None, "processing", "orphan", False)
+    steps.append(clock(4))
+    assert paired(spark, *steps)["1"] == ("c", None, "done", "orphan", True)
+    late = arriving(spark, 20, ("p", "1", "Producer", 7))
+    assert paired(spark, *steps, late)["1"] == ("c", "p", "done", "regular_pair", True)
+    after = paired(spark, *steps, late, clock(60), arriving(spark, 61, ("n", "2", "Producer", 9)))
+    assert after["1"] == ("c", "p", "done", "regular_pair", True)
+    assert after["2"] in (("d", None, "done", "orphan", True), (None, "n", "processing", "orphan", False))  # forgotten: its partner begins anew
