@@ -403,7 +403,7 @@ def w4_similar_periods(spark, sf_dir):
     return D.calls(spark, sf_dir).groupBy(X.similar_period(t, ("hour", "weekday")).alias("hour_weekday"), X.similar_period(t, ("hour", "day")).alias("hour_day")).agg(F.count("*").alias("n"))
 
 
-_HIST = "count(*) AS request_count, avg(requestSize) AS mean_request_size, avg(responseSize) AS mean_response_size, avg(totalDuration) AS mean_client_duration, avg(producerDurationProducerView) AS mean_producer_duration, count(*) AS request_ids"
+_HIST = "count(*) AS request_count, avg(requestSize) AS mean_request_size, avg(responseSize) AS mean_response_size, avg(totalDuration) AS mean_client_duration, avg(producerDurationProducerView) AS mean_producer_duration"
 _ROUND = lambda *cs: ", ".join(f"round({c}, 4) AS {c}" for c in cs)
 
 
@@ -477,6 +477,16 @@ def an4_anomalies(spark, sf_dir):
     return _flat(found).select(*SERVICE_CALL, "period_start_time", "monitored_metric_value", "difference_from_normal", "description")
 
 
+@query_of(ORACLE_SQL["an4_anomalies"].replace("AS description\nFROM", "AS description, request_count AS request_ids\nFROM"))
+def an4_anomalous_requests(spark, sf_dir):
+    """The same with the requests of each anomalous window, which alone are gathered."""
+    calls = D.calls(spark, sf_dir)
+    frame = anomaly.historic_averages(calls)
+    model, cut = anomaly.PeriodModel(), F.unix_millis("period") < _CUT
+    found = model.anomalies(frame.where(~cut), model.fit(frame.where(cut)), "request_count", calls=calls)
+    return _flat(found).select(*SERVICE_CALL, "period_start_time", "monitored_metric_value", "difference_from_normal", "description", "request_ids")
+
+
 @query_of(None)
 def m5_pvalue(spark, sf_dir):
     calls = D.calls(spark, sf_dir)

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from statistics import NormalDist
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from ..functions import expr as X
@@ -30,24 +30,40 @@ def unified(clean: DataFrame) -> DataFrame:
     return clean.select(*[v.alias(k) for k, v in both.items()], F.coalesce("clientRequestSize", "producerRequestSize").alias("requestSize"), F.coalesce("clientResponseSize", "producerResponseSize").alias("responseSize"), "totalDuration", "producerDurationProducerView", "requestNwDuration", "responseNwDuration", F.coalesce("client._id", "producer._id").alias("_id"), "xRequestId")
 
 
-def by_period(calls: DataFrame, minutes: int, keys: Sequence[str] = ()) -> DataFrame:
+def windowed(calls: DataFrame, minutes: int) -> DataFrame:
     """calls with null identifiers as '-' and the start of their window."""
     ids = {c: F.coalesce(F.col(c), F.lit("-")) for c in SERVICE_CALL}
-    return calls.withColumns({**ids, "period": F.timestamp_millis(X.bucket(F.col("requestInTs"), minutes))}).groupBy(*SERVICE_CALL, "period", *keys)
+    return calls.withColumns({**ids, "period": F.timestamp_millis(X.bucket(F.col("requestInTs"), minutes))})
 
 
-def _ids(condition: Column | None = None) -> Column:
-    return F.sort_array(F.collect_list(F.col("_id") if condition is None else F.when(condition, F.col("_id")))).alias("request_ids")
+def by_period(calls: DataFrame, minutes: int, keys: Sequence[str] = ()) -> GroupedData:
+    return windowed(calls, minutes).groupBy(*SERVICE_CALL, "period", *keys)
 
 
 def historic_averages(calls: DataFrame, minutes: int = 60) -> DataFrame:
-    """Calls and mean sizes and durations of each service call and window, with the calls' ids."""
+    """Calls and mean sizes and durations of each service call and window."""
     return by_period(calls, minutes).agg(
         F.count("*").alias("request_count"), F.avg("requestSize").alias("mean_request_size"), F.avg("responseSize").alias("mean_response_size"),
-        F.avg("totalDuration").alias("mean_client_duration"), F.avg("producerDurationProducerView").alias("mean_producer_duration"), _ids(),
+        F.avg("totalDuration").alias("mean_client_duration"), F.avg("producerDurationProducerView").alias("mean_producer_duration"),
     )
 
 
+def with_request_ids(flagged: DataFrame, calls: DataFrame, minutes: int, keys: Sequence[str] = (), condition: Column | None = None) -> DataFrame:
+    """Flagged windows with request_ids, the sorted ids of their calls (of those that meet the condition).
+
+    The second phase of detection: windows are flagged by counts alone, and only calls of flagged ones are gathered. Few
+    windows are flagged, so the semi join that picks their calls needs no shuffle of the others.
+    """
+    on = [*SERVICE_CALL, "period", *keys]
+    names = [F.col(k).alias(f"__at_{k}") for k in on]
+    same = [F.col(k).eqNullSafe(F.col(f"__at_{k}")) for k in on]
+    mine = windowed(calls if condition is None else calls.where(condition), minutes).select("_id", *on)
+    wanted = flagged.select(*names).distinct()
+    ids = mine.join(wanted, same, "left_semi").groupBy(*names).agg(F.sort_array(F.collect_list("_id")).alias("request_ids"))
+    out = flagged.join(ids, same, "left").drop(*[f"__at_{k}" for k in on])
+    return out.withColumn("request_ids", F.coalesce("request_ids", F.array().cast("array<string>")))
+
+
 def _end(unit: str) -> Column:
     return F.col("period") + F.expr(f"INTERVAL 1 {unit}")
 
@@ -61,23 +77,24 @@ def _incident(frame: DataFrame, unit: str, metric: str, value: Column, differenc
 
 
 def failed_ratio(calls: DataFrame, threshold: float = 0.9, minutes: int = 60, unit: str = "HOUR") -> DataFrame:
-    """Windows in which the share of failed calls exceeds the threshold: one conditional aggregation, no join."""
+    """Windows in which the share of failed calls exceeds the threshold, with the ids of the failed ones."""
     failed = ~F.col("succeeded")
-    f = by_period(calls, minutes).agg(F.count("*").alias("n"), F.count_if(failed).alias("failed"), _ids(failed))
-    f = f.withColumn("ratio", F.col("failed") / F.col("n")).where(F.col("ratio") > threshold)
+    f = by_period(calls, minutes).agg(F.count("*").alias("n"), F.count_if(failed).alias("failed"))
+    f = with_request_ids(f.withColumn("ratio", F.col("failed") / F.col("n")).where(F.col("ratio") > threshold), calls, minutes, condition=failed)
     return _incident(f, unit, "failed_request_ratio", F.col("ratio"), F.col("ratio") - threshold, F.col("n"), F.lit(1.0), F.format_string("%d of %d requests failed", "failed", "n"))
 
 
 def duplicate_ids(calls: DataFrame, minutes: int = 60 * 24, unit: str = "DAY") -> DataFrame:
     """Message ids that occur more than once for a service call and window."""
-    f = by_period(calls, minutes, ["messageId"]).agg(F.count("*").alias("n"), _ids()).where("n > 1")
+    f = with_request_ids(by_period(calls, minutes, ["messageId"]).agg(F.count("*").alias("n")).where("n > 1"), calls, minutes, ["messageId"])
     return _incident(f, unit, "duplicate_message_id", F.col("n"), F.col("n") - 1, F.col("n"), F.lit(1.0), F.format_string("message id %s occurs %d times", "messageId", "n"), keep=["messageId"])
 
 
 def time_sync(calls: DataFrame, metric: str = "requestNwDuration", threshold: float = -2000.0, minutes: int = 60, unit: str = "HOUR") -> DataFrame:
-    """Windows with calls whose network time is below the threshold, in one pass over the window's calls."""
+    """Windows with calls whose network time is below the threshold, with the ids of these calls."""
     low = F.col(metric) < threshold
-    f = by_period(calls, minutes).agg(F.count("*").alias("n"), F.count_if(low).alias("low"), F.avg(F.when(low, F.col(metric))).alias("mean_low"), _ids(low)).where("low > 0")
+    f = by_period(calls, minutes).agg(F.count("*").alias("n"), F.count_if(low).alias("low"), F.avg(F.when(low, F.col(metric))).alias("mean_low")).where("low > 0")
+    f = with_request_ids(f, calls, minutes, condition=low)
     return _incident(f, unit, metric, F.col("mean_low"), -F.col("mean_low"), F.col("n"), F.lit(1.0), F.format_string("%d of %d requests below the limit", "low", "n"))
 
 
@@ -96,13 +113,19 @@ class PeriodModel:
     def with_period(self, frame: DataFrame) -> DataFrame:
         return frame.withColumn("similar_periods", X.similar_period(F.unix_millis("period"), self.parts))
 
-    def sums(self, frame: DataFrame) -> DataFrame:
-        """n, sum and sum of squares of each metric, nulls left out."""
+    def names(self) -> list[str]:
+        return [f"{m}_{k}" for m in self.metrics for k in ("count", "sum", "ssq")]
+
+    def parts_of(self, frame: DataFrame) -> DataFrame:
+        """What each window adds to its period's count, sum and sum of squares of each metric; nulls add nothing."""
         made = []
         for m in self.metrics:
             x = F.col(m).cast("double")
-            made += [F.count(x).alias(f"{m}_count"), F.coalesce(F.sum(x), F.lit(0.0)).alias(f"{m}_sum"), F.coalesce(F.sum(x * x), F.lit(0.0)).alias(f"{m}_ssq")]
-        return self.with_period(frame).groupBy(*self.keys).agg(*made)
+            made += [x.isNotNull().cast("long").alias(f"{m}_count"), F.coalesce(x, F.lit(0.0)).alias(f"{m}_sum"), F.coalesce(x * x, F.lit(0.0)).alias(f"{m}_ssq")]
+        return self.with_period(frame).select(*self.keys, *made)
+
+    def sums(self, frame: DataFrame) -> DataFrame:
+        return self.parts_of(frame).groupBy(*self.keys).agg(*[F.sum(c).alias(c) for c in self.names()])
 
     def finished(self, sums: DataFrame) -> DataFrame:
         """Mean and population spread from the sums; below two values the spread is 0."""
@@ -117,14 +140,11 @@ class PeriodModel:
         return self.finished(self.sums(frame)).withColumn("version", F.lit(1))
 
     def update(self, model: DataFrame, frame: DataFrame) -> DataFrame:
-        """The model with the new frame's sums added: as if fitted on all."""
-        names = [f"{m}_{k}" for m in self.metrics for k in ("count", "sum", "ssq")]
-        new = self.sums(frame).select(*[F.col(k).alias(f"__{k}") for k in self.keys], *[F.col(c).alias(f"__{c}") for c in names])
-        on = [F.col(k) == F.col(f"__{k}") for k in self.keys]
-        both = model.select(*self.keys, *names, "version").join(new, on, "full_outer")
-        keys = [F.coalesce(k, f"__{k}").alias(k) for k in self.keys]
-        added = [(F.coalesce(c, F.lit(0)) + F.coalesce(f"__{c}", F.lit(0))).alias(c) for c in names]
-        return self.finished(both.select(*keys, *added, (F.coalesce("version", F.lit(0)) + 1).alias("version")))
+        """The model with the new frame's sums added: as if fitted on all. Old sums and new parts meet in one aggregation."""
+        new = self.parts_of(frame).withColumn("version", F.lit(0))
+        both = model.select(*self.keys, *self.names(), F.coalesce("version", F.lit(0)).alias("version")).unionByName(new)
+        added = both.groupBy(*self.keys).agg(*[F.sum(c).alias(c) for c in self.names()], (F.max("version") + 1).alias("version"))
+        return self.finished(added).select(*self.keys, *self.names(), "version", *[f"{m}_{k}" for m in self.metrics for k in ("mean", "std")])
 
     def without(self, model: DataFrame, retrained: DataFrame) -> DataFrame:
         """The model without all periods of service calls that are trained anew."""
@@ -132,8 +152,8 @@ class PeriodModel:
 
     def retrain(self, model: DataFrame, frame: DataFrame, retrained: DataFrame) -> DataFrame:
         """The model in which those service calls are fitted on the frame alone, at the version that the model has."""
-        version = model.agg(F.max("version")).first()[0] or 1
-        fitted = self.fit(frame.join(retrained, same_call(frame, retrained), "left_semi")).withColumn("version", F.lit(version))
+        version = F.coalesce(model.agg(F.max("version")).scalar(), F.lit(1))
+        fitted = self.fit(frame.join(retrained, same_call(frame, retrained), "left_semi")).withColumn("version", version)
         return self.without(model, retrained).unionByName(fitted)
 
     def one_a_period(self, model: DataFrame) -> DataFrame:
@@ -141,8 +161,8 @@ class PeriodModel:
         rest = [c for c in model.columns if c not in self.keys]
         return model.groupBy(*self.keys).agg(F.min_by(F.struct(*rest), F.struct("version", F.xxhash64(*rest))).alias("r")).select(*self.keys, "r.*")
 
-    def anomalies(self, frame: DataFrame, model: DataFrame, metric: str, unit: str = "HOUR") -> DataFrame:
-        """Windows whose metric lies too far from its period's mean, by a two-sided normal test.
+    def anomalies(self, frame: DataFrame, model: DataFrame, metric: str, unit: str = "HOUR", calls: DataFrame | None = None, minutes: int = 60) -> DataFrame:
+        """Windows whose metric lies too far from its period's mean, by a two-sided normal test. calls: of which the ids are taken.
 
         A period without a model counts as mean 0 and spread 0 for request_count and is skipped for other metrics.
         """
@@ -157,8 +177,8 @@ class PeriodModel:
         limit = NormalDist().inv_cdf((1 + self.confidence) / 2)
         f = f.withColumn("z", (x - F.col("__mean")) / spread).where(F.abs("z") > limit)
         said = F.format_string("%s %s its usual value", F.lit(metric), F.when(F.col("z") > 0, "above").otherwise("below"))
-        keep = _incident(f.drop("description"), unit, metric, F.col(metric), F.abs(x - F.col("__mean")), F.col("request_count"), 1 - X.two_sided_p(F.col("z")), said)
-        return keep
+        f = with_request_ids(f, calls, minutes) if calls is not None else f.withColumn("request_ids", F.array().cast("array<string>"))
+        return _incident(f, unit, metric, F.col(metric), F.abs(x - F.col("__mean")), F.col("request_count"), 1 - X.two_sided_p(F.col("z")), said)
 
 
 def first_requests(calls: DataFrame) -> DataFrame:

@@ -14,9 +14,8 @@ META_SERVICES = ("getWsdl", "listMethods", "allowedMethods", "getSecurityServerM
 
 def recent(calls: DataFrame, interval: int, buffer: int, date: str = "requestInDate") -> DataFrame:
     """Succeeded calls of `interval` days that end `buffer` days before the latest date."""
-    last = calls.agg(F.max(date).alias("__last"))
-    on = (F.col(date) >= F.date_sub("__last", interval + buffer)) & (F.col(date) <= F.date_sub("__last", buffer))
-    return calls.where("succeeded").join(F.broadcast(last), on).drop("__last")  # one row
+    last = calls.agg(F.max(date)).scalar()
+    return calls.where("succeeded").where((F.col(date) >= F.date_sub(last, interval + buffer)) & (F.col(date) <= F.date_sub(last, buffer)))
 
 
 def edges(calls: DataFrame, meta: Sequence[str] = META_SERVICES) -> DataFrame:

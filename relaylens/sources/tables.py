@@ -174,7 +174,7 @@ def of_version(models: DataFrame, name: str, version: int | None = None) -> Data
 
 def latest_rows(df: DataFrame, column: str) -> DataFrame:
     """Rows of the greatest value of a column."""
-    return df.join(F.broadcast(df.agg(F.max(column).alias("__last"))), F.col(column) == F.col("__last")).drop("__last")  # one row
+    return df.where(F.col(column) == df.agg(F.max(column)).scalar())
 
 
 def archive(df: DataFrame, before: Column, path: str) -> DataFrame:
