@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .functions import calendar
 from .functions import expr as X
-from .operators import anomaly, anonymize, correct, network, query, report, stats
+from .operators import anomaly, anonymize, correct, network, partials, query, report, stats
 from .plans import domain as D
 from .plans.shared import shared_folder, written
 from .schema import CLIENT_ID, DURATIONS, SERVICE_CALL, SERVICE_ID, SIZES
@@ -764,3 +765,144 @@ def t7_pointers(spark, sf_dir):
     for batch, when in enumerate(("requestInTs < 830000000000", "requestInTs >= 830000000000 or requestInTs is null")):
         store.apply(raw.where(when), batch, D.NOW, ["securityServerType"])
     return tables.current(store.pointers(), ["securityServerType"])
+
+
+# ---- partial aggregates by day
+
+_THIRDS = ("requestInTs < 800000000000", "requestInTs >= 800000000000 and requestInTs < 850000000000", "requestInTs >= 850000000000 or requestInTs is null")
+
+
+@query_of(ORACLE_SQL["a8_edges"])
+def a8_edges_from_partials(spark, sf_dir):
+    """Edges merged from the partials of three batches, of which each was read once."""
+    raw, kept = D.raw(spark, sf_dir), partials.edge_partials(spark, shared_folder(spark))
+    for batch, when in enumerate(_THIRDS):
+        kept.add(partials.edges_by_day(raw.where(when)), batch)
+    return partials.edges_of(kept)
+
+
+@query_of(f"{_EDGES.replace('FROM raw GROUP', 'FROM raw WHERE requestInTs >= 820454400000 AND requestInTs < 823132800000 GROUP')} SELECT * FROM edges")
+def a8_edges_of_a_month(spark, sf_dir):
+    """The edges of January 1996 alone, from the partials of its days."""
+    kept = partials.edge_partials(spark, shared_folder(spark))
+    kept.add(partials.edges_by_day(D.raw(spark, sf_dir)), 0)
+    return partials.edges_of(kept, "1996-01-01", "1996-01-31")
+
+
+@query_of(ORACLE_SQL["a7_report_rows"])
+def a7_report_from_partials(spark, sf_dir):
+    clean = D.clean(spark, sf_dir).where("xRequestId <> ''")
+    calls = written(report.flattened(clean, [*SERVICE_CALL, "succeeded", "requestInTs"], ["totalDuration", "producerDurationProducerView", *SIZES]))
+    kept = partials.report_partials(spark, shared_folder(spark))
+    for batch, when in enumerate(_THIRDS):
+        kept.add(partials.report_by_day(calls.where(when)), batch)
+    rows, s = partials.report_of(kept), F.col("subsystem")
+    named = F.concat_ws("/", s["instance"], s["memberClass"], s["memberCode"], F.coalesce(s["subsystemCode"], F.lit("-")))
+    return rows.withColumns({"subsystem": named, **{c: F.round(c, 4) for c in ("mean_duration", "mean_request", "mean_response")}})
+
+
+# ---- landed lines, grown schemas, snapshots, reports as files, harvesting
+
+_BROKEN_LINE = "CASE event_id % 10 WHEN 3 THEN substring(props, 1, length(props) - 1) WHEN 4 THEN '[1, 2]' WHEN 5 THEN '{\"k\": \"many\"}' WHEN 6 THEN '' WHEN 7 THEN '{\"other\": 1}' ELSE props END"
+
+
+@query_of("""SELECT 'record' AS kind, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS n FROM events WHERE event_id % 10 NOT IN (3, 4, 5, 6, 7) GROUP BY 2
+UNION ALL SELECT 'record', NULL, count(*) FROM events WHERE event_id % 10 = 7 UNION ALL SELECT 'quarantined', NULL, count(*) FROM events WHERE event_id % 10 IN (3, 4, 5)""")
+def s4_quarantine(spark, sf_dir):
+    """Properties of events landed as lines, some cut, of a wrong kind or empty: what is read and what is set aside."""
+    path = shared_folder(spark)
+    _table(spark, sf_dir, "events").select(F.expr(_BROKEN_LINE).alias("value")).write.option("compression", "gzip").text(path)
+    good, bad = tables.parsed_lines(tables.landed_lines(spark, path), tables.schema_of({"k": "long"}))
+    read = good.groupBy("k").agg(F.count("*").alias("n")).select(F.lit("record").alias("kind"), "k", "n")
+    return read.unionByName(bad.agg(F.count("*").alias("n")).select(F.lit("quarantined").alias("kind"), F.lit(None).cast("long").alias("k"), "n"))
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT id, requestInTs, serviceCode, CASE WHEN id % 3 > 0 THEN messageId END AS messageId, CASE WHEN id % 3 = 2 THEN totalDuration END AS totalDuration FROM calls")
+def s17_grown_logs(spark, sf_dir):
+    """Three writes, each with one more column, read as one table."""
+    calls, log = D.calls(spark, sf_dir), tables.LogTable(spark, shared_folder(spark))
+    columns = ["id", "requestInTs", "serviceCode", "messageId", "totalDuration"]
+    for k in range(3):
+        log.write(calls.where(F.col("id") % 3 == k).select(*columns[: 3 + k]))
+    return log.read().select(*columns)
+
+
+_DAYS = [dt.datetime(2024, 1, day, 12) for day in (10, 20, 31)]
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT {int(_DAYS[-1].replace(tzinfo=dt.timezone.utc).timestamp())} AS update_time, count(*) AS total, {', '.join(f'count(*) FILTER (requestInTs >= {a} AND requestInTs < {b}) AS {n}' for n, (a, b) in stats.calendar_windows(_DAYS[-1]).items())} FROM calls")
+def s29_statistics_history(spark, sf_dir):
+    """Three snapshots of the calendar counts are appended; the newest is read."""
+    calls, path = D.calls(spark, sf_dir), shared_folder(spark)
+    for now in _DAYS:
+        counts = stats.calendar_counts(calls, now)
+        stats.append_snapshot(counts, path, now)
+    newest = stats.latest_statistics(spark, path, ", ".join(f"{c} long" for c in counts.columns))
+    return newest.withColumn("update_time", F.unix_seconds("update_time"))
+
+
+@query_of(f"{_ROLE_CALLS} SELECT CASE role WHEN 'ps' THEN 'prod_serv' WHEN 'pms' THEN 'prod_meta' WHEN 'cs' THEN 'cons_serv' ELSE 'cons_meta' END AS report, subsystem, count(*) AS n, CAST(sum(succeeded) AS BIGINT) AS succeeded FROM rows_ GROUP BY 1, 2")
+def s25_report_csv(spark, sf_dir):
+    """The four tables of every subsystem's report, written as CSV and read back."""
+    path = shared_folder(spark)
+    tables.report_csv(report.display(_report(spark, sf_dir)), path, "2024-01-01", "2024-01-31")
+    found = None
+    for name, first, second in tables.REPORT_TABLES.values():
+        own = spark.read.option("header", True).csv(f"{path}/{name}/2024-01-01_2024-01-31")
+        own = own.select(F.lit(name).alias("report"), "subsystem", F.col(first), F.col(second), F.col("succeeded").cast("long").alias("succeeded")).drop(first, second)
+        found = own if found is None else found.unionByName(own)
+    return found.groupBy("report", "subsystem").agg(F.count("*").alias("n"), F.sum("succeeded").alias("succeeded"))
+
+
+_FROM = "requestInTs >= 1704412800000 AND requestInTs < 1706140800000"
+
+
+@query_of(f"""WITH {D.O_CALLS}, a AS (SELECT id, requestInTs FROM calls WHERE {_FROM} ORDER BY requestInTs, id LIMIT 400), e AS (SELECT requestInTs AS t, id AS i FROM a ORDER BY 1 DESC, 2 DESC LIMIT 1)
+SELECT 'first' AS page, id, requestInTs FROM a
+UNION ALL (SELECT 'resumed', id, requestInTs FROM calls, e WHERE {_FROM} AND requestInTs >= t - t % 1000 AND id > i ORDER BY requestInTs, id LIMIT 400)
+UNION ALL (SELECT 'further', id, requestInTs FROM calls, e WHERE {_FROM} AND requestInTs >= t - t % 1000 AND id > i ORDER BY requestInTs, id LIMIT 400 OFFSET 400)""")
+def s21_harvest_resume(spark, sf_dir):
+    """A first request, one that goes on behind its last row, and that one's next page."""
+    calls = D.calls(spark, sf_dir).select("id", "requestInTs")
+    source = query.HarvestSource("2024-01-05T03:00:00", 400, "2024-01-25T03:00:00", "+0300")
+    first = written(query.harvest_page(calls, source.params()))
+    more = source.resumed(query.resume_point(first).first().asDict())
+    pages = {"first": first, "resumed": query.harvest_page(calls, more), "further": query.harvest_page(calls, {**more, "offset": 400})}
+    out = [p.select(F.lit(name).alias("page"), "id", "requestInTs") for name, p in pages.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+# ---- calendar
+
+_D8 = "CAST(o_orderdate AS DATE)"
+_LAST = f"CASE WHEN {_D8} = last_day({_D8}) THEN {_D8} ELSE last_day({_D8} - INTERVAL 1 MONTH) END"
+_SUNDAY = f"({_D8} - CAST(isodow({_D8}) % 7 AS INT))"
+_MONDAY = f"({_D8} + CAST((8 - isodow({_D8})) % 7 AS INT))"
+
+
+@query_of(f"""SELECT o_orderkey, CAST(date_trunc('month', {_LAST}) AS DATE)::VARCHAR AS month_first, CAST({_LAST} AS DATE)::VARCHAR AS month_last, CAST({_SUNDAY} - 6 AS DATE)::VARCHAR AS week_first, CAST({_SUNDAY} AS DATE)::VARCHAR AS week_last,
+  CAST({_MONDAY} AS DATE)::VARCHAR AS next_first, CAST({_MONDAY} + 6 AS DATE)::VARCHAR AS next_last FROM orders""")
+def tc4_report_calendar(spark, sf_dir):
+    """Previous month, previous and next week of each order's day."""
+    day = F.to_date("o_orderdate")
+    spans = {"month": calendar.previous_month(day), "week": calendar.previous_week(day), "next": calendar.next_week(day)}
+    return _table(spark, sf_dir, "orders").select("o_orderkey", *[c.cast("string").alias(f"{n}_{k}") for n, pair in spans.items() for k, c in zip(("first", "last"), pair)])
+
+
+_TS = "CAST(o_orderdate AS TIMESTAMP) + to_hours(CAST(o_orderkey % 24 AS INT))"
+
+
+@query_of(f"SELECT o_orderkey, epoch_ms({_TS} - INTERVAL 3 MONTH) AS months, epoch_ms({_TS} - INTERVAL 5 WEEK) AS weeks, epoch_ms({_TS} - INTERVAL 10 DAY) AS days FROM orders")
+def tc9_training_start(spark, sf_dir):
+    at = F.to_timestamp("o_orderdate") + F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int"))
+    units = {"MONTHS": 3, "WEEKS": 5, "DAYS": 10}
+    return _table(spark, sf_dir, "orders").select("o_orderkey", *[F.unix_millis(calendar.training_start(at, n, u)).alias(u.lower()) for u, n in units.items()])
+
+
+@query_of(f"""SELECT o_orderkey, CASE o_orderkey % 5 WHEN 4 THEN NULL ELSE epoch_ms({_TS}) - CASE o_orderkey % 5 WHEN 0 THEN 0 WHEN 1 THEN 10800000 WHEN 2 THEN -19800000 ELSE 10800000 END END AS at_ms FROM orders""")
+def tc10_offset_times(spark, sf_dir):
+    """Times written with Z, +0300, -05:30, a plus sign turned into a space, and without an offset, which is none."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    at = F.date_format(F.to_timestamp("o_orderdate") + F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int")), "yyyy-MM-dd'T'HH:mm:ss")
+    zone = F.element_at(F.array(*map(F.lit, ("Z", "+0300", "-05:30", " 03:00", ""))), (F.col("o_orderkey") % 5 + 1).cast("int"))
+    return _table(spark, sf_dir, "orders").select("o_orderkey", F.unix_millis(calendar.with_offset(F.concat(at, zone))).alias("at_ms"))

@@ -122,6 +122,48 @@ def harvest(df: DataFrame, from_ts: int, until_ts: int | None = None, after_id:
     return out if limit is None else out.limit(limit)
 
 
+@dataclass(frozen=True)
+class HarvestSource:
+    """What a source is asked by default: from when on, how many rows, until when, and the offset of its times of day."""
+
+    from_dt: str
+    limit: int
+    until_dt: str | None = None
+    tz_offset: str = "+0000"
+
+    #: What a request may override.
+    OVERRIDES = ("from_dt", "from_row_id", "offset", "until_dt")
+
+    def _instant(self, name: str, text: str) -> str:
+        try:
+            at = dt.datetime.strptime(text, "%Y-%m-%dT%H:%M:%S")
+            return dt.datetime.strptime(at.isoformat() + self.tz_offset, "%Y-%m-%dT%H:%M:%S%z").strftime("%Y-%m-%dT%H:%M:%S%z")
+        except ValueError:
+            raise ValueError(f"{name} has to be a time like 2024-01-31T12:00:00") from None
+
+    def params(self, **overrides: object) -> dict[str, object]:
+        """Parameters of a request; times get the source's offset."""
+        if wrong := [k for k in overrides if k not in self.OVERRIDES]:
+            raise ValueError(f"{wrong[0]} can't be overridden")
+        out = {"from_dt": self.from_dt, "limit": self.limit, "until_dt": self.until_dt, **overrides}
+        return {k: self._instant(k, str(v)) if k in ("from_dt", "until_dt") else v for k, v in out.items() if v is not None}
+
+    def resumed(self, last: Mapping[str, object] | None, time: str = "requestInTs", key: str = "id") -> dict[str, object]:
+        """Parameters that go on behind the last row of what is there; `last` as `resume_point` gives it, in UTC."""
+        if not last or last[time] is None:
+            return self.params()
+        zone = dt.datetime.strptime(self.tz_offset, "%z").tzinfo
+        at = dt.datetime.fromtimestamp(int(last[time]) // 1000, zone)
+        return self.params(from_dt=at.strftime("%Y-%m-%dT%H:%M:%S"), from_row_id=last[key])
+
+
+def harvest_page(df: DataFrame, params: Mapping[str, object], time: str = "requestInTs", key: str = "id") -> DataFrame:
+    """The rows that a request with these parameters gets, in (time, key) order."""
+    ms = lambda name: int(dt.datetime.strptime(str(params[name]), "%Y-%m-%dT%H:%M:%S%z").timestamp() * 1000) if name in params else None
+    out = harvest(df, ms("from_dt") or 0, ms("until_dt"), params.get("from_row_id"), None, time, key)
+    return out.offset(int(params.get("offset", 0))).limit(int(params["limit"]))
+
+
 def resume_point(batch: DataFrame, time: str = "requestInTs", key: str = "id") -> DataFrame:
     """The last (time, key) of a batch, where the next one starts."""
     return batch.agg(F.max(F.struct(time, key)).alias("last")).select(f"last.{time}", f"last.{key}")

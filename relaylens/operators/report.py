@@ -45,13 +45,18 @@ def role_keys() -> tuple[Column, Column]:
     return F.when(produces, service).otherwise(owner), F.when(produces, caller).otherwise(service)
 
 
+def measures() -> tuple[Column, dict[str, Column]]:
+    """Whether a call with a role succeeded, and its duration and sizes as that role sees them."""
+    produces = F.col("role").isin("ps", "pms")
+    duration = F.when(produces, F.coalesce("producerDurationProducerView", "totalDuration")).otherwise(F.col("totalDuration"))
+    return F.coalesce("succeeded", F.lit(False)), {"duration": duration, "request": F.coalesce("clientRequestSize", "producerRequestSize"), "response": F.coalesce("clientResponseSize", "producerResponseSize")}
+
+
 def report_rows(calls: DataFrame) -> DataFrame:
     """Counts of each role and pair of keys, and least, mean and greatest duration and sizes of what succeeded."""
     first, second = role_keys()
-    produces = F.col("role").isin("ps", "pms")
-    duration = F.when(produces, F.coalesce("producerDurationProducerView", "totalDuration")).otherwise(F.col("totalDuration"))
-    ok = F.coalesce("succeeded", F.lit(False))
-    values = {"duration": duration, "request": F.coalesce("clientRequestSize", "producerRequestSize"), "response": F.coalesce("clientResponseSize", "producerResponseSize")}
+    ok, values = measures()
+    duration = values["duration"]
     aggregates = [f(F.when(ok, v)).alias(f"{n}_{k}") for k, v in values.items() for n, f in (("min", F.min), ("mean", F.avg), ("max", F.max))]
     return with_roles(calls).groupBy("subsystem", "role", first.alias("key1"), second.alias("key2")).agg(F.count_if(ok).alias("succeeded"), F.count_if(~ok).alias("failed"), *aggregates, F.sum(F.when(ok, duration)).alias("sum_duration"), F.count(F.when(ok, duration)).alias("n_duration"))
 

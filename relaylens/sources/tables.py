@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,14 +23,42 @@ SHARED_PARAMS = (
 )
 
 
-def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    """Landed records, one JSON object a line, gzipped or not; missing fields are null, broken lines are all null."""
-    return spark.read.schema(RAW).option("mode", "PERMISSIVE").json(path)
+BROKEN = "__broken"
 
 
-def stream_raw(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
+def landed_lines(spark: SparkSession, path: str) -> DataFrame:
+    """line and file of landed files, gzipped or not; blank lines are left out."""
+    return spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file")).where("trim(line) <> ''")
+
+
+def stream_lines(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
     """The same as a stream with a bounded batch."""
-    return spark.readStream.schema(RAW).option("maxFilesPerTrigger", files_per_batch).json(path)
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
+    return lines.select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file")).where("trim(line) <> ''")
+
+
+def parsed_lines(lines: DataFrame, schema: T.StructType = RAW) -> tuple[DataFrame, DataFrame]:
+    """(records, quarantined lines): a line that is no JSON object or has a value of a wrong type is quarantined, with its file.
+
+    Every line is in just one of the two.
+    """
+    whole = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
+    read = lines.withColumn("r", F.from_json("line", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}))
+    good = F.coalesce(F.col(f"r.{BROKEN}").isNull() & F.col("r").isNotNull() & F.ltrim("line").startswith("{"), F.lit(False))
+    return read.where(good).select(*[F.col(f"r.{f.name}").alias(f.name) for f in schema]), read.where(~good).select("line", "file")
+
+
+def read_raw(spark: SparkSession, path: str, quarantine: str | None = None) -> DataFrame:
+    """Landed records, one JSON object a line; missing fields are null. quarantine: where broken lines go, else they're left out."""
+    good, bad = parsed_lines(landed_lines(spark, path))
+    if quarantine is not None:
+        bad.write.mode("append").parquet(quarantine)
+    return good
+
+
+def stream_raw(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
+    """Landed records as a stream with a bounded batch, without broken lines; see `stream_lines` to keep these."""
+    return parsed_lines(stream_lines(spark, path, files_per_batch))[0]
 
 
 def gate_versions(raw: DataFrame, least: Sequence[int] = (7, 6, 2)) -> DataFrame:
@@ -109,13 +139,58 @@ def translated(fields: Sequence[str]) -> list[Column]:
     return [F.col(a.strip()).alias(b.strip()) for a, b in pairs]
 
 
+@dataclass(frozen=True)
+class LogTable:
+    """Published rows by day, and a log of their schema: columns may be added, their types never change.
+
+    Each version of the schema is a folder of its own that is written once, so that of two writers that add columns at the
+    same time one fails. Rows are read by the newest schema; older files give null for columns that they haven't.
+    """
+
+    spark: SparkSession
+    path: str
+
+    def versions(self) -> list[T.StructType]:
+        log = f"{self.path}/_schemas"
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(log)
+        if not p.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(p):
+            return []
+        rows = self.spark.read.text(log).withColumn("version", F.col("version").cast("int")).orderBy("version").collect()  # a row a version
+        return [T.StructType.fromJson(json.loads(r.value)) for r in rows]
+
+    def evolved(self, known: T.StructType, new: T.StructType) -> T.StructType:
+        """known with the columns that new adds; a column of another type or spelling is an error."""
+        types, lower = {f.name: f.dataType for f in known}, {f.name.lower(): f.name for f in known}
+        added = []
+        for f in new:
+            if f.name in types:
+                if types[f.name] != f.dataType:
+                    raise ValueError(f"column {f.name} is {types[f.name].simpleString()} and can't become {f.dataType.simpleString()}")
+            elif f.name.lower() in lower:
+                raise ValueError(f"column {f.name} is known as {lower[f.name.lower()]}")
+            else:
+                added.append(T.StructField(f.name, f.dataType))
+        return T.StructType([*known.fields, *added])
+
+    def write(self, rows: DataFrame, time: str = "requestInTs") -> None:
+        dated = rows.withColumn("requestInDate", X.to_day(F.col(time)))
+        known = self.versions()
+        new = self.evolved(known[-1] if known else T.StructType(), dated.schema)
+        if not known or new != known[-1]:
+            self.spark.createDataFrame([(json.dumps(new.jsonValue()),)], "value string").coalesce(1).write.text(f"{self.path}/_schemas/version={len(known) + 1}")
+        dated.write.mode("append").partitionBy("requestInDate").parquet(f"{self.path}/rows")
+
+    def read(self) -> DataFrame:
+        return self.spark.read.schema(self.versions()[-1]).parquet(f"{self.path}/rows")
+
+
 def write_logs(rows: DataFrame, path: str, time: str = "requestInTs") -> None:
-    """Append to the published logs, partitioned by day; new columns may join with mergeSchema on reading."""
-    rows.withColumn("requestInDate", X.to_day(F.col(time))).write.mode("append").partitionBy("requestInDate").parquet(path)
+    """Append to the published logs, partitioned by day; columns may be added, see LogTable."""
+    LogTable(rows.sparkSession, path).write(rows, time)
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", True).parquet(path)
+    return LogTable(spark, path).read()
 
 
 def export_ndjson(rows: DataFrame, path: str) -> None:
@@ -190,10 +265,20 @@ def host_logs(raw: DataFrame, path: str, host: str = "securityServerInternalIp",
     out.write.mode("append").partitionBy("date", "host").option("maxRecordsPerFile", most).json(path)
 
 
-def report_csv(rows: DataFrame, path: str) -> None:
-    """A report's tables by subsystem and role; nested columns become text."""
-    flat = rows.withColumn("subsystem", F.concat_ws("/", "subsystem.instance", "subsystem.memberClass", "subsystem.memberCode", "subsystem.subsystemCode"))
-    flat.write.mode("overwrite").partitionBy("role").option("header", True).csv(path)
+#: The four tables of a report: role, name, and what its two keys are.
+REPORT_TABLES = {"ps": ("prod_serv", "service", "client"), "pms": ("prod_meta", "service", "client"), "cs": ("cons_serv", "producer", "service"), "cms": ("cons_meta", "producer", "service")}
+
+
+def report_csv(rows: DataFrame, path: str, start: str, end: str) -> None:
+    """A report's four tables as CSV under path/<table>/<start>_<end>, a folder for each subsystem, each with its own header.
+
+    rows: `report.display` rows. Rows of a subsystem stand in the order of their number.
+    """
+    s = F.col("subsystem")
+    flat = rows.withColumn("subsystem", F.concat_ws("/", s["instance"], s["memberClass"], s["memberCode"], s["subsystemCode"])) if dict(rows.dtypes)["subsystem"] != "string" else rows
+    for role, (table, first, second) in REPORT_TABLES.items():
+        own = flat.where(F.col("role") == role).select("subsystem", "no", F.col("key1").alias(first), F.col("key2").alias(second), "succeeded", "failed", "duration_text", "request_text", "response_text")
+        own.repartition("subsystem").sortWithinPartitions("subsystem", "no").write.mode("overwrite").partitionBy("subsystem").option("header", True).csv(f"{path}/{table}/{start}_{end}")
 
 
 def upserted(state: DataFrame, updates: DataFrame, key: Sequence[str], time: str) -> DataFrame:
