@@ -12,9 +12,10 @@ pairs beyond the bound aren't compared.
 
 Candidates are not all pairs that share a signature. First each set is compared with one centre, the set that it
 shares most signatures with. Then, where a signature's members still lie in several components, they are compared with
-a pivot, the first set of the component that most of them are in, and written as their edits of it. Two near sets of
-which one isn't near the pivot share more of their edits than most sets do that lie just below the threshold, so that
-they meet at an edit among few of each: a prefix filter over edits. Only such pairs are compared after that.
+a pivot, the first set of the component that most of them are in, and written as their edits of it, those that few sets
+have first. Two near sets of which one isn't near the pivot share more of their edits than most sets do that lie just
+below the threshold, so that they meet at an edit among few of each, and among fewer still of one of them: a prefix
+filter over edits. Only such pairs are compared after that.
 """
 
 from __future__ import annotations
@@ -340,7 +341,7 @@ def linked(sets: DataFrame) -> DataFrame:
     family = member.join(parts.where("parts > 1").select("sig", "pivot"), "sig").where("node <> pivot")
     family = written(family.groupBy("node", "pivot", "component").agg(F.sum(F.expr("same - odd")).alias("even"), F.sum("odd").alias("odd")))
     edits = written(edited(needed(family, sets), sets))
-    rest = written(edit_pairs(edits))
+    rest = written(edit_pairs(written(early_edits(edits))))
     return _labels(written(edges.union(edits.where("near").select(F.col("node").alias("src"), F.col("pivot").alias("dst"))).union(links(rest, sets))))
 
 
@@ -359,12 +360,12 @@ def prefix_sizes(d: int, n: int, room: int, pivot: int) -> tuple[int, int]:
 
 
 def edited(family: DataFrame, sets: DataFrame) -> DataFrame:
-    """node, pivot, component, n, room, d, near, short, edits for (node, pivot, component): sets as edits of their pivot.
+    """node, pivot, component, n, room, d, near, inside, limit, short, edits for (node, pivot, component): sets as edits of their pivot.
 
-    d: in how many shingles set and pivot differ. near: whether they are near. edits: those of them that a near set of
-    another component, also a set of this pivot, is sure to share one of; of a set that is near its pivot, or in its
-    component, with sets that aren't. short: how many of them come first for a partner that isn't near the pivot either.
-    The order is: what the pivot lacks, which few sets share, then what it has more, each by hash.
+    d: in how many shingles set and pivot differ; edits: these shingles. near: whether set and pivot are near; inside: that,
+    or in one component. limit: among how many of its edits, in an order that all sets of the pivot share, one stands that a
+    near set of another component has too; of a set inside, with sets that aren't. short: the same for a partner that isn't
+    near the pivot either.
     """
 
     def rows(batches):
@@ -372,36 +373,53 @@ def edited(family: DataFrame, sets: DataFrame) -> DataFrame:
             out, flat = [], []
             for node, pivot, component, n, room, x, p in zip(*(b.column(c).to_pylist() for c in ("node", "pivot", "component", "n", "room", "x", "p"))):
                 x, p = np.frombuffer(x, np.uint64), np.frombuffer(p, np.uint64)
-                more, less = np.setdiff1d(x, p, True), np.setdiff1d(p, x, True)
-                d = len(more) + len(less)
+                own = np.setxor1d(x, p, True)
+                d = len(own)
                 near = 7 * d <= n + len(p)
                 long, short = prefix_sizes(d, n, room, len(p))
                 inside = near or component == pivot
-                own = np.concatenate([y[np.argsort(mix(y))] for y in (more, less)])[: short if inside else long]
-                out.append((node, pivot, component, n, room, d, near, inside, short, len(own)))
+                out.append((node, pivot, component, n, room, d, near, inside, short if inside else long, short))
                 flat.append(own)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.int32())
-            ends = np.cumsum([0, *(r[-1] for r in out)])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_(), pa.int32(), pa.int32())
+            ends = np.cumsum([0, *(r[5] for r in out)])
             values = pa.array((np.concatenate(flat) if flat else np.empty(0, np.uint64)).view(np.int64))
-            yield pa.RecordBatch.from_arrays([*(pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)], ["node", "pivot", "component", "n", "room", "d", "near", "inside", "short", "edits"])
+            names = ["node", "pivot", "component", "n", "room", "d", "near", "inside", "limit", "short", "edits"]
+            yield pa.RecordBatch.from_arrays([*(pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)], names)
 
     x = sets.select("node", "n", "room", F.col("shingles").alias("x"))
     p = sets.select(F.col("node").alias("pivot"), F.col("shingles").alias("p"))
     both = family.join(x, "node").join(p, "pivot").select("node", "pivot", "component", "n", "room", "x", "p")
-    return both.mapInArrow(rows, "node long, pivot long, component long, n int, room int, d int, near boolean, inside boolean, short int, edits array<long>")
+    return both.mapInArrow(rows, "node long, pivot long, component long, n int, room int, d int, near boolean, inside boolean, limit int, short int, edits array<long>")
 
 
-def edit_pairs(edits: DataFrame) -> DataFrame:
+def early_edits(edits: DataFrame) -> DataFrame:
+    """Edits that another set of the pivot has too, those within the limit of each set, with their place `at` and `first_half`.
+
+    The order is by how few sets of the pivot have an edit, then by hash. If two near sets have i and j edits before the first
+    one that they share, these are differences, so 7 * (i + j) <= n + m, and one of i and j is within half of that: it is in
+    the first half of its set. So an edit that many sets share, which all of them have only behind so many edits of their
+    own, brings no two of them together.
+    """
+    one = edits.select("node", "pivot", "component", "n", "room", "d", "inside", "limit", "short", F.explode("edits").alias("edit"))
+    often = one.groupBy("pivot", "edit").agg(F.count("*").alias("sets")).where("sets > 1")
+    mine = Window.partitionBy("node", "pivot")
+    place = F.row_number().over(mine.orderBy("sets", F.xxhash64("edit"), "edit")) + F.col("d") - F.count("*").over(mine) - 1  # edits of no other set come first
+    most = F.expr(f"least(room, floor(n * {OF} / {NEAR}))")
+    out = one.join(often, ["pivot", "edit"]).withColumn("at", place).where("at < limit")
+    return out.withColumns({"early": F.col("at") < F.col("short"), "left": F.col("d") - F.col("at"), "first_half": 14 * F.col("at") <= F.col("n") + most}).drop("limit", "short", "sets")
+
+
+def edit_pairs(early: DataFrame) -> DataFrame:
     """Distinct (src, dst) of sets in different components, one of them at least not near their pivot, that may be near.
 
-    Sets meet at an edit that they share. If it is their first, they share no more edits than either has from there on.
+    Sets meet at an edit that they share and that is in the first half of one. If it is their first, they share no more
+    edits than either has from there on.
     """
-    one = edits.select("node", "pivot", "component", "n", "room", "d", "inside", "short", F.posexplode("edits").alias("at", "edit"))
-    one = one.withColumn("early", F.col("at") < F.col("short")).withColumn("left", F.col("d") - F.col("at")).drop("at", "short")
-    a = one.where("not inside").select("pivot", "edit", F.col("node").alias("src"), F.col("component").alias("a"), "n", "room", "d", "early", "left")
-    b = one.select(F.col("pivot").alias("q"), F.col("edit").alias("f"), F.col("node").alias("dst"), F.col("component").alias("b"), F.col("n").alias("m"), F.col("room").alias("mroom"), F.col("d").alias("e"), "inside", F.col("early").alias("f_early"), F.col("left").alias("f_left"))
-    met = a.join(b, F.expr(f"pivot = q and edit = f and a <> b and (inside or (early and f_early and src < dst)) and n <= mroom and m <= room and {OF} * least(n, m) >= {NEAR} * greatest(n, m) and 7 * (d + e - 2 * least(left, f_left)) <= n + m"))
-    return met.select("src", "dst").distinct()
+    a = early.where("first_half").select("pivot", "edit", F.col("node").alias("x"), F.col("component").alias("a"), "n", "room", "d", "inside", "early", "left")
+    b = early.select(F.col("pivot").alias("q"), F.col("edit").alias("f"), F.col("node").alias("y"), F.col("component").alias("b"), F.col("n").alias("m"), F.col("room").alias("mroom"), F.col("d").alias("e"), F.col("inside").alias("f_inside"), F.col("early").alias("f_early"), F.col("left").alias("f_left"))
+    wanted = "not (inside and f_inside) and (inside or f_inside or (early and f_early))"
+    met = a.join(b, F.expr(f"pivot = q and edit = f and a <> b and {wanted} and n <= mroom and m <= room and {OF} * least(n, m) >= {NEAR} * greatest(n, m) and 7 * (d + e - 2 * least(left, f_left)) <= n + m"))
+    return met.select(F.least("x", "y").alias("src"), F.greatest("x", "y").alias("dst")).distinct()
 
 
 def _labels(edges: DataFrame) -> DataFrame:

@@ -155,6 +155,51 @@ def test_near_sets_share_an_early_edit_of_any_pivot():
     assert seen > 200
 
 
+def two_templates(spark, n, seed=3):
+    """(sets, family): 12 sets of one template, n of a second one, and a long set that holds all own parts of these.
+
+    All sets of the second template share 150 shingles, 20 are common to both, and each has 34 of its own: no two are near.
+    """
+    rng = np.random.default_rng(seed)
+    new = lambda k: rng.integers(0, 2**63, k, dtype=np.uint64)
+    both, first, second = new(20), new(160), new(142)
+    own = [new(34) for _ in range(n)]
+    sets = [np.concatenate([both, first, new(20)]) for _ in range(12)] + [np.concatenate([both, second, x]) for x in own] + [np.concatenate([both, second, *own])]
+    rows = [(i, len(s), 10**6, b"", np.sort(s).tobytes()) for i, s in enumerate(sets)]
+    return spark.createDataFrame(rows, "node long, n int, room int, counts binary, shingles binary"), spark.createDataFrame([(i, 0, i) for i in range(1, len(sets))], "node long, pivot long, component long")
+
+
+def test_two_templates_meet_no_more_than_in_proportion(spark):
+    meetings = {}
+    for n in (100, 200, 400):
+        sets, family = two_templates(spark, n)
+        early = partenum.early_edits(partenum.edited(family, sets))
+        per = early.groupBy("pivot", "edit").agg(F.count("*").alias("all"), F.count_if("first_half").alias("half"))
+        meetings[n] = int(per.agg(F.coalesce(F.sum(F.col("all") * F.col("half")), F.lit(0))).first()[0])
+        assert partenum.edit_pairs(early).count() <= n
+    assert meetings[400] <= 5 * max(meetings[100], 200)
+
+
+def test_early_edits_keep_each_near_pair(spark):
+    """Sets of a pivot with few to many edits, some in common: each near pair of which one isn't near the pivot is found."""
+    rng = np.random.default_rng(8)
+    pool = rng.integers(0, 2**63, 4000, dtype=np.uint64)
+    pivot = pool[:120]
+    sets = {0: set(pivot.tolist())}
+    for i in range(1, 160):
+        base = sets[rng.integers(0, i)] if i % 3 else sets[0]
+        s, cut = list(base), int(rng.integers(1, 40))
+        rng.shuffle(s)
+        sets[i] = {*s[cut:], *rng.choice(pool[: 200 + 20 * (i % 9)], int(rng.integers(1, 40))).tolist()}
+    near = lambda x, y: 4 * len(x & y) >= 3 * len(x | y)
+    rows = [(i, len(s), 10**6, b"", np.sort(np.array(list(s), np.uint64)).tobytes()) for i, s in sets.items()]
+    frame = spark.createDataFrame(rows, "node long, n int, room int, counts binary, shingles binary")
+    family = spark.createDataFrame([(i, 0, i) for i in range(1, 160)], "node long, pivot long, component long")
+    got = {(r.src, r.dst) for r in partenum.edit_pairs(partenum.early_edits(partenum.edited(family, frame))).collect()}
+    want = {(i, j) for i in sets for j in sets if 0 < i < j and near(sets[i], sets[j]) and not (near(sets[i], sets[0]) and near(sets[j], sets[0]))}
+    assert want and want <= got
+
+
 def test_near_sets_share_a_signature():
     """All pairs of sets at the bound, over many sizes, share a signature: the lemma that the join rests on.
 
