@@ -1,8 +1,10 @@
 """Main text of web pages by consensus of a host's pages.
 
 First every page's containers are scored by the text of their own blocks, and the generalised path of tags and classes
-of the best one, or of the article around it, is a vote. Votes are counted per host in Spark and the winning path is extracted from all pages of the
-host; a page that lacks it falls back to its own best container.
+of the best one, or of the article around it, is a vote. Votes are counted per host in Spark and the winning path is
+extracted from all pages of the host; a page that lacks it falls back to its own best container. Containers that stand
+before the winning one in the same parent, as a title's and a lead's may, are voted on as well: what most pages of the
+host have there, with texts that differ from page to page, belongs to the article, and what repeats is the site's frame.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from collections import Counter
 from functools import lru_cache
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -33,9 +36,11 @@ BOILERPLATE = frozenset("ad ads adv advert adverts advertisement advertising ban
 #: Those of them that name what others wrote or what other pages say: an article in them is such an item, and they may hold
 #: more text than the article.
 SERIES = frozenset("ad ads adv advert adverts advertisement advertising comment comments commentlist disqus promo promoted promotion recommended related replies reply respond sponsor sponsored teaser".split())
-# Words that name a box beside one of those words and leave its meaning, as in ad-slot or site-footer. A
-# name with any other word (no-sidebar, has-toc, search-engines) says something else.
-NEUTRAL = frozenset("area author bar block body bottom box button buttons center col column container content count desktop div entry facebook fb feed footer form global google group head header holder inner item items js large left link links list main medium meta mobile outer panel placeholder post posts primary region right row secondary section site slot small text thread title top twitter unit wp wrap wrapper zone".split())
+# Words that name a box behind one of those words and leave its meaning, as in ad-slot or share-tools.
+NEUTRAL = frozenset("area article articles author bar block body bottom box button buttons center col column container content count desktop div entry facebook fb feed first footer form global google group head header holder icon icons inner item items js large left link links list main medium message meta mobile outer panel placeholder policy post posts primary region right row secondary section site slot small stories story strip text thread title tool tools top trail twitter unit wp wrap wrapper zone".split())
+#: Words before one of those words that turn it into what a page has or hasn't.
+ABOUT = frozenset("has have hide hides is no non not show shows with without".split())
+_INVISIBLE = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
 
 #: Fixed value: how deep browsers nest elements; what stands deeper is put beside its neighbours.
 DEPTH = 512
@@ -46,7 +51,7 @@ _TAG = re.compile(_NAME + r"""((?:[ \t\n\f\r/]++|[^ \t\n\f\r/>][^ \t\n\f\r/>=]*+
 #: A tag that ends at the first >, quoted or not.
 _SHORT_TAG = re.compile(_NAME + r"([^>]*+)>")
 _ATTRIBUTE = re.compile(r"""([^ \t\n\f\r/=]+)(?:[ \t\n\f\r]*=[ \t\n\f\r]*(?:"([^"]*)"|'([^']*)'|([^ \t\n\f\r]*)))?""")
-_ASKED = frozenset("class id role hidden aria-hidden".split())
+_ASKED = frozenset("class id role hidden aria-hidden style".split())
 _SPLIT = re.compile(r"[^a-z]+")
 _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for tag in RAW}
 #: What a script's end depends on: <!-- with a <script in it takes the next </script> for its own, until -->.
@@ -214,7 +219,7 @@ def _parse(page: str, shown: frozenset[int]) -> tuple[list[_Block], dict[int, st
         _, hidden, inside, path, marks, hiding = stack[-1]
         kind, classes = _marks(attributes)
         path = "" if tag == "html" else f"{path}>{tag}{classes}"
-        main = tag in ("body", "html", "article", "main")
+        main = tag in ("body", "html", "main") or (tag == "article" and kind != 2)
         hidden = hidden or tag in HIDDEN or (not main and kind is None) or (tag == "header" and not (open_["article"] or open_["main"]))
         if kind and not main:
             marks = (*marks, len(marked))
@@ -241,19 +246,22 @@ def _parse(page: str, shown: frozenset[int]) -> tuple[list[_Block], dict[int, st
 def _kind(name: str) -> int:
     """What a whole class, id or role says: 0 nothing, 1 boilerplate, 2 boilerplate of SERIES.
 
-    It is a word of BOILERPLATE, or several words of which one is and the others are too or are NEUTRAL; single letters
-    and digits don't count. content-sidebar and the like name what a wrapper holds.
+    The last word that isn't NEUTRAL is what the name names (a story-ad is an ad, search-engines are engines), unless a word
+    of ABOUT stands before it. Single letters and digits don't count.
     """
+    if name in BOILERPLATE:
+        return 2 if name in SERIES else 1
     parts = [w for w in _SPLIT.split(name) if len(w) > 1]
-    known = BOILERPLATE.intersection([name, *parts])
-    if name not in BOILERPLATE and (not known or parts[0] == "content" or not (BOILERPLATE | NEUTRAL).issuperset(parts)):
+    while parts and parts[-1] in NEUTRAL and parts[-1] not in BOILERPLATE:
+        parts.pop()
+    if not parts or parts[-1] not in BOILERPLATE or (len(parts) > 1 and parts[-2] in ABOUT):
         return 0
-    return 2 if known & SERIES else 1
+    return 2 if SERIES.intersection(parts) else 1
 
 
 def _marks(attributes: str) -> tuple[int | None, str]:
     """The greatest _kind of class, id and role (None: hidden), and the generalised classes for the path: digits become one #, as does >."""
-    if "=" not in attributes and "hidden" not in attributes:
+    if "=" not in attributes and "hidden" not in attributes.lower():
         return 0, ""
     kind = 0
     classes: list[str] = []
@@ -261,11 +269,11 @@ def _marks(attributes: str) -> tuple[int | None, str]:
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name not in _ASKED:
             continue
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
+        if name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and _INVISIBLE.search(value)):
             return None, ""
         if name == "class":
             classes += sorted({re.sub(r"[>]|\d+", "#", c) for c in value.split()})
-        if name != "aria-hidden":
+        if name not in ("aria-hidden", "style"):
             kind = max(kind, *map(_kind, value.split()), 0)
     return kind, "".join(f".{c}" for c in classes)
 
@@ -305,10 +313,47 @@ def _article_of(best: int, blocks: list[_Block], paths: dict[int, str]) -> int:
     return next((c for c in around[1:] if c in direct), best)
 
 
-def extract(page: str, path: str | None) -> str:
-    """Text of the containers with that path; without any, of the page's best container; else of the whole page."""
+def _beside(chosen: set[int], blocks: list[_Block]) -> dict[int, list[_Block]]:
+    """Containers that stand before a chosen one in the same parent, with their blocks."""
+    parents = {}
+    for b in blocks:
+        for k, c in enumerate(b.path):
+            if c in chosen:
+                parents[b.path[k - 1] if k else None] = max(c, parents.get(b.path[k - 1] if k else None, c))
+    out: dict[int, list[_Block]] = {}
+    for b in blocks:
+        if chosen.isdisjoint(b.path):
+            for k, c in enumerate(b.path):
+                if c < parents.get(b.path[k - 1] if k else None, -1):
+                    out.setdefault(c, []).append(b)
+    return out
+
+
+def vote(page: str) -> tuple[str, float, dict[str, str]] | None:
+    """A page's vote: path and score of its article, and the text of each container before it in the same parent, by path.
+
+    Such containers count only for an article that no element of that name encloses, and if they aren't mostly links.
+    """
+    blocks, paths = blocks_of(page)
+    best = best_path(blocks, paths)
+    if not best:
+        return None
+    if best[0].rpartition(">")[2].partition(".")[0] in ("article", "main"):
+        return *best, {}
+    chosen = {c for c, p in paths.items() if p == best[0]}
+    found = {paths[c]: "\n".join(b.text() for b in own) for c, own in _beside(chosen, blocks).items() if sum(map(_worth, own)) > 0}
+    return *best, found
+
+
+def extract(page: str, path: str | None, beside: list[str] | None = None) -> str:
+    """Text of the containers with that path; without any, of the page's best container; else of the whole page.
+
+    beside: paths of containers that belong to the article where they stand before one with `path` in the same parent.
+    """
     blocks, paths = blocks_of(page)
     chosen = {c for c, p in paths.items() if p == path}
+    if chosen and beside:
+        chosen |= {c for c in _beside(chosen, blocks) if paths[c] in beside}
     if not chosen and (own := best_path(blocks, paths)):
         chosen = {c for c, p in paths.items() if p == own[0]}
     texts = (b.text() for b in blocks if not chosen or not chosen.isdisjoint(b.path))
@@ -321,25 +366,35 @@ def host_of(url: Column) -> Column:
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """host, path: the path with most votes of each host's pages; of equal ones the highest summed score, then by name.
+    """host, path, beside: the path with most votes of each host's pages; of equal ones the highest summed score, then by name.
 
-    Votes are summed before the shuffle, so a host with a third of all pages is a few rows a task. Pages without a
-    container with text don't vote.
+    beside: paths of containers before it that at least half of its voters have, two or more, with mostly different texts.
+    Votes are summed before the shuffle, so a host with a third of all pages is a few rows a task; texts go by their hash.
+    Pages without a container with text don't vote.
     """
+    names = ["host", "path", "before", "said", "votes", "score"]
 
     def votes(batches):
         for b in batches:
             out: dict[tuple[str, str], list[float]] = {}
+            before = []
             for host, page in zip(b.column("host").to_pylist(), b.column("html").to_pylist()):
-                if page and (best := best_path(*blocks_of(page))):
+                if page and (best := vote(page)):
                     v = out.setdefault((host, best[0]), [0, 0.0])
                     v[0] += 1
                     v[1] += best[1]
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in out], pa.string()), pa.array([k[1] for k in out], pa.string()), pa.array([int(v[0]) for v in out.values()], pa.int64()), pa.array([float(v[1]) for v in out.values()], pa.float64())], ["host", "path", "votes", "score"])
+                    before += [(host, best[0], path, xxhash.xxh3_64_intdigest(text) - (1 << 63), 1, 0.0) for path, text in best[2].items()]
+            rows = [(*k, None, None, int(v[0]), float(v[1])) for k, v in out.items()] + before
+            kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.float64())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names)
 
-    counted = pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(votes, "host string, path string, votes long, score double")
-    total = counted.groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.round(F.sum("score"), 3).alias("score"))
-    return total.groupBy("host").agg(F.max_by("path", F.struct("votes", "score", "path")).alias("path"))
+    counted = written(pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(votes, "host string, path string, before string, said long, votes long, score double"))
+    total = counted.where("before is null").groupBy("host", "path").agg(F.sum("votes").alias("votes"), F.round(F.sum("score"), 3).alias("score"))
+    best = total.groupBy("host").agg(F.max_by(F.struct("path", "votes"), F.struct("votes", "score", "path")).alias("b")).select("host", "b.*")
+    found = counted.where("before is not null").groupBy("host", "path", "before").agg(F.sum("votes").alias("pages"), F.approx_count_distinct("said").alias("texts"))
+    found = found.where("pages > 1 and 2 * texts > pages").join(best, ["host", "path"]).where("2 * pages >= votes")
+    beside = found.groupBy("host").agg(F.sort_array(F.collect_list("before")).alias("beside"))  # each on half of the voters
+    return best.drop("votes").join(beside, "host", "left")
 
 
 def main_text(pages: DataFrame, keep: list[str]) -> DataFrame:
@@ -349,16 +404,16 @@ def main_text(pages: DataFrame, keep: list[str]) -> DataFrame:
     both sides, where it can split a large host. A kept column called `text` gives way.
     """
     keep = [k for k in keep if k != "text"]
-    best = written(host_paths(pages)).select(F.col("host").alias("__host"), F.col("path").alias("__path"))
+    best = written(host_paths(pages)).select(F.col("host").alias("__host"), F.col("path").alias("__path"), F.col("beside").alias("__beside"))
     rows = pages.select(*dict.fromkeys(["html", *keep]), host_of(F.col("url")).alias("__of")).join(best, F.col("__of") == F.col("__host"), "left")
     schema = StructType([*pages.select(*keep).schema, StructField("text", StringType())])
 
     def texts(batches):
         for b in batches:
-            got = [extract(p, path) if p else "" for p, path in zip(b.column("html").to_pylist(), b.column("__path").to_pylist())]
+            got = [extract(p, path, beside) if p else "" for p, path, beside in zip(b.column("html").to_pylist(), b.column("__path").to_pylist(), b.column("__beside").to_pylist())]
             yield pa.RecordBatch.from_arrays([*(b.column(k) for k in keep), pa.array(got, pa.string())], [*keep, "text"])
 
-    return rows.select(*dict.fromkeys(["html", *keep]), "__path").mapInArrow(texts, schema)
+    return rows.select(*dict.fromkeys(["html", *keep]), "__path", "__beside").mapInArrow(texts, schema)
 
 
 def op4_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import textwrap
 import time
+import zlib
 from pathlib import Path
 
 import pytest
@@ -101,6 +102,19 @@ def test_shards_are_even_though_one_source_holds_most(spark):
         assert abs(sum(r.size for r in mine) - total / 6) <= 1200
 
 
+def test_the_query_divides_repeated_rows(spark, tmp_path):
+    """500 equal rows and 500 others with clashing columns: sizes stay near equal, slots have no gap, each row is there."""
+    rows = [(7, "same text", "en", "s", 3, 4, "x")] * 500 + [(100 + i, f"other {i % 90:03}", "en", "s", 3, 4, "x") for i in range(500)] + [(None, None, None, None, None, None, None), (1, "", "en", "s", 0, 0, "y")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, shard int, row int, `__key` string").write.parquet(f"{tmp_path}/documents.parquet")
+    out = kdtree.op2_kd_shards(spark, str(tmp_path)).collect()
+    want = sorted((i if i is not None else -1, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for i, t, *_ in rows)
+    assert sorted((r.doc_id if r.doc_id is not None else -1, r.size, r.text_crc32) for r in out) == want
+    total = sum(w[1] for w in want)
+    for s in range(8):
+        mine = [r for r in out if r.shard == s]
+        assert abs(sum(r.size for r in mine) - total / 8) <= 20 and sorted(r.slot for r in mine) == list(range(len(mine)))
+
+
 def test_shards_of_small_tables(spark):
     schema = "doc_id long, text string, lang string, source string"
     for rows in ([], [(1, "a", None, None)], [(1, "a", "en", "s")] * 3):
@@ -184,6 +198,31 @@ def test_marked_boxes_stay_hidden(name):
     assert htmltext.extract(page, None) == "The text of the page."
 
 
+@pytest.mark.parametrize("name", "content-ad article-ad inline-ad story-ad native-ad user-comments reader-comments related-articles share-tools breadcrumb-trail mega-menu cookie-policy-banner page-sidebar sidebar-first content-sidebar social-icons paywall-message".split())
+@pytest.mark.parametrize("box", ["<div class='{}'>Some box</div>", "<section class='x {}'><p>Some box</p></section>"])
+def test_boxes_in_an_article_are_hidden_by_what_their_name_names(name, box):
+    page = f"<body><article><h1>T</h1><p>The text of the page.</p>{box.format(name)}<p>More of it.</p></article></body>"
+    assert htmltext.extract(page, None) == "T\nThe text of the page.\nMore of it."
+
+
+@pytest.mark.parametrize("style", ["display:none", "color:red; DISPLAY : none !important", "visibility: hidden;"])
+def test_hidden_styles(style):
+    assert htmltext.extract(f"<article><p>Text</p><div style='{style}'>no</div><p style='display:block; max-width:none'>and more</p></article>", None) == "Text\nand more"
+
+
+def test_a_teaser_is_no_article_of_the_page():
+    teaser = "<article class='teaser'><p>" + "another page " * 30 + "</p></article>"
+    assert htmltext.extract(f"<body><main><p>short</p></main>{teaser}</body>", None) == "short"
+    assert htmltext.extract(f"<body><article><p>short</p></article>{teaser}</body>", None) == "short"
+
+
+def test_titles_and_leads_in_containers_of_their_own(spark):
+    page = lambda n: f"<body><div class='top'>The Daily Site</div><div class='page'><div class='slogan'>News for all</div><div class='title'><h1>Title {n}</h1></div><div class='lead'><p>Lead {n}</p></div>{BODY}<div class='later'><p>Later {n}</p></div></div></body>"
+    rows = [(n, "http://h/", page(n)) for n in range(6)] + [(9, "http://other/", page(9))]
+    got = {r.page_id: r.text for r in htmltext.main_text(spark.createDataFrame(rows, PAGES), ["page_id"]).collect()}
+    assert got == {**{n: f"Title {n}\nLead {n}\n{LONG}" for n in range(6)}, 9: LONG}  # a single page gives no evidence
+
+
 def test_articles_of_comments_and_wrappers():
     comments = "<div id='comments'><article class='comment-body'>" + "a long comment " * 20 + "</article></div>"
     assert htmltext.extract("<body><div class='sidebar'><div class=post><h1>T</h1><p>the text</p></div></div><div class='reply'>r</div></body>", None) == "T\nthe text"
