@@ -144,9 +144,12 @@ def document_metadata(docs: DataFrame) -> DataFrame:
 
 
 def op2_kd_shards(spark: SparkSession, sf_dir: str, shards: int = 8) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document; the law is `bytes`."""
-    rows = written(document_metadata(table(spark, sf_dir, "documents")))
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document; the law is `bytes`.
+
+    Rows of equal dimensions divide by their number in the table, so that rows that are in it many times do so too.
+    """
+    rows = written(document_metadata(table(spark, sf_dir, "documents")).withColumn("row", F.monotonically_increasing_id()))
     total = int(rows.agg(F.sum("size")).first()[0] or 0)
-    sharded = kd_shards(rows, ["log_size", "lang_code", "source_code"], "size", "doc_id", max(1, math.ceil(total / shards)))
+    sharded = kd_shards(rows, ["log_size", "lang_code", "source_code"], "size", "row", max(1, math.ceil(total / shards)))
     out = with_slots(sharded.select("doc_id", "size", "text_crc32", "shard"), "shard", ["doc_id", "text_crc32"])
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
