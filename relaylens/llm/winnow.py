@@ -110,7 +110,7 @@ def document_fingerprints(docs: DataFrame, bits: np.ndarray, short: list[int]) -
 def _extend(batches):
     """Hits of SPAN words or more: from word `start` on `length` words."""
     for b in batches:
-        keep = [b.column(c) for c in ("doc_id", "text_key", "item_id")]
+        keep = [b.column(c) for c in ("doc_id", "text_key", "set")]
         at, span = b.column("at").to_numpy(), b.column("span").to_numpy()
         start, length = at.astype(np.int64), span.astype(np.int64)
         k = np.flatnonzero(span == 0)
@@ -122,7 +122,7 @@ def _extend(batches):
             whole = same[:, SIDE : SIDE + GRAM].all(1)
             start[k], length[k] = at[k] - left, np.where(whole, left + GRAM + right, 0)
         ok = pa.array((span > 0) | (length >= SPAN))
-        yield pa.RecordBatch.from_arrays([*keep, pa.array(start), pa.array(length)], ["doc_id", "text_key", "item_id", "start", "length"]).filter(ok)
+        yield pa.RecordBatch.from_arrays([*keep, pa.array(start), pa.array(length)], ["doc_id", "text_key", "set", "start", "length"]).filter(ok)
 
 
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -134,12 +134,13 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     prints = written(item_fingerprints(items))
     short = sorted(r[0] for r in prints.where("span > 0").select("span").distinct().collect())
     rows = written(document_fingerprints(bounded_batches(docs), hash_filter(prints), short))
-    # Equal fingerprints of items with equal surroundings are met once by the documents.
-    same = written(prints.groupBy("hash", "span", "item_context").agg(F.min("item_id").alias("item_id"), F.collect_set("item_id").alias("ids")))
+    # Equal fingerprints of items with equal surroundings are met once by the documents, and name their items by one number.
+    same = prints.groupBy("hash", "span", "item_context").agg(F.sort_array(F.collect_set("item_id")).alias("ids"))
+    same = written(same.withColumn("set", F.xxhash64("ids")))
     hits = rows.select("doc_id", "text_key", F.explode("found").alias("f")).select("doc_id", "text_key", "f.*")
-    joined = hits.join(same.withColumnRenamed("item_id", "least"), ["hash", "span"]).select("doc_id", "text_key", F.xxhash64("ids").alias("set"), "ids", "at", "span", "context", "item_context")
-    runs = joined.withColumn("item_id", F.to_json("ids")).drop("ids", "set").mapInArrow(_extend, "doc_id long, text_key long, item_id string, start long, length long")
-    per = runs.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "length")).alias("runs"), F.collect_set("item_id").alias("sets"))
+    joined = hits.join(same.drop("ids"), ["hash", "span"]).select("doc_id", "text_key", "set", "at", "span", "context", "item_context")
+    runs = joined.mapInArrow(_extend, "doc_id long, text_key long, set long, start long, length long")
+    per = runs.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "length")).alias("runs"), F.collect_set("set").alias("sets"))
 
     def total(batches):
         for b in batches:
@@ -152,9 +153,11 @@ def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
                 n.append(hit)
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text_key"), pa.array(n, pa.int64()), b.column("sets")], ["doc_id", "text_key", "n_hit", "sets"])
 
-    hit = per.mapInArrow(total, "doc_id long, text_key long, n_hit long, sets array<string>")
-    ids = F.array_sort(F.array_distinct(F.flatten(F.transform("sets", lambda s: F.from_json(s, "array<string>")))))
-    hit = written(hit.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "n_hit", ids.alias("items")))
+    hit = written(per.mapInArrow(total, "doc_id long, text_key long, n_hit long, sets array<long>").withColumnsRenamed({"doc_id": "d", "text_key": "k"}))
+    items_of = hit.select("d", "k", F.explode("sets").alias("set")).join(same.select("set", "ids").dropDuplicates(["set"]), "set")
+    listed = items_of.groupBy("d", "k").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("ids")))).alias("items"))
+    named = listed.select(F.col("d").alias("e"), F.col("k").alias("f"), "items")
+    hit = written(hit.join(named, F.col("d").eqNullSafe(F.col("e")) & (F.col("k") == F.col("f"))).select("d", "k", "n_hit", "items"))
     both = rows.select("doc_id", "text_key", "n_words").join(hit, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")), "left")
     return both.select("doc_id", "text_key", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
