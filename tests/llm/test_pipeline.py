@@ -30,6 +30,36 @@ def test_all_stages(spark, tmp_path):
     assert not kept & {*junk, 200, 201, 202, 203, 204}
 
 
+def documents(spark, path, rows, labels=(), items=()):
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t or ""), "x", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, `__row` string, n_hit int")
+    spark.createDataFrame(list(labels), "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    spark.createDataFrame(list(items), "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    frame.write.parquet(f"{path}/documents.parquet")
+    return spark.read.parquet(f"{path}/documents.parquet")
+
+
+def test_stages_decide_by_row_where_ids_are_null_or_repeated(spark, tmp_path):
+    rng = random.Random(5)
+    text = lambda n: " ".join(word(rng) for _ in range(n))
+    item, twice, alone = text(14), text(50), text(50)
+    leaked = f"{text(20)} {item} {text(20)}"
+    rows = [(1, twice), (1, twice), (2, twice + " more"), (None, twice), (None, leaked), (3, leaked), (3, alone), (None, text(30)), (4, None), (4, None), (None, None), (5, "")]
+    docs = documents(spark, str(tmp_path), rows, items=[(1, item)])
+    kept = corpus_pipeline.ngram_jaccard_join(spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    got = sorted((r.text or "", r.doc_id or -1) for r in kept.collect())
+    assert sum(t.startswith(twice) for t, _ in got) == 1 and sum(t == leaked for t, _ in got) == 1 and sum(t == "" for t, _ in got) == 4 and len(got) == 8
+    clean = corpus_pipeline.benchmark_decontamination(spark, docs, str(tmp_path))
+    assert sorted((r.text or "", r.doc_id or -1) for r in clean.collect()) == sorted((t or "", i or -1) for i, t in rows if t != leaked)
+
+
+def test_empty_documents_and_ids_that_name_rows(spark, tmp_path):
+    docs = documents(spark, str(tmp_path), [(1, "a b c d e f"), (2, "a b c d e f")])
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.where("false"), str(tmp_path)).count() == 0, name
+    assert [r.doc_id for r in corpus_pipeline.ngram_jaccard_join(spark, docs, str(tmp_path)).collect()] == [1]
+
+
 def test_stages_and_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality classifier", "language ID", "n-gram Jaccard join", "benchmark decontamination", "byte-level BPE encoding and decoding"]
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
