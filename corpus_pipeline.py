@@ -1,7 +1,8 @@
 """Corpus pipeline: documents in, token counts and digests of the documents that are kept out.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that its predecessor kept. All but the last return the
-columns of docs. A null or repeated doc_id goes through: stages decide by row, the join by doc_id and set of shingles.
+columns of docs. Every stage decides by row: where doc_id is null or repeated, the join and the decontamination number the
+rows, so that of equal rows one stays, and a contaminated row goes alone.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from relaylens.llm import bpe, langid, partenum, quality, winnow
-from relaylens.llm.common import shared_folder, table, without
+from relaylens.llm.common import shared_folder, table, without, written
 
 #: A document whose language is declared goes if another one is predicted with at least this score.
 SURE = 0.5
@@ -30,16 +31,27 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where((F.col("__lang") != langid.UNDETERMINED) & ~F.coalesce(other, F.lit(False))).select(*docs.columns)
 
 
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with a column that names each row: doc_id where it does so already, else a number, which is written with the rows."""
+    n = docs.agg(F.count_distinct("doc_id").alias("ids"), F.count(F.lit(1)).alias("rows")).first()
+    if n["ids"] == n["rows"]:
+        return docs, "doc_id"
+    name = next(c for c in ("__row" + "_" * k for k in range(len(docs.columns) + 1)) if c not in docs.columns)
+    return written(docs.withColumn(name, F.monotonically_increasing_id())), name
+
+
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of smallest doc_id of each group that links connect."""
-    groups = partenum.near_components(docs.select("doc_id", "text"))
-    return without(docs, groups.where("component_id <> doc_id").select("doc_id"), "doc_id")
+    """Keep one document of each group that links connect: that of smallest doc_id, or the first one if ids don't name rows."""
+    rows, name = _numbered(docs)
+    groups = partenum.near_components(rows.select(F.col(name).alias("doc_id"), "text"))
+    return without(rows, groups.where("component_id <> doc_id").select(F.col("doc_id").alias(name)), name).select(*docs.columns)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents without a word in a passage of a benchmark item."""
-    found = winnow.contamination(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    return without(docs, found.where("n_hit > 0").select("doc_id"), "doc_id")
+    rows, name = _numbered(docs)
+    found = winnow.contamination(rows.select(F.col(name).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return without(rows, found.where("n_hit > 0").select(F.col("doc_id").alias(name)), name).select(*docs.columns)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
