@@ -488,7 +488,8 @@ def an4_anomalous_requests(spark, sf_dir):
     return _flat(found).select(*SERVICE_CALL, "period_start_time", "monitored_metric_value", "difference_from_normal", "description", "request_ids")
 
 
-@query_of(None)
+@query_of(f"""WITH {D.O_CALLS}, x AS (SELECT id, (totalDuration - 50) / 50.0 AS z, abs((totalDuration - 50) / 50.0) / sqrt(2.0) AS x FROM calls)
+SELECT id, CAST(z AS DOUBLE) AS z, round(greatest(0, 1 - exp(-x * x) * list_sum(list_transform(range(0, 165), lambda n: pow(x, 2 * n + 1) / gamma(n + 1.5)))), 6) AS p FROM x""")
 def m5_pvalue(spark, sf_dir):
     calls = D.calls(spark, sf_dir)
     z = (F.col("totalDuration") - 50) / 50.0

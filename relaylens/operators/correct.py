@@ -155,7 +155,8 @@ def correct_batch(raw: DataFrame, now: float, clean: DataFrame | None = None) ->
 
     Earlier clean calls win over new records of their side; see `completed` for late partners.
     """
-    parts = split_records(normalised(raw))
+    # Ranks need times and ids only; what is ranked out needn't be made ready for the table before the shuffle.
+    parts = {kind: normalised(rows) for kind, rows in split_records(raw).items()}
     first, duplicates = parts["first"], parts["duplicates"]
     fresh = paired(first)
     lost = lost_calls(parts["faulty"], now)

@@ -112,8 +112,8 @@ class CleanStore:
     def _stage(self, raw: DataFrame, batch: int, now: float, stage: str, pointer: list[str], position: str) -> None:
         seen = Observation()
         counted = [F.count_if(F.col("kind") == k).alias(k) for k in ("faulty", "invalid")]
-        records = written(correct.classified(correct.normalised(self._same_columns(raw))).observe(seen, F.count(F.lit(1)).alias("processed"), *counted))
-        of = lambda kind: records.where(F.col("kind") == kind).drop("kind")
+        records = written(correct.classified(self._same_columns(raw)).observe(seen, F.count(F.lit(1)).alias("processed"), *counted))
+        of = lambda kind: correct.normalised(records.where(F.col("kind") == kind).drop("kind"))
         if pointer:
             ends = records.groupBy(*pointer).agg(F.max(position).cast("double").alias("position"))
             ends.write.mode("overwrite").parquet(self._at("pointers", batch))
@@ -135,7 +135,7 @@ class CleanStore:
             kept = correct.completed(before.join(new, ["part", "xRequestId"], "left"), now, ["part", "batch"])
             fresh = fresh.join(met.select("part", "xRequestId"), ["part", "xRequestId"], "left_anti")
         turned_down = Observation()
-        rejected = again.withColumn("kind", F.lit("duplicate")).unionByName(records.where("kind in ('duplicate', 'invalid')"))
+        rejected = again.withColumn("kind", F.lit("duplicate")).unionByName(correct.normalised(records.where("kind in ('duplicate', 'invalid')")))
         rejected.observe(turned_down, F.count_if(F.col("kind") == "duplicate").alias("duplicates")).write.mode("overwrite").parquet(self._at("rejected", batch))
         out = correct.derived(fresh, now, ["part"]).withColumns({"batch": F.lit(batch), "grew": F.lit(None).cast("boolean")})
         out = out.unionByName(kept) if kept is not None else out
