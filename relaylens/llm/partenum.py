@@ -12,8 +12,8 @@ pairs beyond the bound aren't compared.
 
 Candidates are not all pairs that share a signature. First each set is compared with one centre, the set that it
 shares most signatures with. Then, where a signature's members still lie in several components, they are compared with
-a pivot, the first set of the component that most of them are in, and written as their edits of it, those that few sets
-have first. Two near sets of which one isn't near the pivot share more of their edits than most sets do that lie just
+a pivot, the first set of the component that most of them are in, and written as their edits of it, those that many sets
+have last. Two near sets of which one isn't near the pivot share more of their edits than most sets do that lie just
 below the threshold, so that they meet at an edit among few of each, and among fewer still of one of them: a prefix
 filter over edits. Only such pairs are compared after that.
 """
@@ -34,6 +34,8 @@ NEAR, OF = 3, 4
 FLUSH = 250_000
 BUCKET = 1_000_000
 BROADCAST_ROWS = 500_000
+#: Sets of a pivot by which its edits are put in order.
+SAMPLE = 64
 _U = np.uint64
 
 
@@ -362,8 +364,8 @@ def prefix_sizes(d: int, n: int, room: int, pivot: int) -> tuple[int, int]:
 def edited(family: DataFrame, sets: DataFrame) -> DataFrame:
     """node, pivot, component, n, room, d, near, inside, limit, short, edits for (node, pivot, component): sets as edits of their pivot.
 
-    d: in how many shingles set and pivot differ; edits: these shingles. near: whether set and pivot are near; inside: that,
-    or in one component. limit: among how many of its edits, in an order that all sets of the pivot share, one stands that a
+    d: in how many shingles set and pivot differ; edits: these shingles, what the pivot lacks, which few sets share, before
+    what it has more, each by hash. near: whether set and pivot are near; inside: that, or in one component. limit: among how many of its edits, in an order that all sets of the pivot share, one stands that a
     near set of another component has too; of a set inside, with sets that aren't. short: the same for a partner that isn't
     near the pivot either.
     """
@@ -373,7 +375,7 @@ def edited(family: DataFrame, sets: DataFrame) -> DataFrame:
             out, flat = [], []
             for node, pivot, component, n, room, x, p in zip(*(b.column(c).to_pylist() for c in ("node", "pivot", "component", "n", "room", "x", "p"))):
                 x, p = np.frombuffer(x, np.uint64), np.frombuffer(p, np.uint64)
-                own = np.setxor1d(x, p, True)
+                own = np.concatenate([y[np.argsort(mix(y))] for y in (np.setdiff1d(x, p, True), np.setdiff1d(p, x, True))])
                 d = len(own)
                 near = 7 * d <= n + len(p)
                 long, short = prefix_sizes(d, n, room, len(p))
@@ -392,21 +394,51 @@ def edited(family: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(rows, "node long, pivot long, component long, n int, room int, d int, near boolean, inside boolean, limit int, short int, edits array<long>")
 
 
+def common_edits(edits: DataFrame) -> DataFrame:
+    """pivot, common: the edits that at least two of SAMPLE of the pivot's sets have, those of fewer sets first.
+
+    This is for the order of edits alone, which any rule may set that all sets of the pivot share.
+    """
+    some = edits.withColumn("k", F.row_number().over(Window.partitionBy("pivot").orderBy(F.xxhash64("node"), "node"))).where(F.col("k") <= SAMPLE)
+
+    def rows(batches):
+        for b in batches:
+            out = []
+            for lists in b.column("lists").to_pylist():
+                values, count = np.unique(np.concatenate([np.array(x, np.int64) for x in lists]), return_counts=True)
+                order = np.argsort(count, kind="stable")
+                out.append(values[order][count[order] > 1])
+            yield pa.RecordBatch.from_arrays([b.column("pivot"), pa.array(out, pa.list_(pa.int64()))], ["pivot", "common"])
+
+    return some.groupBy("pivot").agg(F.collect_list("edits").alias("lists")).mapInArrow(rows, "pivot long, common array<long>")
+
+
 def early_edits(edits: DataFrame) -> DataFrame:
-    """Edits that another set of the pivot has too, those within the limit of each set, with their place `at` and `first_half`.
+    """The first `limit` edits of each set, with their place `at` and `first_half`; common edits of a pivot stand last.
 
-    The order is by how few sets of the pivot have an edit, then by hash. If two near sets have i and j edits before the first
-    one that they share, these are differences, so 7 * (i + j) <= n + m, and one of i and j is within half of that: it is in
-    the first half of its set. So an edit that many sets share, which all of them have only behind so many edits of their
-    own, brings no two of them together.
+    If two near sets have i and j edits before the first one that they share, these are differences, so 7 * (i + j) <= n + m,
+    and one of i and j is within half of that: it is in the first half of its set. So an edit that many sets share, which
+    all of them have only behind so many edits of their own, brings no two of them together.
     """
-    one = edits.select("node", "pivot", "component", "n", "room", "d", "inside", "limit", "short", F.explode("edits").alias("edit"))
-    often = one.groupBy("pivot", "edit").agg(F.count("*").alias("sets")).where("sets > 1")
-    mine = Window.partitionBy("node", "pivot")
-    place = F.row_number().over(mine.orderBy("sets", F.xxhash64("edit"), "edit")) + F.col("d") - F.count("*").over(mine) - 1  # edits of no other set come first
+
+    def rows(batches):
+        names = ["node", "pivot", "component", "n", "room", "d", "inside", "short"]
+        for b in batches:
+            out = []
+            for own, common, limit in zip(b.column("edits").to_pylist(), b.column("common").to_pylist(), b.column("limit").to_pylist()):
+                own, common = np.array(own, np.int64), np.array(common or [], np.int64)
+                order = np.argsort(common, kind="stable")
+                at = np.searchsorted(common[order], own) if len(common) else np.zeros(len(own), np.int64)
+                known = np.zeros(len(own), bool) if not len(common) else common[order][np.minimum(at, len(common) - 1)] == own
+                last = own[known][np.argsort(order[at[known]], kind="stable")] if known.any() else own[:0]
+                out.append(np.concatenate([own[~known], last])[:limit])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(out, pa.list_(pa.int64()))], [*names, "edits"])
+
+    both = edits.join(common_edits(edits), "pivot", "left").select("node", "pivot", "component", "n", "room", "d", "inside", "short", "limit", "edits", "common")
+    first = both.mapInArrow(rows, "node long, pivot long, component long, n int, room int, d int, inside boolean, short int, edits array<long>")
+    out = first.select("node", "pivot", "component", "n", "room", "d", "inside", "short", F.posexplode("edits").alias("at", "edit"))
     most = F.expr(f"least(room, floor(n * {OF} / {NEAR}))")
-    out = one.join(often, ["pivot", "edit"]).withColumn("at", place).where("at < limit")
-    return out.withColumns({"early": F.col("at") < F.col("short"), "left": F.col("d") - F.col("at"), "first_half": 14 * F.col("at") <= F.col("n") + most}).drop("limit", "short", "sets")
+    return out.withColumns({"early": F.col("at") < F.col("short"), "left": F.col("d") - F.col("at"), "first_half": 14 * F.col("at") <= F.col("n") + most}).drop("short")
 
 
 def edit_pairs(early: DataFrame) -> DataFrame:
