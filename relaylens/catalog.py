@@ -907,3 +907,145 @@ def tc10_offset_times(spark, sf_dir):
     at = F.date_format(F.to_timestamp("o_orderdate") + F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int")), "yyyy-MM-dd'T'HH:mm:ss")
     zone = F.element_at(F.array(*map(F.lit, ("Z", "+0300", "-05:30", " 03:00", ""))), (F.col("o_orderkey") % 5 + 1).cast("int"))
     return _table(spark, sf_dir, "orders").select("o_orderkey", F.unix_millis(calendar.with_offset(F.concat(at, zone))).alias("at_ms"))
+
+
+# ---- intake, scans and state
+
+_STAMPED = "SELECT *, CAST(1000 AS DOUBLE) AS insertTime, CASE WHEN succeeded THEN TRUE END AS corrected FROM raw"
+
+
+def _stamped(spark, sf_dir) -> DataFrame:
+    """Raw records at their intake; those that succeeded count as corrected."""
+    return tables.stamped(D.raw(spark, sf_dir), 1000.0).withColumn("corrected", F.when(F.col("succeeded"), True))
+
+
+@query_of(f"WITH {D.O_RAW}, st AS ({_STAMPED}) SELECT _id, requestInTs, insertTime FROM (SELECT *, row_number() OVER (ORDER BY requestInTs, _id) AS n FROM st WHERE corrected IS NULL) WHERE n <= 500")
+def s11_pending(spark, sf_dir):
+    """The 500 oldest records that aren't corrected; ids part equal times."""
+    return tables.pending(_stamped(spark, sf_dir)).select("_id", "requestInTs", "insertTime").orderBy("requestInTs", "_id").limit(500)
+
+
+@query_of(f"WITH {D.O_RAW}, st AS ({_STAMPED}) SELECT _id, securityServerType FROM st WHERE corrected IS NULL AND xRequestId IS NULL AND requestInTs IS NOT NULL AND securityServerType IS NOT NULL")
+def s12_faulty(spark, sf_dir):
+    return tables.faulty(_stamped(spark, sf_dir)).select("_id", "securityServerType")
+
+
+@query_of(f"""WITH {D.O_FIRST} SELECT c.xRequestId, CAST(1000000000 + CAST(c.xRequestId AS BIGINT) % 1000 AS DOUBLE) AS correctorTime FROM c JOIN p ON c.xRequestId = p.xRequestId
+WHERE c.clientXRoadInstance IS NOT NULL AND CAST(c.xRequestId AS BIGINT) % 1000 > 100 AND CAST(c.xRequestId AS BIGINT) % 1000 <= 600""")
+def s15_publishable(spark, sf_dir):
+    """Done calls with a client that were corrected after one time and not after another."""
+    clean = D.clean(spark, sf_dir).where("xRequestId <> ''").withColumn("correctorTime", F.lit(D.NOW) + F.col("xRequestId").try_cast("long") % 1000)
+    return tables.publishable(clean, D.NOW + 100, D.NOW + 600).select("xRequestId", "correctorTime")
+
+
+@query_of("SELECT CAST(to_json(struct_pack(k := o_orderkey, day := strftime(CAST(o_orderdate AS DATE), '%Y-%m-%d'), note := CASE WHEN o_orderkey % 7 > 0 THEN o_orderpriority END)) AS VARCHAR) AS line FROM orders")
+def s20_export_ndjson(spark, sf_dir):
+    """Orders exported as gzipped lines with days and nulls, read back as text."""
+    path = shared_folder(spark)
+    o = _table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.to_date("o_orderdate").alias("day"), F.when(F.col("o_orderkey") % 7 > 0, F.col("o_orderpriority")).alias("note"))
+    tables.export_ndjson(o, path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+_TRANSLATED = ["# published names", "", "client.serviceCode -> operation", "client.messageId->message", " totalDuration -> duration "]
+
+
+@query_of(f"WITH {D.O_FIRST} SELECT c.serviceCode AS operation, c.messageId AS message, {_clamped(_D['totalDuration'])} AS duration {_PAIRS}")
+def s19_translated_fields(spark, sf_dir):
+    return D.clean(spark, sf_dir).where("xRequestId <> ''").select(*tables.translated(_TRANSLATED))
+
+
+@query_of(f"{_INCIDENTS} SELECT n AS request_count, incident_status AS old_status, CASE WHEN n % 3 = 0 THEN 'showed' ELSE incident_status END AS incident_status, CASE WHEN n % 3 = 0 AND n % 2 = 0 THEN 'seen' END AS comments, count(*) AS incidents FROM incidents GROUP BY ALL")
+def s33_set_status(spark, sf_dir):
+    """Incidents of some sizes become shown, some of them with a comment."""
+    found = _incidents(D.calls(spark, sf_dir)).withColumn("incident_id", F.concat_ws("|", *SERVICE_CALL, "period_start_time"))
+    found = written(found.select("incident_id", "request_count", "incident_status", F.col("incident_status").alias("old_status"), F.lit(None).cast("string").alias("comments"), F.lit(None).cast("timestamp").alias("incident_update_timestamp")))
+    n = F.col("request_count").cast("long")
+    updates = found.where(n % 3 == 0).select("incident_id", F.lit("showed").alias("incident_status"), F.when(n % 2 == 0, "seen").alias("comments"))
+    out = query.set_status(found, updates, NOW)
+    return out.groupBy(n.alias("request_count"), "old_status", "incident_status", "comments").agg(F.count("*").alias("incidents"))
+
+
+@query_of(f"WITH {D.O_CALLS}, f AS (SELECT {_K}, min(requestInTs) AS first FROM calls GROUP BY ALL) SELECT {_K}, first AS first_ms, CASE WHEN serviceCode = 'op1' THEN 1706659200000 END AS trained_ms FROM f")
+def s34_set_timestamps(spark, sf_dir):
+    """Lifecycle times of all service calls, of which those of one operation are set."""
+    t = anomaly.first_requests(D.calls(spark, sf_dir)).withColumn("first_model_train_timestamp", F.lit(None).cast("timestamp"))
+    chosen = t.where("serviceCode = 'op1'").select(*SERVICE_CALL)
+    out = anomaly.set_timestamps(t, chosen, "first_model_train_timestamp", NOW)
+    return out.select(*SERVICE_CALL, F.col("first_request_timestamp").alias("first_ms"), F.unix_millis("first_model_train_timestamp").alias("trained_ms"))
+
+
+@query_of(f"{_INCIDENTS} SELECT _id, requestInTs FROM calls WHERE _id IN (SELECT unnest(ids) FROM incidents WHERE incident_status = 'incident') ORDER BY requestInTs, _id LIMIT 20")
+def j10_example_requests(spark, sf_dir):
+    calls = D.calls(spark, sf_dir)
+    return anomaly.example_requests(calls, _incidents(calls).where("incident_status = 'incident'"), 20).select("_id", "requestInTs")
+
+
+@query_of(f"WITH {D.O_CALLS}, s AS (SELECT DISTINCT {_K} FROM calls WHERE requestSize > 950) SELECT id FROM calls c WHERE EXISTS (SELECT 1 FROM s WHERE {' AND '.join(f's.{c} IS NOT DISTINCT FROM c.{c}' for c in SERVICE_CALL)})")
+def j7_only_service_calls(spark, sf_dir):
+    """All calls of the service calls that ever had a large request; missing identifiers equal missing ones."""
+    calls = D.calls(spark, sf_dir)
+    return anomaly.only(calls, calls.where("requestSize > 950").select(*SERVICE_CALL).distinct()).select("id")
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT id, requestSize FROM calls ORDER BY id DESC LIMIT 50 OFFSET 100")
+def f11_incident_page(spark, sf_dir):
+    return query.page(D.calls(spark, sf_dir).select("id", "requestSize"), "id", True, 100, 50)
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT id FROM calls WHERE CAST(make_timestamp(requestInTs * 1000) AS DATE) <= DATE '2024-01-21'")
+def t10_published(spark, sf_dir):
+    """Calls that may be published on the last of January, ten days late."""
+    calls = D.calls(spark, sf_dir).withColumn("requestInDate", X.to_day(F.col("requestInTs")))
+    return query.published(calls, "requestInDate", NOW.date(), 10).select("id")
+
+
+@query_of(f"WITH {D.O_RAW} SELECT _id FROM raw WHERE requestInTs BETWEEN 820454400000 AND 823132800000")
+def tc3_calls_between(spark, sf_dir):
+    """January 1996, the midnight after its last day included."""
+    return report.calls_between(D.raw(spark, sf_dir), 820454400000, 823132800000).select("_id")
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT id, CAST(greatest(least(totalDuration * 100000000, 2147483647), -2147483647) AS INT) AS totalDuration, CASE WHEN producerDurationProducerView IS NOT NULL THEN CAST(greatest(least(producerDurationProducerView * -100000000, 2147483647), -2147483647) AS INT) END AS producerDurationProducerView FROM calls")
+def m4_int_durations(spark, sf_dir):
+    """Durations far out of an int's range, clamped by the named step."""
+    calls = D.calls(spark, sf_dir).withColumns({"totalDuration": F.col("totalDuration") * 100_000_000, "producerDurationProducerView": F.col("producerDurationProducerView") * -100_000_000})
+    return anonymize.anonymize(calls, transformers=["int_durations"]).select("id", "totalDuration", "producerDurationProducerView")
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT id, coalesce(CAST(succeeded AS VARCHAR), 'None') AS s0, CASE WHEN succeeded THEN 'True' WHEN NOT succeeded THEN 'False' ELSE 'None' END AS succeeded, coalesce(clientSubsystemCode, 'None') AS client, coalesce(CAST(producerDurationProducerView AS VARCHAR), 'None') AS own FROM calls")
+def g11_printed_values(spark, sf_dir):
+    c = D.calls(spark, sf_dir)
+    return c.select("id", F.coalesce(F.col("succeeded").cast("string"), F.lit("None")).alias("s0"), X.python_text(F.col("succeeded"), "boolean").alias("succeeded"), X.python_text(F.col("clientSubsystemCode"), "string").alias("client"), X.python_text(F.col("producerDurationProducerView"), "bigint").alias("own"))
+
+
+@query_of(f"""WITH {D.O_RAW}, old AS (SELECT _id, CASE WHEN requestAttachmentCount IS NULL THEN requestSize END AS requestSize, requestSize % 3 * 100 AS soap, CASE WHEN requestSize % 5 > 0 THEN requestSize % 7 END AS rest FROM raw)
+SELECT _id, coalesce(requestSize, CASE WHEN soap <> 0 THEN soap ELSE rest END) AS requestSize, CASE WHEN soap > 0 THEN 'WSDL' WHEN rest > 0 THEN 'REST' END AS serviceType FROM old""")
+def g2_legacy_sizes(spark, sf_dir):
+    """Sizes and kinds of records that only have the older fields; a zero SOAP size falls through."""
+    raw = D.raw(spark, sf_dir)
+    old = raw.select("_id", F.when(F.col("requestAttachmentCount").isNull(), F.col("requestSize")).alias("requestSize"), (F.col("requestSize") % 3 * 100).alias("requestSoapSize"), F.when(F.col("requestSize") % 5 > 0, F.col("requestSize") % 7).alias("requestRestSize"), F.lit(None).cast("string").alias("serviceType"))
+    return correct.normalised(old).select("_id", "requestSize", "serviceType")
+
+
+@query_of(f"""{_ROLE_CALLS} SELECT subsystem, role, key1, key2, concat_ws(' / ', coalesce(CAST(CAST(round_even(min_duration, 0) AS BIGINT) AS VARCHAR), 'None'), coalesce(CAST(CAST(round_even(mean_duration, 0) AS BIGINT) AS VARCHAR), 'None'), coalesce(CAST(CAST(round_even(max_duration, 0) AS BIGINT) AS VARCHAR), 'None')) AS duration_text FROM rows_""")
+def g12_span_texts(spark, sf_dir):
+    return report.display(_report(spark, sf_dir)).select("subsystem", "role", "key1", "key2", "duration_text")
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT serviceCode, count(*) AS n FROM calls WHERE requestInTs = (SELECT max(requestInTs) FROM calls) GROUP BY 1")
+def s9_latest_snapshot(spark, sf_dir):
+    """The newest of all times, one row, and what happened then."""
+    calls = D.calls(spark, sf_dir).select("requestInTs", "serviceCode")
+    last = tables.latest_snapshot(calls.select("requestInTs"), "requestInTs")
+    return calls.join(last, "requestInTs").groupBy("serviceCode").agg(F.count("*").alias("n"))
+
+
+_REQUEST = '[{"column": "totalDuration", "operator": ">=", "value": 90}, {"column": "succeeded", "operator": "=", "value": true}]'
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT id, totalDuration FROM calls WHERE totalDuration >= 90 AND succeeded ORDER BY totalDuration DESC, id ASC LIMIT 200 OFFSET 10")
+def p11_parsed_request(spark, sf_dir):
+    """A request as its JSON texts say."""
+    spec = query.QuerySpec.parse('["id", "totalDuration"]', _REQUEST, '[{"column": "totalDuration", "order": "desc"}, {"column": "id", "order": "asc"}]', 200, 10)
+    return query.run_query(D.calls(spark, sf_dir), spec)

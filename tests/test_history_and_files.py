@@ -193,3 +193,18 @@ def test_classified_agrees_with_split(spark):
     got = correct.classified(df)
     for kind, part in {"first": "first", "duplicate": "duplicates", "faulty": "faulty", "invalid": "invalid"}.items():
         assert {r["_id"] for r in got.where(f"kind = '{kind}'").collect()} == {r["_id"] for r in want[part].collect()}, kind
+
+
+def test_logs_by_day_and_host(spark, tmp_path):
+    df = spark.createDataFrame([(0, "a", 1), (1, "a", 2), (DAY, None, 3), (None, "b", 4)], "requestInTs long, securityServerInternalIp string, n long")
+    tables.host_logs(df.coalesce(1), str(tmp_path / "logs"), most=1)
+    back = spark.read.json(str(tmp_path / "logs"))
+    assert sorted((str(r.date), r.host, r.n) for r in back.collect()) == [("1970-01-01", "a", 1), ("1970-01-01", "a", 2), ("1970-01-02", "unknown", 3), ("None", "b", 4)]
+    assert len(list((tmp_path / "logs" / "date=1970-01-01" / "host=a").glob("*.json"))) == 2
+
+
+def test_members_of_a_descriptor(spark, tmp_path):
+    (tmp_path / "d.json").write_text('[{"x_road_instance": "EX", "member_class": "GOV", "member_code": "1", "member_name": "One", "subsystem_code": "a"},\n {"member_code": "1", "member_name": "One", "subsystem_code": "b"}, {"member_code": "2"}]')
+    d = tables.read_descriptor(spark, str(tmp_path / "d.json"))
+    assert sorted((r.member_code, r.member_name) for r in tables.member_names(d).collect()) == [("1", "One"), ("2", None)]
+    assert tables.subsystem(d, "EX", "GOV", "1", "a").count() == 1 and tables.subsystem(d, "EX", "GOV", "1", "z").count() == 0
