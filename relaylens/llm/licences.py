@@ -8,13 +8,14 @@ gives.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cache
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import table, written
 
 # Spellings that count as equal, whole words of the lower-cased text.
 SPELLINGS = [
@@ -77,8 +78,9 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _NO_HOLDER = "acts?|and|are|as|disclaimers?|for|holders?|if|in|information|infringements?|interests?|is|laws?|licen[cs]es?|licensors?|messages?|notices?|of|on|or|owners?|permissions?|protection|registration|rights?|shall|statements?|terms|that|to|treaty|treaties|under|which|will"
 #: A line that only states a copyright: the word before a sign, a year or a holder, or a sign before a year.
 COPYRIGHT_LINE = rf"(?m)^[ \t]*(portions |parts )?(©|\(c\)[ \t]*(?=copyright|\d{{4}})|copyright[ \t:]*(?=©|\(c\)|[\d\[<{{])|copyright[ \t:]+(?!({_NO_HOLDER})\b)(?=[\p{{L}}\"']))[^\n]*$|^[ \t]*all rights reserved\.?[ \t]*$"
-#: The oracle's own, in RE2's syntax: it takes any line that begins so, which is the same on its tables.
-_SQL_COPYRIGHT_LINE = r"(?m)^[ \t]*(portions |parts )?(copyright|\(c\)|©)[^\n]*$|^[ \t]*all rights reserved\.?[ \t]*$"
+#: The same in RE2's syntax, which can't look ahead: first the words that don't state a copyright are marked, then lines go.
+_SQL_SAID = rf"(?m)^([ \t]*(?:portions |parts )?)copyright([ \t:]+(?:{_NO_HOLDER})\b)"
+_SQL_COPYRIGHT_LINE = r"(?m)^[ \t]*(?:portions |parts )?(?:©|\(c\)[ \t]*(?:copyright|[0-9]{4})|copyright[ \t:]*(?:©|\(c\)|[0-9\[<{])|copyright[ \t:]+[\p{L}\"'])[^\n]*$|^[ \t]*all rights reserved\.?[ \t]*$"
 OTHER = r"[^\p{L}\p{N}]+"
 
 
@@ -112,46 +114,68 @@ def scan(docs: DataFrame, known: DataFrame, keep: list[str]) -> DataFrame:
     return rows.join(known, "digest", "left").select(*keep, "digest", "license_id")
 
 
-def op10_licence_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, digest, license_id, notice_ids, is_license of every document.
+def scan_lines(docs: DataFrame, known: DataFrame, keep: list[str], may_be: Callable[[Column], Column] | None = None) -> DataFrame:
+    """As scan(), with notice_ids: comma-joined names of the licences that some whole line of the text is, empty if none.
 
-    notice_ids: comma-joined names of the licences that some line of the text is, as a whole line.
+    The digests of lines are exploded and hash-joined like those of whole texts, then gathered by row, which takes at most
+    a name a licence. Rows are numbered in a written table, so that ids may be null or repeated; texts aren't shuffled.
+    may_be: a cheap condition that every known text of one line meets; without it each line gets a digest.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    known = known_licences(spark)
-    lines = F.array_distinct(F.transform(F.filter(F.split("text", "\n"), _may_be_notice), digest))
-    pairs = {r["digest"]: r["license_id"] for r in known.collect()}  # the fixed table of this module
-    names = F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
-    notices = F.array_sort(F.array_distinct(F.filter(F.transform(lines, lambda d: F.try_element_at(names, d)), lambda x: x.isNotNull())))
-    out = docs.select("doc_id", "text", F.coalesce(F.array_join(notices, ","), F.lit("")).alias("notice_ids"))
-    return scan(out, known, ["doc_id", "notice_ids"]).select("doc_id", "digest", "license_id", "notice_ids", F.col("license_id").isNotNull().alias("is_license"))
+    new = ("digest", "license_id", "notice_ids")
+    keep = [k for k in keep if k not in new]
+    lines = F.split("text", "\n")
+    lines = F.array_distinct(F.transform(lines if may_be is None else F.filter(lines, may_be), digest))
+    rows = written(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*keep).alias("kept"), digest(F.col("text")).alias("digest"), lines.alias("lines")))
+    found = rows.where(F.size("lines") > 0).select("row", F.explode("lines").alias("digest")).join(known, "digest")
+    notices = found.groupBy("row").agg(F.array_join(F.array_sort(F.collect_set("license_id")), ",").alias("notice_ids"))
+    out = rows.join(known, "digest", "left").join(notices, "row", "left")
+    return out.select(*(F.col("kept").getField(k).alias(k) for k in keep), "digest", "license_id", F.coalesce("notice_ids", F.lit("")).alias("notice_ids"))
+
+
+def may_be_notice(line: Column) -> Column:
+    """Every text of this module's table mentions a licence, a permission or the public domain; other lines need no digest."""
+    return F.translate(line, _UPPER, _LOWER).rlike(_NOTICE)
+
+
+_NOTICE = "licen[cs]e|public domain|permission"
 
 
-def _may_be_notice(line: Column) -> Column:
-    """Every known text of one line mentions a licence or the public domain; other lines need no digest."""
-    return F.translate(line, _UPPER, _LOWER).rlike("licen[cs]e|public domain|permission")
+def op10_licence_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, digest, license_id, notice_ids, is_license of every document, see scan_lines.
+
+    A row a row of documents, also for null or repeated ids; a null text has no digest and no notices. The table of known
+    texts is the fixed one of this module (58 rows), so it is broadcast.
+    """
+    known = F.broadcast(known_licences(spark))
+    found = scan_lines(table(spark, sf_dir, "documents"), known, ["doc_id"], may_be_notice)
+    return found.select("doc_id", "digest", "license_id", "notice_ids", F.col("license_id").isNotNull().alias("is_license"))
 
 
 def _sql_canonical(expression: str) -> str:
-    c = f"regexp_replace(translate({expression}, '{_UPPER}', '{_LOWER}'), '{_SQL_COPYRIGHT_LINE}', ' ', 'g')"
-    c = f"' ' || regexp_replace({c}, '{OTHER}', ' ', 'g') || ' '"
+    c = f"regexp_replace(translate({expression}, '{_UPPER}', '{_LOWER}'), {_quoted(_SQL_SAID)}, '\\1c_opyright\\2', 'g')"
+    c = f"regexp_replace({c}, {_quoted(_SQL_COPYRIGHT_LINE)}, ' ', 'g')"
+    c = f"' ' || regexp_replace(replace({c}, 'c_opyright', 'copyright'), '{OTHER}', ' ', 'g') || ' '"
     for a, b in SPELLINGS:
         c = f"replace({c}, ' {a} ', ' {b} ')"
     return f"trim(regexp_replace({c}, ' +', ' ', 'g'))"
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 def _oracle() -> str:
-    quote = lambda s: "'" + s.replace("'", "''") + "'"
-    known = ", ".join(f"({quote(i)}, {quote(t)})" for i, t in KNOWN)
+    known = ", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in known_texts())
     return f"""
 WITH known AS (SELECT sha256({_sql_canonical("t")}) AS digest, min(i) AS license_id FROM (VALUES {known}) v(i, t) GROUP BY 1),
-lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents),
+docs AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+lines AS (SELECT r, unnest(string_split(text, chr(10))) AS line FROM docs),
 notices AS (
-  SELECT doc_id, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notice_ids
-  FROM (SELECT doc_id, sha256({_sql_canonical("line")}) AS digest FROM lines WHERE regexp_matches(translate(line, '{_UPPER}', '{_LOWER}'), 'licen[cs]e|public domain|permission')) l JOIN known USING (digest) GROUP BY 1)
+  SELECT r, string_agg(DISTINCT license_id, ',' ORDER BY license_id) AS notice_ids
+  FROM (SELECT r, sha256({_sql_canonical("line")}) AS digest FROM lines) l JOIN known USING (digest) GROUP BY 1)
 SELECT d.doc_id, d.digest, k.license_id, coalesce(n.notice_ids, '') AS notice_ids, k.license_id IS NOT NULL AS is_license
-FROM (SELECT doc_id, sha256({_sql_canonical("text")}) AS digest FROM documents) d
-LEFT JOIN known k ON d.digest = k.digest LEFT JOIN notices n ON d.doc_id = n.doc_id
+FROM (SELECT r, doc_id, sha256({_sql_canonical("text")}) AS digest FROM docs) d
+LEFT JOIN known k ON d.digest = k.digest LEFT JOIN notices n ON d.r = n.r
 """
 
 

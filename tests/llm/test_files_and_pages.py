@@ -2,11 +2,13 @@
 
 import hashlib
 import random
+import re
 import textwrap
 import time
 import zlib
 from pathlib import Path
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -272,6 +274,48 @@ def test_standard_licence_files(spark):
     assert [r.license_id for r in got.orderBy("doc_id").collect()] == [i for i, _ in want]
 
 
+def licence_documents():
+    """Whole licences with titles, statements of ownership and edits, notices among other lines, odd rows."""
+    whole = licences.known_texts()
+    notice = [t for _, t in licences.KNOWN if "\n" not in t]
+    rows = [(k, t) for k, (_, t) in enumerate(whole)]
+    rows += [(100 + k, f"Copyright (c) 2020 A. Body\nCopyright notice\nCopyright Some Body <a@b>\n{t.upper()}") for k, (_, t) in enumerate(whole)]
+    rows += [(200 + k, f"Some prose.\n{a}\nMore prose\n{b.replace('icense', 'icence')}\n{a}") for k, (a, b) in enumerate(zip(notice, notice[1:], strict=False))]
+    rows += [(300, "\n".join(notice)), (301, notice[0] + " more"), (302, ""), (303, None), (None, notice[0]), (None, None), (304, "w " * 100_000 + "\n" + notice[0])]
+    return rows + rows[:3] + [(304, notice[2])]
+
+
+def test_licence_query_equals_its_sql(spark, tmp_path):
+    """Rows of equal and of null ids, columns that clash with new ones, and the table without rows."""
+    schema = "doc_id long, text string, digest string, row string, license_id long"
+    key = lambda r: tuple((v is not None, v) for v in r)
+    for part in (licence_documents(), []):
+        folder = tmp_path / str(len(part))
+        spark.createDataFrame([(*r, "d", None, 1) for r in part], schema).write.parquet(str(folder / "documents.parquet"))
+        got = licences.op10_licence_digest(spark, str(folder))
+        con = duckdb.connect()
+        con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet/*.parquet'")
+        want = con.execute(licences.ORACLE_SQL["op10_licence_digest"]).fetchall()
+        assert got.columns == [c[0] for c in con.description]
+        assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key) and len(want) == len(part)
+        if part:
+            assert {"GPL-3.0-only", "Apache-2.0", "MPL-2.0", "MIT", None} <= {r[2] for r in want}
+            assert {"Apache-2.0,CC-BY-NC-4.0", "CC-BY-4.0,GPL-3.0-only"} <= {r[3] for r in want}
+
+
+def test_licence_lines_by_brute_force(spark):
+    """A caller's own table, whose lines the cheap condition of the query doesn't hold for."""
+    known = [("A", "All yours."), ("B", "Use with care"), ("B", "use, with CARE!"), ("C", "x")]
+    texts = ["ALL YOURS\nnothing\nuse with care", "all yours and more", "X\nx\n x.", None, "", "\n\n", "use with\ncare"]
+    df = spark.createDataFrame([(k % 3, t, "n") for k, t in enumerate(texts * 2)], "doc_id long, text string, notice_ids string")
+    plain = lambda t: " ".join("".join(c if c.isalnum() else " " for c in t.lower()).split())
+    names = {plain(t): i for i, t in known}
+    want = [(k % 3, names.get(plain(t)) if t is not None else None, ",".join(sorted({names[p] for p in map(plain, (t or "").split("\n")) if p in names}))) for k, t in enumerate(texts * 2)]
+    got = licences.scan_lines(df, licences.known_licences(spark, known), ["doc_id", "notice_ids"])
+    assert sorted(((r.doc_id, r.license_id, r.notice_ids) for r in got.collect()), key=str) == sorted(want, key=str)
+    assert all(t is None or re.search(licences._NOTICE, t.lower()) for _, t in licences.KNOWN)
+
+
 def test_only_statements_of_ownership_are_copyright_lines(spark):
     stated = ["Copyright (c) 2020 A", "  copyright 2020", "Copyright © A", "© A", "(C) 2020 A", "Portions Copyright The A Authors", "Copyright by A. All rights reserved.", "Copyright: A", "All rights reserved."]
     said = ["copyright notice and this permission notice", "COPYRIGHT HOLDERS BE LIABLE", "copyright owner or", "(c) You must retain", "copyright", "copyright, patent", "copyright law"]
