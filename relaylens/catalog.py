@@ -658,7 +658,7 @@ def a17_either_side_in_frame(spark, sf_dir):
 @query_of(f"WITH {D.O_CALLS} SELECT archived, count(*) AS n, sum(id) AS ids FROM (SELECT id, requestInTs < 1704931200000 AND row_number() OVER (ORDER BY requestInTs, id) <= 700 AS archived FROM calls) GROUP BY 1")
 def s24_archive_batch(spark, sf_dir):
     """At least 100 old calls have to be there, and at most 700 go at once."""
-    batch, rest = tables.archive_batch(D.calls(spark, sf_dir), F.col("requestInTs") < 1704931200000, 100, 700, ["requestInTs", "id"])
+    batch, rest = tables.archive_batch(D.calls(spark, sf_dir), F.col("requestInTs") < 1704931200000, 100, 700, ["requestInTs", "id"], F.floor(F.col("requestInTs") / 86_400_000))
     both = batch.withColumn("archived", F.lit(True)).unionByName(rest.withColumn("archived", F.lit(False)))
     return both.groupBy("archived").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
 
@@ -1049,3 +1049,32 @@ def p11_parsed_request(spark, sf_dir):
     """A request as its JSON texts say."""
     spec = query.QuerySpec.parse('["id", "totalDuration"]', _REQUEST, '[{"column": "totalDuration", "order": "desc"}, {"column": "id", "order": "asc"}]', 200, 10)
     return query.run_query(D.calls(spark, sf_dir), spec)
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT CAST(make_timestamp(requestInTs * 1000) AS DATE) AS date, coalesce(clientSubsystemCode, 'unknown') AS host, count(*) AS n, min(id) AS first_id, sum(responseSize) AS response_bytes FROM calls GROUP BY 1, 2")
+def s7_host_logs(spark, sf_dir):
+    """Calls written as JSON lines by day and host, then read back."""
+    path = shared_folder(spark)
+    calls = D.calls(spark, sf_dir)
+    tables.host_logs(calls, path, "clientSubsystemCode")
+    logs = spark.read.schema(calls.select("id", "responseSize").schema.add("date", "date").add("host", "string")).json(path)
+    return logs.groupBy("date", "host").agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.sum("responseSize").alias("response_bytes"))
+
+
+_ON_A_DAY = "CAST(make_timestamp(requestInTs * 1000) AS DATE) = DATE '2024-01-10'"
+
+
+@query_of(f"WITH {D.O_CALLS} SELECT id, serviceCode, totalDuration FROM calls WHERE {_ON_A_DAY} AND totalDuration >= 50")
+def p12_query_of_a_day(spark, sf_dir):
+    """A request's day picks the folder of the published calls; the rest of it is pushed into its files."""
+    path = shared_folder(spark)
+    tables.write_logs(D.calls(spark, sf_dir).select("id", "requestInTs", "serviceCode", "totalDuration"), path)
+    of_day = query.Constraint("requestInDate", "=", "2024-01-10")
+    return query.run_query(tables.read_logs(spark, path), query.QuerySpec(["id", "serviceCode", "totalDuration"], [of_day, query.Constraint("totalDuration", ">=", 50)]))
+
+
+@query_of(f"WITH {D.O_RAW}, s AS (SELECT serviceMemberCode, serviceCode, count(*) AS n FROM raw GROUP BY 1, 2) SELECT * FROM (SELECT *, rank() OVER (PARTITION BY serviceMemberCode ORDER BY n DESC) AS rank FROM s) WHERE rank <= 3")
+def w2_services_of_members(spark, sf_dir):
+    """The three most called services of each member, and those with as many calls as the third."""
+    counted = D.raw(spark, sf_dir).groupBy("serviceMemberCode", "serviceCode").agg(F.count("*").alias("n"))
+    return network.top_ties(counted, ["serviceMemberCode"], "n", 3)

@@ -205,19 +205,25 @@ def split_archive(df: DataFrame, before: Column) -> tuple[DataFrame, DataFrame]:
     return df.where(old), df.where(~old)
 
 
-def archive_batch(df: DataFrame, before: Column, least: int, most: int, order: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+def archive_batch(df: DataFrame, before: Column, least: int, most: int, order: Sequence[str], bucket: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """The first `most` old rows to archive, and all others to keep; nothing is archived below `least` old rows.
 
-    order: columns that aren't null, the last of them a key, so that one row parts both.
+    order: columns that aren't null, the last of them a key, so that one row parts both. bucket: an expression that never
+    falls along this order, such as the day of the time. One aggregation counts old rows by bucket, and only rows of the
+    bucket that holds the last one are ordered; without it all old rows are.
     """
-    old, rest = split_archive(df, before)
-    if old.limit(least).count() < least:
+    old, _ = split_archive(df, before)
+    counts = old.groupBy((F.lit(0) if bucket is None else bucket).alias("bucket")).agg(F.count("*").alias("n"))
+    through = counts.withColumn("through", F.sum("n").over(Window.orderBy("bucket")))  # a row a bucket
+    full = F.col("through") >= most
+    at = through.agg(F.sum("n").alias("n"), F.min(F.when(full, F.col("bucket"))).alias("bucket"), F.min(F.when(full, F.col("through") - F.col("n"))).alias("earlier")).first()
+    if most < 1 or (at["n"] or 0) < least:
         return df.limit(0), df
-    batch = old.orderBy(*order).limit(most)
-    last = batch.agg(F.max(F.struct(*order)).alias("last")).first()["last"]
-    if last is None:
-        return batch, df
-    return batch, rest.unionByName(old.where(F.struct(*order) > F.struct(*[F.lit(last[c]).alias(c) for c in order])))
+    if at["n"] <= most:
+        return split_archive(df, before)
+    here = old if bucket is None else old.where(bucket == F.lit(at["bucket"]))
+    last = here.select(*order).orderBy(*order).limit(most - at["earlier"]).agg(F.max(F.struct(*order)).alias("last")).first()["last"]
+    return split_archive(df, before & (F.struct(*order) <= F.struct(*[F.lit(last[c]).alias(c) for c in order])))
 
 
 def pointer(pointers: DataFrame, key: Sequence[str], wanted: DataFrame, start: float) -> DataFrame:
@@ -260,9 +266,12 @@ def archive(df: DataFrame, before: Column, path: str) -> DataFrame:
 
 
 def host_logs(raw: DataFrame, path: str, host: str = "securityServerInternalIp", most: int = 1_000_000) -> None:
-    """JSON lines by day and host with a bound on a file's records."""
+    """JSON lines by day and host with a bound on a file's records.
+
+    Rows are gathered by folder first, so that not every task opens a file in each; large folders are split over tasks.
+    """
     out = raw.withColumns({"date": X.to_day(F.col("requestInTs")), "host": F.coalesce(F.col(host), F.lit("unknown"))})
-    out.write.mode("append").partitionBy("date", "host").option("maxRecordsPerFile", most).json(path)
+    out.hint("rebalance", "date", "host").write.mode("append").partitionBy("date", "host").option("maxRecordsPerFile", most).json(path)
 
 
 #: The four tables of a report: role, name, and what its two keys are.

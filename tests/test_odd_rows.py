@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from relaylens.functions import expr as X
-from relaylens.operators import anomaly, query, report
+from relaylens.operators import anomaly, network, query, report
 from relaylens.schema import CLIENT_ID, SERVICE_CALL, SERVICE_ID
 from relaylens.sources import tables
 from test_anomaly_and_stream import HOUR, calls
@@ -35,6 +35,17 @@ def test_archive_batches_with_ties(spark, least, most, archived):
     assert sorted(r.id for r in rest.collect()) == [i for i in range(1, 7) if i not in archived]
 
 
+@pytest.mark.parametrize("most", [1, 2, 3, 5, 6, 7, 8, 9, 10])
+def test_archive_batches_by_bucket(spark, most):
+    """Buckets of several rows with ties; the cut at a bucket's first, middle and last row, or beyond all."""
+    rows = [(1, 5), (2, 5), (3, 9), (4, 21), (5, 21), (6, 21), (7, 38), (8, 30), (9, 60), (10, None)]
+    df = spark.createDataFrame(rows, "id long, t long").repartition(3)
+    batch, rest = tables.archive_batch(df, F.col("t") < 50, 1, most, ["t", "id"], F.floor(F.col("t") / 10))
+    order = [i for _, i in sorted((t, i) for i, t in rows if t is not None and t < 50)][:most]
+    assert sorted(r.id for r in batch.collect()) == sorted(order)
+    assert sorted(r.id for r in rest.collect()) == [i for i in range(1, 11) if i not in order]
+
+
 def test_archive_batches_of_nothing(spark):
     df = spark.createDataFrame([], "id long, t long")
     batch, rest = tables.archive_batch(df, F.col("t") < 50, 1, 5, ["t", "id"])
@@ -112,3 +123,28 @@ def test_upserts_with_ties_and_nulls(spark):
     state = spark.createDataFrame([("a", 1, "old"), ("b", None, "old"), (None, 5, "old"), ("c", 9, "old")], "k string, t long, v string")
     new = spark.createDataFrame([("a", 1, "new"), ("b", 2, "new"), (None, 4, "new"), ("d", None, "new")], "k string, t long, v string")
     assert {r.k: r.v for r in tables.upserted(state, new, ["k"], "t").collect()} == {"a": "new", "b": "new", None: "old", "c": "old", "d": "new"}
+
+
+def test_ranks_with_ties_nulls_and_no_rows(spark):
+    rows = [("a", 1, 5), ("a", 2, 5), ("a", 3, 4), ("a", 4, 4), ("a", 5, 1), (None, 6, 2), (None, 7, None), ("b", 8, None), ("b", 9, None)]
+    df = spark.createDataFrame(rows, "k string, v int, n int")
+    got = lambda most: sorted((r.v, r["rank"]) for r in network.top_ties(df, ["k"], "n", most).collect())
+    assert got(0) == []
+    assert got(1) == [(1, 1), (2, 1), (6, 1), (8, 1), (9, 1)]
+    assert got(2) == [(1, 1), (2, 1), (6, 1), (7, 2), (8, 1), (9, 1)]
+    assert got(3) == [(1, 1), (2, 1), (3, 3), (4, 3), (6, 1), (7, 2), (8, 1), (9, 1)]
+    assert network.top_ties(df.where("false"), ["k"], "n", 3).count() == 0
+
+
+def test_a_day_of_a_request_prunes_folders(spark, tmp_path):
+    """Calls without a time have a folder of their own, which no day finds."""
+    day = 86_400_000
+    df = spark.createDataFrame([(1, 10, 5), (2, day - 1, 6), (3, day, 7), (4, None, 8), (5, 20, None)], "id long, requestInTs long, totalDuration long")
+    tables.write_logs(df, str(tmp_path / "log"))
+    spec = query.QuerySpec(["id"], [query.Constraint("requestInDate", "=", "1970-01-01"), query.Constraint("totalDuration", ">=", 5)])
+    out = query.run_query(tables.read_logs(spark, str(tmp_path / "log")), spec)
+    assert sorted(r.id for r in out.collect()) == [1, 2]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(requestInDate" in plan and "GreaterThanOrEqual(totalDuration,5)" in plan
+    none = query.QuerySpec(["id"], [query.Constraint("requestInDate", "=", query.NULL_TEXT)])
+    assert [r.id for r in query.run_query(tables.read_logs(spark, str(tmp_path / "log")), none).collect()] == [4]
