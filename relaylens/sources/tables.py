@@ -178,7 +178,7 @@ class LogTable:
         new = self.evolved(known[-1] if known else T.StructType(), dated.schema)
         if not known or new != known[-1]:
             self.spark.createDataFrame([(json.dumps(new.jsonValue()),)], "value string").coalesce(1).write.text(f"{self.path}/_schemas/version={len(known) + 1}")
-        dated.write.mode("append").partitionBy("requestInDate").parquet(f"{self.path}/rows")
+        dated.hint("rebalance", "requestInDate").write.mode("append").partitionBy("requestInDate").parquet(f"{self.path}/rows")  # few files a day, large days split
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(self.versions()[-1]).parquet(f"{self.path}/rows")
