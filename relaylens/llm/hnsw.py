@@ -259,7 +259,8 @@ def searched(blocks: DataFrame, graphs: DataFrame, shards: int, k: int, width: i
                     out += [(row.dim, row.block, i, int(ids[i]), m, -s) for s, m in pairs]
                 yield pd.DataFrame(out, columns=["dim", "block", "place", "query_id", "vec_id", "score"])
 
-    dealt = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    # Spark doesn't know that a block stands once for each shard and would broadcast them all from the driver.
+    dealt = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).hint("merge")
     pairs = dealt.join(graphs.withColumnRenamed("vectors", "g_vectors"), ["dim", "shard"])
     return pairs.mapInPandas(search, "dim int, block int, place int, query_id long, vec_id long, score double")
 

@@ -75,6 +75,15 @@ def test_neighbours_over_many_shards_copies_and_odd_rows(spark):
     assert [r.vec_id for r in sorted((r for r in got if r.query_id == 2050), key=lambda r: r.rank)] == [7, 2000, 2001, 2002, 2003]
 
 
+def test_blocks_dealt_to_shards_are_not_broadcast(spark, capsys):
+    own = hnsw.written(hnsw.usable(spark.createDataFrame(vectors(600), COLUMNS)))
+    graphs = hnsw.written(hnsw.shard_graphs(hnsw.nodes_of(own, 6), 4))
+    found = hnsw.searched(hnsw.written(hnsw.query_blocks(own.where("vec_id % 50 = 0"), 12, 4)), graphs, 4, 5, 16)
+    assert {r.query_id for r in found.collect()} == set(range(0, 600, 50))
+    found.explain()
+    assert "Broadcast" not in capsys.readouterr().out
+
+
 def test_neighbours_of_nothing_and_of_one(spark):
     none = spark.createDataFrame([], COLUMNS)
     assert hnsw.nearest(none, 50, 5).count() == 0
