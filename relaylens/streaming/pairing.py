@@ -7,14 +7,18 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..plans.shared import shared_folder
 
 OUT = "xRequestId string, client_id string, producer_id string, status string, matching string, expired boolean, version int"
-STATE = "client_id string, producer_id string, expired boolean, version int"
+#: Requests of a bucket, in parallel arrays.
+STATE = "ids array<string>, clients array<string>, producers array<string>, expired array<boolean>, versions array<int>, due array<bigint>"
+#: Buckets that requests fall in by hash. A stream can't change it later.
+BUCKETS = 16_384
 #: An open orphan is done after this long, and what is done is forgotten after a further KEEP_MS.
 TIMEOUT_MS = 3 * 86_400_000
 KEEP_MS = 30 * 86_400_000
@@ -22,60 +26,97 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 class CallState(StatefulProcessor):
-    """The first record of each side by request, over all batches. Of a request the engine keeps one value and one timer.
+    """The first record of each side by request, over all batches. Of a bucket of requests the engine keeps one value and one timer.
 
-    Timers go by event time, which is the time of arrival: an orphan is done at its timeout and may still be completed until
-    it is forgotten, however old its partner's own times are.
+    Each call of the engine's state costs a round trip to the JVM, so requests share theirs. Timers go by event time, which
+    is the time of arrival: an orphan is done at its timeout and may still be completed until it is forgotten, however old
+    its partner's own times are. A bucket's timer is that of its request which is due first.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.call = handle.getValueState("call", STATE)
+        self.calls = handle.getValueState("calls", STATE)
 
     def close(self) -> None:
         pass
 
-    def _kept(self, key: tuple, client: str | None, producer: str | None, expired: bool, version: int, due: int) -> Iterator[Row]:
-        self.call.update((client, producer, expired, version))
-        for old in list(self.handle.listTimers()):
-            self.handle.deleteTimer(old)
-        self.handle.registerTimer(due)
-        both = client is not None and producer is not None
-        yield Row(xRequestId=key[0], client_id=client, producer_id=producer, status="done" if both or expired else "processing", matching="regular_pair" if both else "orphan", expired=expired, version=version)
-
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        client, producer, expired, version = self.call.get() if self.call.exists() else (None, None, False, 0)
-        least, arrived = {}, 0
-        for r in rows:
-            at = (r.requestInTs is not None, r.requestInTs or 0, r.id or "")
-            if r.party not in least or at < least[r.party][0]:
-                least[r.party] = (at, r.id)
-            arrived = max(arrived, r.arrived_ms)
-        grew = False
-        if client is None and "client" in least:
-            client, grew = least["client"][1], True
-        if producer is None and "producer" in least:
-            producer, grew = least["producer"][1], True
-        if grew:
-            closed = expired or client is not None and producer is not None
-            yield from self._kept(key, client, producer, expired, version + 1, arrived + (KEEP_MS if closed else TIMEOUT_MS))
-
-    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        client, producer, expired, version = self.call.get()
-        if expired or client is not None and producer is not None:
-            self.call.clear()
-        else:
-            yield from self._kept(key, client, producer, True, version + 1, expiredTimerInfo.getExpiryTimeInMs() + KEEP_MS)
-
+    def _read(self) -> dict[str, tuple]:
+        """client, producer, expired, version and due time by request."""
+        kept = self.calls.get()
+        return {} if kept is None else {i: v for i, *v in zip(*kept)}
 
-def pair_stream(records: DataFrame, arrived: str = "arrived", late: str = "1 hour") -> DataFrame:
+    def _write(self, calls: dict[str, tuple], timer: int | None) -> None:
+        """timer: the bucket's timer that is set; None: none."""
+        if not calls:
+            self.calls.clear()
+        else:
+            self.calls.update((list(calls), *map(list, zip(*calls.values()))))
+        first = min((v[4] for v in calls.values()), default=None)
+        if timer != first:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if first is not None:
+                self.handle.registerTimer(first)
+
+    @staticmethod
+    def _out(made: list[tuple]) -> pd.DataFrame:
+        """Updates from request, client, producer, expired and version."""
+        out = pd.DataFrame(made, columns=["xRequestId", "client_id", "producer_id", "expired", "version"])
+        both = out["client_id"].notna() & out["producer_id"].notna()
+        out["status"] = (both | out["expired"]).map({True: "done", False: "processing"})
+        out["matching"] = both.map({True: "regular_pair", False: "orphan"})
+        return out[[c.split()[0] for c in OUT.split(", ")]]
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        least, arrived = {}, {}
+        for frame in rows:
+            for request, id, timed, at, party, came in zip(*(frame[c].tolist() for c in ("xRequestId", "id", "timed", "at", "party", "arrived_ms"))):
+                side, order = (request, party), (timed, at, id or "")
+                if side not in least or order < least[side][0]:
+                    least[side] = (order, id)
+                arrived[request] = max(arrived.get(request, 0), came)
+        calls = self._read()
+        timer = min((v[4] for v in calls.values()), default=None)
+        made = []
+        for request, came in arrived.items():
+            client, producer, expired, version, _ = calls.get(request, (None, None, False, 0, 0))
+            grew = False
+            if client is None and (request, "client") in least:
+                client, grew = least[request, "client"][1], True
+            if producer is None and (request, "producer") in least:
+                producer, grew = least[request, "producer"][1], True
+            if grew:
+                closed = expired or client is not None and producer is not None
+                calls[request] = (client, producer, expired, version + 1, came + (KEEP_MS if closed else TIMEOUT_MS))
+                made.append((request, client, producer, expired, version + 1))
+        if made:
+            self._write(calls, timer)
+            yield self._out(made)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        calls, now, made = self._read(), timerValues.getCurrentWatermarkInMs(), []
+        for request, (client, producer, expired, version, due) in list(calls.items()):
+            if due > now:
+                continue
+            if expired or client is not None and producer is not None:
+                del calls[request]
+            else:
+                calls[request] = (client, producer, True, version + 1, due + KEEP_MS)
+                made.append((request, client, producer, True, version + 1))
+        self._write(calls, None)  # the engine deletes the timer that has fired
+        if made:
+            yield self._out(made)
+
+
+def pair_stream(records: DataFrame, arrived: str = "arrived", late: str = "1 hour", buckets: int = BUCKETS) -> DataFrame:
     """Updates of pairs by request from a stream of raw records; the highest version of a request counts.
 
     arrived: a timestamp of arrival, late: how far behind the latest arrival one may be. Needs the RocksDB state store.
     """
     rows = records.where("coalesce(xRequestId, '') <> '' and lower(securityServerType) in ('client', 'producer')").withWatermark(arrived, late)
-    rows = rows.select("xRequestId", F.col("_id").alias("id"), "requestInTs", F.lower("securityServerType").alias("party"), arrived, F.unix_millis(arrived).alias("arrived_ms"))
-    return rows.groupBy("xRequestId").transformWithState(CallState(), OUT, "Update", "EventTime")
+    bucket = F.pmod(F.xxhash64("xRequestId"), F.lit(buckets)).cast("int").alias("bucket")
+    rows = rows.select(bucket, "xRequestId", F.col("_id").alias("id"), F.col("requestInTs").isNotNull().alias("timed"), F.coalesce("requestInTs", F.lit(0)).alias("at"), F.lower("securityServerType").alias("party"), F.unix_millis(arrived).alias("arrived_ms"), arrived)
+    return rows.groupBy("bucket").transformWithStateInPandas(CallState(), OUT, "Update", "EventTime")
 
 
 def latest_updates(updates: DataFrame) -> DataFrame:

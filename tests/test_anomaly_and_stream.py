@@ -109,3 +109,11 @@ def test_timeout_then_late_partner_then_forgotten(spark):
     after = paired(spark, *steps, late, clock(60), arriving(spark, 61, ("n", "2", "Producer", 9)))
     assert after["1"] == ("c", "p", "done", "regular_pair", True)
     assert after["2"] in (("d", None, "done", "orphan", True), (None, "n", "processing", "orphan", False))  # forgotten: its partner begins anew
+
+
+def test_requests_of_a_bucket_share_their_state_and_time_out_alone(spark, monkeypatch):
+    whole = pairing.pair_stream
+    monkeypatch.setattr(pairing, "pair_stream", lambda records: whole(records, buckets=1))
+    steps = [arriving(spark, 0, ("c", "1", "Client", 0), ("d", "2", "Client", 0), ("q", "2", "Producer", None)), arriving(spark, 2, ("e", "3", "Client", 0)), arriving(spark, 4, ("f", "4", "Client", 0))]
+    got = paired(spark, *steps, arriving(spark, 4, ("p", "1", "Producer", 7), ("r", "4", "Producer", 7)))
+    assert got == {"1": ("c", "p", "done", "regular_pair", True), "2": ("d", "q", "done", "regular_pair", False), "3": ("e", None, "processing", "orphan", False), "4": ("f", "r", "done", "regular_pair", False)}
