@@ -228,9 +228,9 @@ def analysable(frame: DataFrame, now: dt.datetime, minutes: int = 60, buffer_min
     return frame.where(F.unix_millis("period") < end - end % (minutes * 60_000))
 
 
-def incident_requests(incidents: DataFrame) -> DataFrame:
-    """One row: the requests of the incidents in sum, 0 without any."""
-    return incidents.agg(F.coalesce(F.sum("request_count"), F.lit(0)).cast("long").alias("request_count"))
+def incident_requests(incidents: DataFrame, *by: str) -> DataFrame:
+    """The requests of the incidents in sum: one row, 0 without any; or a row for each value of `by` that occurs."""
+    return incidents.groupBy(*by).agg(F.coalesce(F.sum("request_count"), F.lit(0)).cast("long").alias("request_count"))
 
 
 def example_requests(calls: DataFrame, incidents: DataFrame, limit: int) -> DataFrame:

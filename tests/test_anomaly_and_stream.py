@@ -117,3 +117,9 @@ def test_requests_of_a_bucket_share_their_state_and_time_out_alone(spark, monkey
     steps = [arriving(spark, 0, ("c", "1", "Client", 0), ("d", "2", "Client", 0), ("q", "2", "Producer", None)), arriving(spark, 2, ("e", "3", "Client", 0)), arriving(spark, 4, ("f", "4", "Client", 0))]
     got = paired(spark, *steps, arriving(spark, 4, ("p", "1", "Producer", 7), ("r", "4", "Producer", 7)))
     assert got == {"1": ("c", "p", "done", "regular_pair", True), "2": ("d", "q", "done", "regular_pair", False), "3": ("e", None, "processing", "orphan", False), "4": ("f", "r", "done", "regular_pair", False)}
+
+
+def test_incident_requests_of_statuses_that_occur(spark):
+    found = spark.createDataFrame([("new", 3), ("new", 4)], "incident_status string, request_count long")
+    assert [tuple(r) for r in anomaly.incident_requests(found, "incident_status").collect()] == [("new", 7)]
+    assert [tuple(r) for r in anomaly.incident_requests(found.where("false")).collect()] == [(0,)]
