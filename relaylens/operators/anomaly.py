@@ -40,11 +40,12 @@ def by_period(calls: DataFrame, minutes: int, keys: Sequence[str] = ()) -> Group
     return windowed(calls, minutes).groupBy(*SERVICE_CALL, "period", *keys)
 
 
-def historic_averages(calls: DataFrame, minutes: int = 60) -> DataFrame:
-    """Calls and mean sizes and durations of each service call and window."""
+def historic_averages(calls: DataFrame, minutes: int = 60, ids: bool = False) -> DataFrame:
+    """Calls and mean sizes and durations of each service call and window. ids: with request_ids, the sorted ids of its calls."""
     return by_period(calls, minutes).agg(
         F.count("*").alias("request_count"), F.avg("requestSize").alias("mean_request_size"), F.avg("responseSize").alias("mean_response_size"),
         F.avg("totalDuration").alias("mean_client_duration"), F.avg("producerDurationProducerView").alias("mean_producer_duration"),
+        *([F.sort_array(F.collect_list("_id")).alias("request_ids")] if ids else []),
     )
 
 

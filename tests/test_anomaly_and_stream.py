@@ -123,3 +123,8 @@ def test_incident_requests_of_statuses_that_occur(spark):
     found = spark.createDataFrame([("new", 3), ("new", 4)], "incident_status string, request_count long")
     assert [tuple(r) for r in anomaly.incident_requests(found, "incident_status").collect()] == [("new", 7)]
     assert [tuple(r) for r in anomaly.incident_requests(found.where("false")).collect()] == [(0,)]
+
+
+def test_historic_averages_with_the_ids_of_their_calls(spark):
+    df = calls(spark, [("2", 10, True, "m", 0), ("1", 20, False, "n", 0), ("3", HOUR, True, "m", 0)])
+    assert sorted((r.request_count, r.request_ids) for r in anomaly.historic_averages(df, ids=True).collect()) == [(1, ["3"]), (2, ["1", "2"])]
