@@ -187,14 +187,18 @@ def expire(clean: DataFrame, now: float, days: int = 3) -> DataFrame:
 def interval_match(left: DataFrame, right: DataFrame, attributes: Sequence[str], window_ms: int = 600_000, time: str = "requestInTs", prefix: str = "match_") -> DataFrame:
     """Pairs of records whose attributes are null-safely equal and whose times differ by at most the window.
 
-    The first attributes are hash keys; buckets of the window's length, each row of the right side standing in three of
-    them, are keys as well, so no pair outside neighbouring buckets is compared.
+    The first attributes are hash keys; buckets of four windows' length are keys as well, so no pair outside of a bucket and
+    its margins is compared. A row of the left side, which should be the smaller, stands in each bucket that its window
+    touches, half of them in one only; a row of the right side stands in its own.
     """
-    r = right.select([F.col(c).alias(prefix + c) for c in right.columns]).withColumn("__b", F.explode(F.sequence(F.floor(F.col(prefix + time) / window_ms) - 1, F.floor(F.col(prefix + time) / window_ms) + 1)))
-    same = [left[a].eqNullSafe(r[prefix + a]) for a in attributes]
-    near = F.abs(left[time] - r[prefix + time]) <= window_ms
-    on = same + [F.floor(left[time] / window_ms) == r["__b"], near]
-    return left.join(r, on).drop("__b")
+    length = 4 * window_ms
+    r = right.select([F.col(c).alias(prefix + c) for c in right.columns])
+    at = lambda t: F.floor(t / length)
+    near_by = left.withColumn("__b", F.explode(F.sequence(at(F.col(time) - window_ms), at(F.col(time) + window_ms))))
+    same = [near_by[a].eqNullSafe(r[prefix + a]) for a in attributes]
+    near = F.abs(near_by[time] - r[prefix + time]) <= window_ms
+    on = same + [near_by["__b"] == at(r[prefix + time]), near]
+    return near_by.join(r, on).drop("__b")
 
 
 def first_match(left: DataFrame, right: DataFrame, attributes: Sequence[str], key: Sequence[str], window_ms: int = 600_000, time: str = "requestInTs", tie: str = "_id") -> DataFrame:

@@ -114,3 +114,12 @@ def test_null_attributes_match_null(spark):
     a = spark.createDataFrame([("a", None, 0)], "_id string, messageId string, requestInTs long")
     b = spark.createDataFrame([("b", None, 10)], a.schema)
     assert correct.interval_match(a, b, ["messageId"]).count() == 1
+
+
+def test_interval_match_repeats_rows_of_the_left_side_alone(spark):
+    a = spark.range(3).selectExpr("'c' || id as _id", "'m' as messageId", "id * 600000 as requestInTs")
+    b = spark.createDataFrame([("p", "m", 1_200_000), ("q", "m", -600_001)], "_id string, messageId string, requestInTs long")
+    got = correct.interval_match(a, b, ["messageId"])
+    assert sorted((r["_id"], r.match__id) for r in got.collect()) == [("c1", "p"), ("c2", "p")]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 1 and plan.index("Generate") < plan.index("Range") < plan.index("LogicalRDD")
