@@ -208,3 +208,16 @@ def test_members_of_a_descriptor(spark, tmp_path):
     d = tables.read_descriptor(spark, str(tmp_path / "d.json"))
     assert sorted((r.member_code, r.member_name) for r in tables.member_names(d).collect()) == [("1", "One"), ("2", None)]
     assert tables.subsystem(d, "EX", "GOV", "1", "a").count() == 1 and tables.subsystem(d, "EX", "GOV", "1", "z").count() == 0
+
+
+def test_a_report_is_computed_once_for_its_four_tables(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def row(i):
+        made.add(1)
+        return ("s", ("ps", "pms", "cs", "cms")[i % 4], f"k{i}", "x", i, 1, 0, "", "", "")
+
+    columns = "subsystem string, role string, key1 string, key2 string, no int, succeeded long, failed long, duration_text string, request_text string, response_text string"
+    tables.report_csv(spark.createDataFrame(spark.sparkContext.range(8).map(row), columns), str(tmp_path), "a", "b")
+    assert made.value == 8
+    assert {name: spark.read.option("header", True).csv(str(tmp_path / name / "a_b")).count() for name, *_ in tables.REPORT_TABLES.values()} == {name: 2 for name, *_ in tables.REPORT_TABLES.values()}
