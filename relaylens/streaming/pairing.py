@@ -18,7 +18,7 @@ OUT = "xRequestId string, client_id string, producer_id string, status string, m
 #: Requests of a bucket, in parallel arrays.
 STATE = "ids array<string>, clients array<string>, producers array<string>, expired array<boolean>, versions array<int>, due array<bigint>"
 #: Buckets that requests fall in by hash. A stream can't change it later.
-BUCKETS = 16_384
+BUCKETS = 4_096
 #: An open orphan is done after this long, and what is done is forgotten after a further KEEP_MS.
 TIMEOUT_MS = 3 * 86_400_000
 KEEP_MS = 30 * 86_400_000
