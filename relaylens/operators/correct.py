@@ -73,6 +73,25 @@ def classified(raw: DataFrame, tie: Sequence[str] = ("_id",)) -> DataFrame:
     return dealt.withColumn("kind", kind).drop("__request")
 
 
+def keyed(raw: DataFrame) -> DataFrame:
+    """raw with `fault` (faulty or invalid, null: neither) and `request`, by which records can be dealt.
+
+    request takes the place of xRequestId in sound records; the others are dealt by their own content.
+    """
+    known = F.coalesce(party().isin("client", "producer"), F.lit(False))
+    fault = F.when(~known, "invalid").when(X.blank_to_null(F.col("xRequestId")).isNull(), "faulty")
+    alone = F.concat(F.lit("?"), F.xxhash64(*raw.columns).cast("string"))
+    out = raw.withColumns({"fault": fault, "request": F.when(fault.isNull(), F.col("xRequestId")).otherwise(alone)})
+    return out.withColumn("xRequestId", F.when(F.col("fault").isNotNull(), F.col("xRequestId")))
+
+
+def placed(records: DataFrame, tie: Sequence[str] = ("_id",)) -> DataFrame:
+    """The sound ones of keyed records with their xRequestId and `place`: 1 for the first of its request and side."""
+    order = Window.partitionBy("request", party()).orderBy("requestInTs", *tie)
+    sound = records.where("fault is null").withColumn("place", F.row_number().over(order))
+    return sound.withColumn("xRequestId", F.col("request")).drop("fault", "request")
+
+
 def paired(first: DataFrame) -> DataFrame:
     """One row a request: xRequestId, client and producer structs (null: missing).
 

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import correct
-from ..plans.shared import written
+from ..plans.shared import dealt, open_writers
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -94,13 +94,30 @@ class CleanStore:
         self.spark.range(0).coalesce(1).write.mode("overwrite").parquet(self._at("expired", batch))
 
     def _part(self) -> Column:
-        return F.pmod(F.xxhash64("xRequestId"), F.lit(self.parts)).cast("int")
+        """By the hash that deals rows to tasks, so that a task of `_buckets` holds one part only."""
+        return F.pmod(F.hash("xRequestId"), F.lit(self.parts))
+
+    def _buckets(self) -> int:
+        """A multiple of the parts, at least as many as Spark's shuffles have."""
+        return -(-int(self.spark.conf.get("spark.sql.shuffle.partitions")) // self.parts) * self.parts
 
     def _save(self, calls: DataFrame, stage: str) -> None:
-        calls.hint("rebalance", F.col("part"), F.col("batch")).write.mode("overwrite").partitionBy("part", "batch").parquet(stage)
+        """calls come dealt by request id or as they lie in their folders, so a task has few folders to write to."""
+        with open_writers(calls.sparkSession, 256):
+            calls.write.mode("overwrite").partitionBy("part", "batch").option("compression", "zstd").parquet(stage)
 
     def _publish(self, stage: str) -> None:
-        self._placed(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part", "batch").parquet(self._at("calls"))
+        """Move staged folders into the place of those of their name. What a failed move has left in the stage is moved next time."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        fs = path(stage).getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path(self._at("calls")))
+        for folder in fs.globStatus(path(f"{stage}/part=*/batch=*")):
+            at = folder.getPath()
+            to = path(f"{self._at('calls')}/{at.getParent().getName()}/{at.getName()}")
+            fs.mkdirs(to.getParent())
+            fs.delete(to, True)
+            if not fs.rename(at, to):
+                raise OSError(f"{at} could not be moved to {to}")
 
     def _same_columns(self, raw: DataFrame) -> DataFrame:
         """raw with the columns that the table's records have: missing ones null, others left out."""
@@ -111,32 +128,40 @@ class CleanStore:
 
     def _stage(self, raw: DataFrame, batch: int, now: float, stage: str, pointer: list[str], position: str) -> None:
         seen = Observation()
-        counted = [F.count_if(F.col("kind") == k).alias(k) for k in ("faulty", "invalid")]
-        records = written(correct.classified(self._same_columns(raw)).observe(seen, F.count(F.lit(1)).alias("processed"), *counted))
-        of = lambda kind: correct.normalised(records.where(F.col("kind") == kind).drop("kind"))
+        counted = [F.count_if(F.col("fault") == k).alias(k) for k in ("faulty", "invalid")]
+        # The only time that whole records move: ranks, pairs and partners are then found bucket by bucket.
+        records = dealt(correct.keyed(self._same_columns(raw)).observe(seen, F.count(F.lit(1)).alias("processed"), *counted), self._buckets(), "request")
+        faults = lambda kind: correct.normalised(records.where(F.col("fault") == kind).drop("fault", "request"))
+        sound = correct.placed(records)
         if pointer:
             ends = records.groupBy(*pointer).agg(F.max(position).cast("double").alias("position"))
             ends.write.mode("overwrite").parquet(self._at("pointers", batch))
-        correct.lost_calls(of("faulty"), now).write.mode("overwrite").parquet(self._at("lost", batch))
-        first, calls = of("first"), self._calls()
+        correct.lost_calls(faults("faulty"), now).write.mode("overwrite").parquet(self._at("lost", batch))
+        first, calls = correct.normalised(sound.where("place = 1").drop("place")), self._calls()
         fresh = correct.paired(first).withColumn("part", self._part())
         again, kept = first.limit(0), None
         if calls is not None:
-            touched = [r["part"] for r in fresh.select("part").distinct().collect()]  # at most self.parts
+            has = lambda side, name: F.max(correct.party() == side).alias(name)
+            sides = sound.where("place = 1").groupBy("xRequestId").agg(has("client", "new_c"), has("producer", "new_p"))
+            touched = [r["part"] for r in sides.select(self._part().alias("part")).distinct().collect()]  # at most self.parts
             old = calls.where(F.col("part").isin(touched)) if touched else calls.limit(0)
-            sides = fresh.select("part", "xRequestId", F.col("client").isNotNull().alias("new_c"), F.col("producer").isNotNull().alias("new_p"))
-            met = written(old.select("part", "xRequestId", "batch", "has_client", "has_producer").join(sides, ["part", "xRequestId"]))
+            met = dealt(old.select("part", "xRequestId", "batch", "has_client", "has_producer").join(sides, "xRequestId"), self._buckets(), "xRequestId")
             grew = met.where("(new_c and not has_client) or (new_p and not has_producer)").select("part", "batch").distinct()
-            held = met.select(F.col("xRequestId").alias("held"), F.explode(F.array(F.when(F.col("has_client"), "client"), F.when(F.col("has_producer"), "producer"))).alias("side"))
-            again = first.join(held, (F.col("xRequestId") == F.col("held")) & (correct.party() == F.col("side")), "left_semi")
-            new = fresh.select("part", "xRequestId", *[F.col(k).cast(calls.schema[k].dataType).alias(f"new_{k}") for k in ("client", "producer")])
+            held = met.select(F.col("xRequestId").alias("held"), "has_client", "has_producer")
+            holds = ((correct.party() == "client") & F.col("has_client")) | ((correct.party() == "producer") & F.col("has_producer"))
+            again = first.join(held, (F.col("xRequestId") == F.col("held")) & holds, "left_semi")
+            new = fresh.select("xRequestId", *[F.col(k).cast(calls.schema[k].dataType).alias(f"new_{k}") for k in ("client", "producer")])
             before = old.join(F.broadcast(grew), ["part", "batch"], "left_semi")  # a row a folder at most; prunes the scan
-            before = before.select("part", "batch", "xRequestId", F.struct("client", "producer", "correctorTime", "correctorStatus").alias("old"))
-            kept = correct.completed(before.join(new, ["part", "xRequestId"], "left"), now, ["part", "batch"])
-            fresh = fresh.join(met.select("part", "xRequestId"), ["part", "xRequestId"], "left_anti")
+            pairs = F.col("has_client") & F.col("has_producer")  # as they are, without a shuffle
+            orphans = before.where(~pairs).select("part", "batch", "xRequestId", F.struct("client", "producer", "correctorTime", "correctorStatus").alias("old"))
+            kept = correct.completed(orphans.join(new, "xRequestId", "left"), now, ["part", "batch"])
+            kept = kept.unionByName(before.where(pairs).drop("has_client", "has_producer").withColumn("grew", F.lit(False)))
+            fresh = fresh.join(met.select("xRequestId"), "xRequestId", "left_anti")
         turned_down = Observation()
-        rejected = again.withColumn("kind", F.lit("duplicate")).unionByName(correct.normalised(records.where("kind in ('duplicate', 'invalid')")))
-        rejected.observe(turned_down, F.count_if(F.col("kind") == "duplicate").alias("duplicates")).write.mode("overwrite").parquet(self._at("rejected", batch))
+        duplicates = correct.normalised(sound.where("place > 1").drop("place"))
+        rejected = again.unionByName(duplicates).withColumn("kind", F.lit("duplicate")).unionByName(faults("invalid").withColumn("kind", F.lit("invalid")))
+        rejected = rejected.observe(turned_down, F.count_if(F.col("kind") == "duplicate").alias("duplicates"))
+        rejected.write.mode("overwrite").option("compression", "zstd").parquet(self._at("rejected", batch))
         out = correct.derived(fresh, now, ["part"]).withColumns({"batch": F.lit(batch), "grew": F.lit(None).cast("boolean")})
         out = out.unionByName(kept) if kept is not None else out
         out = out.withColumns({"has_client": F.col("client").isNotNull(), "has_producer": F.col("producer").isNotNull()})

@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.errors import StreamingQueryException
 
+from relaylens import catalog
 from relaylens.operators import correct
 from relaylens.schema import RAW
 from relaylens.sources import store as S
@@ -123,3 +124,30 @@ def test_a_batch_that_fails_midway_is_repeated(spark, tmp_path, monkeypatch, whe
     assert ends["Producer"] == 1020.0 and ends["Client"] == 1000.0
     run(spark, tmp_path / "in", tmp_path / "checkpoint", store)
     assert store.counters().count() == 3
+
+
+def shuffled(spark):
+    """Rows that stages have written for others so far."""
+    gateway = spark.sparkContext._gateway
+    stages = spark._jsc.sc().statusStore().stageList(None, False, False, gateway.new_array(gateway.jvm.double, 0), gateway.jvm.java.util.ArrayList())
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_a_batch_moves_whole_records_once_and_whole_pairs_never(spark, tmp_path):
+    store = S.CleanStore(spark, str(tmp_path), 4)
+    before = shuffled(spark)
+    store.apply(rows(spark, *[client(f"c{i}", str(i)) for i in range(300)], *[producer(f"p{i}", str(i)) for i in range(299)]), 0, 1.0)
+    assert shuffled(spark) - before < 100
+    before = shuffled(spark)
+    store.apply(rows(spark, producer("late", "299")), 1, 2.0)
+    assert shuffled(spark) - before < 100
+    got = calls_of(store.read())
+    assert len(got) == 300 and got["299"] == ("c299", "late", "done", "regular_pair", 2.0) and got["0"] == ("c0", "p0", "done", "regular_pair", 1.0)
+
+
+@pytest.mark.parametrize("name", ["t1_correction_loop"])
+def test_a_query_shuffles_fewer_rows_than_it_reads_records(spark, name):
+    path, before = "/root/testdata/sf0.001", shuffled(spark)
+    catalog.QUERIES[name](spark, path).collect()
+    records = sum(spark.read.parquet(f"{path}/{t}.parquet").count() for t in ("orders", "lineitem"))
+    assert shuffled(spark) - before < records
