@@ -36,21 +36,21 @@ def party(kind: str = "securityServerType") -> Column:
     return F.lower(F.col(kind))
 
 
-def ranked_records(raw: DataFrame, tie: Sequence[str] = ("_id",)) -> DataFrame:
+def ranked_records(raw: DataFrame, tie: Sequence[str] = ("_id",), dealt: bool = False) -> DataFrame:
     """raw with `place`: 1 for the first record of its request and side by time, more for duplicates.
 
     Ranks need every record of a request together; a request has a handful. Records are dealt by request id alone, so that
-    what pairs them later needs no further shuffle.
+    what pairs them later needs no further shuffle. dealt: they are so already, as by `shared.dealt`.
     """
     order = Window.partitionBy("xRequestId", party()).orderBy("requestInTs", *tie)
-    return raw.repartition("xRequestId").withColumn("place", F.row_number().over(order))
+    return (raw if dealt else raw.repartition("xRequestId")).withColumn("place", F.row_number().over(order))
 
 
-def split_records(raw: DataFrame, tie: Sequence[str] = ("_id",)) -> dict[str, DataFrame]:
+def split_records(raw: DataFrame, tie: Sequence[str] = ("_id",), dealt: bool = False) -> dict[str, DataFrame]:
     """first (of each request and side), duplicates, faulty (without request id) and invalid (neither side) records."""
     known = F.coalesce(party().isin("client", "producer"), F.lit(False))
     named = X.blank_to_null(F.col("xRequestId")).isNotNull()
-    ranked = ranked_records(raw.where(known & named), tie)
+    ranked = ranked_records(raw.where(known & named), tie, dealt)
     return {
         "first": ranked.where("place = 1").drop("place"),
         "duplicates": ranked.where("place > 1").drop("place"),
@@ -169,13 +169,14 @@ def completed(both: DataFrame, now: float, keep: Sequence[str] = ()) -> DataFram
     return out.withColumn("correctorStatus", F.when(F.col("grew"), F.col("correctorStatus")).otherwise(F.coalesce("s", "correctorStatus"))).drop("t", "s")
 
 
-def correct_batch(raw: DataFrame, now: float, clean: DataFrame | None = None) -> dict[str, DataFrame]:
+def correct_batch(raw: DataFrame, now: float, clean: DataFrame | None = None, dealt: bool = False) -> dict[str, DataFrame]:
     """clean (the whole table after the batch), updates (its rows that the batch made or changed), duplicates and invalid.
 
-    Earlier clean calls win over new records of their side; see `completed` for late partners.
+    Earlier clean calls win over new records of their side; see `completed` for late partners. dealt: raw is dealt by
+    request id already.
     """
     # Ranks need times and ids only; what is ranked out needn't be made ready for the table before the shuffle.
-    parts = {kind: normalised(rows) for kind, rows in split_records(raw).items()}
+    parts = {kind: normalised(rows) for kind, rows in split_records(raw, dealt=dealt).items()}
     first, duplicates = parts["first"], parts["duplicates"]
     fresh = paired(first)
     lost = lost_calls(parts["faulty"], now)

@@ -145,7 +145,7 @@ def test_a_batch_moves_whole_records_once_and_whole_pairs_never(spark, tmp_path)
     assert len(got) == 300 and got["299"] == ("c299", "late", "done", "regular_pair", 2.0) and got["0"] == ("c0", "p0", "done", "regular_pair", 1.0)
 
 
-@pytest.mark.parametrize("name", ["t1_correction_loop", "s14_upsert"])
+@pytest.mark.parametrize("name", ["t1_correction_loop", "s14_upsert", "j2_late_partner"])
 def test_a_query_shuffles_fewer_rows_than_it_reads_records(spark, name):
     path, before = "/root/testdata/sf0.001", shuffled(spark)
     catalog.QUERIES[name](spark, path).collect()
