@@ -2,8 +2,7 @@
 
 Calls with a request id lie in calls/part=<hash of the id>/batch=<number of the batch that saw it first>. A batch reads
 ids of the parts that its own ids fall in, adds a folder of its own to these, and rewrites earlier folders only if they
-hold an orphan whose partner has come. What it writes is staged first and then put in place by Spark's dynamic partition
-overwrite. A batch that failed is simply applied again under its number: before its stage is whole it starts anew, after
+hold an orphan whose partner has come. What it writes is staged first, then its folders are moved into place. A batch that failed is simply applied again under its number: before its stage is whole it starts anew, after
 that only putting in place is repeated, and once it is noted as done nothing happens. Records without request id
 (lost/batch=), rejected ones (rejected/batch=), counters and pointers lie in folders of their batch.
 """
