@@ -151,3 +151,19 @@ def test_a_query_shuffles_fewer_rows_than_it_reads_records(spark, name):
     catalog.QUERIES[name](spark, path).collect()
     records = sum(spark.read.parquet(f"{path}/{t}.parquet").count() for t in ("orders", "lineitem"))
     assert shuffled(spark) - before < records
+
+
+def test_a_batch_leaves_pairs_as_they_lie_and_empties_folders_without_orphans(spark, tmp_path, monkeypatch):
+    store = S.CleanStore(spark, str(tmp_path), 1)
+    store.apply(rows(spark, client("c1", "1"), producer("p1", "1"), client("c2", "2")), 0, 1.0)
+    pairs = {f: t for f, t in files(tmp_path).items() if "/staged" not in f and {"part=0", "batch=0"} <= set(f.split("/")) and spark.read.parquet(f).where("matchingType = 'regular_pair'").count()}
+    assert pairs
+    emptied = S.CleanStore._emptied
+    monkeypatch.setattr(S.CleanStore, "_emptied", lambda self, *args: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError):  # after what is staged was written, before its counters
+        store.apply(rows(spark, producer("p2", "2"), producer("again", "1")), 1, 2.0)
+    monkeypatch.setattr(S.CleanStore, "_emptied", emptied)
+    store.apply(rows(spark, producer("p2", "2"), producer("again", "1")), 1, 2.0)
+    assert pairs.items() <= files(tmp_path).items() and not files(tmp_path / "calls")
+    assert sorted(store.read().select("xRequestId", "client._id", "producer._id", "correctorTime").toDF("x", "c", "p", "t").collect()) == [("1", "c1", "p1", 1.0), ("2", "c2", "p2", 2.0)]
+    assert [(r.processed, r.duplicates, r.made, r.completed) for r in store.counters().orderBy("batch").collect()] == [(3, 0, 2, 0), (2, 1, 0, 1)]
